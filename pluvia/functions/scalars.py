@@ -21,7 +21,7 @@ __all__ = [
     "bin_right_closed", "threshold_flag", "tenths", "ratio_round_half_up",
     "ratio_round_half_even", "mean_tenths", "safe_percentage",
     "share_of_max", "clamped_ratio", "title_label", "date_label",
-    "col_or_default", "fixed_one_decimal",
+    "col_or_default", "fixed_one_decimal", "json_field",
 ]
 
 
@@ -191,3 +191,8 @@ def fixed_one_decimal(tenths_col: Column) -> Column:
     t = tenths_col.cast("bigint")
     return F.concat(_idiv(t, F.lit(10)).cast("string"), F.lit("."),
                     F.pmod(t, F.lit(10)).cast("string"))
+
+
+def json_field(c: str | Column, ddl: str, name: str) -> Column:
+    """One typed field of a JSON text column (``from_json`` with a DDL schema)."""
+    return F.from_json(col_of(c), ddl)[name]

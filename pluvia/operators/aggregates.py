@@ -31,7 +31,8 @@ def most_frequent_approx(df: DataFrame, keys: Sequence[str], value: str,
     """Approximate most frequent value via the ``approx_top_k`` sketch."""
     alias = alias or f"most_common_{value}"
     return (df.groupBy(*keys)
-            .agg(F.approx_top_k(value, F.lit(1), F.lit(max_items)).alias("_top"))
+            .agg(F.call_function("approx_top_k", F.col(value), F.lit(1), F.lit(max_items))
+                 .alias("_top"))
             .select(*keys, F.col("_top")[0]["item"].alias(alias)))
 
 

@@ -56,3 +56,305 @@ def q_mart_city_stats(spark, sf_dir):
     f"WHERE date >= CAST(DATE '{AS_OF}' - INTERVAL 30 DAY AS DATE)"))
 def q_city_stats_30d(spark, sf_dir):
     return M.city_stats(daily(spark, sf_dir), window_days=30, as_of=AS_OF)
+
+
+# ---------------------------------------------------------------------------
+# Shared pieces.
+# ---------------------------------------------------------------------------
+
+from pluvia import presets as P  # noqa: E402
+from pluvia.functions import scalars as S  # noqa: E402
+from pluvia.operators import aggregates as A  # noqa: E402
+from pluvia.operators import dashboard as B  # noqa: E402
+from pluvia.operators import flatten as N  # noqa: E402
+from pluvia.operators import joins as J  # noqa: E402
+from pluvia.operators import quality as DQ  # noqa: E402
+from pluvia.sources import files as FS  # noqa: E402
+from pluvia.sources import warehouse as WH  # noqa: E402
+from pluvia.session import work_dir  # noqa: E402
+
+TIE = ("city_name", "src_id")
+SILVER = f"WITH {Q.SILVER_CTE} "
+LATEST = "(SELECT max(date) FROM silver)"
+WINDOW_START = f"CAST(DATE '{AS_OF}' - INTERVAL {P.DAYS_BACK} DAY AS DATE)"
+
+
+def r1(c):
+    return S.round_half_even(c, 1)
+
+
+# ---------------------------------------------------------------------------
+# P: projections and scalar functions.
+# ---------------------------------------------------------------------------
+
+@register("parse_date", "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS date "
+          "FROM orders")
+def q_parse_date(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey",
+                    S.parse_date(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"))
+
+
+@register("coerce_numeric", "SELECT o_orderkey, TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) "
+          "AS priority_num, TRY_CAST(o_orderpriority AS DOUBLE) AS priority_text FROM orders")
+def q_coerce_numeric(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey",
+                    S.coerce_double(F.substring("o_orderpriority", 1, 1)).alias("priority_num"),
+                    S.coerce_double("o_orderpriority").alias("priority_text"))
+
+
+@register("coerce_integer", "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS quantity "
+          "FROM lineitem")
+def q_coerce_integer(spark, sf_dir):
+    li = X.table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     S.coerce_integer("l_quantity", "l_quantity").alias("quantity"))
+
+
+@register("impute_midpoint", f"WITH {Q.OBS_CTE} SELECT src_id, COALESCE(temperature_mean, "
+          "(temperature_max + temperature_min) / 2.0) AS temperature_mean FROM obs")
+def q_impute_midpoint(spark, sf_dir):
+    return C.fill_missing(X.obs(spark, sf_dir)).select("src_id", "temperature_mean")
+
+
+@register("fill_zero", f"WITH {Q.OBS_CTE} SELECT src_id, COALESCE(precipitation_sum, 0.0) AS "
+          "precipitation_sum, COALESCE(precipitation_hours, 0.0) AS precipitation_hours, "
+          "temperature_max FROM obs")
+def q_fill_zero(spark, sf_dir):
+    df = X.obs(spark, sf_dir)
+    return df.na.fill(0.0, P.ZERO_FILL_COLUMNS).select(
+        "src_id", "precipitation_sum", "precipitation_hours", "temperature_max")
+
+
+@register("code_lookup", f"WITH {Q.OBS_CTE} SELECT src_id, weather_code, "
+          f"{Q.code_case('weather_code')} AS weather_description FROM obs")
+def q_code_lookup(spark, sf_dir):
+    return C.add_code_label(X.obs(spark, sf_dir)).select(
+        "src_id", "weather_code", "weather_description")
+
+
+@register("derived_range", f"WITH {Q.OBS_CTE} SELECT src_id, "
+          f"{Q.r1('temperature_max - temperature_min')} AS temperature_range FROM obs")
+def q_derived_range(spark, sf_dir):
+    return C.add_derived(X.obs(spark, sf_dir)).select("src_id", "temperature_range")
+
+
+@register("derived_midpoint", f"WITH {Q.OBS_CTE} SELECT src_id, "
+          f"{Q.r1('(humidity_max + humidity_min) / 2.0')} AS humidity_mean FROM obs")
+def q_derived_midpoint(spark, sf_dir):
+    return C.add_derived(X.obs(spark, sf_dir)).select("src_id", "humidity_mean")
+
+
+@register("bin_precipitation", f"{SILVER} SELECT src_id, precipitation_category FROM silver")
+def q_bin_precipitation(spark, sf_dir):
+    return silver(spark, sf_dir).select("src_id", "precipitation_category")
+
+
+@register("bin_temperature", f"{SILVER} SELECT src_id, temperature_category FROM silver")
+def q_bin_temperature(spark, sf_dir):
+    return silver(spark, sf_dir).select("src_id", "temperature_category")
+
+
+PRICE_EDGES = [0.0, 1000.0, 10000.0, 50000.0, float("inf")]
+PRICE_LABELS = ["small", "medium", "large", "very large"]
+
+
+@register("bin_price", "SELECT l_orderkey, l_linenumber, l_extendedprice, "
+          f"{Q.bins('l_extendedprice', PRICE_EDGES, PRICE_LABELS)} AS price_band FROM lineitem")
+def q_bin_price(spark, sf_dir):
+    li = X.table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_extendedprice",
+                     S.bin_right_closed("l_extendedprice", PRICE_EDGES, PRICE_LABELS)
+                     .alias("price_band"))
+
+
+@register("round_columns", f"WITH {Q.OBS_CTE} SELECT src_id, "
+          + ", ".join(f"{Q.r1(c)} AS {c}" for c in P.ROUNDED_COLUMNS) + " FROM obs")
+def q_round_columns(spark, sf_dir):
+    return C.round_columns(X.obs(spark, sf_dir)).select("src_id", *P.ROUNDED_COLUMNS)
+
+
+@register("threshold_flags", f"WITH {Q.MART_CTE} SELECT src_id, heavy_rain_day, heat_alert_day, "
+          "wind_alert_day FROM daily")
+def q_threshold_flags(spark, sf_dir):
+    return daily(spark, sf_dir).select("src_id", "heavy_rain_day", "heat_alert_day",
+                                       "wind_alert_day")
+
+
+@register("safe_percentage", f"""{SILVER}
+SELECT country, CAST(COUNT(*) FILTER (WHERE precipitation_sum > 0) AS BIGINT) AS rainy_days,
+  CAST(COUNT(*) AS BIGINT) AS total_days,
+  CAST({Q.half_up('COUNT(*) FILTER (WHERE precipitation_sum > 0) * 1000', 'COUNT(*)')} AS DOUBLE) / 10.0
+  AS rain_percentage
+FROM silver GROUP BY country""")
+def q_safe_percentage(spark, sf_dir):
+    g = silver(spark, sf_dir).groupBy("country").agg(
+        F.count_if(F.col("precipitation_sum") > 0).alias("rainy_days"),
+        F.count(F.lit(1)).alias("total_days"))
+    return g.withColumn("rain_percentage",
+                        S.safe_percentage(F.col("rainy_days"), F.col("total_days"), 1))
+
+
+@register("share_of_max", f"""{SILVER},
+t AS (SELECT country, SUM({Q.tenths('precipitation_sum')}) AS s FROM silver GROUP BY country)
+SELECT country, CAST(s AS DOUBLE) / 10.0 AS total_precipitation,
+  CAST(s AS DOUBLE) / CAST(COALESCE(NULLIF((SELECT max(s) FROM t), 0), 1) AS DOUBLE) * 100.0 AS share
+FROM t""")
+def q_share_of_max(spark, sf_dir):
+    sums = silver(spark, sf_dir).groupBy("country").agg(
+        F.sum(S.tenths("precipitation_sum")).alias("s"))
+    mx = sums.select(F.max("s")).scalar()
+    return sums.select("country", (F.col("s") / F.lit(10.0)).alias("total_precipitation"),
+                       S.share_of_max(F.col("s").cast("double"), mx.cast("double"))
+                       .alias("share"))
+
+
+@register("clamped_ratio", f"""{SILVER}
+SELECT src_id,
+  greatest(least(humidity_mean / 100.0, 1.0), 0.0) AS humidity_fill,
+  greatest(least(wind_speed_max / 120.0, 1.0), 0.0) AS wind_fill,
+  greatest(least(uv_index_max / 12.0, 1.0), 0.0) AS uv_fill,
+  greatest(least(precipitation_sum / 50.0, 1.0), 0.0) AS rain_fill
+FROM silver""")
+def q_clamped_ratio(spark, sf_dir):
+    sc = P.GAUGE_SCALES
+    return silver(spark, sf_dir).select(
+        "src_id",
+        S.clamped_ratio("humidity_mean", sc["humidity_mean"]).alias("humidity_fill"),
+        S.clamped_ratio("wind_speed_max", sc["wind_speed_max"]).alias("wind_fill"),
+        S.clamped_ratio("uv_index_max", sc["uv_index_max"]).alias("uv_fill"),
+        S.clamped_ratio("precipitation_sum", sc["precipitation_sum"]).alias("rain_fill"))
+
+
+@register("string_labels", f"""SELECT n_nationkey, n_name || ', ' || r_name AS label,
+  {Q.title('lower(r_name)')} AS region_title, {Q.title('lower(n_name)')} AS nation_title
+FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def q_string_labels(spark, sf_dir):
+    d = X.nation_region(spark, sf_dir)
+    return d.select("n_nationkey", F.concat_ws(", ", "n_name", "r_name").alias("label"),
+                    S.title_label(F.lower("r_name")).alias("region_title"),
+                    S.title_label(F.lower("n_name")).alias("nation_title"))
+
+
+@register("date_label", "SELECT o_orderkey, strftime(o_orderdate, '%d %b') AS label FROM orders")
+def q_date_label(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", S.date_label(F.to_date("o_orderdate")).alias("label"))
+
+
+@register("json_scalar_parse", "SELECT event_id, event_type, "
+          "CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def q_json_scalar_parse(spark, sf_dir):
+    ev = X.table(spark, sf_dir, "events")
+    return ev.select("event_id", "event_type", S.json_field("props", "k BIGINT", "k").alias("k"))
+
+
+# ---------------------------------------------------------------------------
+# F: filters.
+# ---------------------------------------------------------------------------
+
+@register("window_days_back", f"{SILVER} SELECT src_id, date, city_name FROM silver "
+          f"WHERE date BETWEEN {WINDOW_START} AND DATE '{AS_OF}'")
+def q_window_days_back(spark, sf_dir):
+    return B.window_days_back(silver(spark, sf_dir), AS_OF).select("src_id", "date", "city_name")
+
+
+@register("trailing_from_latest", f"{SILVER} SELECT src_id, date, city_name, precipitation_sum "
+          f"FROM silver WHERE date >= CAST({LATEST} - INTERVAL 30 DAY AS DATE)")
+def q_trailing_from_latest(spark, sf_dir):
+    return B.trailing_from_latest(silver(spark, sf_dir), 30).select(
+        "src_id", "date", "city_name", "precipitation_sum")
+
+
+@register("latest_slice", f"{SILVER} SELECT src_id, date, city_name, temperature_mean "
+          f"FROM silver WHERE date = {LATEST}")
+def q_latest_slice(spark, sf_dir):
+    return B.latest_slice(silver(spark, sf_dir)).select(
+        "src_id", "date", "city_name", "temperature_mean")
+
+
+@register("default_range", f"{SILVER} SELECT greatest(min(date), CAST(max(date) - INTERVAL 29 DAY "
+          "AS DATE)) AS start_date, max(date) AS end_date FROM silver")
+def q_default_range(spark, sf_dir):
+    return B.default_range(silver(spark, sf_dir))
+
+
+PERIOD_SQL = f"""{SILVER},
+sel AS (SELECT COALESCE(max(CASE WHEN city_name = 'Lima' THEN city_name END), min(city_name)) AS k,
+  greatest(min(date), CAST(max(date) - INTERVAL 29 DAY AS DATE)) AS s, max(date) AS e FROM silver),
+period AS (SELECT silver.* FROM silver, sel WHERE city_name = sel.k AND date >= sel.s AND date <= sel.e)
+"""
+
+
+def period(spark, sf_dir):
+    return B.default_period(silver(spark, sf_dir), preferred="Lima", tie=("src_id",))
+
+
+@register("key_range_filter", PERIOD_SQL + "SELECT date, city_name, temperature_max, temperature_min, "
+          "temperature_mean, precipitation_sum, wind_speed_max, src_id FROM period")
+def q_key_range_filter(spark, sf_dir):
+    return period(spark, sf_dir).select(
+        "date", "city_name", "temperature_max", "temperature_min", "temperature_mean",
+        "precipitation_sum", "wind_speed_max", "src_id")
+
+
+# ---------------------------------------------------------------------------
+# J: joins.
+# ---------------------------------------------------------------------------
+
+@register("coverage_gap", f"""SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (
+  SELECT 1 FROM orders WHERE o_custkey = c_custkey
+    AND CAST(o_orderdate AS DATE) BETWEEN {WINDOW_START} AND DATE '{AS_OF}')""")
+def q_coverage_gap(spark, sf_dir):
+    cust = X.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    got = B.window_days_back(
+        X.table(spark, sf_dir, "orders").select(
+            F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date")),
+        AS_OF)
+    return J.coverage_gap(cust, got, "c_custkey")
+
+
+@register("attach_dimension", """SELECT c_custkey, c_name, n_name AS city_name, r_name AS country,
+  upper(substr(r_name, 1, 2)) AS country_code
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def q_attach_dimension(spark, sf_dir):
+    cust = X.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    dims = X.nation_region(spark, sf_dir)
+    return J.attach_dimension(cust, dims, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", "c_name", F.col("n_name").alias("city_name"), F.col("r_name").alias("country"),
+        F.upper(F.substring("r_name", 1, 2)).alias("country_code"))
+
+
+@register("scan_dimension", """SELECT n_name AS name, r_name AS country,
+  upper(substr(r_name, 1, 2)) AS country_code, concat('Z', CAST(n_nationkey % 4 AS VARCHAR)) AS region,
+  CAST(n_nationkey * 3 - 40 AS DOUBLE) AS latitude, CAST(-30 - n_nationkey * 3 AS DOUBLE) AS longitude,
+  'Etc/UTC' AS timezone
+FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def q_scan_dimension(spark, sf_dir):
+    d = X.nation_region(spark, sf_dir)
+    return d.selectExpr(
+        "n_name AS name", "r_name AS country", "upper(substr(r_name, 1, 2)) AS country_code",
+        "concat('Z', CAST(n_nationkey % 4 AS STRING)) AS region",
+        "CAST(n_nationkey * 3 - 40 AS DOUBLE) AS latitude",
+        "CAST(-30 - n_nationkey * 3 AS DOUBLE) AS longitude", "'Etc/UTC' AS timezone")
+
+
+@register("run_summary", f"""WITH req AS (
+  SELECT c_custkey, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey),
+got AS (SELECT DISTINCT o_custkey FROM orders
+  WHERE CAST(o_orderdate AS DATE) BETWEEN {WINDOW_START} AND DATE '{AS_OF}')
+SELECT r_name, CAST(COUNT(*) AS BIGINT) AS total_requested,
+  CAST(COUNT(got.o_custkey) AS BIGINT) AS total_successful,
+  CAST(COUNT(*) - COUNT(got.o_custkey) AS BIGINT) AS total_failed
+FROM req LEFT JOIN got ON req.c_custkey = got.o_custkey GROUP BY r_name""")
+def q_run_summary(spark, sf_dir):
+    cust = X.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    dims = X.nation_region(spark, sf_dir).select("n_nationkey", "r_name")
+    req = J.attach_dimension(cust, dims, F.col("c_nationkey") == F.col("n_nationkey"))
+    got = B.window_days_back(
+        X.table(spark, sf_dir, "orders").select(
+            F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date")),
+        AS_OF)
+    return A.run_summary(req.select("c_custkey", "r_name"), got, ["c_custkey"], batch=["r_name"])

@@ -128,3 +128,91 @@ mode AS (
 SELECT agg.*, mode.most_common_weather,
   CAST({half_up('agg.rainy_days * 1000', 'agg.total_days')} AS DOUBLE) / 10.0 AS rain_percentage
 FROM agg JOIN mode USING ({keys})"""
+
+
+def rd(x: str, digits: int) -> str:
+    """Half-to-even rounding to ``digits`` on the binary value."""
+    scale = f"{float(10 ** digits)}"
+    return f"(round_even(({x}) * {scale}, 0) / {scale})"
+
+
+def title(x: str) -> str:
+    """Title-case words split on spaces (``_`` read as a space)."""
+    return (f"array_to_string(list_transform(string_split(replace({x}, '_', ' '), ' '), "
+            f"lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')")
+
+
+OBS_COLS_NO_ID = ["date", "city_name", "country", "country_code", "region", "latitude",
+                  "longitude", "timezone", "temperature_max", "temperature_min",
+                  "temperature_mean", "precipitation_sum", "precipitation_hours",
+                  "wind_speed_max", "wind_direction", "humidity_max", "humidity_min",
+                  "uv_index_max", "weather_code"]
+
+
+def dq_sql(as_of: str, batch: str | None = None, report: bool = False) -> str:
+    """Seven checks (or the report) over ``obs`` without its id column."""
+    r = P.RULES
+    lo, hi = r["temperature"]["min"], r["temperature"]["max"]
+    phi = r["precipitation"]["max"]
+    mx = r["thresholds"]["max_null_percentage"]
+    ncols = len(OBS_COLS_NO_ID)
+    nulls = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in OBS_COLS_NO_ID)
+    bsel = "batch, " if batch else ""
+    bgrp = "GROUP BY batch" if batch else ""
+    bexpr = f"{batch} AS batch, " if batch else ""
+    checks = [
+        ("required_fields", "TRUE", f"'{P.TEXT_REQUIRED_OK}'", "CAST(0 AS BIGINT)"),
+        ("temperature_range", "bad_t = 0",
+         f"CASE WHEN bad_t = 0 THEN '{P.TEXT_TEMPERATURE_OK}' ELSE "
+         f"'{P.TEXT_TEMPERATURE_BAD.format(lo=lo, hi=hi)}' END", "bad_t"),
+        ("precipitation_range", "bad_p = 0",
+         f"CASE WHEN bad_p = 0 THEN '{P.TEXT_PRECIPITATION_OK}' ELSE "
+         f"'{P.TEXT_PRECIPITATION_BAD.format(hi=phi)}' END", "bad_p"),
+        ("no_future_dates", "future = 0",
+         f"CASE WHEN future = 0 THEN '{P.TEXT_FUTURE_OK}' ELSE '{P.TEXT_FUTURE_BAD}' END",
+         "future"),
+        ("no_duplicates", "dup_rows = 0",
+         f"CASE WHEN dup_rows = 0 THEN '{P.TEXT_DUPLICATES_OK}' ELSE "
+         f"CAST(dup_rows AS VARCHAR) || ' filas duplicadas encontradas' END", "dup_rows"),
+        ("null_percentage", f"cells = 0 OR null_cells * 100.0 <= {mx} * cells",
+         "'Nulos: ' || CAST(pct_t // 10 AS VARCHAR) || '.' || CAST(pct_t % 10 AS VARCHAR) || "
+         f"'% (máximo permitido: {mx}%)'", "null_cells"),
+        ("temperature_consistency", "bad_c = 0",
+         f"CASE WHEN bad_c = 0 THEN '{P.TEXT_CONSISTENCY_OK}' ELSE '{P.TEXT_CONSISTENCY_BAD}' END",
+         "bad_c"),
+    ]
+    unions = "\nUNION ALL ".join(
+        f"SELECT {bsel}{i + 1} AS check_order, '{n}' AS name, ({p}) AS passed, {d} AS detail, "
+        f"CAST({a} AS BIGINT) AS affected_rows FROM c"
+        for i, (n, p, d, a) in enumerate(checks))
+    cols = ", ".join(OBS_COLS_NO_ID)
+    body = f"""WITH {OBS_CTE},
+b AS (SELECT {bexpr}{cols} FROM obs),
+l1 AS (SELECT {bsel}city_name, date, COUNT(*) AS n, SUM({nulls}) AS nulls,
+  COUNT(*) FILTER (WHERE temperature_max < {lo} OR temperature_max > {hi}
+                   OR temperature_min < {lo} OR temperature_min > {hi}) AS bad_t,
+  COUNT(*) FILTER (WHERE precipitation_sum < 0 OR precipitation_sum > {phi}) AS bad_p,
+  COUNT(*) FILTER (WHERE date > DATE '{as_of}') AS future,
+  COUNT(*) FILTER (WHERE temperature_min > temperature_max) AS bad_c
+  FROM b GROUP BY {bsel}city_name, date),
+c0 AS (SELECT {bsel}CAST(SUM(n) AS BIGINT) AS total_rows, CAST(COALESCE(SUM(nulls), 0) AS BIGINT) AS null_cells,
+  CAST(SUM(bad_t) AS BIGINT) AS bad_t, CAST(SUM(bad_p) AS BIGINT) AS bad_p,
+  CAST(SUM(future) AS BIGINT) AS future, CAST(SUM(bad_c) AS BIGINT) AS bad_c,
+  CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS dup_rows,
+  CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS dup_extra
+  FROM l1 {bgrp}),
+c AS (SELECT *, total_rows * {ncols} AS cells,
+  COALESCE({half_even('null_cells * 1000', f'total_rows * {ncols}')}, 0) AS pct_t,
+  COALESCE({half_even('null_cells * 10000', f'total_rows * {ncols}')}, 0) AS pct_h FROM c0),
+checks AS ({unions})"""
+    if not report:
+        return body + "\nSELECT * FROM checks"
+    label = "batch" if batch else f"'{as_of}'"
+    join = "JOIN f USING (batch)" if batch else ", f"
+    return body + f""",
+f AS (SELECT {bsel}COALESCE(MAX(CASE WHEN NOT passed THEN affected_rows END), 0) AS invalid_rows,
+  bool_and(passed) AS overall_passed FROM checks {bgrp})
+SELECT {label} AS extraction_date, total_rows, CAST(total_rows - invalid_rows AS BIGINT) AS valid_rows,
+  CAST(invalid_rows AS BIGINT) AS invalid_rows, CAST(pct_h AS DOUBLE) / 100.0 AS null_percentage,
+  dup_extra AS duplicate_count, overall_passed
+FROM c {join}"""
