@@ -358,3 +358,280 @@ def q_run_summary(spark, sf_dir):
             F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date")),
         AS_OF)
     return A.run_summary(req.select("c_custkey", "r_name"), got, ["c_custkey"], batch=["r_name"])
+
+
+# ---------------------------------------------------------------------------
+# A / W / L: aggregates, windows, ordering.
+# ---------------------------------------------------------------------------
+
+@register("conditional_counts", f"""WITH {Q.MART_CTE}
+SELECT city_name, CAST(COUNT(*) FILTER (WHERE precipitation_sum > 0) AS BIGINT) AS rainy_days,
+  CAST(COUNT(*) FILTER (WHERE heavy_rain_day) AS BIGINT) AS heavy_rain_days,
+  CAST(COUNT(*) FILTER (WHERE heat_alert_day) AS BIGINT) AS heat_alert_days,
+  CAST(COUNT(*) FILTER (WHERE wind_alert_day) AS BIGINT) AS wind_alert_days,
+  CAST(COUNT(*) FILTER (WHERE temperature_max > 60) AS BIGINT) AS hot_unknown
+FROM daily GROUP BY city_name""")
+def q_conditional_counts(spark, sf_dir):
+    return daily(spark, sf_dir).groupBy("city_name").agg(
+        F.count_if(F.col("precipitation_sum") > 0).alias("rainy_days"),
+        F.count_if("heavy_rain_day").alias("heavy_rain_days"),
+        F.count_if("heat_alert_day").alias("heat_alert_days"),
+        F.count_if("wind_alert_day").alias("wind_alert_days"),
+        # NULL comparisons are not counted.
+        F.count_if(F.col("temperature_max") > 60).alias("hot_unknown"))
+
+
+@register("most_frequent", f"""{SILVER}
+SELECT city_name, weather_description AS most_common_weather FROM (
+  SELECT city_name, weather_description,
+    ROW_NUMBER() OVER (PARTITION BY city_name ORDER BY COUNT(*) DESC, weather_description) AS rn
+  FROM silver GROUP BY city_name, weather_description) t WHERE rn = 1""")
+def q_most_frequent(spark, sf_dir):
+    return A.most_frequent(silver(spark, sf_dir), ["city_name"], "weather_description",
+                           "most_common_weather")
+
+
+@register("most_frequent_approx")
+def q_most_frequent_approx(spark, sf_dir):
+    return A.most_frequent_approx(silver(spark, sf_dir), ["city_name"], "weather_description",
+                                  "most_common_weather")
+
+
+@register("distinct_sorted", f"{SILVER} SELECT DISTINCT city_name FROM silver")
+def q_distinct_sorted(spark, sf_dir):
+    return B.distinct_sorted(silver(spark, sf_dir))
+
+
+@register("date_bounds", f"{SILVER} SELECT min(date) AS min_date, max(date) AS max_date, "
+          "greatest(min(date), CAST(max(date) - INTERVAL 29 DAY AS DATE)) AS default_start FROM silver")
+def q_date_bounds(spark, sf_dir):
+    return B.date_bounds(silver(spark, sf_dir))
+
+
+DUP_SQL = f"""WITH {Q.OBS_CTE}, k AS (SELECT city_name, date, COUNT(*) AS n FROM obs GROUP BY city_name, date)
+SELECT CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicate_rows,
+  CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_extra FROM k"""
+
+
+@register("duplicate_rows", DUP_SQL.replace(
+    "AS duplicate_rows,\n  CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_extra", "AS duplicate_rows"))
+def q_duplicate_rows(spark, sf_dir):
+    return A.duplicate_counts(X.obs(spark, sf_dir), P.KEY).select("duplicate_rows")
+
+
+@register("duplicate_extra", DUP_SQL.replace(
+    "CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicate_rows,\n  ", ""))
+def q_duplicate_extra(spark, sf_dir):
+    return A.duplicate_counts(X.obs(spark, sf_dir), P.KEY).select("duplicate_extra")
+
+
+@register("last_n_per_key", f"""{SILVER}
+SELECT city_name, date, src_id, rn FROM (
+  SELECT city_name, date, src_id,
+    ROW_NUMBER() OVER (PARTITION BY city_name ORDER BY date DESC, src_id DESC) AS rn FROM silver) t
+WHERE rn <= 8""")
+def q_last_n_per_key(spark, sf_dir):
+    return B.last_n_per_key(silver(spark, sf_dir).select("city_name", "date", "src_id"),
+                            "city_name", 8, tie=("src_id",))
+
+
+# ---------------------------------------------------------------------------
+# B: dashboard queries.
+# ---------------------------------------------------------------------------
+
+@register("headline_kpis", f"""{SILVER},
+w AS (SELECT * FROM silver WHERE date >= CAST({LATEST} - INTERVAL 30 DAY AS DATE)),
+l AS (SELECT * FROM silver WHERE date = {LATEST})
+SELECT (SELECT max(date) FROM w) AS latest_date,
+  (SELECT CAST(COUNT(DISTINCT city_name) AS BIGINT) FROM l) AS n_cities,
+  (SELECT CAST({Q.half_even(f"SUM({Q.tenths('temperature_mean')})", 'COUNT(temperature_mean)')} AS DOUBLE) / 10.0
+     FROM l) AS avg_temperature,
+  (SELECT CAST({Q.half_even(f"COALESCE(SUM({Q.tenths('precipitation_sum')}), 0)", '10')} AS DOUBLE) FROM w)
+    AS rain_30d""")
+def q_headline_kpis(spark, sf_dir):
+    return B.headline_kpis(silver(spark, sf_dir))
+
+
+LATEST_ROWS = f"(SELECT * FROM silver WHERE date = {LATEST})"
+
+
+@register("arg_max_row", f"""{SILVER}
+SELECT city_name, country, weather_description, {Q.r1('temperature_mean')} AS temp,
+  {Q.r1('temperature_max')} AS temp_max, {Q.r1('temperature_min')} AS temp_min,
+  {Q.rd('humidity_mean', 0)} AS humidity, {Q.rd('wind_speed_max', 0)} AS wind,
+  {Q.r1('uv_index_max')} AS uv, {Q.r1('precipitation_sum')} AS rain
+FROM {LATEST_ROWS} t WHERE temperature_max IS NOT NULL
+ORDER BY temperature_max DESC, city_name, src_id LIMIT 1""")
+def q_arg_max_row(spark, sf_dir):
+    return B.selected_card(silver(spark, sf_dir), TIE)
+
+
+@register("arg_min_row", f"""{SILVER}
+SELECT city_name, country, temperature_min, src_id FROM {LATEST_ROWS} t
+WHERE temperature_min IS NOT NULL ORDER BY temperature_min ASC, city_name, src_id LIMIT 1""")
+def q_arg_min_row(spark, sf_dir):
+    return B.arg_max_row(B.latest_slice(silver(spark, sf_dir)), "temperature_min", TIE,
+                         largest=False).select("city_name", "country", "temperature_min", "src_id")
+
+
+@register("top_k", f"""{SILVER}
+SELECT city_name AS name, country_code AS country, {Q.r1('temperature_mean')} AS temp,
+  weather_description AS condition, {Q.r1('precipitation_sum')} AS rain,
+  {Q.rd('longitude', 2)} AS lon, {Q.rd('latitude', 2)} AS lat
+FROM {LATEST_ROWS} t ORDER BY temperature_mean DESC NULLS LAST, city_name, src_id LIMIT 8""")
+def q_top_k(spark, sf_dir):
+    return B.top_cities(silver(spark, sf_dir), 8, TIE)
+
+
+@register("trend_of_top_key", f"""{SILVER},
+hot AS (SELECT city_name FROM {LATEST_ROWS} t WHERE temperature_max IS NOT NULL
+        ORDER BY temperature_max DESC, city_name, src_id LIMIT 1)
+SELECT date, city_name, strftime(date, '%d %b') AS label, {Q.r1('temperature_max')} AS temp_max,
+  {Q.r1('temperature_min')} AS temp_min, {Q.r1('temperature_mean')} AS temp_mean,
+  {Q.r1('precipitation_sum')} AS rain, weather_description AS condition, src_id
+FROM (SELECT * FROM silver WHERE city_name = (SELECT city_name FROM hot)
+      ORDER BY date DESC, src_id DESC LIMIT 8) t""")
+def q_trend_of_top_key(spark, sf_dir):
+    return B.trend_of_top_key(silver(spark, sf_dir), 8, tie=("src_id",))
+
+
+@register("latest_points", f"""{SILVER}
+SELECT city_name, {Q.rd('latitude', 4)} AS lat, {Q.rd('longitude', 4)} AS lon,
+  {Q.r1('temperature_mean')} AS temp, city_name || ', ' || country AS label FROM {LATEST_ROWS} t""")
+def q_latest_points(spark, sf_dir):
+    return B.latest_points(silver(spark, sf_dir))
+
+
+@register("top_groups_share", f"""{SILVER},
+s AS (SELECT country, COALESCE(SUM({Q.tenths('precipitation_sum')}), 0) AS t FROM silver
+      WHERE date >= CAST({LATEST} - INTERVAL 30 DAY AS DATE) GROUP BY country),
+top AS (SELECT * FROM s ORDER BY t DESC, country LIMIT 6),
+m AS (SELECT CASE WHEN max(t) = 0 THEN 10 ELSE max(t) END AS d FROM top)
+SELECT country AS name, CAST({Q.half_even('t', '10')} AS DOUBLE) AS val,
+  CAST({Q.half_even('t * 100', 'm.d')} AS DOUBLE) AS pct FROM top, m""")
+def q_top_groups_share(spark, sf_dir):
+    return B.top_groups_share(silver(spark, sf_dir))
+
+
+@register("latest_min_max", f"""{SILVER} SELECT {Q.r1('min(temperature_mean)')} AS min_value,
+  {Q.r1('max(temperature_mean)')} AS max_value FROM {LATEST_ROWS} t""")
+def q_latest_min_max(spark, sf_dir):
+    return B.latest_min_max(silver(spark, sf_dir))
+
+
+# Test mapping for the obs codes (AF/AM/AS/EU mapped, MI left unmatched).
+REMAP = {"AF": "AFR", "AM": "AMR", "AS": "ASI", "EU": "EUR"}
+
+
+@register("group_mean_remap", f"""{SILVER}
+SELECT country_code, CAST({Q.half_even(f"SUM({Q.tenths('temperature_mean')})", 'COUNT(temperature_mean)')}
+  AS DOUBLE) / 10.0 AS temperature_mean,
+  CASE country_code {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in REMAP.items())} END AS iso3
+FROM {LATEST_ROWS} t GROUP BY country_code HAVING iso3 IS NOT NULL""")
+def q_group_mean_remap(spark, sf_dir):
+    return B.group_mean_remap(silver(spark, sf_dir), "country_code", "temperature_mean", REMAP)
+
+
+@register("period_kpis", PERIOD_SQL + f"""SELECT {Q.r1('max(temperature_max)')} AS max_temperature,
+  {Q.r1('min(temperature_min)')} AS min_temperature,
+  CAST({Q.half_even(f"COALESCE(SUM({Q.tenths('precipitation_sum')}), 0)", '10')} AS DOUBLE) AS total_precipitation,
+  CAST(COUNT(*) FILTER (WHERE precipitation_sum > 0) AS BIGINT) AS rainy_days,
+  CAST({Q.half_even(f"SUM({Q.tenths('humidity_mean')})", 'COUNT(humidity_mean) * 10')} AS DOUBLE) AS avg_humidity,
+  {Q.r1('max(uv_index_max)')} AS max_uv FROM period""")
+def q_period_kpis(spark, sf_dir):
+    return B.period_kpis(period(spark, sf_dir))
+
+
+@register("last_row_gauges", PERIOD_SQL + """SELECT date, city_name, temperature_mean AS temp,
+  humidity_mean AS humidity, wind_speed_max AS wind, uv_index_max AS uv, precipitation_sum AS rain,
+  greatest(least(humidity_mean / 100.0, 1.0), 0.0) AS humidity_fill,
+  greatest(least(wind_speed_max / 120.0, 1.0), 0.0) AS wind_fill,
+  greatest(least(uv_index_max / 12.0, 1.0), 0.0) AS uv_fill,
+  greatest(least(precipitation_sum / 50.0, 1.0), 0.0) AS rain_fill
+FROM period ORDER BY date DESC, src_id DESC LIMIT 1""")
+def q_last_row_gauges(spark, sf_dir):
+    return B.last_row_gauges(period(spark, sf_dir), tie=("src_id",))
+
+
+@register("sorted_period", PERIOD_SQL + """SELECT date, temperature_max, temperature_min,
+  precipitation_sum, wind_speed_max, humidity_mean, uv_index_max, weather_description, src_id
+FROM period""")
+def q_sorted_period(spark, sf_dir):
+    return B.sorted_period(period(spark, sf_dir), tie=("src_id",))
+
+
+# ---------------------------------------------------------------------------
+# M: models.
+# ---------------------------------------------------------------------------
+
+@register("stg_observations", f"WITH {Q.SILVER_CTE}, stg AS ({Q.STG_SELECT}) SELECT * FROM stg")
+def q_stg_observations(spark, sf_dir):
+    return M.staging(silver(spark, sf_dir), extra=["src_id"])
+
+
+@register("mart_daily_summary", f"WITH {Q.MART_CTE} SELECT * FROM daily")
+def q_mart_daily_summary(spark, sf_dir):
+    return daily(spark, sf_dir)
+
+
+# ---------------------------------------------------------------------------
+# Q: data quality.
+# ---------------------------------------------------------------------------
+
+def batch_rows(spark, sf_dir):
+    """``obs`` as flattened batches: the 19 observation columns."""
+    return X.observations(spark, sf_dir)
+
+
+@register("dq_all_checks", Q.dq_sql(str(AS_OF)))
+def q_dq_all_checks(spark, sf_dir):
+    return DQ.run_all_checks(batch_rows(spark, sf_dir), AS_OF)
+
+
+def _one(name, as_of=AS_OF):
+    sql = f"SELECT name, passed, detail, affected_rows FROM ({Q.dq_sql(str(as_of))}) x WHERE name = '{name}'"
+
+    def fn(spark, sf_dir):
+        return DQ.single_check(batch_rows(spark, sf_dir), name, as_of)
+    return sql, fn
+
+
+for _key, _name, _asof in [
+        ("dq_required_fields", "required_fields", AS_OF),
+        ("dq_range_temperature", "temperature_range", AS_OF),
+        ("dq_range_precipitation", "precipitation_range", AS_OF),
+        ("dq_future_dates", "no_future_dates", AS_OF_EARLY),
+        ("dq_duplicates", "no_duplicates", AS_OF),
+        ("dq_null_percentage", "null_percentage", AS_OF),
+        ("dq_consistency", "temperature_consistency", AS_OF)]:
+    _sql, _fn = _one(_name, _asof)
+    register(_key, _sql)(_fn)
+
+YEAR_BATCH_SQL = "CAST(year(date) AS VARCHAR) || '-12-31'"
+
+
+def year_batches(spark, sf_dir):
+    df = batch_rows(spark, sf_dir)
+    return df.withColumn("extraction_date",
+                         F.concat(F.year("date").cast("string"), F.lit("-12-31")))
+
+
+def reports(spark, sf_dir):
+    return DQ.quality_report(year_batches(spark, sf_dir), AS_OF, batch=["extraction_date"],
+                             batch_label="extraction_date")
+
+
+@register("quality_report", Q.dq_sql(str(AS_OF), YEAR_BATCH_SQL, report=True))
+def q_quality_report(spark, sf_dir):
+    return reports(spark, sf_dir).drop("checks")
+
+
+@register("dq_not_null", f"""{SILVER}
+SELECT 'date' AS column_name, CAST(COUNT(*) FILTER (WHERE date IS NULL) AS BIGINT) AS null_rows FROM silver
+UNION ALL SELECT 'city_name', CAST(COUNT(*) FILTER (WHERE city_name IS NULL) AS BIGINT) FROM silver
+UNION ALL SELECT 'country_code', CAST(COUNT(*) FILTER (WHERE country_code IS NULL) AS BIGINT) FROM silver
+UNION ALL SELECT 'temperature_mean', CAST(COUNT(*) FILTER (WHERE temperature_mean IS NULL) AS BIGINT) FROM silver""")
+def q_dq_not_null(spark, sf_dir):
+    return DQ.not_null_tests(silver(spark, sf_dir),
+                             ["date", "city_name", "country_code", "temperature_mean"]) \
+        .select("column_name", "null_rows")
