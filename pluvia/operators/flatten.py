@@ -47,3 +47,37 @@ def flatten_payload(responses: DataFrame) -> DataFrame:
 def safe_get(arr: str, index) -> F.Column:
     """Element ``index`` (0-based) or NULL when past the end."""
     return F.get(F.col(arr), index if not isinstance(index, int) else F.lit(index))
+
+
+def _field_of(name: str):
+    # One-argument lambda: a two-argument one would be read as (element, index).
+    return lambda r: r[name]
+
+
+def to_parallel_arrays(df: DataFrame, group: Sequence[str], order_col: str,
+                       fields: Mapping[str, str], bucket_rows: int = 64,
+                       struct_col: str = "daily") -> DataFrame:
+    """Pack rows into parallel-array payloads (the inverse of flattening).
+
+    Rows of a group are cut into buckets of ``bucket_rows`` consecutive
+    ``order_col`` values, so every collected array is bounded however large
+    a group is.  ``fields`` maps column -> array name.
+    """
+    b = df.withColumn("_bucket", F.floor(F.col(order_col) / F.lit(bucket_rows)))
+    items = F.struct(F.col(order_col).alias("_o"), *[F.col(c).alias(a) for c, a in fields.items()])
+    packed = b.groupBy(*group, "_bucket").agg(F.array_sort(F.collect_list(items)).alias("_rows"))
+    arrays = F.struct(*[F.transform("_rows", _field_of(a)).alias(a) for a in fields.values()])
+    return packed.select(*group, arrays.alias(struct_col))
+
+
+def roundtrip_payload(obs: DataFrame, id_col: str = "src_id") -> DataFrame:
+    """Observation rows -> per-entity parallel arrays -> observation rows."""
+    to_raw = {dst: src for src, dst in P.RAW_VARIABLES.items() if dst in obs.columns}
+    fields = {"_date_text": "time", **to_raw, id_col: id_col}
+    dims = [c for c in P.DIMENSION_COLUMNS if c in obs.columns]
+    packed = to_parallel_arrays(obs.withColumn("_date_text", F.col("date").cast("string")),
+                                dims, id_col, fields)
+    back = {a: c for c, a in fields.items() if a != "time"}
+    flat = flatten_parallel(packed, "daily", "time", back, keep=dims, index_alias="_date_text")
+    cols = [c for c in obs.columns if c != "date"]
+    return flat.select(F.to_date("_date_text").alias("date"), *cols)

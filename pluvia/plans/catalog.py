@@ -635,3 +635,157 @@ def q_dq_not_null(spark, sf_dir):
     return DQ.not_null_tests(silver(spark, sf_dir),
                              ["date", "city_name", "country_code", "temperature_mean"]) \
         .select("column_name", "null_rows")
+
+
+# ---------------------------------------------------------------------------
+# S: sources and sinks (written under the session's checkpoint folder).
+# ---------------------------------------------------------------------------
+
+REPORTS_CTE = f"WITH rep AS ({Q.dq_sql(str(AS_OF), YEAR_BATCH_SQL, report=True)})"
+
+
+def report_history(spark, sf_dir):
+    """Write one report per batch (S8), read the history back (S9)."""
+    path = FS.write_reports(reports(spark, sf_dir), work_dir(spark, "quality"))
+    return FS.read_reports(spark, path)
+
+
+@register("report_latest", f"""{REPORTS_CTE}
+SELECT extraction_date, overall_passed AS pipeline_ok, valid_rows, total_rows,
+  CASE WHEN total_rows = 0 THEN 0.0
+       ELSE CAST({Q.half_even('valid_rows * 1000', 'total_rows')} AS DOUBLE) / 10.0 END AS quality_pct
+FROM rep ORDER BY extraction_date DESC LIMIT 1""")
+def q_report_latest(spark, sf_dir):
+    hist = report_history(spark, sf_dir)
+    n = batch_rows(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return DQ.report_status(hist, n)
+
+
+_CHECKS_SQL = Q.dq_sql(str(AS_OF), YEAR_BATCH_SQL)
+
+
+@register("report_checks", f"""SELECT batch AS extraction_date, check_order, name, {Q.title('name')} AS label,
+  passed, detail, affected_rows
+FROM (SELECT *, max(batch) OVER () AS mb FROM ({_CHECKS_SQL}) x) y WHERE batch = mb""")
+def q_report_checks(spark, sf_dir):
+    return DQ.checks_of_reports(FS.latest_report(report_history(spark, sf_dir)))
+
+
+@register("quality_percentage", f"""{REPORTS_CTE}
+SELECT extraction_date, valid_rows, total_rows,
+  CASE WHEN total_rows = 0 THEN 0.0
+       ELSE CAST({Q.half_even('valid_rows * 1000', 'total_rows')} AS DOUBLE) / 10.0 END AS quality_pct
+FROM rep""")
+def q_quality_percentage(spark, sf_dir):
+    hist = report_history(spark, sf_dir)
+    return hist.select("extraction_date", "valid_rows", "total_rows",
+                       DQ.quality_pct(F.col("valid_rows"), F.col("total_rows")).alias("quality_pct"))
+
+
+@register("concat_runs", f"""{SILVER}
+SELECT src_id, date, city_name, timezone, 'a' AS run FROM silver WHERE date <= DATE '1998-12-31'
+UNION ALL
+SELECT src_id, date, city_name, CAST(NULL AS VARCHAR) AS timezone, 'b' AS run FROM silver
+WHERE date >= DATE '1998-01-01'""")
+def q_concat_runs(spark, sf_dir):
+    s = silver(spark, sf_dir).select("src_id", "date", "city_name", "timezone")
+    run_a = s.where(F.col("date") <= F.lit("1998-12-31").cast("date")).withColumn("run", F.lit("a"))
+    run_b = (s.where(F.col("date") >= F.lit("1998-01-01").cast("date")).drop("timezone")
+             .withColumn("run", F.lit("b")))
+    return FS.concat_runs(run_a, run_b)
+
+
+LOAD_TS1 = dt.datetime(2001, 8, 2, 6, 0, 0)
+# The test data holds a few rows per day over six years: one folder per month.
+GRAIN = "month"
+LOAD_TS2 = dt.datetime(2001, 8, 3, 6, 0, 0)
+
+
+def _table(spark):
+    return WH.new_table_path(work_dir(spark, "warehouse"))
+
+
+@register("load_append_twice", f"""{SILVER}
+SELECT date, city_name, CAST(2 * COUNT(*) AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS n_loads
+FROM silver GROUP BY date, city_name""")
+def q_load_append_twice(spark, sf_dir):
+    root = _table(spark)
+    s = silver(spark, sf_dir)
+    WH.load(s, root, "append", LOAD_TS1, grain=GRAIN)
+    WH.load(s, root, "append", LOAD_TS2, grain=GRAIN)
+    return WH.read_table(spark, root).groupBy("date", "city_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("loaded_at").alias("n_loads"))
+
+
+@register("load_metrics", f"""{SILVER}
+SELECT CAST(1 AS BIGINT) AS load_seq, CAST(COUNT(*) AS BIGINT) AS rows_loaded,
+  CAST(COUNT(*) AS BIGINT) AS table_total_rows FROM silver
+UNION ALL SELECT 2, CAST(COUNT(*) AS BIGINT), CAST(2 * COUNT(*) AS BIGINT) FROM silver""")
+def q_load_metrics(spark, sf_dir):
+    root = _table(spark)
+    s = silver(spark, sf_dir)
+    m1 = WH.load(s, root, "append", LOAD_TS1, grain=GRAIN)
+    m2 = WH.load(s, root, "append", LOAD_TS2, grain=GRAIN)
+    rows = [(1, m1["rows_loaded"], m1["table_total_rows"]),
+            (2, m2["rows_loaded"], m2["table_total_rows"])]
+    return spark.createDataFrame(rows, "load_seq bigint, rows_loaded bigint, table_total_rows bigint")
+
+
+@register("load_replace_partitions", f"""{SILVER},
+t AS (SELECT *, CASE WHEN region = 'Z0' AND date >= CAST({LATEST} - INTERVAL {P.DAYS_BACK} DAY AS DATE)
+       THEN TIMESTAMP '{LOAD_TS2}' ELSE TIMESTAMP '{LOAD_TS1}' END AS loaded_at FROM silver)
+SELECT date, city_name, strftime(loaded_at, '%Y-%m-%d %H:%M:%S') AS loaded_at,
+  CAST(COUNT(*) AS BIGINT) AS n_rows FROM t GROUP BY ALL""")
+def q_load_replace_partitions(spark, sf_dir):
+    root = _table(spark)
+    s = silver(spark, sf_dir)
+    WH.load(s, root, "append", LOAD_TS1, grain=GRAIN)
+    recent = s.where(F.col("date") >= F.date_sub(B.latest_date(s), P.DAYS_BACK))
+    WH.load(recent.where(F.col("region") == "Z0"), root, "replace_partitions", LOAD_TS2,
+            grain=GRAIN)
+    return (WH.read_table(spark, root)
+            .groupBy("date", "city_name",
+                     F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@register("enforce_schema", f"""{SILVER}
+SELECT date, city_name, country, country_code, region, latitude, longitude, timezone,
+  temperature_max, temperature_min, temperature_mean, temperature_range, precipitation_sum,
+  precipitation_hours, precipitation_category, wind_speed_max, wind_direction, humidity_max,
+  humidity_min, humidity_mean, uv_index_max, weather_code, weather_description, temperature_category,
+  CAST(NULL AS VARCHAR) AS sunrise, CAST(NULL AS VARCHAR) AS sunset, CAST(NULL AS TIMESTAMP) AS loaded_at
+FROM silver""")
+def q_enforce_schema(spark, sf_dir):
+    return WH.enforce_schema(silver(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# N: nested data.
+# ---------------------------------------------------------------------------
+
+@register("flatten_parallel_arrays", """SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS value,
+  CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, label FROM embeddings""")
+def q_flatten_parallel_arrays(spark, sf_dir):
+    emb = X.table(spark, sf_dir, "embeddings")
+    flat = N.flatten_parallel(emb.select("vec_id", "label", F.struct("embedding").alias("s")),
+                              "s", "embedding", {}, keep=["vec_id", "label"],
+                              index_alias="value", position_alias="pos")
+    return flat.withColumn("value", F.col("value").cast("double"))
+
+
+@register("array_safe_get", """SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first_value,
+  CAST(embedding[len(embedding)] AS DOUBLE) AS last_value, CAST(embedding[65] AS DOUBLE) AS past_end
+FROM embeddings""")
+def q_array_safe_get(spark, sf_dir):
+    emb = X.table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id",
+                      N.safe_get("embedding", 0).cast("double").alias("first_value"),
+                      N.safe_get("embedding", F.size("embedding") - 1).cast("double")
+                      .alias("last_value"),
+                      N.safe_get("embedding", 64).cast("double").alias("past_end"))
+
+
+@register("flatten_obs_roundtrip", f"WITH {Q.OBS_CTE} SELECT * FROM obs")
+def q_flatten_obs_roundtrip(spark, sf_dir):
+    return N.roundtrip_payload(X.obs(spark, sf_dir))

@@ -27,20 +27,15 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 
 def ensure_table(spark: SparkSession, root: str, schema: T.StructType = SC.FACT,
-                 partition: str = PARTITION) -> str:
-    """Create an empty partitioned table at ``root`` when none exists yet."""
-    if not _exists(spark, root):
-        (spark.createDataFrame([], schema).write.mode("ignore")
-         .partitionBy(partition).parquet(root))
-    return root
-
+                 grain: str = "day") -> str:
+    """Create an empty partitioned table at ``root`` unless one exists.
 
-def _exists(spark: SparkSession, root: str) -> bool:
-    try:
-        spark.read.parquet(root).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    ``mode("ignore")`` is the create-if-missing: an existing table is left
+    untouched, with no separate existence probe.
+    """
+    empty = _with_partition(spark.createDataFrame([], schema), grain)
+    empty.write.mode("ignore").partitionBy(partition_column(grain)).parquet(root)
+    return root
 
 
 def _required(c: Column, name: str) -> Column:
@@ -74,47 +69,65 @@ def _clustered(df: DataFrame, partition: str, cluster: Sequence[str]) -> DataFra
             .sortWithinPartitions(*keys).drop("_h"))
 
 
+GRAINS = {"day": None, "month": "yyyy-MM", "year": "yyyy"}
+
+
+def partition_column(grain: str, date: str = PARTITION) -> str:
+    return date if GRAINS[grain] is None else f"{date}_{grain}"
+
+
+def _with_partition(df: DataFrame, grain: str, date: str = PARTITION) -> DataFrame:
+    fmt = GRAINS[grain]
+    return df if fmt is None else df.withColumn(partition_column(grain, date),
+                                                F.date_format(date, fmt))
+
+
 def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime | None = None,
-         key: Sequence[str] = ("city_name", "date"), partition: str = PARTITION,
+         key: Sequence[str] = ("city_name", "date"), grain: str = "day",
          cluster: Sequence[str] = CLUSTER, schema: T.StructType = SC.FACT) -> dict:
     """Load a batch; returns ``rows_loaded``, ``table_total_rows``, ``job_id``.
 
-    ``mode="append"`` adds rows (a re-delivered day is duplicated, as a plain
-    append does).  ``mode="replace_partitions"`` rewrites only the dates the
-    batch touches: rows already stored under those dates whose key the batch
-    does not carry are kept, every other stored row is replaced by the
+    ``grain``: folder per ``day`` (at scale) or per ``month``/``year`` when a
+    day holds few rows.  ``mode="append"`` adds rows (a re-delivered day is
+    duplicated, as a plain append does).  ``mode="replace_partitions"``
+    rewrites only the partitions the batch touches: stored rows there whose
+    key the batch does not carry are kept, the rest are replaced by the
     batch's rows.  The merged partitions are materialised with a reliable
-    checkpoint before the overwrite, since a job cannot overwrite what it
-    reads.
+    checkpoint first, since a job cannot overwrite what it reads.
+    ``rows_loaded`` is observed on the write itself (rows from the batch).
     """
     spark = df.sparkSession
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    part = partition_column(grain)
     batch = enforce_schema(df.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp")), schema)
-    ensure_table(spark, root, schema, partition)
-    obs = Observation(f"load-{uuid.uuid4().hex[:8]}")
-    batch = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
+    batch = _with_partition(batch, grain).withColumn("_new", F.lit(True))
+    ensure_table(spark, root, schema, grain)
     if mode == "append":
-        _clustered(batch, partition, cluster).write.mode("append") \
-            .partitionBy(partition).parquet(root)
-        rows = obs.get["rows"]
+        out, write_mode = batch, "append"
     elif mode == "replace_partitions":
-        stored = spark.read.schema(schema).parquet(root)
-        dates = batch.select(partition).distinct()
-        touched = stored.join(dates, partition, "left_semi")
+        stored = _with_partition(read_table(spark, root, schema), grain)
+        parts = batch.select(part).distinct()
+        touched = stored.join(parts, part, "left_semi")
         kept = touched.join(batch.select(*key).distinct(), list(key), "left_anti")
-        merged = batch.unionByName(kept.select(*batch.columns)).checkpoint(eager=True)
-        rows = obs.get["rows"]
-        _clustered(merged, partition, cluster).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(root)
+        out = batch.unionByName(kept.withColumn("_new", F.lit(False))).checkpoint(eager=True)
+        write_mode = "overwrite"
     else:
         raise ValueError(f"unknown load mode {mode!r}")
-    total = spark.read.parquet(root).count()
+    obs_name = f"load-{uuid.uuid4().hex[:8]}"
+    obs = Observation(obs_name)
+    final = (_clustered(out, part, cluster)
+             .observe(obs, F.count_if(F.col("_new")).alias("rows")).drop("_new"))
+    (final.write.mode(write_mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part).parquet(root))
+    rows = obs.get["rows"]
+    total = read_table(spark, root, schema).count()
     return {"rows_loaded": int(rows), "table_total_rows": int(total),
-            "job_id": f"{spark.sparkContext.applicationId}-{obs.name}"}
+            "job_id": f"{spark.sparkContext.applicationId}-{obs_name}"}
 
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType = SC.FACT) -> DataFrame:
-    return spark.read.schema(schema).parquet(root)
+    """The table with its fixed schema (a coarser partition column is dropped)."""
+    return spark.read.schema(schema).parquet(root).select(*schema.fieldNames())
 
 
 def new_table_path(base: str, name: str = "fact_weather") -> str:
