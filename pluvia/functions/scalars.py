@@ -35,22 +35,31 @@ def round_half_even(c: str | Column, digits: int = 1) -> Column:
     return F.rint(col_of(c) * F.lit(scale)) / F.lit(scale)
 
 
-def coerce_double(c: str | Column) -> Column:
+NUMERIC_TYPES = ("double", "float", "bigint", "int", "smallint", "tinyint")
+INTEGRAL_TYPES = ("bigint", "int", "smallint", "tinyint")
+
+
+def coerce_double(c: str | Column, dtype: str | None = None) -> Column:
     """Numeric coercion where anything unparsable becomes NULL.
 
     Text is guarded against the Java-only float suffixes (``1d``, ``2f``)
     that ``try_cast`` would accept; NaN is folded into NULL because NaN is
-    not missing in Spark.
+    not missing in Spark.  With a known numeric ``dtype`` only the cast and
+    the NaN fold remain (no text round trip).
     """
     x = col_of(c)
+    if dtype in NUMERIC_TYPES or (dtype or "").startswith("decimal"):
+        return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
     text = F.trim(x.cast("string"))
     guarded = F.when(~text.rlike(r"[dDfF]$"), text)
     return F.nanvl(guarded.try_cast("double"), F.lit(None).cast("double"))
 
 
-def coerce_integer(c: str | Column, name: str = "value") -> Column:
+def coerce_integer(c: str | Column, name: str = "value", dtype: str | None = None) -> Column:
     """Nullable 64-bit integer; a non-integral value raises (no truncation)."""
-    x = coerce_double(c)
+    if dtype in INTEGRAL_TYPES:
+        return col_of(c).cast("bigint")
+    x = coerce_double(c, dtype)
     return (F.when(x.isNull(), F.lit(None).cast("bigint"))
             .when(x == F.floor(x), x.cast("bigint"))
             .otherwise(F.raise_error(F.concat(

@@ -52,14 +52,15 @@ def _replace(df: DataFrame, values: dict) -> DataFrame:
 
 def clean_types(df: DataFrame, spec: CleanSpec = WEATHER) -> DataFrame:
     """Date to DATE, measures to DOUBLE (bad -> NULL), code to BIGINT."""
+    types = dict(df.dtypes)
     out = {}
-    if spec.date in df.columns:
+    if spec.date in df.columns and types[spec.date] != "date":
         out[spec.date] = S.parse_date(spec.date)
     for c in spec.numeric:
         if c in df.columns:
-            out[c] = S.coerce_double(c)
-    if spec.code in df.columns:
-        out[spec.code] = S.coerce_integer(spec.code, spec.code)
+            out[c] = S.coerce_double(c, types[c])
+    if spec.code in df.columns and types[spec.code] != "bigint":
+        out[spec.code] = S.coerce_integer(spec.code, spec.code, types[spec.code])
     return _replace(df, out)
 
 

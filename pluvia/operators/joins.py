@@ -10,13 +10,20 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (a bounded limit job), so
-    it stays cheap however large the table turns out to be.
+    it stays cheap however large the table turns out to be.  The answer is
+    remembered per application and semantic plan.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",

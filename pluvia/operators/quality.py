@@ -184,12 +184,12 @@ def batch_counts(df: DataFrame, as_of, spec: QualitySpec = WEATHER,
         count_if(lambda: inconsistent(spec), [spec.hi, spec.lo]).alias("bad_c"),
     )
     out = level1.groupBy(*batch).agg(
-        F.sum("n").cast("bigint").alias("total_rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_rows"),
         F.coalesce(F.sum("nulls"), F.lit(0)).cast("bigint").alias("null_cells"),
-        F.sum("bad_t").cast("bigint").alias("bad_temperature"),
-        F.sum("bad_p").cast("bigint").alias("bad_precipitation"),
-        F.sum("future").cast("bigint").alias("future_rows"),
-        F.sum("bad_c").cast("bigint").alias("inconsistent_rows"),
+        F.coalesce(F.sum("bad_t"), F.lit(0)).cast("bigint").alias("bad_temperature"),
+        F.coalesce(F.sum("bad_p"), F.lit(0)).cast("bigint").alias("bad_precipitation"),
+        F.coalesce(F.sum("future"), F.lit(0)).cast("bigint").alias("future_rows"),
+        F.coalesce(F.sum("bad_c"), F.lit(0)).cast("bigint").alias("inconsistent_rows"),
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint")
         .alias("duplicate_rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_extra"),

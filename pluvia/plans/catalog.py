@@ -34,12 +34,24 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    """Reuse an already analysed lazy plan (no data is cached)."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clean(X.obs(spark, sf_dir))
+    return _memo("silver", spark, sf_dir, lambda: C.clean(X.obs(spark, sf_dir)))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.daily_summary(M.staging(silver(spark, sf_dir), extra=["src_id"]), extra=["src_id"])
+    return _memo("daily", spark, sf_dir, lambda: M.daily_summary(
+        M.staging(silver(spark, sf_dir), extra=["src_id"]), extra=["src_id"]))
 
 
 @register("silver_clean", f"WITH {Q.SILVER_CTE} SELECT * FROM silver")
