@@ -78,9 +78,19 @@ def land_raw(responses: DataFrame, failed: DataFrame, out_dir: str, run_date) ->
 
 # --- S5 / S6 / S7: clean CSV ----------------------------------------------
 
-def write_clean_csv(df: DataFrame, out_dir: str, run_date) -> str:
-    """Clean rows as headed UTF-8 CSV under ``run_date=...`` (dynamic overwrite)."""
-    (df.withColumn(RUN_DATE, F.lit(run_date).cast("date"))
+def conform(df: DataFrame, schema=SC.CLEAN) -> DataFrame:
+    """Project onto a fixed layout: field order and types, absent fields NULL."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def write_clean_csv(df: DataFrame, out_dir: str, run_date, schema=SC.CLEAN) -> str:
+    """Clean rows as headed UTF-8 CSV under ``run_date=...`` (dynamic overwrite).
+
+    Columns are written in the fixed layout so the positional CSV reader
+    with the same schema lines up.
+    """
+    (conform(df, schema).withColumn(RUN_DATE, F.lit(run_date).cast("date"))
        .write.mode("overwrite").partitionBy(RUN_DATE)
        .option("header", True).option("encoding", "UTF-8").csv(out_dir))
     return out_dir
