@@ -27,6 +27,9 @@ class QualitySpec:
     lo: str = "temperature_min"
     precip: str = "precipitation_sum"
     rules: dict = field(default_factory=lambda: P.RULES)
+    # Optional extra checks (name, column, lo, hi) appended after the seven;
+    # off by default, as in the source pipeline.
+    extra_ranges: Sequence[tuple] = ()
 
 
 WEATHER = QualitySpec()
@@ -85,6 +88,16 @@ def future_date(as_of, spec: QualitySpec = WEATHER) -> Column:
     return F.col(spec.date).cast("date") > _lit_date(as_of)
 
 
+def range_violation(c: str, lo, hi) -> Column:
+    """``c`` outside ``[lo, hi]``; NULL never fails."""
+    return (F.col(c) < lo) | (F.col(c) > hi)
+
+
+def range_check(name: str, c: str, lo, hi, bad_rows: Column) -> Column:
+    return _count_check(name, bad_rows, P.TEXT_RANGE_BAD.format(col=c, lo=_fmt(lo), hi=_fmt(hi)),
+                        P.TEXT_RANGE_OK.format(col=c))
+
+
 def inconsistent(spec: QualitySpec = WEATHER) -> Column:
     return F.col(spec.lo) > F.col(spec.hi)
 
@@ -175,7 +188,10 @@ def batch_counts(df: DataFrame, as_of, spec: QualitySpec = WEATHER,
             return F.lit(0).cast("bigint")
         return F.count_if(pred_fn())
 
+    extras = [count_if((lambda c=c, lo=lo, hi=hi: range_violation(c, lo, hi)), [c])
+              .alias(f"bad_x{i}") for i, (_, c, lo, hi) in enumerate(spec.extra_ranges)]
     level1 = df.groupBy(*batch, *spec.key).agg(
+        *extras,
         F.count(F.lit(1)).alias("n"),
         F.sum(_null_cells(df, columns)).alias("nulls"),
         count_if(lambda: temperature_out_of_range(spec), [spec.hi, spec.lo]).alias("bad_t"),
@@ -193,6 +209,8 @@ def batch_counts(df: DataFrame, as_of, spec: QualitySpec = WEATHER,
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("bigint")
         .alias("duplicate_rows"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_extra"),
+        *[F.coalesce(F.sum(f"bad_x{i}"), F.lit(0)).cast("bigint").alias(f"bad_x{i}")
+          for i in range(len(spec.extra_ranges))],
     )
     return out.withColumn("cells", F.col("total_rows") * F.lit(len(columns)))
 
@@ -206,6 +224,8 @@ def _checks_array(df: DataFrame, spec: QualitySpec) -> Column:
         duplicates_check(F.col("duplicate_rows")),
         null_percentage_check(F.col("null_cells"), F.col("cells"), spec),
         consistency_check(F.col("inconsistent_rows")),
+        *[range_check(name, c, lo, hi, F.col(f"bad_x{i}"))
+          for i, (name, c, lo, hi) in enumerate(spec.extra_ranges)],
     )
 
 

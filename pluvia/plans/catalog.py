@@ -801,3 +801,61 @@ def q_array_safe_get(spark, sf_dir):
 @register("flatten_obs_roundtrip", f"WITH {Q.OBS_CTE} SELECT * FROM obs")
 def q_flatten_obs_roundtrip(spark, sf_dir):
     return N.roundtrip_payload(X.obs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Generic operators on other tables / optional checks.
+# ---------------------------------------------------------------------------
+
+def _extra_sql():
+    parts = []
+    for i, (name, c, lo, hi) in enumerate(P.EXTRA_RANGES):
+        bad = f"COUNT(*) FILTER (WHERE {c} < {lo} OR {c} > {hi})"
+        parts.append(
+            f"SELECT {8 + i} AS check_order, '{name}' AS name, ({bad} = 0) AS passed, "
+            f"CASE WHEN {bad} = 0 THEN '{P.TEXT_RANGE_OK.format(col=c)}' "
+            f"ELSE '{P.TEXT_RANGE_BAD.format(col=c, lo=lo, hi=hi)}' END AS detail, "
+            f"CAST({bad} AS BIGINT) AS affected_rows FROM obs")
+    return f"WITH {Q.OBS_CTE} " + " UNION ALL ".join(parts)
+
+
+@register("dq_extra_ranges", _extra_sql())
+def q_dq_extra_ranges(spark, sf_dir):
+    spec = DQ.QualitySpec(extra_ranges=P.EXTRA_RANGES)
+    return DQ.run_all_checks(batch_rows(spark, sf_dir), AS_OF, spec).where(F.col("check_order") > 7)
+
+
+@register("events_trailing_daily", """WITH e AS (SELECT CAST(ts AS DATE) AS date, event_type, value FROM events)
+SELECT date, event_type, CAST(COUNT(*) AS BIGINT) AS n_events,
+  CAST(SUM(CAST(round_even(value * 100.0, 0) AS BIGINT)) AS DOUBLE) / 100.0 AS total_value
+FROM e WHERE date >= CAST((SELECT max(date) FROM e) - INTERVAL 7 DAY AS DATE) GROUP BY date, event_type""")
+def q_events_trailing_daily(spark, sf_dir):
+    ev = X.table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("date"), "event_type", "value")
+    return (B.trailing_from_latest(ev, 7)
+            .groupBy("date", "event_type")
+            .agg(F.count(F.lit(1)).alias("n_events"),
+                 (F.sum(F.rint(F.col("value") * 100.0).cast("bigint")) / F.lit(100.0))
+                 .alias("total_value")))
+
+
+@register("lineitem_top_k", """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 10""")
+def q_lineitem_top_k(spark, sf_dir):
+    li = X.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return B.top_k(li, "l_extendedprice", 10, ("l_orderkey", "l_linenumber"))
+
+
+@register("lineitem_flag_stats", f"""SELECT l_returnflag, l_linestatus, CAST(COUNT(*) AS BIGINT) AS n,
+  CAST({Q.half_up('SUM(CAST(round_even(l_quantity * 10.0, 0) AS BIGINT))', 'COUNT(l_quantity)')} AS DOUBLE) / 10.0
+    AS avg_quantity,
+  CAST(COUNT(*) FILTER (WHERE l_discount > CAST(0.05 AS DOUBLE)) AS BIGINT) AS discounted,
+  CAST({Q.half_up('COUNT(*) FILTER (WHERE l_discount > CAST(0.05 AS DOUBLE)) * 1000', 'COUNT(*)')} AS DOUBLE) / 10.0 AS discounted_pct
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def q_lineitem_flag_stats(spark, sf_dir):
+    li = X.table(spark, sf_dir, "lineitem")
+    g = li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"),
+        S.mean_tenths(F.sum(S.tenths("l_quantity")), F.count("l_quantity")).alias("avg_quantity"),
+        F.count_if(F.col("l_discount") > 0.05).alias("discounted"))
+    return g.withColumn("discounted_pct", S.safe_percentage(F.col("discounted"), F.col("n"), 1))
