@@ -17,6 +17,13 @@ from pluvia import schemas as SC
 RUN_DATE = "run_date"
 
 
+def replace_partitions(df: DataFrame, *cols: str):
+    """A writer that replaces only the partitions ``df`` holds (dynamic
+    overwrite set on the write itself, whatever the session default)."""
+    return (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*cols))
+
+
 # --- S2 / S4: raw payload -------------------------------------------------
 
 def read_raw(spark: SparkSession, path: str | list[str], with_run_date: bool = False) -> DataFrame:
@@ -61,18 +68,18 @@ def land_raw(responses: DataFrame, failed: DataFrame, out_dir: str, run_date) ->
     """
     rd = F.lit(run_date).cast("date")
     data_dir, failed_dir, header_dir = (os.path.join(out_dir, x) for x in ("data", "failed", "header"))
-    responses.withColumn(RUN_DATE, rd).write.mode("overwrite").partitionBy(RUN_DATE).json(data_dir)
-    failed.withColumn(RUN_DATE, rd).write.mode("overwrite").partitionBy(RUN_DATE).json(failed_dir)
+    replace_partitions(responses.withColumn(RUN_DATE, rd), RUN_DATE).json(data_dir)
+    replace_partitions(failed.withColumn(RUN_DATE, rd), RUN_DATE).json(failed_dir)
     tagged = (responses.select(F.lit(1).alias("ok"), F.lit(0).alias("bad"))
               .unionByName(failed.select(F.lit(0).alias("ok"), F.lit(1).alias("bad"))))
     header = tagged.agg(
         F.count(F.lit(1)).alias("total_cities_requested"),
         F.coalesce(F.sum("ok"), F.lit(0)).cast("bigint").alias("total_cities_successful"),
         F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("total_cities_failed"))
-    (header.withColumn("extraction_timestamp", F.date_format(F.current_timestamp(),
-                                                           "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
-     .withColumn(RUN_DATE, rd)
-     .coalesce(1).write.mode("overwrite").partitionBy(RUN_DATE).json(header_dir))
+    header = header.withColumn("extraction_timestamp", F.date_format(
+        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+    header = header.withColumn(RUN_DATE, rd).coalesce(1)
+    replace_partitions(header, RUN_DATE).json(header_dir)
     return {"data": data_dir, "failed": failed_dir, "header": header_dir}
 
 
@@ -90,9 +97,9 @@ def write_clean_csv(df: DataFrame, out_dir: str, run_date, schema=SC.CLEAN) -> s
     Columns are written in the fixed layout so the positional CSV reader
     with the same schema lines up.
     """
-    (conform(df, schema).withColumn(RUN_DATE, F.lit(run_date).cast("date"))
-       .write.mode("overwrite").partitionBy(RUN_DATE)
-       .option("header", True).option("encoding", "UTF-8").csv(out_dir))
+    out = conform(df, schema).withColumn(RUN_DATE, F.lit(run_date).cast("date"))
+    replace_partitions(out, RUN_DATE).option("header", True) \
+        .option("encoding", "UTF-8").csv(out_dir)
     return out_dir
 
 
@@ -115,7 +122,8 @@ def concat_runs(*frames: DataFrame) -> DataFrame:
 def write_reports(reports: DataFrame, out_dir: str) -> str:
     """One JSON document per ``extraction_date`` partition, replaced on rerun."""
     (reports.repartition("extraction_date")
-     .write.mode("overwrite").partitionBy("extraction_date").json(out_dir))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("extraction_date").json(out_dir))
     return out_dir
 
 

@@ -99,7 +99,9 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
     spark = df.sparkSession
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     part = partition_column(grain)
-    batch = enforce_schema(df.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp")), schema)
+    # Through text so the instant reads back the same in any session time zone.
+    ts = F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp")
+    batch = enforce_schema(df.withColumn("loaded_at", ts), schema)
     batch = _with_partition(batch, grain).withColumn("_new", F.lit(True))
     ensure_table(spark, root, schema, grain)
     if mode == "append":
