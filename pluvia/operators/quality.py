@@ -48,9 +48,8 @@ def _pick(passed: Column, bad: str, ok: str) -> Column:
     return F.when(passed, F.lit(ok)).otherwise(F.lit(bad))
 
 
-def _is_missing(df: DataFrame, c: str) -> Column:
+def _is_missing(c: str, dtype: str) -> Column:
     """Missing in the pandas sense: NULL, or NaN for floating columns."""
-    dtype = dict(df.dtypes)[c]
     miss = F.col(c).isNull()
     if dtype in ("double", "float"):
         miss = miss | F.isnan(c)
@@ -60,9 +59,10 @@ def _is_missing(df: DataFrame, c: str) -> Column:
 def _null_cells(df: DataFrame, columns: Sequence[str]) -> Column:
     if not columns:
         return F.lit(0)
+    types = dict(df.dtypes)
     total = None
     for c in columns:
-        term = _is_missing(df, c).cast("int")
+        term = _is_missing(c, types[c]).cast("int")
         total = term if total is None else total + term
     return total
 
