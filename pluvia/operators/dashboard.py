@@ -165,7 +165,7 @@ def last_n_per_key(df: DataFrame, key: str, n: int, date: str = DATE,
     one key holds a large share of the data.
     """
     w = Window.partitionBy(key).orderBy(F.col(date).desc(), *_desc(tie))
-    return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
+    return df.withColumn("rn", F.row_number().over(w).cast("bigint")).where(F.col("rn") <= n)
 
 
 def trend_of_top_key(df: DataFrame, n: int = 8, tie: Sequence[str] = ()) -> DataFrame:
