@@ -52,6 +52,23 @@ def build_session(master: str | None = None, app_name: str = "pluvia",
     return spark
 
 
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   min_partitions: int = 200, max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle sizing for a job reading ``input_bytes``.
+
+    The initial shuffle partition count is sized so each reducer starts near
+    ``target_partition_bytes``; AQE then coalesces small ones and splits
+    skewed join partitions.  (100 TB -> the 200,000 cap; AQE merges down.)
+    """
+    n = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pluvia import schemas as SC
+from pluvia.session import checkpoint_root
 
 PARTITION = "date"
 CLUSTER = ("country_code", "city_name")
@@ -111,6 +112,7 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
         parts = batch.select(part).distinct()
         touched = stored.join(parts, part, "left_semi")
         kept = touched.join(batch.select(*key).distinct(), list(key), "left_anti")
+        checkpoint_root(spark)  # reliable checkpoints go to spark.checkpoint.dir
         out = batch.unionByName(kept.withColumn("_new", F.lit(False))).checkpoint(eager=True)
         write_mode = "overwrite"
     else:
