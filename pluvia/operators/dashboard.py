@@ -196,13 +196,14 @@ def top_groups_share(df: DataFrame, group: str = "country", amount: str = "preci
                      k: int = 6, days: int = 30) -> DataFrame:
     """Top-k groups by trailing-window total with their share of the largest.
 
-    Totals are exact (integer tenths).  The largest total (the top-1 row) is
-    a scalar subquery over the group totals, a zero maximum counting as 1.
+    Totals are exact (integer tenths).  The largest total is taken over the
+    k result rows with a window: its input is bounded by the limit, so the
+    aggregation is not run a second time (a zero maximum counts as 1).
     """
     recent = trailing_from_latest(df, days)
     sums = recent.groupBy(group).agg(F.coalesce(F.sum(S.tenths(amount)), F.lit(0)).alias("_t"))
     top = sums.orderBy(F.col("_t").desc(), F.col(group).asc()).limit(k)
-    mx = sums.select(F.max("_t")).scalar()
+    mx = F.max("_t").over(Window.partitionBy())
     den = F.when(mx == 0, F.lit(10)).otherwise(mx)
     return top.select(
         F.col(group).alias("name"),

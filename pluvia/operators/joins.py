@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # A dimension side is broadcast only when it provably holds at most this many
 # rows; beyond it the join falls back to the planner's shuffle join.
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 100_000
 
 
 _CHECKED: dict[tuple, bool] = {}
