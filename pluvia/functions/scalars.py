@@ -1,6 +1,6 @@
 """Scalar column functions.
 
-Rounding follows two conventions of the source pipeline: values computed on
+Rounding follows two conventions of the source job: values computed on
 the Python side round half to even on the binary value (``rint(x*10)/10``),
 the SQL models round half away from zero.  Means and percentages of counts
 are computed from exact integers so that the result does not depend on how

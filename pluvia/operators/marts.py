@@ -69,7 +69,7 @@ def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
     ``window_days=None`` reads all history; ``window_days=30`` keeps dates on
     or after ``as_of - 30``.  Means and sums use exact integer tenths (the
     inputs are one-decimal values), so results are independent of
-    partitioning.  One shuffle pipeline: (keys, mode value) partial
+    partitioning.  One chain of shuffles: (keys, mode value) partial
     aggregates, then per-key totals plus the mode pick, no join.
     """
     keys = list(keys)

@@ -28,7 +28,7 @@ class QualitySpec:
     precip: str = "precipitation_sum"
     rules: dict = field(default_factory=lambda: P.RULES)
     # Optional extra checks (name, column, lo, hi) appended after the seven;
-    # off by default, as in the source pipeline.
+    # off by default, as in the source job.
     extra_ranges: Sequence[tuple] = ()
 
 
@@ -320,16 +320,16 @@ def quality_pct(valid: Column, total: Column) -> Column:
 
 
 def report_status(history: DataFrame, row_count: DataFrame) -> DataFrame:
-    """Pipeline status from the newest report; with no report: passed, all rows valid.
+    """Run status from the newest report; with no report: passed, all rows valid.
 
     ``row_count``: one row with column ``n`` (rows of the current data).
     """
-    latest = history.select("extraction_date", F.col("overall_passed").alias("pipeline_ok"),
+    latest = history.select("extraction_date", F.col("overall_passed").alias("run_ok"),
                             "valid_rows", "total_rows", F.lit(0).alias("_p"))
     fallback = row_count.select(F.lit(None).cast("string").alias("extraction_date"),
-                                F.lit(True).alias("pipeline_ok"),
+                                F.lit(True).alias("run_ok"),
                                 F.col("n").cast("bigint").alias("valid_rows"),
                                 F.col("n").cast("bigint").alias("total_rows"), F.lit(1).alias("_p"))
     pick = latest.unionByName(fallback).orderBy("_p", F.col("extraction_date").desc()).limit(1)
-    return pick.select("extraction_date", "pipeline_ok", "valid_rows", "total_rows",
+    return pick.select("extraction_date", "run_ok", "valid_rows", "total_rows",
                        quality_pct(F.col("valid_rows"), F.col("total_rows")).alias("quality_pct"))

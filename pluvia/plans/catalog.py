@@ -663,7 +663,7 @@ def report_history(spark, sf_dir):
 
 
 @register("report_latest", f"""{REPORTS_CTE}
-SELECT extraction_date, overall_passed AS pipeline_ok, valid_rows, total_rows,
+SELECT extraction_date, overall_passed AS run_ok, valid_rows, total_rows,
   CASE WHEN total_rows = 0 THEN 0.0
        ELSE CAST({Q.half_even('valid_rows * 1000', 'total_rows')} AS DOUBLE) / 10.0 END AS quality_pct
 FROM rep ORDER BY extraction_date DESC LIMIT 1""")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 # ---------------------------------------------------------------------------
-# These must equal the source pipeline's values for the
+# These must equal the source job's values for the
 # results to match (labels, codes, thresholds and report texts).
 # ---------------------------------------------------------------------------
 
@@ -47,7 +47,7 @@ PRECIPITATION_LABELS = ["Sin lluvia", "Leve", "Moderada", "Fuerte", "Muy fuerte"
 TEMPERATURE_EDGES = [-math.inf, 0.0, 10.0, 20.0, 30.0, math.inf]
 TEMPERATURE_LABELS = ["Muy frío", "Frío", "Templado", "Cálido", "Muy cálido"]
 
-# Quality rules (the rules file of the source pipeline).
+# Quality rules (the rules file of the source job).
 RULES = {
     "temperature": {"min": -80.0, "max": 60.0},
     "precipitation": {"min": 0.0, "max": 500.0},

@@ -100,7 +100,7 @@ def test_temperature_category_open_ends(spark):
     assert out == [None, "Muy frío", "Muy frío", "Muy cálido", None]
 
 
-def test_full_pipeline_runs(spark):
+def test_full_chain_runs(spark):
     out = C.clean(make_raw_df(spark))
     assert out.count() == 2
     for c in ("weather_description", "temperature_range", "precipitation_category"):

@@ -53,14 +53,14 @@ def test_reports_write_and_read(spark, tmp):
     checks = DQ.checks_of_reports(FS.latest_report(hist)).collect()
     assert checks[0]["label"] == "Required Fields" and len(checks) == 7
     status = DQ.report_status(hist, df.agg(F.count(F.lit(1)).alias("n"))).first()
-    assert status["pipeline_ok"] and status["quality_pct"] == 100.0
+    assert status["run_ok"] and status["quality_pct"] == 100.0
 
 
 def test_report_status_without_reports(spark):
     empty = spark.createDataFrame([], SC.REPORT)
     n = make_valid_df(spark).agg(F.count(F.lit(1)).alias("n"))
     r = DQ.report_status(empty, n).first()
-    assert r["pipeline_ok"] and r["total_rows"] == 3 and r["valid_rows"] == 3
+    assert r["run_ok"] and r["total_rows"] == 3 and r["valid_rows"] == 3
 
 
 def fact_rows(spark):
