@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pluvia.session import session_key
+
 # A dimension side is broadcast only when it provably holds at most this many
 # rows; beyond it the join falls back to the planner's shuffle join.
 MAX_BROADCAST_ROWS = 100_000
@@ -20,7 +22,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     it stays cheap however large the table turns out to be.  The answer is
     remembered per application and semantic plan.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return _CHECKED[key]

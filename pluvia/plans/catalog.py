@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pluvia.session import session_key
+
 from pluvia.operators import clean as C
 from pluvia.operators import marts as M
 from pluvia.plans import fixtures as X
@@ -39,7 +41,7 @@ _PLANS: dict[tuple, DataFrame] = {}
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
     """Reuse an already analysed lazy plan (no data is cached)."""
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    key = (kind, session_key(spark), sf_dir)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]

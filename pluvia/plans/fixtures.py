@@ -13,6 +13,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pluvia.session import session_key
+
 from pluvia.operators.joins import dimension_join
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -26,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A lazy scan of one test table (the plan, not the data, is memoised:
     file listing and footer reads happen once per application)."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
@@ -72,7 +74,7 @@ def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, "obs")
+    key = (session_key(spark), sf_dir, "obs")
     if key not in _SCANS:
         _SCANS[key] = _obs(spark, sf_dir)
     return _SCANS[key]

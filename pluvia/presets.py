@@ -81,18 +81,6 @@ TEXT_NULLS = "Nulos: {pct}% (máximo permitido: {max_pct}%)"
 TEXT_CONSISTENCY_BAD = "temp_min > temp_max en algunas filas"
 TEXT_CONSISTENCY_OK = "Temperaturas consistentes (min <= max)"
 
-# Texts of the optional generic range checks (not part of the seven).
-TEXT_RANGE_BAD = "{col} fuera de rango [{lo}, {hi}]"
-TEXT_RANGE_OK = "{col} en rango válido"
-
-# Ranges declared in the rules but read by no check; usable as extra checks.
-EXTRA_RANGES = (
-    ("wind_speed_range", "wind_speed_max", RULES["wind_speed"]["min"], RULES["wind_speed"]["max"]),
-    ("humidity_max_range", "humidity_max", RULES["humidity"]["min"], RULES["humidity"]["max"]),
-    ("humidity_min_range", "humidity_min", RULES["humidity"]["min"], RULES["humidity"]["max"]),
-    ("uv_index_range", "uv_index_max", RULES["uv_index"]["min"], RULES["uv_index"]["max"]),
-)
-
 # Alert thresholds of the daily mart.
 HEAVY_RAIN_MM = 20
 HEAT_ALERT_C = 35
@@ -113,6 +101,20 @@ ISO2_TO_ISO3 = {
 # Extraction window: as_of minus this many days, both ends included.
 DAYS_BACK = 7
 
+# ---------------------------------------------------------------------------
+# Our own additions (not fixed by the source job): optional range checks over
+# the ranges the rules declare but no check reads, and their texts.
+# ---------------------------------------------------------------------------
+
+TEXT_RANGE_BAD = "{col} fuera de rango [{lo}, {hi}]"
+TEXT_RANGE_OK = "{col} en rango válido"
+EXTRA_RANGES = (
+    ("wind_speed_range", "wind_speed_max", RULES["wind_speed"]["min"], RULES["wind_speed"]["max"]),
+    ("humidity_max_range", "humidity_max", RULES["humidity"]["min"], RULES["humidity"]["max"]),
+    ("humidity_min_range", "humidity_min", RULES["humidity"]["min"], RULES["humidity"]["max"]),
+    ("uv_index_range", "uv_index_max", RULES["uv_index"]["min"], RULES["uv_index"]["max"]),
+)
+
 # ---------------------------------------------------------------------------
 # Column layout of the observation rows.
 # ---------------------------------------------------------------------------

@@ -69,6 +69,26 @@ def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
     }
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (classic or Connect session)."""
+    try:
+        return spark.conf.get("spark.app.id")
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Cache key of one session of one application (plans are per session)."""
+    return (app_id(spark), id(spark))
+
+
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -76,12 +96,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     and registered, so cluster jobs always write to the shared location.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="pluvia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root
 
 

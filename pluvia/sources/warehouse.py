@@ -14,6 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+
+from pluvia.session import app_id
 from pyspark.sql import types as T
 
 from pluvia import schemas as SC
@@ -126,7 +128,7 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
     rows = obs.get["rows"]
     total = read_table(spark, root, schema).count()
     return {"rows_loaded": int(rows), "table_total_rows": int(total),
-            "job_id": f"{spark.sparkContext.applicationId}-{obs_name}"}
+            "job_id": f"{app_id(spark)}-{obs_name}"}
 
 
 def read_table(spark: SparkSession, root: str, schema: T.StructType = SC.FACT) -> DataFrame:
