@@ -86,10 +86,8 @@ def code_lookup(c: str | Column, mapping: Mapping, default: str | None) -> Colum
 
     The map is a literal inside the expression, so no join or shuffle runs.
     """
-    pairs = []
-    for k, v in mapping.items():
-        pairs += [F.lit(k), F.lit(v)]
-    found = F.try_element_at(F.create_map(*pairs), col_of(c))
+    table = F.map_from_arrays(F.lit(list(mapping.keys())), F.lit(list(mapping.values())))
+    found = F.try_element_at(table, col_of(c))
     return found if default is None else F.coalesce(found, F.lit(default))
 
 

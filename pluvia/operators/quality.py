@@ -48,23 +48,18 @@ def _pick(passed: Column, bad: str, ok: str) -> Column:
     return F.when(passed, F.lit(ok)).otherwise(F.lit(bad))
 
 
-def _is_missing(c: str, dtype: str) -> Column:
+def _missing_sql(c: str, dtype: str) -> str:
     """Missing in the pandas sense: NULL, or NaN for floating columns."""
-    miss = F.col(c).isNull()
-    if dtype in ("double", "float"):
-        miss = miss | F.isnan(c)
-    return miss
+    q = f"`{c}`"
+    return f"({q} IS NULL OR isnan({q}))" if dtype in ("double", "float") else f"({q} IS NULL)"
 
 
 def _null_cells(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Missing cells of a row, as one SQL expression (one call, however wide)."""
     if not columns:
         return F.lit(0)
     types = dict(df.dtypes)
-    total = None
-    for c in columns:
-        term = _is_missing(c, types[c]).cast("int")
-        total = term if total is None else total + term
-    return total
+    return F.expr(" + ".join(f"CAST({_missing_sql(c, types[c])} AS INT)" for c in columns))
 
 
 # ---------------------------------------------------------------------------
