@@ -27,16 +27,20 @@ BASE_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "pluvia",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
     """Create (or reuse) a session with :data:`BASE_CONF` applied.
 
-    On a cluster leave ``master`` and ``shuffle_partitions`` unset: the
-    launcher decides, and AQE coalesces shuffle partitions at run time.
+    On a cluster leave ``master`` unset (the launcher decides) and pass the
+    job's ``input_bytes`` so shuffles start at a reducer size that fits
+    executor memory (:func:`scale_settings`); AQE coalesces at run time.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if input_bytes:
+        conf.update(scale_settings(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
