@@ -197,6 +197,7 @@ def batch_counts(df: DataFrame, as_of, spec: QualitySpec = WEATHER,
         count_if(lambda: future_date(as_of, spec), [spec.date]).alias("future"),
         count_if(lambda: inconsistent(spec), [spec.hi, spec.lo]).alias("bad_c"),
     ]
+
     def total(c):
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
