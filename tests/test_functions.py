@@ -67,3 +67,10 @@ def test_col_or_default_only_when_absent(spark):
 def test_clamped_ratio(spark):
     df = spark.createDataFrame([(-5.0,), (60.0,), (500.0,)], "x double")
     assert [r[0] for r in df.select(S.clamped_ratio("x", 120)).collect()] == [0.0, 0.5, 1.0]
+
+
+def test_scale_settings_bounds():
+    from pluvia.session import scale_settings
+    assert scale_settings(10 ** 6)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_settings(100 * 2 ** 40)["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_settings(1024 * 2 ** 30)["spark.sql.shuffle.partitions"] == "4096"
