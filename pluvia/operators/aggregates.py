@@ -1,14 +1,12 @@
-"""Aggregation operators: exact rounded means, mode, duplicates, run summary."""
+"""Aggregation operators: mode (exact and approximate), duplicates, run summary."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.functions import scalars as S
-
 
 def most_frequent(df: DataFrame, keys: Sequence[str], value: str,
                   alias: str | None = None) -> DataFrame:
@@ -51,11 +49,6 @@ def duplicate_counts(df: DataFrame, key: Sequence[str],
     )
 
 
-def exact_mean(c: str, half_even: bool = False) -> tuple[Column, Column]:
-    """(sum of tenths, non-null count) partials of a one-decimal column."""
-    return (F.sum(S.tenths(c)), F.count(c))
-
-
 def run_summary(requested: DataFrame, responses: DataFrame, on: Sequence[str],
                 batch: Sequence[str] = ()) -> DataFrame:
     """Requested, successful and failed entity counts (per batch).

@@ -10,7 +10,6 @@ Ties are broken by the listed ``tie`` columns so results are deterministic.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -274,7 +273,3 @@ def sorted_period(period: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     """Period table, newest first (missing values last)."""
     return period.select(*PERIOD_TABLE, *tie).orderBy(F.col(DATE).desc_nulls_last(),
                                                       *_desc(tie))
-
-
-def as_date(d) -> str:
-    return d if isinstance(d, str) else d.isoformat() if isinstance(d, dt.date) else str(d)

@@ -11,7 +11,7 @@ from pluvia.operators import clean as C
 from pluvia.operators import quality as DQ
 from pluvia.sources import files as FS
 from pluvia.sources import warehouse as WH
-from tests.frames import AS_OF, make_raw_df, make_valid_df
+from tests.frames import make_raw_df, make_valid_df
 
 
 def test_clean_csv_round_trip(spark, tmp):
