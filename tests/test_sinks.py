@@ -121,3 +121,16 @@ def test_dimension_read(spark, tmp):
                 '"latitude": -12.0464, "longitude": -77.0428, "timezone": "America/Lima"}\n')
     d = read_dimension(spark, p)
     assert d.first()["country_code"] == "PE" and d.schema == SC.CITY
+
+
+def test_latest_slice_prunes_date_partitions(spark, tmp):
+    """On the fact table the latest-date subquery becomes a partition filter."""
+    from pluvia.operators import dashboard as B
+    root = os.path.join(tmp, "fact_prune")
+    WH.load(fact_rows(spark), root, "append", dt.datetime(2024, 1, 17))
+    q = B.latest_slice(WH.read_table(spark, root))
+    assert [r["city_name"] for r in q.collect()] == ["Bogotá"]
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    scans = [l for l in plan.splitlines() if "PartitionFilters: [" in l and "city_name" in l]
+    assert scans and all("Subquery" in l.split("PartitionFilters: [")[1].split("]")[0] + "]"
+                         or "subquery" in l for l in scans)
