@@ -69,3 +69,49 @@ def run_daily(spark: SparkSession, raw_path: str, out_root: str, run_date: dt.da
                       p["fact_weather"], load_mode, loaded_at=loaded_at, grain=grain)
     marts = build_marts(spark, p["fact_weather"], p["mart_daily_summary"], p["mart_city_stats"])
     return {**metrics, "report": status.asDict(), **marts}
+
+
+def build_report_tables(spark: SparkSession, fact_root: str, reports_dir: str, out_dir: str,
+                        preferred_key: str | None = "Lima", top_n: int = 8,
+                        top_groups: int = 6) -> dict[str, int]:
+    """Every reporting result table (B1-B16), written under ``out_dir``.
+
+    Each table is its own Spark job over the fact table; the latest-date and
+    trailing-window filters are scalar subqueries that prune date partitions,
+    so the history is never read whole for a "today" table.
+    """
+    from pluvia import presets as P
+    from pluvia.operators import dashboard as B
+    from pluvia.operators import quality as DQ
+
+    rows = WH.read_table(spark, fact_root)
+    period = B.default_period(rows, preferred=preferred_key)
+    history = FS.read_reports(spark, reports_dir)
+    tables = {
+        "headline_kpis": B.headline_kpis(rows),
+        "hottest_card": B.selected_card(rows),
+        "coldest": B.arg_max_row(B.latest_slice(rows), "temperature_min", largest=False)
+                    .select("city_name", "country", "temperature_min"),
+        "top_cities": B.top_cities(rows, top_n),
+        "trend": B.trend_of_top_key(rows, 8),
+        "latest_points": B.latest_points(rows),
+        "top_groups_share": B.top_groups_share(rows, k=top_groups),
+        "latest_min_max": B.latest_min_max(rows),
+        "country_means": B.group_mean_remap(rows, "country_code", "temperature_mean",
+                                            P.ISO2_TO_ISO3),
+        "cities": B.distinct_sorted(rows),
+        "date_bounds": B.date_bounds(rows),
+        "period_series": period.select("date", "city_name", "temperature_max", "temperature_min",
+                                       "temperature_mean", "precipitation_sum", "wind_speed_max"),
+        "period_kpis": B.period_kpis(period),
+        "conditions": B.last_row_gauges(period),
+        "period_table": B.sorted_period(period),
+        "report_status": DQ.report_status(history, rows.agg(F.count(F.lit(1)).alias("n"))),
+        "report_checks": DQ.checks_of_reports(FS.latest_report(history)),
+    }
+    sizes = {}
+    for name, df in tables.items():
+        path = os.path.join(out_dir, name)
+        df.write.mode("overwrite").parquet(path)
+        sizes[name] = spark.read.parquet(path).count()
+    return sizes

@@ -28,3 +28,18 @@ def test_two_daily_runs(spark, tmp):
     m3 = run_daily(spark, os.path.join(raw2, "2024/01/18/weather_raw.json"), out,
                    dt.date(2024, 1, 18), load_mode="append")
     assert m3["table_total_rows"] == 10
+
+
+def test_report_tables(spark, tmp):
+    from pluvia.plans.daily import build_report_tables
+    raw = write_payload(tmp, "2024/01/17")
+    out = os.path.join(tmp, "out")
+    run_daily(spark, os.path.join(raw, "2024/01/17/weather_raw.json"), out, dt.date(2024, 1, 17))
+    p = paths(out)
+    sizes = build_report_tables(spark, p["fact_weather"], p["quality"], os.path.join(tmp, "tables"))
+    assert sizes["cities"] == 3 and sizes["headline_kpis"] == 1
+    assert sizes["report_status"] == 1 and sizes["report_checks"] == 7
+    assert sizes["top_cities"] == 2  # the latest date (2024-01-16) has two cities
+    assert sizes["period_table"] >= 1 and sizes["conditions"] == 1
+    status = spark.read.parquet(os.path.join(tmp, "tables", "report_status")).first()
+    assert status["total_rows"] == 5
