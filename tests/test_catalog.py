@@ -33,7 +33,8 @@ def test_query_matches_oracle(spark, duck, name):
     drows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
-    assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
+    # Bit-for-bit: every double compared by its full repr.
+    assert digest(sdf.columns, srows, exact=True)[0] == digest(dcols, drows, exact=True)[0]
 
 
 def test_entry_smoke(spark):
