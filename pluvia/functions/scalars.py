@@ -21,7 +21,7 @@ __all__ = [
     "bin_right_closed", "threshold_flag", "tenths", "ratio_round_half_up",
     "ratio_round_half_even", "mean_tenths", "safe_percentage",
     "share_of_max", "clamped_ratio", "title_label", "date_label",
-    "col_or_default", "fixed_one_decimal", "json_field",
+    "col_or_default", "fixed_one_decimal", "json_field", "nan_to_null",
 ]
 
 
@@ -49,7 +49,7 @@ def coerce_double(c: str | Column, dtype: str | None = None) -> Column:
     """
     x = col_of(c)
     if dtype in NUMERIC_TYPES or (dtype or "").startswith("decimal"):
-        return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+        return F.nanvl(col_of(x).cast("double"), F.lit(None).cast("double"))
     text = F.trim(x.cast("string"))
     guarded = F.when(~text.rlike(r"[dDfF]$"), text)
     return F.nanvl(guarded.try_cast("double"), F.lit(None).cast("double"))
@@ -95,12 +95,13 @@ def bin_right_closed(c: str | Column, edges: Sequence[float],
                      labels: Sequence[str]) -> Column:
     """Label ``x`` with ``labels[i]`` when ``edges[i] < x <= edges[i+1]``.
 
-    Infinite edges are allowed; a value at or below the first edge, or NULL,
-    gets no label.
+    Infinite edges are allowed; a value at or below the first edge, NULL or
+    NaN gets no label (Spark orders NaN above every number, so it is folded
+    into NULL first).
     """
     if len(edges) != len(labels) + 1:
         raise ValueError("need one more edge than labels")
-    x = col_of(c)
+    x = nan_to_null(col_of(c))
     expr = None
     for lo, hi, label in zip(edges[:-1], edges[1:], labels):
         # x > -inf still excludes -inf itself; x <= +inf is always true.
@@ -111,9 +112,14 @@ def bin_right_closed(c: str | Column, edges: Sequence[float],
     return expr
 
 
+def nan_to_null(x: str | Column) -> Column:
+    """The value as DOUBLE with NaN folded into NULL."""
+    return F.nanvl(col_of(x).cast("double"), F.lit(None).cast("double"))
+
+
 def threshold_flag(c: str | Column, threshold: float) -> Column:
-    """``x > threshold``; a missing value is FALSE."""
-    return F.coalesce(col_of(c) > F.lit(threshold), F.lit(False))
+    """``x > threshold``; a missing value (NULL or NaN) is FALSE."""
+    return F.coalesce(nan_to_null(col_of(c)) > F.lit(threshold), F.lit(False))
 
 
 def tenths(c: str | Column) -> Column:

@@ -63,18 +63,22 @@ def _null_cells(df: DataFrame, columns: Sequence[str]) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# Row predicates (NULL never fails a comparison, like pandas).
+# Row predicates: NULL and NaN never fail a comparison, like pandas (Spark
+# alone orders NaN above every number, so it is folded into NULL first).
 # ---------------------------------------------------------------------------
 
+_v = S.nan_to_null
+
+
 def temperature_out_of_range(spec: QualitySpec = WEATHER) -> Column:
     lo, hi = spec.rules["temperature"]["min"], spec.rules["temperature"]["max"]
-    a, b = F.col(spec.hi), F.col(spec.lo)
+    a, b = _v(spec.hi), _v(spec.lo)
     return (a < lo) | (a > hi) | (b < lo) | (b > hi)
 
 
 def precipitation_out_of_range(spec: QualitySpec = WEATHER) -> Column:
     hi = spec.rules["precipitation"]["max"]
-    p = F.col(spec.precip)
+    p = _v(spec.precip)
     return (p < 0) | (p > hi)
 
 
@@ -85,7 +89,7 @@ def future_date(as_of, spec: QualitySpec = WEATHER) -> Column:
 
 def range_violation(c: str, lo, hi) -> Column:
     """``c`` outside ``[lo, hi]``; NULL never fails."""
-    return (F.col(c) < lo) | (F.col(c) > hi)
+    return (_v(c) < lo) | (_v(c) > hi)
 
 
 def range_check(name: str, c: str, lo, hi, bad_rows: Column) -> Column:
@@ -94,7 +98,7 @@ def range_check(name: str, c: str, lo, hi, bad_rows: Column) -> Column:
 
 
 def inconsistent(spec: QualitySpec = WEATHER) -> Column:
-    return F.col(spec.lo) > F.col(spec.hi)
+    return _v(spec.lo) > _v(spec.hi)
 
 
 # ---------------------------------------------------------------------------

@@ -74,3 +74,10 @@ def test_scale_settings_bounds():
     assert scale_settings(10 ** 6)["spark.sql.shuffle.partitions"] == "200"
     assert scale_settings(100 * 2 ** 40)["spark.sql.shuffle.partitions"] == "200000"
     assert scale_settings(1024 * 2 ** 30)["spark.sql.shuffle.partitions"] == "4096"
+
+
+def test_nan_is_missing_in_bins_and_flags(spark):
+    df = spark.createDataFrame([(float("nan"),), (30.0,), (None,)], "x double")
+    out = df.select(S.bin_right_closed("x", [0.0, 10.0, float("inf")], ["lo", "hi"]).alias("b"),
+                    S.threshold_flag("x", 20).alias("f")).collect()
+    assert [(r["b"], r["f"]) for r in out] == [(None, False), ("hi", True), (None, False)]

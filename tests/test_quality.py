@@ -148,3 +148,13 @@ def test_not_null_tests(spark):
     out = {r["column_name"]: r["null_rows"] for r in
            DQ.not_null_tests(df, ["date", "city_name", "country_code"]).collect()}
     assert out == {"date": 0, "city_name": 0, "country_code": 3}
+
+
+def test_nan_never_fails_a_check(spark):
+    rows = valid_rows()
+    rows[0] = rows[0][:5] + (float("nan"), 12.0, float("nan"))
+    df = make_valid_df(spark, rows)
+    for name in ("temperature_range", "precipitation_range", "temperature_consistency"):
+        assert check(df, name)["passed"], name
+    # NaN counts as a missing cell, as in pandas.
+    assert check(df, "null_percentage")["affected_rows"] == 2
