@@ -123,8 +123,8 @@ def threshold_flag(c: str | Column, threshold: float) -> Column:
 
 
 def tenths(c: str | Column) -> Column:
-    """A one-decimal value as an exact integer count of tenths."""
-    return F.rint(col_of(c) * F.lit(10.0)).cast("bigint")
+    """A one-decimal value as an exact integer count of tenths (NaN -> NULL)."""
+    return F.rint(nan_to_null(c) * F.lit(10.0)).cast("bigint")
 
 
 def _idiv(a: Column, b: Column) -> Column:

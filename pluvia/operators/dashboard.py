@@ -100,7 +100,7 @@ def headline_kpis(df: DataFrame, days: int = 30, date: str = DATE, key: str = CI
         F.max(date).alias("latest_date"),
         F.count_distinct(F.when(on_latest, F.col(key))).alias("n_cities"),
         S.mean_tenths(F.sum(F.when(on_latest, S.tenths(value))),
-                      F.count(F.when(on_latest, F.col(value))), half_even=True)
+                      F.count(F.when(on_latest, S.tenths(value))), half_even=True)
         .alias("avg_temperature"),
         (S.ratio_round_half_even(F.coalesce(F.sum(S.tenths(amount)), F.lit(0)), F.lit(10))
          .cast("double")).alias("rain_30d"),
@@ -111,10 +111,12 @@ def arg_max_row(df: DataFrame, value: str, tie: Sequence[str] = (CITY,),
                 largest: bool = True) -> DataFrame:
     """The row holding the largest (or smallest) non-missing ``value``.
 
-    First on ties in ``tie`` order; an all-missing input gives no row.
+    First on ties in ``tie`` order; missing (NULL or NaN) values are skipped
+    and an all-missing input gives no row.
     """
-    order = F.col(value).desc() if largest else F.col(value).asc()
-    return df.where(F.col(value).isNotNull()).orderBy(order, *_asc(tie)).limit(1)
+    v = S.nan_to_null(value)
+    order = v.desc() if largest else v.asc()
+    return df.where(v.isNotNull()).orderBy(order, *_asc(tie)).limit(1)
 
 
 def selected_card(df: DataFrame, tie: Sequence[str] = (CITY,)) -> DataFrame:
@@ -134,8 +136,8 @@ def selected_card(df: DataFrame, tie: Sequence[str] = (CITY,)) -> DataFrame:
 
 
 def top_k(df: DataFrame, value: str, k: int, tie: Sequence[str] = (CITY,)) -> DataFrame:
-    """``k`` rows with the largest ``value`` (missing last)."""
-    return df.orderBy(F.col(value).desc_nulls_last(), *_asc(tie)).limit(k)
+    """``k`` rows with the largest ``value`` (missing, NULL or NaN, last)."""
+    return df.orderBy(S.nan_to_null(value).desc_nulls_last(), *_asc(tie)).limit(k)
 
 
 def top_cities(df: DataFrame, k: int = 8, tie: Sequence[str] = (CITY,)) -> DataFrame:
@@ -212,15 +214,16 @@ def top_groups_share(df: DataFrame, group: str = "country", amount: str = "preci
 
 
 def latest_min_max(df: DataFrame, value: str = "temperature_mean") -> DataFrame:
-    return latest_slice(df).agg(S.round_half_even(F.min(value), 1).alias("min_value"),
-                                S.round_half_even(F.max(value), 1).alias("max_value"))
+    v = S.nan_to_null(value)
+    return latest_slice(df).agg(S.round_half_even(F.min(v), 1).alias("min_value"),
+                                S.round_half_even(F.max(v), 1).alias("max_value"))
 
 
 def group_mean_remap(df: DataFrame, group: str, value: str, mapping: Mapping[str, str],
                      mapped: str = "iso3") -> DataFrame:
     """Mean per group on the latest date, group code remapped, unmatched dropped."""
     means = latest_slice(df).groupBy(group).agg(
-        S.mean_tenths(F.sum(S.tenths(value)), F.count(value), half_even=True).alias(value))
+        S.mean_tenths(F.sum(S.tenths(value)), F.count(S.tenths(value)), half_even=True).alias(value))
     return (means.withColumn(mapped, S.code_lookup(group, mapping, None))
                  .na.drop(subset=[mapped]))
 
@@ -236,15 +239,17 @@ def date_bounds(df: DataFrame, date: str = DATE, days: int = 29) -> DataFrame:
 
 def period_kpis(period: DataFrame) -> DataFrame:
     """Max, min, total, rainy days, mean humidity, max UV of a period."""
+    v = S.nan_to_null
     return period.agg(
-        S.round_half_even(F.max("temperature_max"), 1).alias("max_temperature"),
-        S.round_half_even(F.min("temperature_min"), 1).alias("min_temperature"),
+        S.round_half_even(F.max(v("temperature_max")), 1).alias("max_temperature"),
+        S.round_half_even(F.min(v("temperature_min")), 1).alias("min_temperature"),
         S.ratio_round_half_even(F.coalesce(F.sum(S.tenths("precipitation_sum")), F.lit(0)),
                                 F.lit(10)).cast("double").alias("total_precipitation"),
-        F.count_if(F.col("precipitation_sum") > 0).alias("rainy_days"),
+        F.count_if(v("precipitation_sum") > 0).alias("rainy_days"),
         S.ratio_round_half_even(F.sum(S.tenths("humidity_mean")),
-                                F.count("humidity_mean") * 10).cast("double").alias("avg_humidity"),
-        S.round_half_even(F.max("uv_index_max"), 1).alias("max_uv"),
+                                F.count(S.tenths("humidity_mean")) * 10).cast("double")
+        .alias("avg_humidity"),
+        S.round_half_even(F.max(v("uv_index_max")), 1).alias("max_uv"),
     )
 
 

@@ -81,12 +81,13 @@ def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
     means = ["temperature_mean", "wind_speed_max", "humidity_mean", "uv_index_max"]
     partial = [F.count(F.lit(1)).alias("n")]
     for c in means:
-        partial += [F.sum(S.tenths(c)).alias(f"s_{c}"), F.count(c).alias(f"c_{c}")]
+        partial += [F.sum(S.tenths(c)).alias(f"s_{c}"), F.count(S.tenths(c)).alias(f"c_{c}")]
+    v = S.nan_to_null  # NaN is missing, never a maximum
     partial += [
-        F.max("temperature_max").alias("mx_t"), F.min("temperature_min").alias("mn_t"),
+        F.max(v("temperature_max")).alias("mx_t"), F.min(v("temperature_min")).alias("mn_t"),
         F.sum(S.tenths("precipitation_sum")).alias("s_p"),
-        F.count_if(F.col("precipitation_sum") > 0).alias("rainy"),
-        F.max("wind_speed_max").alias("mx_w"),
+        F.count_if(v("precipitation_sum") > 0).alias("rainy"),
+        F.max(v("wind_speed_max")).alias("mx_w"),
         F.count_if(F.col("heavy_rain_day")).alias("heavy"),
         F.count_if(F.col("heat_alert_day")).alias("heat"),
     ]

@@ -66,3 +66,13 @@ def test_pick_key_fallback(spark):
     df = frame(spark)
     assert df.select(B.pick_key(df, "city_name", "Lima")).first()[0] == "Lima"
     assert df.select(B.pick_key(df, "city_name", "Paris")).first()[0] == "Bogotá"
+
+
+def test_nan_is_skipped_like_pandas(spark):
+    df = frame(spark).withColumn(
+        "temperature_max",
+        F.when(F.col("city_name") == "Quito", F.lit(float("nan"))).otherwise(F.col("temperature_max")))
+    top = B.arg_max_row(B.latest_slice(df), "temperature_max").first()
+    assert top["city_name"] == "Lima"  # NaN (Quito) is not a maximum
+    order = [r["city_name"] for r in B.top_k(B.latest_slice(df), "temperature_max", 3).collect()]
+    assert order == ["Lima", "Bogotá", "Quito"]  # missing last
