@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pluvia import schemas as SC
 
@@ -83,6 +84,19 @@ def land_raw(responses: DataFrame, failed: DataFrame, out_dir: str, run_date) ->
     return {"data": data_dir, "failed": failed_dir, "header": header_dir}
 
 
+def read_landed(spark: SparkSession, data_dir: str, run_date=None) -> DataFrame:
+    """Landed per-entity responses (JSON lines, splittable), one run or all.
+
+    Unlike the whole-payload file, landed rows split across tasks, and a run
+    date filter prunes to that partition.
+    """
+    schema = T.StructType(SC.CITY_RESPONSE.fields + [T.StructField(RUN_DATE, T.DateType())])
+    df = spark.read.schema(schema).json(data_dir)
+    if run_date is not None:
+        df = df.where(F.col(RUN_DATE) == F.lit(run_date).cast("date"))
+    return df
+
+
 # --- S5 / S6 / S7: clean CSV ----------------------------------------------
 
 def conform(df: DataFrame, schema=SC.CLEAN) -> DataFrame:

@@ -67,3 +67,17 @@ def test_safe_get_past_end(spark):
     df = spark.createDataFrame([([1.0, 2.0],)], "a array<double>")
     r = df.select(safe_get("a", 0), safe_get("a", 1), safe_get("a", 2)).first()
     assert list(r) == [1.0, 2.0, None]
+
+
+def test_land_then_flatten_equals_direct(spark, tmp):
+    import datetime as dt
+    root = write_payload(tmp)
+    raw = FS.read_raw(spark, root + "/2024/01/17/weather_raw.json")
+    responses = FS.city_responses(raw)
+    failed = raw.selectExpr("explode(failed_cities) AS name")
+    out = FS.land_raw(responses, failed, os.path.join(tmp, "landed"), dt.date(2024, 1, 17))
+    landed = FS.read_landed(spark, out["data"], dt.date(2024, 1, 17))
+    direct = flatten_payload(responses).collect()
+    again = flatten_payload(landed.drop(FS.RUN_DATE)).collect()
+    assert sorted(map(tuple, direct), key=str) == sorted(map(tuple, again), key=str)
+    assert spark.read.json(out["failed"]).first()["name"] == "Gone"
