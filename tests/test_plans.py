@@ -51,3 +51,23 @@ def test_no_local_checkpoint_in_library():
     root = pathlib.Path(__file__).resolve().parents[1] / "pluvia"
     for p in root.rglob("*.py"):
         assert "localCheckpoint" not in p.read_text(), p
+
+
+def _orders_scan(text):
+    scans = [l for l in text.splitlines() if "FileScan parquet" in l and "o_orderkey" in l
+             or ("FileScan parquet" in l and "o_custkey" in l)]
+    assert scans
+    return scans[0]
+
+
+@pytest.mark.parametrize("name", ["window_days_back", "coverage_gap", "run_summary"])
+def test_date_window_reaches_the_scan(spark, name):
+    scan = _orders_scan(plan_text(QUERIES[name](spark, SF)))
+    pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+    assert "o_orderdate" in pushed, scan
+
+
+def test_projection_pruned_at_scan(spark):
+    scan = _orders_scan(plan_text(QUERIES["silver_clean"](spark, SF)))
+    schema = scan.split("ReadSchema: struct<")[1]
+    assert "o_totalprice" not in schema and "o_orderstatus" not in schema, scan
