@@ -158,3 +158,20 @@ def test_nan_never_fails_a_check(spark):
         assert check(df, name)["passed"], name
     # NaN counts as a missing cell, as in pandas.
     assert check(df, "null_percentage")["affected_rows"] == 2
+
+
+def test_fixture_counts_at_sf001(spark):
+    """The counts FIXTURES.md records for ``obs`` at sf0.01."""
+    from pluvia.plans import fixtures as X
+    obs = X.observations(spark, "/root/testdata/sf0.01")
+    checks = {r["name"]: r["affected_rows"]
+              for r in DQ.run_all_checks(obs, dt.date(2001, 8, 1)).collect()}
+    assert checks["temperature_range"] == 1029
+    assert checks["precipitation_range"] == 14
+    assert checks["no_duplicates"] == 3286
+    assert checks["temperature_consistency"] == 471
+    rep = DQ.quality_report(obs, dt.date(2001, 8, 1)).first()
+    assert rep["total_rows"] == 15000 and rep["duplicate_count"] == 1717
+    nulls = obs.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in
+                      ("temperature_max", "temperature_mean", "precipitation_sum", "weather_code")]).first()
+    assert tuple(nulls) == (518, 2143, 1364, 883)
