@@ -861,3 +861,17 @@ def q_lineitem_flag_stats(spark, sf_dir):
         S.mean_tenths(F.sum(S.tenths("l_quantity")), F.count("l_quantity")).alias("avg_quantity"),
         F.count_if(F.col("l_discount") > 0.05).alias("discounted"))
     return g.withColumn("discounted_pct", S.safe_percentage(F.col("discounted"), F.col("n"), 1))
+
+
+# Test mapping for the generic lookup on another table; 'N' is left unmapped
+# so the default label is exercised.
+FLAG_LABELS = {"A": "accepted", "R": "returned"}
+
+
+@register("code_lookup_flag", "SELECT l_orderkey, l_linenumber, l_returnflag, "
+          "COALESCE(CASE l_returnflag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FLAG_LABELS.items())
+          + " END, 'other') AS flag_label FROM lineitem")
+def q_code_lookup_flag(spark, sf_dir):
+    li = X.table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_returnflag",
+                     S.code_lookup("l_returnflag", FLAG_LABELS, "other").alias("flag_label"))
