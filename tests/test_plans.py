@@ -71,3 +71,21 @@ def test_projection_pruned_at_scan(spark):
     scan = _orders_scan(plan_text(QUERIES["silver_clean"](spark, SF)))
     schema = scan.split("ReadSchema: struct<")[1]
     assert "o_totalprice" not in schema and "o_orderstatus" not in schema, scan
+
+
+def test_dimension_join_falls_back_beyond_the_bound(spark):
+    """Over the row bound no broadcast hint is given; the planner decides."""
+    from pluvia.operators.joins import dimension_join
+    from pluvia.plans import fixtures as X
+    cust = X.table(spark, SF, "customer")
+    nation = X.table(spark, SF, "nation")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = dimension_join(cust, nation, cust.c_nationkey == nation.n_nationkey, max_rows=10)
+        small = dimension_join(cust, nation, cust.c_nationkey == nation.n_nationkey, max_rows=100)
+        assert "SortMergeJoin" in plan_text(big)
+        assert "BroadcastHashJoin" in plan_text(small)
+        assert big.count() == small.count() == cust.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
