@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2: the best of the runs is reported per query).
+BENCH_REPEAT (default 2: the best of the runs is reported per query),
+BENCH_SHUFFLE_PARTITIONS (default 2 x cpus; AQE coalesces at run time).
 Each query is executed in full with the ``noop`` sink (no driver collect).
 """
 
@@ -26,8 +27,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(2 * cpus, 8))))
     spark = build_session(f"local[{cpus}]", app_name="pluvia-bench",
-                          shuffle_partitions=max(2 * cpus, 8),
+                          shuffle_partitions=shuffle,
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     # Warm-up: JVM, file listing, codegen caches.
