@@ -12,12 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvia.session import session_key
-
+from pluvia import presets as P
+from pluvia.functions import scalars as S
+from pluvia.operators import aggregates as A
 from pluvia.operators import clean as C
+from pluvia.operators import dashboard as B
+from pluvia.operators import flatten as N
+from pluvia.operators import joins as J
 from pluvia.operators import marts as M
+from pluvia.operators import quality as DQ
 from pluvia.plans import fixtures as X
 from pluvia.plans import sqlparts as Q
+from pluvia.session import session_key, work_dir
+from pluvia.sources import files as FS
+from pluvia.sources import warehouse as WH
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,17 +84,6 @@ def q_city_stats_30d(spark, sf_dir):
 # Shared pieces.
 # ---------------------------------------------------------------------------
 
-from pluvia import presets as P  # noqa: E402
-from pluvia.functions import scalars as S  # noqa: E402
-from pluvia.operators import aggregates as A  # noqa: E402
-from pluvia.operators import dashboard as B  # noqa: E402
-from pluvia.operators import flatten as N  # noqa: E402
-from pluvia.operators import joins as J  # noqa: E402
-from pluvia.operators import quality as DQ  # noqa: E402
-from pluvia.sources import files as FS  # noqa: E402
-from pluvia.sources import warehouse as WH  # noqa: E402
-from pluvia.session import work_dir  # noqa: E402
-
 TIE = ("city_name", "src_id")
 SILVER = f"WITH {Q.SILVER_CTE} "
 LATEST = "(SELECT max(date) FROM silver)"
