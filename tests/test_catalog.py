@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from pluvia.plans.fixtures import TABLES
+from tests.plan_rules import check_plan_rules
 from tools.oracle_check import digest
 
 SF = "/root/testdata/sf0.001"
@@ -35,6 +36,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(srows) == len(drows)
     # Bit-for-bit: every double compared by its full repr.
     assert digest(sdf.columns, srows, exact=True)[0] == digest(dcols, drows, exact=True)[0]
+    # Scale rules on the plan that just ran (final, post-AQE).
+    check_plan_rules(name, sdf._jdf.queryExecution().executedPlan().toString())
 
 
 def test_entry_smoke(spark):
