@@ -22,6 +22,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Reliable checkpoints (partition replacement) are removed once unused.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -48,7 +50,7 @@ def build_session(master: str | None = None, app_name: str = "pluvia",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in conf.items():
-        if not key.startswith("spark.ui") and not key.startswith("spark.driver"):
+        if not key.startswith(("spark.ui", "spark.driver", "spark.cleaner")):
             try:
                 spark.conf.set(key, value)
             except Exception:  # static conf already fixed by the launcher
