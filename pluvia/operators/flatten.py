@@ -61,7 +61,9 @@ def to_parallel_arrays(df: DataFrame, group: Sequence[str], order_col: str,
 
     Rows of a group are cut into buckets of ``bucket_rows`` consecutive
     ``order_col`` values, so every collected array is bounded however large
-    a group is.  ``fields`` maps column -> array name.
+    a group is.  ``order_col`` must be a unique integer key (a source id):
+    the bound is ``bucket_rows`` rows per (group, bucket) only then.
+    ``fields`` maps column -> array name.
     """
     b = df.withColumn("_bucket", F.floor(F.col(order_col) / F.lit(bucket_rows)))
     items = F.struct(F.col(order_col).alias("_o"), *[F.col(c).alias(a) for c, a in fields.items()])
