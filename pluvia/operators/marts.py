@@ -63,9 +63,11 @@ def daily_summary(stg: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
 
 def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
                window_days: int | None = None, as_of: dt.date | str | None = None,
-               mode_col: str = "weather_description") -> DataFrame:
+               mode_col: str = "weather_description", mode: str = "exact") -> DataFrame:
     """Per-entity statistics of the daily mart.
 
+    ``mode="exact"`` (default) picks the most frequent label exactly
+    (smallest on ties); ``mode="approx"`` uses the ``approx_top_k`` sketch.
     ``window_days=None`` reads all history; ``window_days=30`` keeps dates on
     or after ``as_of - 30``.  Means and sums use exact integer tenths (the
     inputs are one-decimal values), so results are independent of
@@ -91,11 +93,23 @@ def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
         F.count_if(F.col("heavy_rain_day")).alias("heavy"),
         F.count_if(F.col("heat_alert_day")).alias("heat"),
     ]
-    level1 = df.groupBy(*keys, mode_col).agg(*partial)
+    if mode == "approx":
+        # One shuffle by key: the measures as above, the mode from the
+        # mergeable approx_top_k sketch (ties unspecified, NULL counted).  The
+        # per-key pass below then runs on data already partitioned by key.
+        top = F.call_function("approx_top_k", F.col(mode_col), F.lit(1), F.lit(10000))
+        level1 = df.groupBy(*keys).agg(*partial, top.alias("_approx"))
+    elif mode == "exact":
+        level1 = df.groupBy(*keys, mode_col).agg(*partial)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
 
     def mean(c):
         return S.mean_tenths(F.sum(f"s_{c}"), F.sum(f"c_{c}"))
 
+    pick = (F.first(F.col("_approx")[0]["item"]).alias("_pick") if mode == "approx" else
+            F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(mode_col).alias("v")))
+            .getField("v").alias("_pick"))
     stats = level1.groupBy(*keys).agg(
         mean("temperature_mean").alias("avg_temperature"),
         F.round(F.max("mx_t"), 1).alias("max_temperature"),
@@ -109,10 +123,9 @@ def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
         mean("uv_index_max").alias("avg_uv_index"),
         F.sum("heavy").cast("bigint").alias("heavy_rain_days"),
         F.sum("heat").cast("bigint").alias("heat_alert_days"),
-        F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(mode_col).alias("v")))
-        .alias("_top"),
+        pick,
     )
-    return (stats.withColumn("most_common_weather", F.col("_top.v")).drop("_top")
+    return (stats.withColumnRenamed("_pick", "most_common_weather")
             .withColumn("rain_percentage",
                         S.safe_percentage(F.col("rainy_days"), F.col("total_days"), 1))
             .orderBy(F.col("avg_temperature").desc_nulls_last(), *keys))

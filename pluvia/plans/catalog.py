@@ -872,3 +872,9 @@ def q_code_lookup_flag(spark, sf_dir):
     li = X.table(spark, sf_dir, "lineitem")
     return li.select("l_orderkey", "l_linenumber", "l_returnflag",
                      S.code_lookup("l_returnflag", FLAG_LABELS, "other").alias("flag_label"))
+
+
+@register("mart_city_stats_approx")
+def q_mart_city_stats_approx(spark, sf_dir):
+    """The mart with the sketch-based mode (rows-only: ties may differ)."""
+    return M.city_stats(daily(spark, sf_dir), mode="approx")

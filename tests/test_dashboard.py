@@ -76,3 +76,13 @@ def test_nan_is_skipped_like_pandas(spark):
     assert top["city_name"] == "Lima"  # NaN (Quito) is not a maximum
     order = [r["city_name"] for r in B.top_k(B.latest_slice(df), "temperature_max", 3).collect()]
     assert order == ["Lima", "Bogotá", "Quito"]  # missing last
+
+
+def test_city_stats_approx_mode_keeps_exact_measures(spark):
+    from pluvia.plans import catalog
+    sf = "/root/testdata/sf0.001"
+    exact = catalog.q_mart_city_stats(spark, sf).drop("most_common_weather")
+    approx = catalog.q_mart_city_stats_approx(spark, sf)
+    assert approx.count() == exact.count()
+    assert approx.drop("most_common_weather").exceptAll(exact).count() == 0
+    assert approx.where(F.col("most_common_weather").isNull()).count() == 0
