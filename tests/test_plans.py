@@ -1,9 +1,8 @@
-"""Physical-plan properties of every registered query (scale rules).
+"""Physical-plan properties (scale rules, see ``plan_rules.py``).
 
-- no Cartesian product and no nested-loop join;
-- no window without a partition key (it would run in one task), unless its
-  input is the bounded output of a limit;
-- keyed aggregations are split into partial + final (map-side combine).
+Queries with an oracle have their executed plans checked in
+``test_catalog``; here: the others, plus targeted properties (filter and
+projection pushdown, the broadcast bound and its fallback).
 """
 
 import pytest
