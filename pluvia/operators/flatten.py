@@ -33,15 +33,18 @@ def flatten_parallel(df: DataFrame, struct_col: str, index_field: str,
     return out if position_alias else out.drop(pos)
 
 
-def flatten_payload(responses: DataFrame) -> DataFrame:
-    """Per-entity responses (``daily`` + ``_city_meta``) to observation rows."""
+def flatten_payload(responses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Per-entity responses (``daily`` + ``_city_meta``) to observation rows.
+
+    ``keep``: extra columns carried through (e.g. the run date).
+    """
     meta = [F.col(f"_city_meta.{src}").alias(dst) for src, dst in (
         ("name", "city_name"), ("country", "country"), ("country_code", "country_code"),
         ("region", "region"), ("latitude", "latitude"), ("longitude", "longitude"),
         ("timezone", "timezone"))]
-    flat = flatten_parallel(responses.select(*meta, "daily"), "daily", "time",
-                            P.RAW_VARIABLES, keep=[c for c in P.DIMENSION_COLUMNS])
-    return flat.select(*P.OBSERVATION_COLUMNS)
+    flat = flatten_parallel(responses.select(*keep, *meta, "daily"), "daily", "time",
+                            P.RAW_VARIABLES, keep=[*keep, *P.DIMENSION_COLUMNS])
+    return flat.select(*P.OBSERVATION_COLUMNS, *keep)
 
 
 def safe_get(arr: str, index) -> F.Column:

@@ -36,6 +36,9 @@ WEATHER = QualitySpec()
 
 
 def _lit_date(as_of) -> Column:
+    """``as_of`` as a DATE: a literal, or a column (e.g. each batch's run date)."""
+    if isinstance(as_of, Column):
+        return as_of.cast("date")
     return F.lit(as_of if isinstance(as_of, str) else as_of.isoformat()).cast("date")
 
 
@@ -258,8 +261,12 @@ def quality_report(df: DataFrame, as_of, spec: QualitySpec = WEATHER,
     failed = F.filter(checks, lambda c: ~c["passed"])
     invalid = F.coalesce(F.array_max(F.transform(failed, lambda c: c["affected_rows"])),
                          F.lit(0).cast("bigint"))
-    label = (F.col(batch_label).cast("string") if batch_label
-             else F.lit(as_of if isinstance(as_of, str) else as_of.isoformat()))
+    if batch_label:
+        label = F.col(batch_label).cast("string")
+    elif isinstance(as_of, Column):
+        raise ValueError("a column as_of needs a batch_label")
+    else:
+        label = F.lit(as_of if isinstance(as_of, str) else as_of.isoformat())
     pct_hundredths = F.coalesce(
         S.ratio_round_half_even(F.col("null_cells") * 10000, F.col("cells")),
         F.lit(0).cast("bigint"))

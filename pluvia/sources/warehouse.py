@@ -131,6 +131,17 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
             "job_id": f"{app_id(spark)}-{obs_name}"}
 
 
+def latest_delivery(df: DataFrame, key: Sequence[str], run_col: str) -> DataFrame:
+    """Rows of the latest ``run_col`` per key: later runs replace earlier ones.
+
+    A partial aggregation finds each key's latest run and an equi-join keeps
+    its rows, so no window sorts a hot key (AQE splits a skewed join side).
+    """
+    latest = df.groupBy(*key).agg(F.max(run_col).alias("_latest_run"))
+    return (df.join(latest, list(key))
+              .where(F.col(run_col) == F.col("_latest_run")).drop("_latest_run"))
+
+
 def read_table(spark: SparkSession, root: str, schema: T.StructType = SC.FACT) -> DataFrame:
     """The table with its fixed schema (a coarser partition column is dropped)."""
     return spark.read.schema(schema).parquet(root).select(*schema.fieldNames())

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pluvia import schemas as SC
@@ -24,22 +25,37 @@ from pluvia.sources import warehouse as WH
 
 
 def payload_stream(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Stream of whole payload documents (one per landed file)."""
+    """Stream of whole payload documents (one per landed file) with the run
+    date taken from each file's ``YYYY/MM/DD`` folder."""
+    rx = r"(\d{4})/(\d{2})/(\d{2})/[^/]*$"
+    fp = F.col("_metadata.file_path")
     return (spark.readStream.schema(SC.RAW_PAYLOAD).option("multiLine", True)
-            .option("recursiveFileLookup", True).json(raw_dir))
+            .option("recursiveFileLookup", True).json(raw_dir)
+            .withColumn(FS.RUN_DATE, F.to_date(F.concat_ws(
+                "-", F.regexp_extract(fp, rx, 1), F.regexp_extract(fp, rx, 2),
+                F.regexp_extract(fp, rx, 3)))))
 
 
 def start_ingest(spark: SparkSession, raw_dir: str, table_root: str, report_dir: str,
-                 as_of: dt.date, grain: str = "day", checkpoint: str | None = None,
+                 grain: str = "day", checkpoint: str | None = None,
                  loaded_at: dt.datetime | None = None) -> StreamingQuery:
-    """Run the ingest over all unseen payloads, then stop (availableNow)."""
+    """Run the ingest over all unseen payloads, then stop (availableNow).
+
+    Each run date found among the new files gets its own quality report
+    (future dates judged against that run date), all in one aggregation;
+    when several runs arrive together the latest run of each key is loaded.
+    """
     checkpoint = checkpoint or work_dir(spark, "ingest-checkpoint")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = flatten_payload(FS.city_responses(batch))
-        report = quality_report(rows, as_of)
+        rows = flatten_payload(FS.city_responses(batch, keep=(FS.RUN_DATE,)), keep=(FS.RUN_DATE,))
+        report = quality_report(rows, F.col(FS.RUN_DATE), batch=[FS.RUN_DATE],
+                                batch_label=FS.RUN_DATE)
         FS.write_reports(report, report_dir)
-        WH.load(clean(rows), table_root, "replace_partitions", loaded_at=loaded_at, grain=grain)
+        # Several runs may arrive together: the latest run of a key wins.
+        newest = WH.latest_delivery(rows, ("city_name", "date"), FS.RUN_DATE)
+        WH.load(clean(newest.drop(FS.RUN_DATE)), table_root, "replace_partitions",
+                loaded_at=loaded_at, grain=grain)
 
     return (payload_stream(spark, raw_dir).writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint)

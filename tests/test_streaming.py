@@ -10,16 +10,19 @@ from tests.test_nested import write_payload
 
 def test_available_now_ingest(spark, tmp):
     raw = write_payload(tmp, "2024/01/17")
+    write_payload(tmp, "2024/01/18")  # the next run re-delivers the same days
     table, reports = os.path.join(tmp, "fact"), os.path.join(tmp, "quality")
     ckpt = os.path.join(tmp, "ckpt")
-    q = start_ingest(spark, raw, table, reports, dt.date(2024, 1, 17), checkpoint=ckpt,
-                     loaded_at=dt.datetime(2024, 1, 17, 6))
+    q = start_ingest(spark, raw, table, reports, checkpoint=ckpt,
+                     loaded_at=dt.datetime(2024, 1, 18, 6))
     q.awaitTermination(300)
+    # Both runs in one pass: overlapping days replaced, not duplicated.
     assert WH.read_table(spark, table).count() == 5
-    # A second run re-delivers overlapping days: replaced, not duplicated.
-    write_payload(tmp, "2024/01/18")
-    q = start_ingest(spark, raw, table, reports, dt.date(2024, 1, 18), checkpoint=ckpt,
-                     loaded_at=dt.datetime(2024, 1, 18, 6))
+    # One report per run date, each judged against its own date.
+    from pluvia.sources.files import read_reports
+    got = {r["extraction_date"]: r["total_rows"] for r in read_reports(spark, reports).collect()}
+    assert got == {"2024-01-17": 5, "2024-01-18": 5}
+    # Nothing new: a second run reads no file and changes nothing.
+    q = start_ingest(spark, raw, table, reports, checkpoint=ckpt)
     q.awaitTermination(300)
     assert WH.read_table(spark, table).count() == 5
-    assert spark.read.json(reports).count() == 2
