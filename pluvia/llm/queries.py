@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvia.llm import packing, token_counts
+from pluvia.llm import langid, packing, simhash, token_counts
 from pluvia.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -29,8 +29,28 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def fold(id_col: str = "doc_id"):
+    """Remainder by 3 of the id's checksum: 1 marks held-out rows."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3
+
+
+def q_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, fold() != 1)
+    return langid.predict(docs, model).select(
+        "doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "lang_pred", "score",
+        "coverage")
+
+
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
+    "op4_langid": q_langid,
+    "op6_simhash": q_simhash,
     "op9_packing": q_packing,
 }
 ORACLE: dict[str, str] = {}
