@@ -178,3 +178,17 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id",
 
     return text_rows(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, lang_pred string, score double, coverage double")
+
+
+def accepted(docs: DataFrame, model: LanguageModel, min_coverage: float,
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and at
+    least ``min_coverage`` of its n-grams in the winning filter.  No shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for part in slices(batches, text_col):
+            names, _, coverage = score_texts(texts_of(part, text_col), shared.value)
+            yield part.filter(pa.array((np.array(names) != UNKNOWN) & (coverage >= min_coverage)))
+
+    return docs.mapInArrow(run, docs.schema)

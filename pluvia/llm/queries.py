@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvia.llm import langid, packing, simhash, token_counts
+from pluvia.llm import (decontaminate, langid, packing, simhash, substring_dedup,
+                        token_counts)
 from pluvia.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -47,10 +48,20 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def q_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
+    "op3_decontaminate": q_decontaminate,
     "op4_langid": q_langid,
     "op6_simhash": q_simhash,
+    "op8_substring_dedup": q_substring_dedup,
     "op9_packing": q_packing,
 }
 ORACLE: dict[str, str] = {}
