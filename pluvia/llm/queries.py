@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvia.llm import (decontaminate, langid, packing, simhash, substring_dedup,
-                        token_counts)
+from pluvia.llm import (decontaminate, langid, lz_fingerprint, packing, simhash, substring_dedup,
+                        token_counts, toxicity)
 from pluvia.llm.common import table
 
 TOKEN_LIMIT = 2048
+TOXIC_FROM = 0.7
 
 
 def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,12 +57,26 @@ def q_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold() != 1, fold() / 2)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"), "log_ratio", "n_words")
+
+
+def q_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.compare_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
     "op3_decontaminate": q_decontaminate,
     "op4_langid": q_langid,
+    "op5_toxicity": q_toxicity,
     "op6_simhash": q_simhash,
     "op8_substring_dedup": q_substring_dedup,
     "op9_packing": q_packing,
+    "op10_lz_fingerprint": q_lz_fingerprint,
 }
 ORACLE: dict[str, str] = {}
