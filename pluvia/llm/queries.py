@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvia.llm import (decontaminate, langid, lz_fingerprint, packing, simhash, substring_dedup,
-                        token_counts, toxicity)
+from pluvia.llm import (decontaminate, html_extract, langid, lz_fingerprint, masked_lm, packing,
+                        simhash, substring_dedup, token_counts, toxicity)
 from pluvia.llm.common import table
 
 TOKEN_LIMIT = 2048
@@ -69,12 +69,24 @@ def q_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.compare_next(table(spark, sf_dir, "documents"))
 
 
+def q_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
+def q_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.score(docs, masked_lm.fit(docs))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
+    "op2_masked_lm": q_masked_lm,
     "op3_decontaminate": q_decontaminate,
     "op4_langid": q_langid,
     "op5_toxicity": q_toxicity,
     "op6_simhash": q_simhash,
+    "op7_html_extract": q_html_extract,
     "op8_substring_dedup": q_substring_dedup,
     "op9_packing": q_packing,
     "op10_lz_fingerprint": q_lz_fingerprint,
