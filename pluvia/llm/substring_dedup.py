@@ -4,7 +4,7 @@ A gear rolling hash over the last WINDOW code points ends a chunk wherever it fa
 under a threshold, so equal passages are cut alike wherever they stand, up to the
 window at their start.  Chunks are compared by a 64-bit digest over the whole corpus;
 the first document with a digest (smallest id, first place) keeps the chunk.  Every run
-of adjacent later chunks with at least ``min_words`` words is a repeated span.
+of adjacent later chunks with at least ``min_words`` words (or, without spaces, ``min_chars`` code points) is a repeated span.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ WINDOW, MEAN_CHUNK = 16, 32
 # A passage of over 50 words keeps at least this many in whole chunks: it loses the
 # window and part of a chunk at its start, and part of a chunk at its end.
 MIN_WORDS = 20
+# Scripts without spaces have few words: a span of so many code points counts as well.
+MIN_CHARS = 300
 
 
 def codes_of(text: str) -> np.ndarray:
@@ -90,14 +92,14 @@ def chunks(docs: DataFrame, window: int, mean: int) -> DataFrame:
         run, "digest long, doc_id long, start int, stop int, words int")
 
 
-def _runs(min_words: int):
+def _runs(min_words: int, min_chars: int):
     """Rows sorted by (doc_id, start) -> spans of adjacent repeated chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, seen, last_start, span = None, set(), -1, None
         out = []
 
         def close():
-            if span and span[3] >= min_words:
+            if span and (span[3] >= min_words or span[2] - span[1] >= min_chars):
                 out.append(tuple(span))
 
         for batch in batches:
@@ -131,7 +133,7 @@ def _runs(min_words: int):
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
                    mean: int = MEAN_CHUNK, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per repeated span: ``doc_id, start, stop`` (code points), ``words`` (word
     ends inside) and ``kept_id``, the document that keeps the span's first chunk.
 
@@ -146,7 +148,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WI
     repeated = pieces.join(common, "digest")
     return (repeated.repartition("doc_id").sortWithinPartitions("doc_id", "start")
             .select("doc_id", "start", "stop", "words", "digest", "first_id")
-            .mapInArrow(_runs(min_words),
+            .mapInArrow(_runs(min_words, min_chars),
                         "doc_id long, start long, stop long, words long, kept_id long"))
 
 
@@ -157,18 +159,18 @@ def cut_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id",
     A document of which no word remains goes.  A document's spans are gathered beside its
     text, so they are as bounded as it is.
     """
-    per_doc = spans.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("__spans"))
-    joined = docs.join(per_doc, docs[id_col] == per_doc["__id"], "left")
+    per_doc = spans.groupBy(F.col("doc_id").alias("id")).agg(
+        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    # The row travels whole, so its columns may have any names.
+    joined = docs.select(F.col(id_col).alias("id"), F.struct("*").alias("row")).join(per_doc, "id", "left")
+    text = F.col("row")[text_col]
     # What stands between the spans: from each stop (0 at first) to the next start.
-    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda s: s["stop"]))
-    ends = F.concat(F.transform("__spans", lambda s: s["start"]),
-                    F.array(F.char_length(text_col).cast("long")))
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["stop"]))
+    ends = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.char_length(text).cast("long")))
     kept = F.array_join(F.zip_with(begins, ends, lambda a, b: F.substring(
-        F.col(text_col), (a + 1).cast("int"), (b - a).cast("int"))), "")
-    cut = joined.withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(kept))
+        text, (a + 1).cast("int"), (b - a).cast("int"))), "")
+    cut = joined.select("row", "spans", kept.alias("kept")).where("spans is null or kept rlike '\\\\S'")
+    changed = F.col("row").withField(text_col, F.col("kept"))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars"))
-                             .otherwise(F.char_length(text_col).cast(docs.schema["n_chars"].dataType)))
-    emptied = F.col("__spans").isNotNull() & ~F.col(text_col).rlike(r"\S")
-    return cut.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+        changed = changed.withField("n_chars", F.char_length("kept").cast(docs.schema["n_chars"].dataType))
+    return cut.select(F.when(F.col("spans").isNull(), F.col("row")).otherwise(changed).alias("row")).select("row.*")

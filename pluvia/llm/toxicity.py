@@ -187,8 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, half: Column, id_
     taken = [int((1 << 32) * min(1, fit_docs / sizes[c])) for c in (0, 1)]
     known = known.where(draw < F.when(F.col("label") == 1, F.lit(taken[1])).otherwise(F.lit(taken[0])))
     # Bounded by 2 * fit_docs rows.
-    rows = docs.join(F.broadcast(known), docs[id_col] == F.col("__id")).select(
-        F.col(text_col).alias("text"), "label", "half")
+    rows = text_rows(docs, id_col, text_col).join(F.broadcast(known), F.col("doc_id") == F.col("__id")).select(
+        "text", "label", "half")
     halves: list[dict] = [{}, {}]
     for which, gram, toxic, ordinary in _counted(rows).toLocalIterator():
         halves[which][gram] = (toxic, ordinary)
