@@ -60,7 +60,8 @@ def test_repeats_inside_one_document_and_whole_copies(spark):
 def test_awkward_rows_keep_their_columns(spark):
     docs = frame(spark, awkward_rows())
     spans = D.repeated_spans(docs)
-    assert {6} <= {r.doc_id for r in spans.collect()} <= {6, 7}
+    # 7 and 11 repeat themselves, if their pattern is cut at all.
+    assert {6} <= {r.doc_id for r in spans.collect()} <= {6, 7, 11}
     out = D.cut_spans(docs, spans)
     assert out.columns == docs.columns
     by = [r for r in out.collect()]
