@@ -51,17 +51,22 @@ def coerce_double(c: str | Column, dtype: str | None = None) -> Column:
     if dtype in NUMERIC_TYPES or (dtype or "").startswith("decimal"):
         return F.nanvl(col_of(x).cast("double"), F.lit(None).cast("double"))
     text = F.trim(x.cast("string"))
-    guarded = F.when(~text.rlike(r"[dDfF]$"), text)
+    guarded = F.when(~text.rlike(r"[0-9.][dDfF]$"), text)
     return F.nanvl(guarded.try_cast("double"), F.lit(None).cast("double"))
 
 
 def coerce_integer(c: str | Column, name: str = "value", dtype: str | None = None) -> Column:
-    """Nullable 64-bit integer; a non-integral value raises (no truncation)."""
+    """Nullable 64-bit integer; a non-integral value raises (no truncation).
+
+    Text and decimals go through DECIMAL, so every 64-bit integer keeps its value.
+    """
     if dtype in INTEGRAL_TYPES:
         return col_of(c).cast("bigint")
     x = coerce_double(c, dtype)
+    exact = F.trim(col_of(c).cast("string")).try_cast("decimal(38,18)")
     return (F.when(x.isNull(), F.lit(None).cast("bigint"))
-            .when(x == F.floor(x), x.cast("bigint"))
+            .when(exact == F.floor(exact), exact.cast("bigint"))
+            .when(exact.isNull() & (x == F.floor(x)), x.cast("bigint"))
             .otherwise(F.raise_error(F.concat(
                 F.lit(f"cannot safely cast non-integral {name} to integer: "),
                 x.cast("string"))).cast("bigint")))
@@ -122,9 +127,14 @@ def threshold_flag(c: str | Column, threshold: float) -> Column:
     return F.coalesce(nan_to_null(col_of(c)) > F.lit(threshold), F.lit(False))
 
 
+def units(c: str | Column, scale: int = 1) -> Column:
+    """A value of ``scale`` decimals as an exact count of its last decimal (NaN -> NULL)."""
+    return F.rint(nan_to_null(c) * F.lit(10.0 ** scale)).cast("bigint")
+
+
 def tenths(c: str | Column) -> Column:
     """A one-decimal value as an exact integer count of tenths (NaN -> NULL)."""
-    return F.rint(nan_to_null(c) * F.lit(10.0)).cast("bigint")
+    return units(c, 1)
 
 
 def _idiv(a: Column, b: Column) -> Column:
@@ -154,6 +164,14 @@ def ratio_round_half_even(num: Column, den: Column) -> Column:
     return F.when(den > 0, _sign(num) * mag)
 
 
+def mean_units(total: Column, n: Column, scale: int, digits: int = 1,
+               half_even: bool = False) -> Column:
+    """Mean rounded to ``digits`` decimals, from an exact sum of :func:`units`."""
+    num, den = total * F.lit(10 ** digits), n * F.lit(10 ** scale)
+    r = ratio_round_half_even(num, den) if half_even else ratio_round_half_up(num, den)
+    return F.when(n > 0, r / F.lit(10.0 ** digits))
+
+
 def mean_tenths(sum_tenths: Column, n: Column, half_even: bool = False) -> Column:
     """Mean of one-decimal values, rounded to one decimal, from an exact sum."""
     r = ratio_round_half_even(sum_tenths, n) if half_even else ratio_round_half_up(sum_tenths, n)
@@ -177,8 +195,9 @@ def share_of_max(c: str | Column, max_c: str | Column) -> Column:
 
 
 def clamped_ratio(c: str | Column, scale: float) -> Column:
-    """Gauge fill ``min(value / scale, 1)``; zero or less draws nothing."""
-    return F.greatest(F.least(col_of(c) / F.lit(float(scale)), F.lit(1.0)), F.lit(0.0))
+    """Gauge fill ``min(value / scale, 1)``; zero or less, NULL or NaN draws nothing."""
+    v = nan_to_null(c)
+    return F.when(v > 0, F.least(v / F.lit(float(scale)), F.lit(1.0))).otherwise(F.lit(0.0))
 
 
 def title_label(c: str | Column) -> Column:

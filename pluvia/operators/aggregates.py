@@ -26,12 +26,18 @@ def most_frequent(df: DataFrame, keys: Sequence[str], value: str,
 
 def most_frequent_approx(df: DataFrame, keys: Sequence[str], value: str,
                          alias: str | None = None, max_items: int = 10000) -> DataFrame:
-    """Approximate most frequent value via the ``approx_top_k`` sketch."""
+    """Approximate most frequent value, with its estimated count as ``{alias}_count``.
+
+    ``max_items`` is the number of labels the ``approx_top_k`` sketch tracks in a group:
+    up to so many distinct labels the count is exact, beyond them it is an estimate.
+    :func:`most_frequent` is the exact operator.
+    """
     alias = alias or f"most_common_{value}"
+    top = F.col("_top")[0]
     return (df.groupBy(*keys)
             .agg(F.call_function("approx_top_k", F.col(value), F.lit(1), F.lit(max_items))
                  .alias("_top"))
-            .select(*keys, F.col("_top")[0]["item"].alias(alias)))
+            .select(*keys, top["item"].alias(alias), top["count"].alias(f"{alias}_count")))
 
 
 def duplicate_counts(df: DataFrame, key: Sequence[str],

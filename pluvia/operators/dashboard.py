@@ -31,19 +31,22 @@ def _desc(cols: Sequence[str]) -> list[Column]:
 
 # --- F: filters -------------------------------------------------------------
 
-def latest_date(df: DataFrame, date: str = DATE) -> Column:
-    """``max(date)`` as a scalar subquery."""
+def latest_date(df: DataFrame, date: str = DATE, as_of=None) -> Column:
+    """The latest date: ``as_of`` where the caller knows it (a literal prunes the scan's
+    partitions and costs no job), else ``max(date)`` as a scalar subquery."""
+    if as_of is not None:
+        return F.lit(as_of).cast("date")
     return df.select(F.max(date)).scalar()
 
 
-def latest_slice(df: DataFrame, date: str = DATE) -> DataFrame:
+def latest_slice(df: DataFrame, date: str = DATE, as_of=None) -> DataFrame:
     """Rows of the latest date."""
-    return df.where(F.col(date) == latest_date(df, date))
+    return df.where(F.col(date) == latest_date(df, date, as_of))
 
 
-def trailing_from_latest(df: DataFrame, days: int = 30, date: str = DATE) -> DataFrame:
+def trailing_from_latest(df: DataFrame, days: int = 30, date: str = DATE, as_of=None) -> DataFrame:
     """Rows on or after ``max(date) - days`` (``days + 1`` dates)."""
-    return df.where(F.col(date) >= F.date_sub(latest_date(df, date), days))
+    return df.where(F.col(date) >= F.date_sub(latest_date(df, date, as_of), days))
 
 
 def window_days_back(df: DataFrame, as_of, days: int = P.DAYS_BACK, date: str = DATE) -> DataFrame:
@@ -77,33 +80,42 @@ def pick_key(df: DataFrame, key_col: str = CITY, preferred: str | None = None) -
 
 
 def default_period(df: DataFrame, key_col: str = CITY, preferred: str | None = "Lima",
-                   days: int = 29, date: str = DATE, tie: Sequence[str] = ()) -> DataFrame:
-    """The selected key's rows in the default range (the period view)."""
-    start = df.select(F.greatest(F.min(date), F.date_sub(F.max(date), days))).scalar()
-    end = latest_date(df, date)
-    return key_range_filter(df, key_col, pick_key(df, key_col, preferred), start, end, date, tie)
+                   days: int = 29, date: str = DATE, tie: Sequence[str] = (), as_of=None,
+                   keys: DataFrame | None = None) -> DataFrame:
+    """The selected key's rows in the default range (the period view).
+
+    With ``as_of`` the range ends there and no subquery looks for its ends (a start
+    before the first row changes nothing).  ``keys``: a small table that holds every
+    key (a dimension or the per-entity mart), so the facts are not read for the choice.
+    """
+    end = latest_date(df, date, as_of)
+    start = F.date_sub(end, days) if as_of is not None else \
+        df.select(F.greatest(F.min(date), F.date_sub(F.max(date), days))).scalar()
+    chosen = pick_key(df if keys is None else keys, key_col, preferred)
+    return key_range_filter(df, key_col, chosen, start, end, date, tie)
 
 
 # --- A / L / W: aggregates, ordering ------------------------------------------
 
 def headline_kpis(df: DataFrame, days: int = 30, date: str = DATE, key: str = CITY,
-                  value: str = "temperature_mean", amount: str = "precipitation_sum") -> DataFrame:
+                  value: str = "temperature_mean", amount: str = "precipitation_sum",
+                  scale: int = 1, as_of=None) -> DataFrame:
     """Latest date, entities on it, their mean value, and the window's total.
 
     One scan of the trailing window; the latest slice is a conditional
-    aggregate inside the same pass.
+    aggregate inside the same pass.  ``scale``: decimals of ``value`` and ``amount``.
     """
-    mx = latest_date(df, date)
+    mx = latest_date(df, date, as_of)
     recent = df.where(F.col(date) >= F.date_sub(mx, days))
     on_latest = F.col(date) == mx
     return recent.agg(
         F.max(date).alias("latest_date"),
         F.count_distinct(F.when(on_latest, F.col(key))).alias("n_cities"),
-        S.mean_tenths(F.sum(F.when(on_latest, S.tenths(value))),
-                      F.count(F.when(on_latest, S.tenths(value))), half_even=True)
+        S.mean_units(F.sum(F.when(on_latest, S.units(value, scale))),
+                     F.count(F.when(on_latest, S.units(value, scale))), scale, half_even=True)
         .alias("avg_temperature"),
-        (S.ratio_round_half_even(F.coalesce(F.sum(S.tenths(amount)), F.lit(0)), F.lit(10))
-         .cast("double")).alias("rain_30d"),
+        (S.ratio_round_half_even(F.coalesce(F.sum(S.units(amount, scale)), F.lit(0)),
+                                 F.lit(10 ** scale)).cast("double")).alias("rain_30d"),
     )
 
 
@@ -119,9 +131,9 @@ def arg_max_row(df: DataFrame, value: str, tie: Sequence[str] = (CITY,),
     return df.where(v.isNotNull()).orderBy(order, *_asc(tie)).limit(1)
 
 
-def selected_card(df: DataFrame, tie: Sequence[str] = (CITY,)) -> DataFrame:
+def selected_card(df: DataFrame, tie: Sequence[str] = (CITY,), as_of=None) -> DataFrame:
     """The hottest latest-date row as a display card (rounded values)."""
-    row = arg_max_row(latest_slice(df), "temperature_max", tie)
+    row = arg_max_row(latest_slice(df, as_of=as_of), "temperature_max", tie)
     hum = S.col_or_default(row, "humidity_mean", 60)
     return row.select(
         CITY, "country", "weather_description",
@@ -140,9 +152,9 @@ def top_k(df: DataFrame, value: str, k: int, tie: Sequence[str] = (CITY,)) -> Da
     return df.orderBy(S.nan_to_null(value).desc_nulls_last(), *_asc(tie)).limit(k)
 
 
-def top_cities(df: DataFrame, k: int = 8, tie: Sequence[str] = (CITY,)) -> DataFrame:
+def top_cities(df: DataFrame, k: int = 8, tie: Sequence[str] = (CITY,), as_of=None) -> DataFrame:
     """Top-k list of the latest date with its display rounding."""
-    return top_k(latest_slice(df), "temperature_mean", k, tie).select(
+    return top_k(latest_slice(df, as_of=as_of), "temperature_mean", k, tie).select(
         F.col(CITY).alias("name"), F.col("country_code").alias("country"),
         S.round_half_even("temperature_mean", 1).alias("temp"),
         F.col("weather_description").alias("condition"),
@@ -169,10 +181,16 @@ def last_n_per_key(df: DataFrame, key: str, n: int, date: str = DATE,
     return df.withColumn("rn", F.row_number().over(w).cast("bigint")).where(F.col("rn") <= n)
 
 
-def trend_of_top_key(df: DataFrame, n: int = 8, tie: Sequence[str] = ()) -> DataFrame:
-    """The hottest latest-date entity's last ``n`` rows, oldest first."""
-    hot = arg_max_row(latest_slice(df), "temperature_max", (CITY, *tie)).select(CITY).scalar()
-    rows = last_n(df.where(F.col(CITY) == hot), n, DATE, tie)
+def trend_of_top_key(df: DataFrame, n: int = 8, tie: Sequence[str] = (), as_of=None,
+                     since=None) -> DataFrame:
+    """The hottest latest-date entity's last ``n`` rows, oldest first.
+
+    ``since``: a date from which those rows are known to lie (one row a day: ``n - 1``
+    days before ``as_of``); without it the entity's whole history is read.
+    """
+    hot = arg_max_row(latest_slice(df, as_of=as_of), "temperature_max", (CITY, *tie)).select(CITY).scalar()
+    own = df if since is None else df.where(F.col(DATE) >= F.lit(since).cast("date"))
+    rows = last_n(own.where(F.col(CITY) == hot), n, DATE, tie)
     return rows.select(
         DATE, CITY, S.date_label(DATE).alias("label"),
         S.round_half_even("temperature_max", 1).alias("temp_max"),
@@ -183,9 +201,9 @@ def trend_of_top_key(df: DataFrame, n: int = 8, tie: Sequence[str] = ()) -> Data
     ).orderBy(DATE, *tie)
 
 
-def latest_points(df: DataFrame) -> DataFrame:
+def latest_points(df: DataFrame, as_of=None) -> DataFrame:
     """Map points of the latest date: coordinates, value, ``city, country`` label."""
-    return latest_slice(df).select(
+    return latest_slice(df, as_of=as_of).select(
         CITY, S.round_half_even("latitude", 4).alias("lat"),
         S.round_half_even("longitude", 4).alias("lon"),
         S.round_half_even("temperature_mean", 1).alias("temp"),
@@ -194,36 +212,39 @@ def latest_points(df: DataFrame) -> DataFrame:
 
 
 def top_groups_share(df: DataFrame, group: str = "country", amount: str = "precipitation_sum",
-                     k: int = 6, days: int = 30) -> DataFrame:
+                     k: int = 6, days: int = 30, scale: int = 1, date: str = DATE,
+                     as_of=None) -> DataFrame:
     """Top-k groups by trailing-window total with their share of the largest.
 
-    Totals are exact (integer tenths).  The largest total is taken over the
-    k result rows with a window: its input is bounded by the limit, so the
+    Totals are exact for values of ``scale`` decimals.  The largest total is taken over
+    the k result rows with a window: its input is bounded by the limit, so the
     aggregation is not run a second time (a zero maximum counts as 1).
     """
-    recent = trailing_from_latest(df, days)
-    sums = recent.groupBy(group).agg(F.coalesce(F.sum(S.tenths(amount)), F.lit(0)).alias("_t"))
+    one = 10 ** scale
+    recent = trailing_from_latest(df, days, date, as_of)
+    sums = recent.groupBy(group).agg(F.coalesce(F.sum(S.units(amount, scale)), F.lit(0)).alias("_t"))
     top = sums.orderBy(F.col("_t").desc(), F.col(group).asc()).limit(k)
     mx = F.max("_t").over(Window.partitionBy())
-    den = F.when(mx == 0, F.lit(10)).otherwise(mx)
+    den = F.when(mx == 0, F.lit(one)).otherwise(mx)
     return top.select(
         F.col(group).alias("name"),
-        S.ratio_round_half_even(F.col("_t"), F.lit(10)).cast("double").alias("val"),
+        S.ratio_round_half_even(F.col("_t"), F.lit(one)).cast("double").alias("val"),
         S.ratio_round_half_even(F.col("_t") * 100, den).cast("double").alias("pct"),
     )
 
 
-def latest_min_max(df: DataFrame, value: str = "temperature_mean") -> DataFrame:
+def latest_min_max(df: DataFrame, value: str = "temperature_mean", as_of=None) -> DataFrame:
     v = S.nan_to_null(value)
-    return latest_slice(df).agg(S.round_half_even(F.min(v), 1).alias("min_value"),
+    return latest_slice(df, as_of=as_of).agg(S.round_half_even(F.min(v), 1).alias("min_value"),
                                 S.round_half_even(F.max(v), 1).alias("max_value"))
 
 
 def group_mean_remap(df: DataFrame, group: str, value: str, mapping: Mapping[str, str],
-                     mapped: str = "iso3") -> DataFrame:
+                     mapped: str = "iso3", scale: int = 1, as_of=None) -> DataFrame:
     """Mean per group on the latest date, group code remapped, unmatched dropped."""
-    means = latest_slice(df).groupBy(group).agg(
-        S.mean_tenths(F.sum(S.tenths(value)), F.count(S.tenths(value)), half_even=True).alias(value))
+    u = S.units(value, scale)
+    means = latest_slice(df, as_of=as_of).groupBy(group).agg(
+        S.mean_units(F.sum(u), F.count(u), scale, half_even=True).alias(value))
     return (means.withColumn(mapped, S.code_lookup(group, mapping, None))
                  .na.drop(subset=[mapped]))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvia import presets as P
+from pluvia.functions import scalars as S
 
 
 def flatten_parallel(df: DataFrame, struct_col: str, index_field: str,
@@ -36,6 +37,9 @@ def flatten_parallel(df: DataFrame, struct_col: str, index_field: str,
 def flatten_payload(responses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Per-entity responses (``daily`` + ``_city_meta``) to observation rows.
 
+    Each element is coerced by itself: text that is no number is one missing value, a
+    code like ``3.0`` is 3, and a code that is no integer raises.
+
     ``keep``: extra columns carried through (e.g. the run date).
     """
     meta = [F.col(f"_city_meta.{src}").alias(dst) for src, dst in (
@@ -44,6 +48,8 @@ def flatten_payload(responses: DataFrame, keep: Sequence[str] = ()) -> DataFrame
         ("timezone", "timezone"))]
     flat = flatten_parallel(responses.select(*keep, *meta, "daily"), "daily", "time",
                             P.RAW_VARIABLES, keep=[*keep, *P.DIMENSION_COLUMNS])
+    flat = flat.withColumns({c: S.coerce_double(c) for c in P.NUMERIC_COLUMNS}
+                            | {"weather_code": S.coerce_integer("weather_code", "weather_code")})
     return flat.select(*P.OBSERVATION_COLUMNS, *keep)
 
 
@@ -58,17 +64,19 @@ def _field_of(name: str):
 
 
 def to_parallel_arrays(df: DataFrame, group: Sequence[str], order_col: str,
-                       fields: Mapping[str, str], bucket_rows: int = 64,
+                       fields: Mapping[str, str], chunk_size: int = 64,
                        struct_col: str = "daily") -> DataFrame:
     """Pack rows into parallel-array payloads (the inverse of flattening).
 
-    Rows of a group are cut into buckets of ``bucket_rows`` consecutive
-    ``order_col`` values, so every collected array is bounded however large
-    a group is.  ``order_col`` must be a unique integer key (a source id):
-    the bound is ``bucket_rows`` rows per (group, bucket) only then.
+    A payload row is a chunk: the rows of a group whose ``order_col`` falls into one
+    range of ``chunk_size`` consecutive integers, so a long series becomes several
+    chunks and no collected array grows with a group.  ``order_col`` must be a unique
+    integer key (a source id): a chunk holds at most ``chunk_size`` rows only then.
     ``fields`` maps column -> array name.
     """
-    b = df.withColumn("_bucket", F.floor(F.col(order_col) / F.lit(bucket_rows)))
+    o = F.col(order_col).cast("bigint")
+    size = F.lit(chunk_size).cast("bigint")
+    b = df.withColumn("_bucket", F.call_function("div", o - F.pmod(o, size), size))
     items = F.struct(F.col(order_col).alias("_o"), *[F.col(c).alias(a) for c, a in fields.items()])
     packed = b.groupBy(*group, "_bucket").agg(F.array_sort(F.collect_list(items)).alias("_rows"))
     arrays = F.struct(*[F.transform("_rows", _field_of(a)).alias(a) for a in fields.values()])

@@ -1,45 +1,27 @@
-"""Dimension joins with a checked broadcast side, and the coverage gap."""
+"""Dimension joins and the coverage gap.
 
-from __future__ import annotations
+No join carries a broadcast hint: the planner broadcasts a side whose estimated bytes
+are under its threshold, AQE does so from measured sizes and splits skewed partitions.
+"""
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from __future__ import annotations
 
-from pluvia.session import session_key
+from collections.abc import Sequence
 
-# A dimension side is broadcast only when it provably holds at most this many
-# rows; beyond it the join falls back to the planner's shuffle join.
-MAX_BROADCAST_ROWS = 100_000
+from pyspark.sql import Column, DataFrame
 
 
-_CHECKED: dict[tuple, bool] = {}
+def attach_dimension(fact: DataFrame, dim: DataFrame, on: Column | str | list,
+                     how: str = "inner") -> DataFrame:
+    """Add a dimension's columns to facts."""
+    return fact.join(dim, on, how)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def coverage_gap(requested: DataFrame, responses: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Requested keys with no response (``NOT EXISTS``).
 
-    The check reads at most ``max_rows + 1`` rows (a bounded limit job), so
-    it stays cheap however large the table turns out to be.  The answer is
-    remembered per application and semantic plan.
+    The responses are reduced to their distinct keys first (combined map-side), so a
+    responder with most of the rows reaches the anti join as one row a task.
     """
-    key = (session_key(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
-
-
-def dimension_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Attach a dimension to facts; the dimension is broadcast after a size check."""
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    return fact.join(side, on, how)
-
-
-def coverage_gap(requested: DataFrame, responses: DataFrame, on) -> DataFrame:
-    """Requested keys with no response (``NOT EXISTS``), as a left anti join."""
-    return requested.join(responses, on, "left_anti")
-
-
-def attach_dimension(fact: DataFrame, dim: DataFrame, on: Column | str | list,
-                     how: str = "inner") -> DataFrame:
-    return dimension_join(fact, dim, on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    return requested.join(responses.select(*keys).distinct(), keys, "left_anti")

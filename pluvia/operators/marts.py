@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,71 +62,91 @@ def daily_summary(stg: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class StatsColumns:
+    """Columns of the per-entity statistics, and the decimals of their values."""
+    mean: str = "temperature_mean"
+    high: str = "temperature_max"
+    low: str = "temperature_min"
+    amount: str = "precipitation_sum"
+    wind: str = "wind_speed_max"
+    humidity: str = "humidity_mean"
+    uv: str = "uv_index_max"
+    heavy: str = "heavy_rain_day"
+    heat: str = "heat_alert_day"
+    scale: int = 1
+
+
 def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
                window_days: int | None = None, as_of: dt.date | str | None = None,
-               mode_col: str = "weather_description", mode: str = "exact") -> DataFrame:
-    """Per-entity statistics of the daily mart.
+               mode_col: str = "weather_description", mode: str = "exact",
+               measures: StatsColumns | None = None, max_items: int = 10000) -> DataFrame:
+    """Per-entity statistics of the daily mart, in no particular order.
 
     ``mode="exact"`` (default) picks the most frequent label exactly
-    (smallest on ties); ``mode="approx"`` uses the ``approx_top_k`` sketch.
+    (smallest on ties); ``mode="approx"`` uses the ``approx_top_k`` sketch, which
+    tracks ``max_items`` labels a group (exact up to so many, an estimate beyond), and
+    returns its estimated count as ``most_common_count``.
     ``window_days=None`` reads all history; ``window_days=30`` keeps dates on
-    or after ``as_of - 30``.  Means and sums use exact integer tenths (the
-    inputs are one-decimal values), so results are independent of
+    or after ``as_of - 30``.  Means and sums are exact for values of
+    ``measures.scale`` decimals, so results are independent of
     partitioning.  One chain of shuffles: (keys, mode value) partial
     aggregates, then per-key totals plus the mode pick, no join.
     """
-    keys = list(keys)
+    keys, m = list(keys), measures or StatsColumns()
     df = daily
     if window_days is not None:
         start = F.date_sub(F.lit(as_of).cast("date"), window_days)
         df = df.where(F.col("date") >= start)
 
-    means = ["temperature_mean", "wind_speed_max", "humidity_mean", "uv_index_max"]
+    def u(c):
+        return S.units(c, m.scale)
+
     partial = [F.count(F.lit(1)).alias("n")]
-    for c in means:
-        partial += [F.sum(S.tenths(c)).alias(f"s_{c}"), F.count(S.tenths(c)).alias(f"c_{c}")]
+    for c in dict.fromkeys([m.mean, m.wind, m.humidity, m.uv]):
+        partial += [F.sum(u(c)).alias(f"s_{c}"), F.count(u(c)).alias(f"c_{c}")]
     v = S.nan_to_null  # NaN is missing, never a maximum
     partial += [
-        F.max(v("temperature_max")).alias("mx_t"), F.min(v("temperature_min")).alias("mn_t"),
-        F.sum(S.tenths("precipitation_sum")).alias("s_p"),
-        F.count_if(v("precipitation_sum") > 0).alias("rainy"),
-        F.max(v("wind_speed_max")).alias("mx_w"),
-        F.count_if(F.col("heavy_rain_day")).alias("heavy"),
-        F.count_if(F.col("heat_alert_day")).alias("heat"),
+        F.max(v(m.high)).alias("mx_t"), F.min(v(m.low)).alias("mn_t"),
+        F.sum(u(m.amount)).alias("s_p"),
+        F.count_if(v(m.amount) > 0).alias("rainy"),
+        F.max(v(m.wind)).alias("mx_w"),
+        F.count_if(F.col(m.heavy)).alias("heavy"),
+        F.count_if(F.col(m.heat)).alias("heat"),
     ]
     if mode == "approx":
         # One shuffle by key: the measures as above, the mode from the
         # mergeable approx_top_k sketch (ties unspecified, NULL counted).  The
         # per-key pass below then runs on data already partitioned by key.
-        top = F.call_function("approx_top_k", F.col(mode_col), F.lit(1), F.lit(10000))
+        top = F.call_function("approx_top_k", F.col(mode_col), F.lit(1), F.lit(max_items))
         level1 = df.groupBy(*keys).agg(*partial, top.alias("_approx"))
+        picks = [F.first(F.col("_approx")[0]["item"]).alias("_pick"),
+                 F.first(F.col("_approx")[0]["count"]).alias("most_common_count")]
     elif mode == "exact":
         level1 = df.groupBy(*keys, mode_col).agg(*partial)
+        picks = [F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(mode_col).alias("v")))
+                 .getField("v").alias("_pick")]
     else:
         raise ValueError(f"unknown mode {mode!r}")
 
     def mean(c):
-        return S.mean_tenths(F.sum(f"s_{c}"), F.sum(f"c_{c}"))
+        return S.mean_units(F.sum(f"s_{c}"), F.sum(f"c_{c}"), m.scale)
 
-    pick = (F.first(F.col("_approx")[0]["item"]).alias("_pick") if mode == "approx" else
-            F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(mode_col).alias("v")))
-            .getField("v").alias("_pick"))
     stats = level1.groupBy(*keys).agg(
-        mean("temperature_mean").alias("avg_temperature"),
+        mean(m.mean).alias("avg_temperature"),
         F.round(F.max("mx_t"), 1).alias("max_temperature"),
         F.round(F.min("mn_t"), 1).alias("min_temperature"),
-        (F.sum("s_p") / F.lit(10.0)).alias("total_precipitation"),
+        (F.sum("s_p") / F.lit(10.0 ** m.scale)).alias("total_precipitation"),
         F.sum("rainy").cast("bigint").alias("rainy_days"),
         F.sum("n").cast("bigint").alias("total_days"),
-        mean("wind_speed_max").alias("avg_wind_speed"),
+        mean(m.wind).alias("avg_wind_speed"),
         F.round(F.max("mx_w"), 1).alias("max_wind_speed"),
-        mean("humidity_mean").alias("avg_humidity"),
-        mean("uv_index_max").alias("avg_uv_index"),
+        mean(m.humidity).alias("avg_humidity"),
+        mean(m.uv).alias("avg_uv_index"),
         F.sum("heavy").cast("bigint").alias("heavy_rain_days"),
         F.sum("heat").cast("bigint").alias("heat_alert_days"),
-        pick,
+        *picks,
     )
     return (stats.withColumnRenamed("_pick", "most_common_weather")
             .withColumn("rain_percentage",
-                        S.safe_percentage(F.col("rainy_days"), F.col("total_days"), 1))
-            .orderBy(F.col("avg_temperature").desc_nulls_last(), *keys))
+                        S.safe_percentage(F.col("rainy_days"), F.col("total_days"), 1)))

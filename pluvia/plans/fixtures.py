@@ -13,25 +13,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvia.session import session_key
-
-from pluvia.operators.joins import dimension_join
+from pluvia.operators.joins import attach_dimension
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
-_SCANS: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A lazy scan of one test table (the plan, not the data, is memoised:
-    file listing and footer reads happen once per application)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (session_key(spark), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    """A lazy scan of one test table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 OBS_COLUMNS = [
@@ -68,31 +58,22 @@ OBS_SQL = "SELECT " + ",\n  ".join(OBS_COLUMNS) + "\n" + OBS_FROM
 
 
 def nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation ⋈ region: 25 x 5 rows by definition, so a broadcast side."""
-    return dimension_join(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"),
-                          F.col("n_regionkey") == F.col("r_regionkey"))
+    """nation ⋈ region."""
+    return attach_dimension(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"),
+                            F.col("n_regionkey") == F.col("r_regionkey"))
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (session_key(spark), sf_dir, "obs")
-    if key not in _SCANS:
-        _SCANS[key] = _obs(spark, sf_dir)
-    return _SCANS[key]
-
-
-def _obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The observation-shaped fact rows over the TPC-H-like tables.
 
-    orders ⋈ customer is a fact-to-fact join left to the planner (sort-merge
-    at scale, AQE turns it into a broadcast only when the runtime size of a
-    side is below the threshold); nation ⋈ region is attached by a broadcast
-    hash join since both are bounded dimension tables.
+    Every join is left to the planner: the two dimension tables are far below its
+    broadcast threshold, orders ⋈ customer sorts and merges at scale.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     dims = nation_region(spark, sf_dir).select("n_nationkey", "n_name", "r_name")
     facts = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    joined = dimension_join(facts, dims, F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = attach_dimension(facts, dims, F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.selectExpr(*OBS_COLUMNS)
 
 

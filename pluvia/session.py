@@ -58,15 +58,14 @@ def build_session(master: str | None = None, app_name: str = "pluvia",
     return spark
 
 
-def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   min_partitions: int = 200, max_partitions: int = 200_000) -> dict[str, str]:
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle sizing for a job reading ``input_bytes``.
 
-    The initial shuffle partition count is sized so each reducer starts near
-    ``target_partition_bytes``; AQE then coalesces small ones and splits
-    skewed join partitions.  (100 TB -> the 200,000 cap; AQE merges down.)
+    The initial shuffle partition count is the input over ``target_partition_bytes``
+    (100 TB at 256 MB: 409,600), so a reducer's share stays the same at every size;
+    AQE then coalesces small ones and splits skewed join partitions.
     """
-    n = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(1, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
@@ -83,11 +82,6 @@ def app_id(spark: SparkSession) -> str:
         return str(id(spark))
 
 
-def session_key(spark: SparkSession) -> tuple:
-    """Cache key of one session of one application (plans are per session)."""
-    return (app_id(spark), id(spark))
-
-
 def _context(spark: SparkSession):
     try:
         return spark.sparkContext
@@ -98,14 +92,17 @@ def _context(spark: SparkSession):
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and registered, so cluster jobs always write to the shared location.
+    Only a ``local`` session without one gets a private folder (its executors are this
+    process); on a cluster a missing setting raises, since no local folder is shared.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="pluvia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None:
