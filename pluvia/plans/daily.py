@@ -1,9 +1,9 @@
 """The daily batch job end to end, and the mart rebuild.
 
-``run_daily``: raw payload -> flattened rows (kept once as Parquet: multi-line
-JSON cannot be split) -> quality report -> clean rows (CSV for the reports,
-as the source job writes them) -> fact table load -> marts rebuilt.  Every
-step is a Spark job over the whole batch; nothing is collected.
+``run_daily``: raw payload -> landed lines (one task reads the unsplittable document once;
+all later steps split) -> flattened rows kept as Parquet -> quality report -> clean rows
+(CSV as an export) -> fact table load -> marts rebuilt.  Every step is a Spark job over the
+whole batch; nothing is collected.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pluvia import schemas as SC
 from pluvia.operators import marts as M
 from pluvia.operators.clean import clean
 from pluvia.operators.flatten import flatten_payload
@@ -23,17 +25,33 @@ from pluvia.sources import warehouse as WH
 
 
 def paths(out_root: str) -> dict[str, str]:
-    names = ("flat", "quality", "clean", "fact_weather", "mart_daily_summary", "mart_city_stats")
+    names = ("landed", "flat", "quality", "clean", "fact_weather", "mart_daily_summary",
+             "mart_city_stats")
     return {n: os.path.join(out_root, n) for n in names}
 
 
-def land_flat(spark: SparkSession, raw_path: str, flat_dir: str, run_date: dt.date) -> DataFrame:
-    """Flatten one run's payload and keep it as Parquet under ``run_date``."""
-    rows = flatten_payload(FS.city_responses(FS.read_raw(spark, raw_path)))
-    out = rows.withColumn(FS.RUN_DATE, F.lit(run_date).cast("date"))
-    FS.replace_partitions(out, FS.RUN_DATE).parquet(flat_dir)
-    return (spark.read.parquet(flat_dir)
-            .where(F.col(FS.RUN_DATE) == F.lit(run_date).cast("date")).drop(FS.RUN_DATE))
+def land_run(spark: SparkSession, raw_path: str, landed_dir: str, run_date: dt.date,
+             extracted_at: dt.datetime | None = None) -> DataFrame:
+    """Land one run's payload and return its responses as splittable lines.
+
+    A run in which no entity answered raises.
+    """
+    raw = FS.read_raw(spark, raw_path)
+    failed = raw.select(F.explode("failed_cities").alias("name"))
+    out = FS.land_raw(FS.city_responses(raw), failed, landed_dir, run_date,
+                      extracted_at or dt.datetime.combine(run_date, dt.time()))
+    ok = FS.read_landed(spark, out["header"], run_date, FS.HEADER).first()["total_cities_successful"]
+    if not ok:
+        raise RuntimeError(f"no entity answered in the run of {run_date}")
+    return FS.read_landed(spark, out["data"], run_date).drop(FS.RUN_DATE)
+
+
+def land_flat(responses: DataFrame, flat_dir: str, run_date: dt.date) -> DataFrame:
+    """Flatten one run's responses and keep them as Parquet in the run's folder."""
+    path = FS.run_folder(flat_dir, run_date)
+    flat = flatten_payload(responses)
+    flat.write.mode("overwrite").parquet(path)
+    return responses.sparkSession.read.schema(flat.schema).parquet(path)
 
 
 def build_marts(spark: SparkSession, fact_root: str, daily_dir: str, stats_dir: str,
@@ -57,7 +75,7 @@ def run_daily(spark: SparkSession, raw_path: str, out_root: str, run_date: dt.da
     report is written and the run goes on.
     """
     p = paths(out_root)
-    rows = land_flat(spark, raw_path, p["flat"], run_date)
+    rows = land_flat(land_run(spark, raw_path, p["landed"], run_date, loaded_at), p["flat"], run_date)
     report = quality_report(rows, run_date)
     FS.write_reports(report, p["quality"])
     status = FS.read_reports(spark, p["quality"]).where(
@@ -65,42 +83,50 @@ def run_daily(spark: SparkSession, raw_path: str, out_root: str, run_date: dt.da
         "total_rows", "valid_rows", "overall_passed").first()
     silver = clean(rows)
     FS.write_clean_csv(silver, p["clean"], run_date)
-    metrics = WH.load(FS.read_clean_csv(spark, os.path.join(p["clean"], f"{FS.RUN_DATE}={run_date}")),
-                      p["fact_weather"], load_mode, loaded_at=loaded_at, grain=grain)
+    metrics = WH.load(silver, p["fact_weather"], load_mode, loaded_at=loaded_at, grain=grain)
     marts = build_marts(spark, p["fact_weather"], p["mart_daily_summary"], p["mart_city_stats"])
     return {**metrics, "report": status.asDict(), **marts}
 
 
-def build_report_tables(spark: SparkSession, fact_root: str, reports_dir: str, out_dir: str,
-                        preferred_key: str | None = "Lima", top_n: int = 8,
-                        top_groups: int = 6) -> dict[str, int]:
-    """Every reporting result table (B1-B16), written under ``out_dir``.
+def materialise_models(spark: SparkSession, fact: DataFrame, database: str,
+                       window_days: int | None = None, as_of=None) -> list[str]:
+    """The models in the catalog: staging as a view, the marts as tables rebuilt whole."""
+    M.staging(fact).createOrReplaceTempView("stg_weather")
+    daily, stats = f"{database}.mart_daily_summary", f"{database}.mart_city_stats"
+    M.daily_summary(spark.table("stg_weather")).write.mode("overwrite").saveAsTable(daily)
+    M.city_stats(spark.table(daily), window_days=window_days, as_of=as_of) \
+        .write.mode("overwrite").saveAsTable(stats)
+    return ["stg_weather", daily, stats]
+
 
-    Each table is its own Spark job over the fact table; the latest-date and
-    trailing-window filters are scalar subqueries that prune date partitions,
-    so the history is never read whole for a "today" table.
+def report_tables(rows: DataFrame, as_of: dt.date | None, history: DataFrame,
+                  keys: DataFrame | None = None, preferred_key: str | None = "Lima",
+                  top_n: int = 8, top_groups: int = 6) -> dict[str, DataFrame]:
+    """Every reporting result table (B1-B16) as of one date.
+
+    All but the date bounds, the city list (both from ``keys`` where given) and the
+    status counts read only the partitions of their window.
     """
     from pluvia import presets as P
     from pluvia.operators import dashboard as B
     from pluvia.operators import quality as DQ
 
-    rows = WH.read_table(spark, fact_root)
-    period = B.default_period(rows, preferred=preferred_key)
-    history = FS.read_reports(spark, reports_dir)
-    tables = {
-        "headline_kpis": B.headline_kpis(rows),
-        "hottest_card": B.selected_card(rows),
-        "coldest": B.arg_max_row(B.latest_slice(rows), "temperature_min", largest=False)
+    period = B.default_period(rows, preferred=preferred_key, as_of=as_of, keys=keys)
+    since = None if as_of is None else as_of - dt.timedelta(days=P.DAYS_BACK)
+    return {
+        "headline_kpis": B.headline_kpis(rows, as_of=as_of),
+        "hottest_card": B.selected_card(rows, as_of=as_of),
+        "coldest": B.arg_max_row(B.latest_slice(rows, as_of=as_of), "temperature_min", largest=False)
                     .select("city_name", "country", "temperature_min"),
-        "top_cities": B.top_cities(rows, top_n),
-        "trend": B.trend_of_top_key(rows, 8),
-        "latest_points": B.latest_points(rows),
-        "top_groups_share": B.top_groups_share(rows, k=top_groups),
-        "latest_min_max": B.latest_min_max(rows),
+        "top_cities": B.top_cities(rows, top_n, as_of=as_of),
+        "trend": B.trend_of_top_key(rows, 8, as_of=as_of, since=since),
+        "latest_points": B.latest_points(rows, as_of=as_of),
+        "top_groups_share": B.top_groups_share(rows, k=top_groups, as_of=as_of),
+        "latest_min_max": B.latest_min_max(rows, as_of=as_of),
         "country_means": B.group_mean_remap(rows, "country_code", "temperature_mean",
-                                            P.ISO2_TO_ISO3),
-        "cities": B.distinct_sorted(rows),
-        "date_bounds": B.date_bounds(rows),
+                                            P.ISO2_TO_ISO3, as_of=as_of),
+        "cities": B.distinct_sorted(rows if keys is None else keys),
+        "date_bounds": B.date_bounds(rows.select("date")),
         "period_series": period.select("date", "city_name", "temperature_max", "temperature_min",
                                        "temperature_mean", "precipitation_sum", "wind_speed_max"),
         "period_kpis": B.period_kpis(period),
@@ -109,6 +135,25 @@ def build_report_tables(spark: SparkSession, fact_root: str, reports_dir: str, o
         "report_status": DQ.report_status(history, rows.agg(F.count(F.lit(1)).alias("n"))),
         "report_checks": DQ.checks_of_reports(FS.latest_report(history)),
     }
+
+
+def build_report_tables(spark: SparkSession, fact_root: str, reports_dir: str, out_dir: str,
+                        preferred_key: str | None = "Lima", top_n: int = 8, top_groups: int = 6,
+                        grain: str = "day", stats_dir: str | None = None) -> dict[str, int]:
+    """Every reporting result table (B1-B16), written under ``out_dir``.
+
+    The latest date is read once, from the table's folders, and given to every table as a
+    literal that prunes the scan.  ``stats_dir``: the per-entity mart, from which the
+    city list and the selected city come; without it the facts are read for them.
+    No report folder yet counts as no report.
+    """
+    as_of = WH.latest_loaded_date(spark, fact_root, grain)
+    full = SC.FACT if grain == "day" else T.StructType(
+        SC.FACT.fields + [T.StructField(WH.partition_column(grain), T.StringType())])
+    rows = spark.read.schema(full).parquet(fact_root)
+    keys = spark.read.parquet(stats_dir).select("city_name") if stats_dir else None
+    tables = report_tables(rows, as_of, FS.read_reports(spark, reports_dir), keys, preferred_key,
+                           top_n, top_groups)
     sizes = {}
     for name, df in tables.items():
         path = os.path.join(out_dir, name)

@@ -7,6 +7,10 @@ from pyspark.sql import types as T
 D, S, L, B = T.DoubleType(), T.StringType(), T.LongType(), T.BooleanType()
 
 
+# Names of the database objects.
+DATABASE, FACT_TABLE = "weather", "fact_weather"
+
+
 def _arr(t):
     return T.ArrayType(t, True)
 
@@ -18,22 +22,13 @@ CITY = T.StructType([
     T.StructField("timezone", S),
 ])
 
-DAILY = T.StructType([
-    T.StructField("time", _arr(S)),
-    T.StructField("temperature_2m_max", _arr(D)),
-    T.StructField("temperature_2m_min", _arr(D)),
-    T.StructField("temperature_2m_mean", _arr(D)),
-    T.StructField("precipitation_sum", _arr(D)),
-    T.StructField("precipitation_hours", _arr(D)),
-    T.StructField("wind_speed_10m_max", _arr(D)),
-    T.StructField("wind_direction_10m_dominant", _arr(D)),
-    T.StructField("relative_humidity_2m_max", _arr(D)),
-    T.StructField("relative_humidity_2m_min", _arr(D)),
-    T.StructField("uv_index_max", _arr(D)),
-    T.StructField("weather_code", _arr(L)),
-    T.StructField("sunrise", _arr(S)),
-    T.StructField("sunset", _arr(S)),
-])
+# The variables of a payload are read as text: a cell that is no number then reaches the
+# coercion as it is, instead of emptying its whole array in the reader.
+DAILY = T.StructType([T.StructField(name, _arr(S)) for name in (
+    "time", "temperature_2m_max", "temperature_2m_min", "temperature_2m_mean",
+    "precipitation_sum", "precipitation_hours", "wind_speed_10m_max",
+    "wind_direction_10m_dominant", "relative_humidity_2m_max", "relative_humidity_2m_min",
+    "uv_index_max", "weather_code", "sunrise", "sunset")])
 
 CITY_RESPONSE = T.StructType([
     T.StructField("daily", DAILY),

@@ -1,14 +1,16 @@
-"""File sources and sinks: raw payloads, clean CSV, quality reports.
+"""File sources and sinks: raw payloads, landing, clean CSV, quality reports.
 
-All reads use explicit schemas; all writes are partitioned by a run/batch
-column with dynamic partition overwrite, so a same-day rerun replaces only
-its own partition.
+Reads use explicit schemas and fail on malformed input; a run's output is the folder of
+its run date, overwritten as a whole, so that a rerun without rows leaves none behind.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,32 +18,79 @@ from pyspark.sql import types as T
 from pluvia import schemas as SC
 
 RUN_DATE = "run_date"
+_RUN_FOLDER = r"(\d{4})/(\d{2})/(\d{2})/[^/]*$"
 
+# Texts that a CSV cell may hold for a missing value.
+MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                 "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
-def replace_partitions(df: DataFrame, *cols: str):
-    """A writer that replaces only the partitions ``df`` holds (dynamic
-    overwrite set on the write itself, whatever the session default)."""
-    return (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*cols))
+
+def run_folder(root: str, run_date) -> str:
+    return os.path.join(root, f"{RUN_DATE}={_iso(run_date)}")
+
+
+def _iso(run_date) -> str:
+    return run_date if isinstance(run_date, str) else run_date.isoformat()
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system its scheme (or default) names."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder (none if there is no folder)."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def stage(df: DataFrame, root: str) -> tuple[DataFrame, str]:
+    """``df`` written once under ``root`` (in a folder readers of ``root`` skip)."""
+    path = os.path.join(root, "_staging", uuid.uuid4().hex[:12])
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _read_or_empty(read, spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """What ``read`` gives, or no rows where the folder does not exist (yet)."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 # --- S2 / S4: raw payload -------------------------------------------------
 
-def read_raw(spark: SparkSession, path: str | list[str], with_run_date: bool = False) -> DataFrame:
+def with_run_date(df: DataFrame) -> DataFrame:
+    """The run date of each file's ``YYYY/MM/DD`` folder as a column."""
+    fp = F.col("_metadata.file_path")
+    return df.withColumn(RUN_DATE, F.to_date(F.concat_ws(
+        "-", *[F.regexp_extract(fp, _RUN_FOLDER, i) for i in (1, 2, 3)])))
+
+
+def read_raw(spark: SparkSession, path: str | list[str], run_date: bool = False) -> DataFrame:
     """Whole multi-line JSON payloads, one row per file, explicit schema.
 
-    Multi-line JSON cannot be split, so each file is one task: land it once
-    and keep the flattened result as Parquet rather than re-reading it.
-    ``with_run_date`` derives the run date from a ``YYYY/MM/DD`` folder path.
+    A truncated or malformed document raises; a missing file raises.  Multi-line JSON
+    cannot be split, so each file is one task: land it (:func:`land_raw`) and read the
+    landed lines from then on.  ``run_date`` adds the date of the file's folder.
     """
-    df = spark.read.schema(SC.RAW_PAYLOAD).option("multiLine", True).json(path)
-    if with_run_date:
-        rx = r"(\d{4})/(\d{2})/(\d{2})/[^/]*$"
-        fp = F.col("_metadata.file_path")
-        df = df.withColumn(RUN_DATE, F.to_date(F.concat_ws(
-            "-", F.regexp_extract(fp, rx, 1), F.regexp_extract(fp, rx, 2),
-            F.regexp_extract(fp, rx, 3))))
-    return df
+    df = (spark.read.schema(SC.RAW_PAYLOAD).option("multiLine", True).option("mode", "FAILFAST")
+          .json(path))
+    return with_run_date(df) if run_date else df
 
 
 def city_responses(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -49,52 +98,55 @@ def city_responses(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return raw.select(*keep, F.explode("data").alias("r")).select(*keep, "r.*")
 
 
-def run_partition_path(root: str, run_date, layout: str = "%Y/%m/%d",
+def run_partition_path(spark: SparkSession, root: str, run_date, layout: str = "%Y/%m/%d",
                        file_name: str = "weather_raw.json") -> str:
-    """Folder of one run date; raises when it does not exist (nothing to do)."""
+    """File of one run date; raises when it does not exist (nothing to do)."""
     path = os.path.join(root, run_date.strftime(layout), file_name)
-    if not os.path.exists(path) and "://" not in root:
+    if not exists(spark, path):
         raise FileNotFoundError(f"raw file not found: {path}")
     return path
 
 
 # --- S3: landing -----------------------------------------------------------
 
-def land_raw(responses: DataFrame, failed: DataFrame, out_dir: str, run_date) -> dict[str, str]:
-    """Land one run: per-entity responses, the failed entity names, a header.
+def land_raw(responses: DataFrame, failed: DataFrame, out_dir: str, run_date,
+             extracted_at: dt.datetime) -> dict[str, str]:
+    """Land one run: per-entity responses, the failed entity names, a header of counts.
 
-    Everything is partitioned by ``run_date`` with dynamic overwrite, so a
-    same-day rerun replaces that day only.  The header carries the counts;
-    failed names stay rows (never one array built in a single task).
+    Each part is the run's own folder, overwritten as a whole: a rerun replaces that run
+    only, and one without failures leaves no failed name.  Failed names stay rows (never
+    one array built in a single task).  ``extracted_at`` is the run's own timestamp.
     """
-    rd = F.lit(run_date).cast("date")
-    data_dir, failed_dir, header_dir = (os.path.join(out_dir, x) for x in ("data", "failed", "header"))
-    replace_partitions(responses.withColumn(RUN_DATE, rd), RUN_DATE).json(data_dir)
-    replace_partitions(failed.withColumn(RUN_DATE, rd), RUN_DATE).json(failed_dir)
+    out = {x: os.path.join(out_dir, x) for x in ("data", "failed", "header")}
+    responses.write.mode("overwrite").json(run_folder(out["data"], run_date))
+    failed.write.mode("overwrite").json(run_folder(out["failed"], run_date))
     tagged = (responses.select(F.lit(1).alias("ok"), F.lit(0).alias("bad"))
               .unionByName(failed.select(F.lit(0).alias("ok"), F.lit(1).alias("bad"))))
     header = tagged.agg(
+        F.lit(extracted_at.isoformat()).alias("extraction_timestamp"),
         F.count(F.lit(1)).alias("total_cities_requested"),
         F.coalesce(F.sum("ok"), F.lit(0)).cast("bigint").alias("total_cities_successful"),
         F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("total_cities_failed"))
-    header = header.withColumn("extraction_timestamp", F.date_format(
-        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
-    header = header.withColumn(RUN_DATE, rd).coalesce(1)
-    replace_partitions(header, RUN_DATE).json(header_dir)
-    return {"data": data_dir, "failed": failed_dir, "header": header_dir}
+    header.coalesce(1).write.mode("overwrite").json(run_folder(out["header"], run_date))
+    return out
 
 
-def read_landed(spark: SparkSession, data_dir: str, run_date=None) -> DataFrame:
-    """Landed per-entity responses (JSON lines, splittable), one run or all.
+HEADER = T.StructType([f for f in SC.RAW_PAYLOAD.fields if f.name.startswith(("extraction", "total"))])
+FAILED = T.StructType([T.StructField("name", T.StringType())])
 
-    Unlike the whole-payload file, landed rows split across tasks, and a run
-    date filter prunes to that partition.
+
+def read_landed(spark: SparkSession, data_dir: str, run_date=None,
+                schema: T.StructType = SC.CITY_RESPONSE) -> DataFrame:
+    """Landed rows (JSON lines, splittable) with their run date, one run or all.
+
+    ``schema``: per-entity responses by default; :data:`HEADER` and :data:`FAILED` for
+    the other two parts.  A run date filter prunes to that folder; malformed lines
+    raise; no folder gives no rows.
     """
-    schema = T.StructType(SC.CITY_RESPONSE.fields + [T.StructField(RUN_DATE, T.DateType())])
-    df = spark.read.schema(schema).json(data_dir)
-    if run_date is not None:
-        df = df.where(F.col(RUN_DATE) == F.lit(run_date).cast("date"))
-    return df
+    full = T.StructType(schema.fields + [T.StructField(RUN_DATE, T.DateType())])
+    df = _read_or_empty(lambda: spark.read.schema(full).option("mode", "FAILFAST").json(data_dir),
+                        spark, full)
+    return df if run_date is None else df.where(F.col(RUN_DATE) == F.lit(run_date).cast("date"))
 
 
 # --- S5 / S6 / S7: clean CSV ----------------------------------------------
@@ -106,21 +158,24 @@ def conform(df: DataFrame, schema=SC.CLEAN) -> DataFrame:
 
 
 def write_clean_csv(df: DataFrame, out_dir: str, run_date, schema=SC.CLEAN) -> str:
-    """Clean rows as headed UTF-8 CSV under ``run_date=...`` (dynamic overwrite).
-
-    Columns are written in the fixed layout so the positional CSV reader
-    with the same schema lines up.
-    """
-    out = conform(df, schema).withColumn(RUN_DATE, F.lit(run_date).cast("date"))
-    replace_partitions(out, RUN_DATE).option("header", True) \
-        .option("encoding", "UTF-8").csv(out_dir)
+    """Clean rows as headed UTF-8 CSV in the run's folder, overwritten as a whole."""
+    (conform(df, schema).write.mode("overwrite").option("header", True)
+     .option("encoding", "UTF-8").csv(run_folder(out_dir, run_date)))
     return out_dir
 
 
 def read_clean_csv(spark: SparkSession, path: str, schema=SC.CLEAN) -> DataFrame:
-    """Read clean CSV back with the fixed schema; the text ``nan`` is missing."""
-    return (spark.read.schema(schema).option("header", True).option("nullValue", "nan")
-            .option("recursiveFileLookup", True).csv(path))
+    """Clean CSV, one run's folder or all of them, with the fixed schema.
+
+    The usual texts for a missing value (:data:`MISSING_TEXTS`) are NULL.  A row with too
+    few or too many cells and a cell that is not of its type raise.  No folder gives no rows.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = _read_or_empty(
+        lambda: (spark.read.schema(text).option("header", True).option("mode", "FAILFAST")
+                 .option("multiLine", True).option("recursiveFileLookup", True).csv(path)), spark, text)
+    return rows.select(*[F.when(~F.col(f.name).isin(*MISSING_TEXTS), F.col(f.name))
+                         .cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def concat_runs(*frames: DataFrame) -> DataFrame:
@@ -142,8 +197,9 @@ def write_reports(reports: DataFrame, out_dir: str) -> str:
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    """Report history with the fixed schema; the partition value stays text."""
-    return spark.read.schema(SC.REPORT).json(path)
+    """Report history with the fixed schema; no folder gives no report."""
+    return _read_or_empty(lambda: spark.read.schema(SC.REPORT).option("mode", "FAILFAST").json(path),
+                          spark, SC.REPORT)
 
 
 def latest_report(reports: DataFrame) -> DataFrame:
