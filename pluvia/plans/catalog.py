@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvia import presets as P
+from pluvia import schemas as SC
 from pluvia.functions import scalars as S
 from pluvia.operators import aggregates as A
 from pluvia.operators import clean as C
@@ -23,7 +24,7 @@ from pluvia.operators import marts as M
 from pluvia.operators import quality as DQ
 from pluvia.plans import fixtures as X
 from pluvia.plans import sqlparts as Q
-from pluvia.session import session_key, work_dir
+from pluvia.session import work_dir
 from pluvia.sources import files as FS
 from pluvia.sources import warehouse as WH
 
@@ -44,24 +45,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
-    """Reuse an already analysed lazy plan (no data is cached)."""
-    key = (kind, session_key(spark), sf_dir)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo("silver", spark, sf_dir, lambda: C.clean(X.obs(spark, sf_dir)))
+    return C.clean(X.obs(spark, sf_dir))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo("daily", spark, sf_dir, lambda: M.daily_summary(
-        M.staging(silver(spark, sf_dir), extra=["src_id"]), extra=["src_id"]))
+    return M.daily_summary(M.staging(silver(spark, sf_dir), extra=["src_id"]), extra=["src_id"])
 
 
 @register("silver_clean", f"WITH {Q.SILVER_CTE} SELECT * FROM silver")
@@ -221,21 +210,22 @@ def q_share_of_max(spark, sf_dir):
                        .alias("share"))
 
 
-@register("clamped_ratio", f"""{SILVER}
-SELECT src_id,
-  greatest(least(humidity_mean / 100.0, 1.0), 0.0) AS humidity_fill,
-  greatest(least(wind_speed_max / 120.0, 1.0), 0.0) AS wind_fill,
-  greatest(least(uv_index_max / 12.0, 1.0), 0.0) AS uv_fill,
-  greatest(least(precipitation_sum / 50.0, 1.0), 0.0) AS rain_fill
-FROM silver""")
+def gauge_sql(x: str, scale: float) -> str:
+    """What a gauge shows of a value that may be NULL or NaN."""
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) OR {x} <= 0 THEN 0.0 WHEN {x} >= {scale} THEN 1.0 ELSE {x} / {scale} END"
+
+
+# Columns with NULLs, values below zero and above the scale, and (odd) with NaN.
+GAUGED = {"precipitation_sum": 50.0, "precipitation_hours": 20.0, "temperature_max": 30.0, "odd": 40.0}
+
+
+@register("clamped_ratio", f"""WITH {Q.OBS_CTE}, g AS (SELECT *,
+  CASE WHEN src_id % 19 = 0 THEN CAST('NaN' AS DOUBLE) ELSE temperature_min END AS odd FROM obs)
+SELECT src_id, {', '.join(f"{gauge_sql(c, v)} AS {c}_fill" for c, v in GAUGED.items())} FROM g""")
 def q_clamped_ratio(spark, sf_dir):
-    sc = P.GAUGE_SCALES
-    return silver(spark, sf_dir).select(
-        "src_id",
-        S.clamped_ratio("humidity_mean", sc["humidity_mean"]).alias("humidity_fill"),
-        S.clamped_ratio("wind_speed_max", sc["wind_speed_max"]).alias("wind_fill"),
-        S.clamped_ratio("uv_index_max", sc["uv_index_max"]).alias("uv_fill"),
-        S.clamped_ratio("precipitation_sum", sc["precipitation_sum"]).alias("rain_fill"))
+    g = X.obs(spark, sf_dir).withColumn("odd", F.when(
+        F.col("src_id") % 19 == 0, F.lit(float("nan"))).otherwise(F.col("temperature_min")))
+    return g.select("src_id", *[S.clamped_ratio(c, v).alias(f"{c}_fill") for c, v in GAUGED.items()])
 
 
 @register("string_labels", f"""SELECT n_nationkey, n_name || ', ' || r_name AS label,
@@ -402,10 +392,13 @@ def q_most_frequent(spark, sf_dir):
                            "most_common_weather")
 
 
-@register("most_frequent_approx")
+@register("most_frequent_approx", f"""{SILVER}
+SELECT city_name, CAST(max(n) AS BIGINT) AS most_common_weather_count FROM (
+  SELECT city_name, weather_description, COUNT(*) AS n FROM silver GROUP BY ALL) t GROUP BY city_name""")
 def q_most_frequent_approx(spark, sf_dir):
+    """The winning count: at a tie the sketch may name another label of that count."""
     return A.most_frequent_approx(silver(spark, sf_dir), ["city_name"], "weather_description",
-                                  "most_common_weather")
+                                  "most_common_weather").drop("most_common_weather")
 
 
 @register("distinct_sorted", f"{SILVER} SELECT DISTINCT city_name FROM silver")
@@ -555,10 +548,9 @@ def q_period_kpis(spark, sf_dir):
 
 @register("last_row_gauges", PERIOD_SQL + """SELECT date, city_name, temperature_mean AS temp,
   humidity_mean AS humidity, wind_speed_max AS wind, uv_index_max AS uv, precipitation_sum AS rain,
-  greatest(least(humidity_mean / 100.0, 1.0), 0.0) AS humidity_fill,
-  greatest(least(wind_speed_max / 120.0, 1.0), 0.0) AS wind_fill,
-  greatest(least(uv_index_max / 12.0, 1.0), 0.0) AS uv_fill,
-  greatest(least(precipitation_sum / 50.0, 1.0), 0.0) AS rain_fill
+  """ + ", ".join(f"{gauge_sql(c, v)} AS {n}_fill" for n, c, v in (
+    ("humidity", "humidity_mean", 100.0), ("wind", "wind_speed_max", 120.0),
+    ("uv", "uv_index_max", 12.0), ("rain", "precipitation_sum", 50.0))) + """
 FROM period ORDER BY date DESC, src_id DESC LIMIT 1""")
 def q_last_row_gauges(spark, sf_dir):
     return B.last_row_gauges(period(spark, sf_dir), tie=("src_id",))
@@ -874,7 +866,168 @@ def q_code_lookup_flag(spark, sf_dir):
                      S.code_lookup("l_returnflag", FLAG_LABELS, "other").alias("flag_label"))
 
 
-@register("mart_city_stats_approx")
+@register("mart_city_stats_approx", f"""WITH m AS ({Q.city_stats_sql()}), {Q.SILVER_CTE},
+c AS (SELECT city_name, country, country_code, region, max(n) AS n FROM (
+  SELECT city_name, country, country_code, region, weather_description, COUNT(*) AS n FROM silver GROUP BY ALL) t
+  GROUP BY ALL)
+SELECT m.* EXCLUDE (most_common_weather), CAST(c.n AS BIGINT) AS most_common_count
+FROM m JOIN c USING (city_name, country, country_code, region)""")
 def q_mart_city_stats_approx(spark, sf_dir):
-    """The mart with the sketch-based mode (rows-only: ties may differ)."""
-    return M.city_stats(daily(spark, sf_dir), mode="approx")
+    """The mart with the sketch-based mode: its count, since ties may name another label."""
+    return M.city_stats(daily(spark, sf_dir), mode="approx").drop("most_common_weather")
+
+
+# ---------------------------------------------------------------------------
+# Two-decimal totals; I/O round trips; catalog tables.
+# ---------------------------------------------------------------------------
+
+@register("group_totals_share", """WITH t AS (SELECT l_suppkey, SUM(CAST(l_extendedprice AS DECIMAL(18, 2))) AS t
+  FROM lineitem WHERE CAST(l_shipdate AS DATE) >= CAST((SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem) - INTERVAL 365 DAY AS DATE)
+  GROUP BY l_suppkey),
+top AS (SELECT * FROM t ORDER BY t DESC, l_suppkey LIMIT 5)
+SELECT l_suppkey AS name, CAST(round_even(t, 0) AS DOUBLE) AS val,
+  CAST(round_even(CAST(t * 100 AS DOUBLE) / CAST((SELECT max(t) FROM top) AS DOUBLE), 0) AS DOUBLE) AS pct FROM top""")
+def q_group_totals_share(spark, sf_dir):
+    li = X.table(spark, sf_dir, "lineitem").select(
+        F.to_date("l_shipdate").alias("shipped"), "l_suppkey", "l_extendedprice")
+    return B.top_groups_share(li, "l_suppkey", "l_extendedprice", k=5, days=365, scale=2, date="shipped")
+
+
+def payload_responses(spark, sf_dir):
+    """``obs`` as per-entity responses of a month: parallel arrays beside the entity."""
+    o = X.obs(spark, sf_dir).withColumns({
+        "time": F.col("date").cast("string"), "month": F.date_format("date", "yyyy-MM"),
+        "sunrise": F.lit(None).cast("string"), "sunset": F.lit(None).cast("string")})
+    fields = {"time": "time"} | {dst: src for src, dst in P.RAW_VARIABLES.items()}
+    packed = N.to_parallel_arrays(o, ["month", *P.DIMENSION_COLUMNS], "src_id", fields)
+    meta = F.struct(F.col("city_name").alias("name"), *P.DIMENSION_COLUMNS[1:])
+    return packed.select("month", "daily", meta.alias("_city_meta"))
+
+
+SILVER_ROWS = f"{SILVER} SELECT silver.* EXCLUDE (src_id) FROM silver"
+
+
+@register("raw_payload_roundtrip", SILVER_ROWS)
+def q_raw_payload_roundtrip(spark, sf_dir):
+    """obs -> one payload document a month -> read -> flatten -> clean."""
+    root = work_dir(spark, "payload")
+    docs = payload_responses(spark, sf_dir).groupBy("month").agg(
+        F.collect_list(F.struct("daily", "_city_meta")).alias("data"))
+    docs.repartition("month").write.partitionBy("month").json(root)
+    flat = N.flatten_payload(FS.city_responses(FS.read_raw(spark, root)))
+    return C.clean(flat).drop("sunrise", "sunset")
+
+
+@register("landed_roundtrip", SILVER_ROWS + " WHERE date >= DATE '1999-01-01'")
+def q_landed_roundtrip(spark, sf_dir):
+    """Two landed runs of lines; the first is landed again with other rows."""
+    root, r = work_dir(spark, "landed"), payload_responses(spark, sf_dir)
+    none = spark.createDataFrame([], FS.FAILED)
+    for day, rows in ((1, r.where("month < '1999-01'")), (2, r.where("month >= '2000-01'")),
+                      (1, r.where("month >= '1999-01' and month < '2000-01'"))):
+        out = FS.land_raw(rows.drop("month"), none, root, dt.date(2001, 8, day), LOAD_TS1)
+    return C.clean(N.flatten_payload(FS.read_landed(spark, out["data"]))).drop("sunrise", "sunset")
+
+
+@register("landing_header", f"""WITH req AS (SELECT COUNT(*) AS n FROM customer),
+got AS (SELECT COUNT(DISTINCT o_custkey) AS n FROM orders)
+SELECT DATE '2001-08-01' AS run_date, '{LOAD_TS1.isoformat()}' AS extraction_timestamp, CAST(req.n AS BIGINT) AS total_cities_requested,
+  CAST(got.n AS BIGINT) AS total_cities_successful, CAST(req.n - got.n AS BIGINT) AS total_cities_failed,
+  CAST(req.n - got.n AS BIGINT) AS failed_names FROM req, got
+UNION ALL SELECT DATE '2001-08-02', '{LOAD_TS2.isoformat()}', CAST(got.n AS BIGINT), CAST(got.n AS BIGINT), 0, 0 FROM got""")
+def q_landing_header(spark, sf_dir):
+    """Two runs: the second is landed twice, the last time without failures."""
+    root = work_dir(spark, "landing")
+    cust = X.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
+    answered = X.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    failed = J.coverage_gap(cust, answered, "c_custkey").select("name")
+    ok = cust.join(answered.distinct(), "c_custkey", "left_semi").select("name")
+    FS.land_raw(ok, failed, root, dt.date(2001, 8, 1), LOAD_TS1)
+    FS.land_raw(ok, failed, root, dt.date(2001, 8, 2), LOAD_TS1)
+    out = FS.land_raw(ok, failed.where("false"), root, dt.date(2001, 8, 2), LOAD_TS2)
+    names = (FS.read_landed(spark, out["failed"], schema=FS.FAILED).groupBy(FS.RUN_DATE)
+             .agg(F.count(F.lit(1)).alias("failed_names")))
+    return (FS.read_landed(spark, out["header"], schema=FS.HEADER).join(names, FS.RUN_DATE, "left")
+            .na.fill(0, ["failed_names"]))
+
+
+@register("clean_csv_roundtrip", f"""{SILVER}
+SELECT silver.* EXCLUDE (src_id, timezone, weather_description),
+  CASE WHEN src_id % 5 = 0 THEN NULL ELSE timezone END AS timezone,
+  CASE WHEN src_id % 7 = 0 THEN NULL ELSE weather_description END AS weather_description,
+  CAST(NULL AS VARCHAR) AS sunrise, CAST(NULL AS VARCHAR) AS sunset FROM silver""")
+def q_clean_csv_roundtrip(spark, sf_dir):
+    """Two runs as CSV, some cells holding texts for a missing value; read back together."""
+    root = work_dir(spark, "clean-csv")
+    s = silver(spark, sf_dir)
+    marked = s.withColumns({
+        "timezone": F.when(F.col("src_id") % 5 == 0, F.lit("NA")).otherwise(F.col("timezone")),
+        "weather_description": F.when(F.col("src_id") % 7 == 0, F.lit("None"))
+        .otherwise(F.col("weather_description"))})
+    FS.write_clean_csv(marked, root, dt.date(2001, 8, 1))  # replaced by the next two
+    FS.write_clean_csv(marked.where("date < '1998-01-01'"), root, dt.date(2001, 8, 1))
+    FS.write_clean_csv(marked.where("date >= '1998-01-01'"), root, dt.date(2001, 8, 2))
+    return FS.read_clean_csv(spark, root)
+
+
+@register("report_status_no_reports", f"""WITH {Q.OBS_CTE}
+SELECT CAST(NULL AS VARCHAR) AS extraction_date, TRUE AS run_ok, CAST(COUNT(*) AS BIGINT) AS valid_rows,
+  CAST(COUNT(*) AS BIGINT) AS total_rows, 100.0 AS quality_pct FROM obs""")
+def q_report_status_no_reports(spark, sf_dir):
+    none = FS.read_reports(spark, work_dir(spark, "no-reports"))
+    return DQ.report_status(none, batch_rows(spark, sf_dir).agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("load_replace_overlap", f"""{SILVER},
+d AS (SELECT date, city_name, 1 AS run FROM silver WHERE date < DATE '1998-06-01'
+  UNION ALL SELECT date, city_name, 2 FROM silver WHERE date >= DATE '1998-01-01'),
+w AS (SELECT date, city_name, max(run) AS run FROM d GROUP BY ALL)
+SELECT date, city_name, strftime(CASE run WHEN 2 THEN TIMESTAMP '{LOAD_TS2}' ELSE TIMESTAMP '{LOAD_TS1}' END,
+  '%Y-%m-%d %H:%M:%S') AS loaded_at, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM d JOIN w USING (date, city_name, run) GROUP BY ALL""")
+def q_load_replace_overlap(spark, sf_dir):
+    """Two deliveries that overlap by five months, both loaded by replacement."""
+    root, s = _table(spark), silver(spark, sf_dir)
+    WH.load(s.where("date < '1998-06-01'"), root, "replace_partitions", LOAD_TS1, grain=GRAIN)
+    WH.load(s.where("date >= '1998-01-01'"), root, "replace_partitions", LOAD_TS2, grain=GRAIN)
+    return (WH.read_table(spark, root)
+            .groupBy("date", "city_name", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _catalog_table(spark, sf_dir):
+    """The fact table, loaded, in a database of its own under the work folder."""
+    base = work_dir(spark, "catalog")
+    name = f"{SC.DATABASE}_{base.rsplit('-', 1)[1]}"
+    WH.ensure_database(spark, name, base)
+    table, root = f"{name}.{SC.FACT_TABLE}", f"{base}/{SC.FACT_TABLE}"
+    for _ in range(2):  # creating what exists changes nothing
+        WH.ensure_table(spark, root, grain=GRAIN, name=table)
+    WH.load(silver(spark, sf_dir), root, "append", LOAD_TS1, grain=GRAIN)
+    return name, WH.refresh_table(spark, table)
+
+
+@register("table_catalog_load", f"""{SILVER} SELECT date, city_name, CAST(COUNT(*) AS BIGINT) AS n_rows,
+  strftime(date, '%Y-%m') AS date_month FROM silver GROUP BY date, city_name""")
+def q_table_catalog_load(spark, sf_dir):
+    _, fact = _catalog_table(spark, sf_dir)
+    return fact.groupBy("date", "city_name", "date_month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("mart_tables_rebuilt", Q.city_stats_sql())
+def q_mart_tables_rebuilt(spark, sf_dir):
+    """Staging view and mart tables in the catalog, built twice."""
+    from pluvia.plans.daily import materialise_models
+    database, fact = _catalog_table(spark, sf_dir)
+    for _ in range(2):
+        names = materialise_models(spark, fact, database)
+    return spark.table(names[-1])
+
+
+@register("absent_column_default", f"""{SILVER},
+l AS (SELECT * FROM {LATEST_ROWS} t WHERE temperature_max IS NOT NULL ORDER BY temperature_max DESC, city_name, src_id LIMIT 1)
+SELECT city_name, 60.0 AS humidity, 0.0 AS rain FROM l""")
+def q_absent_column_default(spark, sf_dir):
+    """The card over rows that have neither humidity nor rain: the defaults."""
+    bare = silver(spark, sf_dir).drop("humidity_mean", "precipitation_sum")
+    return B.selected_card(bare, TIE).select("city_name", "humidity", "rain")
