@@ -1,56 +1,46 @@
-"""Hand-made input frames of the unit tests (2-3 rows)."""
+"""Input frames of the unit tests: invented stations, each row written as what differs
+from a plain default row."""
 
 import datetime as dt
 
 from pyspark.sql import types as T
 
-RAW_COLS = ("date city_name country country_code region latitude longitude timezone "
-            "temperature_max temperature_min temperature_mean precipitation_sum "
-            "precipitation_hours wind_speed_max wind_direction humidity_max humidity_min "
-            "uv_index_max weather_code sunrise sunset").split()
+from pluvia import presets as P
 
-RAW_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in RAW_COLS[:5]]
-    + [T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType()),
-       T.StructField("timezone", T.StringType())]
-    + [T.StructField(c, T.DoubleType()) for c in RAW_COLS[8:18]]
-    + [T.StructField("weather_code", T.LongType()), T.StructField("sunrise", T.StringType()),
-       T.StructField("sunset", T.StringType())])
+DAY = dt.date(2030, 3, 10)
+TEXT = {"date", "city_name", "country", "country_code", "region", "timezone", "sunrise", "sunset"}
+PLAIN = {
+    "date": DAY.isoformat(), "city_name": "Aldora", "country": "Northland", "country_code": "NL",
+    "region": "Hills", "latitude": 51.5, "longitude": 4.25, "timezone": "UTC",
+    "temperature_max": 11.0, "temperature_min": 3.0, "temperature_mean": 7.5, "precipitation_sum": 0.4,
+    "precipitation_hours": 1.0, "wind_speed_max": 33.0, "wind_direction": 270.0, "humidity_max": 95.0,
+    "humidity_min": 52.0, "uv_index_max": 2.5, "weather_code": 3, "sunrise": "06:40", "sunset": "18:20",
+}
 
 
-def raw_rows():
-    return [
-        ("2024-01-15", "Lima", "Perú", "PE", "Costa", -12.04, -77.04, "America/Lima",
-         25.5, 15.2, None, None, 0.0, 15.0, 180.0, 80.0, 60.0, 7.0, 0,
-         "2024-01-15T06:00", "2024-01-15T18:30"),
-        ("2024-01-16", "Bogotá", "Colombia", "CO", "Andina", 4.71, -74.07, "America/Bogota",
-         18.3, 10.1, 14.2, 5.2, 2.0, 20.0, 90.0, 70.0, 55.0, 4.0, 61,
-         "2024-01-16T06:05", "2024-01-16T18:25"),
-    ]
+def _type(name, value_types):
+    if name in value_types:
+        return value_types[name]
+    return T.StringType() if name in TEXT else T.LongType() if name == "weather_code" else T.DoubleType()
 
 
-def make_raw_df(spark, rows=None):
-    return spark.createDataFrame(rows or raw_rows(), RAW_SCHEMA)
+def observations(spark, *changes, **value_types):
+    """One observation row for each dict of changes to the plain row."""
+    schema = T.StructType([T.StructField(c, _type(c, value_types)) for c in P.OBSERVATION_COLUMNS])
+    return spark.createDataFrame([tuple({**PLAIN, **c}[n] for n in schema.names) for c in changes], schema)
 
 
-VALID_SCHEMA = T.StructType([
-    T.StructField("date", T.DateType()), T.StructField("city_name", T.StringType()),
-    T.StructField("country_code", T.StringType()), T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()), T.StructField("temperature_max", T.DoubleType()),
-    T.StructField("temperature_min", T.DoubleType()),
-    T.StructField("precipitation_sum", T.DoubleType()),
-])
+CHECKED = ["date", "city_name", "country_code", "latitude", "longitude", "temperature_max",
+           "temperature_min", "precipitation_sum"]
 
-AS_OF = dt.date(2024, 6, 1)
 
+def checked(spark, *changes):
+    """Rows with the fields the quality checks require; the date is a DATE."""
+    schema = T.StructType([T.StructField(c, T.DateType() if c == "date" else _type(c, {})) for c in CHECKED])
+    plain = {**PLAIN, "date": DAY}
+    return spark.createDataFrame([tuple({**plain, **c}[n] for n in CHECKED) for c in changes], schema)
 
-def valid_rows():
-    return [
-        (AS_OF, "Lima", "PE", -12.04, -77.04, 25.0, 15.0, 0.0),
-        (AS_OF - dt.timedelta(days=1), "Bogotá", "CO", 4.71, -74.07, 18.0, 10.0, 5.2),
-        (AS_OF - dt.timedelta(days=2), "Santiago", "CL", -33.45, -70.65, 22.0, 12.0, 0.0),
-    ]
 
-
-def make_valid_df(spark, rows=None):
-    return spark.createDataFrame(rows or valid_rows(), VALID_SCHEMA)
+def stations(n, **change):
+    """Changes for ``n`` rows that differ in their station."""
+    return [{"city_name": f"Station {i:02d}", **change} for i in range(n)]

@@ -4,12 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from pluvia.plans import catalog
 from pluvia.plans.fixtures import TABLES
 from tests.plan_rules import check_plan_rules
 from tools.oracle_check import digest
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = E.queries(), E.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +21,9 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_approximate():
-    assert set(QUERIES) - set(ORACLE) == {"most_frequent_approx", "mart_city_stats_approx"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle_and_is_registered():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -1,120 +1,115 @@
-"""Cleaning chain: the cleaner behaviours, on Spark frames."""
+"""Cleaning steps, as tables of input cell -> output cell."""
 
 import datetime as dt
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
+from pluvia import presets as P
+from pluvia.functions import bin_right_closed, round_half_even
+from pluvia.functions import scalars as S
 from pluvia.operators import clean as C
-from tests.frames import make_raw_df
+from tests.frames import observations
 
+NAN, INF = float("nan"), float("inf")
 
-def rows(df):
-    return [r.asDict() for r in df.collect()]
 
+def cells(df, column):
+    return [r[0] for r in df.select(column).collect()]
 
-def test_date_conversion(spark):
-    out = C.clean_types(make_raw_df(spark))
-    assert dict(out.dtypes)["date"] == "date"
-    assert out.first()["date"] == dt.date(2024, 1, 15)
 
+@pytest.mark.parametrize("text,value", [
+    ("4", 4.0), ("-0.25", -0.25), ("7e2", 700.0), ("  8.5\t", 8.5), ("inf", INF), ("-inf", -INF), ("Infinity", INF),
+    ("nan", None), ("seven", None), ("3d", None), ("3.5f", None), ("", None), (None, None)])
+def test_text_to_number(spark, text, value):
+    df = spark.createDataFrame([(text,)], "x string")
+    assert df.select(S.coerce_double("x")).first()[0] == value
 
-def test_numeric_columns(spark):
-    assert dict(C.clean_types(make_raw_df(spark)).dtypes)["temperature_max"] == "double"
 
+@pytest.mark.parametrize("text,value", [
+    ("3", 3), ("3.0", 3), ("-12", -12), ("2e1", 20), ("9007199254740993", 2**53 + 1),
+    (str(2**63 - 1), 2**63 - 1), (str(-2**63), -2**63), ("none", None), (None, None)])
+def test_text_to_integer_keeps_every_digit(spark, text, value):
+    df = spark.createDataFrame([(text,)], "x string")
+    assert df.select(S.coerce_integer("x")).first()[0] == value
 
-def test_weather_code_integer(spark):
-    assert dict(C.clean_types(make_raw_df(spark)).dtypes)["weather_code"] == "bigint"
 
-
-def test_text_numbers_coerced(spark):
-    df = spark.createDataFrame([("1e3",), (" 2.5 ",), ("abc",), ("1d",), ("nan",), (None,)],
-                               "temperature_max string")
-    out = [r[0] for r in C.clean_types(df).select("temperature_max").collect()]
-    assert out == [1000.0, 2.5, None, None, None, None]
-
-
-def test_non_integral_code_raises(spark):
-    df = spark.createDataFrame([(1.5,)], "weather_code double")
+@pytest.mark.parametrize("text", ["3.5", "0.1", "inf", "1e40"])
+def test_what_is_no_integer_raises(spark, text):
     with pytest.raises(Exception):
-        C.clean_types(df).collect()
-
+        spark.createDataFrame([(text,)], "x string").select(S.coerce_integer("x")).collect()
 
-def test_temperature_mean_imputed(spark):
-    out = C.fill_missing(C.clean_types(make_raw_df(spark)))
-    assert abs(out.first()["temperature_mean"] - (25.5 + 15.2) / 2) < 0.01
 
+def test_decimal_to_integer_keeps_every_digit(spark):
+    df = spark.sql("SELECT CAST('9007199254740993' AS DECIMAL(38, 0)) AS x")
+    assert df.select(S.coerce_integer("x", dtype="decimal(38,0)")).first()[0] == 2**53 + 1
 
-def test_mean_stays_missing_without_both_ends(spark):
-    df = make_raw_df(spark).withColumn("temperature_min", F.lit(None).cast("double"))
-    assert C.fill_missing(df).first()["temperature_mean"] is None
 
+def test_types_after_coercion(spark):
+    out = C.clean_types(observations(spark, {}))
+    types = dict(out.dtypes)
+    assert types["date"] == "date" and types["weather_code"] == "bigint"
+    assert {types[c] for c in P.NUMERIC_COLUMNS} == {"double"}
+    assert cells(out, "date") == [dt.date(2030, 3, 10)]
 
-def test_precipitation_filled_with_zero(spark):
-    out = C.fill_missing(C.clean_types(make_raw_df(spark)))
-    assert out.first()["precipitation_sum"] == 0.0
 
-
-def test_known_code(spark):
-    out = rows(C.add_code_label(C.clean_types(make_raw_df(spark))))
-    assert out[0]["weather_description"] == "Despejado"
-    assert out[1]["weather_description"] == "Lluvia leve"
-
-
-def test_unknown_code(spark):
-    df = C.clean_types(make_raw_df(spark)).withColumn(
-        "weather_code", F.when(F.col("city_name") == "Lima", F.lit(999)).otherwise(F.col("weather_code")))
-    assert C.add_code_label(df).first()["weather_description"] == "Desconocido"
+def test_bad_date_raises(spark):
+    with pytest.raises(Exception):
+        C.clean_types(observations(spark, {"date": "10/03/2030"})).collect()
 
 
-def test_temperature_range(spark):
-    out = C.add_derived(C.fill_missing(C.clean_types(make_raw_df(spark))))
-    assert out.first()["temperature_range"] == round(25.5 - 15.2, 1)
+@pytest.mark.parametrize("mean,high,low,want", [
+    (None, 9.0, 4.0, 6.5), (5.0, 9.0, 4.0, 5.0), (None, None, 4.0, None), (None, 9.0, None, None)])
+def test_missing_mean_is_the_midpoint(spark, mean, high, low, want):
+    df = observations(spark, {"temperature_mean": mean, "temperature_max": high, "temperature_min": low})
+    assert cells(C.fill_missing(df), "temperature_mean") == [want]
 
 
-def test_humidity_mean(spark):
-    out = C.add_derived(C.fill_missing(C.clean_types(make_raw_df(spark))))
-    assert out.first()["humidity_mean"] == 70.0
+def test_zero_fill_touches_its_columns_only(spark):
+    df = observations(spark, {"precipitation_sum": None, "precipitation_hours": None, "wind_speed_max": None})
+    out = C.fill_missing(df).first()
+    assert (out.precipitation_sum, out.precipitation_hours, out.wind_speed_max) == (0.0, 0.0, None)
 
 
-def test_precipitation_category(spark):
-    out = rows(C.add_derived(C.fill_missing(C.clean_types(make_raw_df(spark)))))
-    assert out[0]["precipitation_category"] == "Sin lluvia"
-    assert out[1]["precipitation_category"] == "Moderada"
+def test_every_code_and_unknown_ones(spark):
+    codes = [*P.WEATHER_CODES, 4, -1, None]
+    out = C.add_code_label(observations(spark, *[{"weather_code": c} for c in codes]))
+    assert cells(out, "weather_description") == [*P.WEATHER_CODES.values()] + [P.UNKNOWN_CODE_LABEL] * 3
 
 
-def test_bins_read_unrounded_values(spark):
-    df = make_raw_df(spark).withColumn("precipitation_sum", F.lit(5.04))
-    out = C.clean(df).first()
-    assert out["precipitation_category"] == "Moderada"
-    assert out["precipitation_sum"] == 5.0
+@pytest.mark.parametrize("high,low,damp_high,damp_low,span,damp", [
+    (11.0, 3.25, 90.0, 45.5, 7.8, 67.8), (-4.0, -9.5, 60.0, 60.0, 5.5, 60.0), (None, 1.0, None, 40.0, None, None)])
+def test_span_and_midpoint(spark, high, low, damp_high, damp_low, span, damp):
+    out = C.add_derived(observations(spark, {"temperature_max": high, "temperature_min": low,
+                                             "humidity_max": damp_high, "humidity_min": damp_low})).first()
+    assert (out.temperature_range, out.humidity_mean) == (span, damp)
 
 
-def test_temperature_category_open_ends(spark):
-    df = spark.createDataFrame([(float("-inf"),), (-5.0,), (0.0,), (35.0,), (None,)],
-                               "temperature_mean double")
-    spec = C.CleanSpec(bins=(C.WEATHER.bins[1],))
-    from pluvia.functions import bin_right_closed
-    edges, labels = spec.bins[0][2], spec.bins[0][3]
-    out = [r[0] for r in df.select(bin_right_closed("temperature_mean", edges, labels)).collect()]
-    assert out == [None, "Muy frío", "Muy frío", "Muy cálido", None]
+@pytest.mark.parametrize("edges,labels", [
+    (P.PRECIPITATION_EDGES, P.PRECIPITATION_LABELS), (P.TEMPERATURE_EDGES, P.TEMPERATURE_LABELS)])
+def test_bins_hold_their_upper_edge(spark, edges, labels):
+    inner = [e for e in edges[1:] if e != INF]
+    values = [*inner, *(e + 0.01 for e in inner), edges[0], NAN, None]
+    want = [*labels[:len(inner)], *labels[1:len(inner) + 1], None, None, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert cells(df, bin_right_closed("x", edges, labels)) == want
 
 
-def test_full_chain_runs(spark):
-    out = C.clean(make_raw_df(spark))
-    assert out.count() == 2
-    for c in ("weather_description", "temperature_range", "precipitation_category"):
-        assert c in out.columns
+def test_bins_see_the_value_before_rounding(spark):
+    out = C.clean(observations(spark, {"precipitation_sum": 20.03, "temperature_mean": 10.04})).first()
+    assert (out.precipitation_sum, out.temperature_mean) == (20.0, 10.0)
+    assert out.precipitation_category == P.PRECIPITATION_LABELS[3]
+    assert out.temperature_category == P.TEMPERATURE_LABELS[2]
 
 
-def test_rounding_is_half_even_on_binary_value(spark):
-    df = spark.createDataFrame([(0.25,), (0.35,), (2.675,)], "x double")
-    from pluvia.functions import round_half_even
-    out = [r[0] for r in df.select(round_half_even("x", 1)).collect()]
-    import numpy as np
-    assert out == [float(np.round(v, 1)) for v in (0.25, 0.35, 2.675)]
+def test_rounding_like_numpy(spark):
+    values = [0.05, 0.15, 0.25, 1.45, -2.55, 1234567.85, 1e15, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert cells(df, round_half_even("x", 1)) == [float(np.round(v, 1)) for v in values]
 
 
-def test_no_rows_lost(spark):
-    df = make_raw_df(spark)
-    assert C.clean(df).count() == df.count()
+def test_whole_chain_keeps_rows_and_adds_columns(spark):
+    df = observations(spark, {}, {}, {"temperature_max": None, "temperature_mean": None}, {"weather_code": None})
+    out = C.clean(df)
+    assert out.count() == 4
+    assert set(out.columns) == set(df.columns) | set(P.DERIVED_COLUMNS)

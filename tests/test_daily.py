@@ -30,13 +30,29 @@ def test_two_daily_runs(spark, tmp):
     assert m3["table_total_rows"] == 10
 
 
+def test_rerun_without_any_city_raises_and_keeps_the_table(spark, tmp):
+    import json
+
+    import pytest
+    raw = os.path.join(write_payload(tmp), "2024/01/17/weather_raw.json")
+    out, day = os.path.join(tmp, "out"), dt.date(2024, 1, 17)
+    run_daily(spark, raw, out, day, loaded_at=dt.datetime(2024, 1, 17, 6))
+    with open(raw, "w", encoding="utf-8") as f:
+        json.dump({"failed_cities": ["Gone"], "data": []}, f)
+    with pytest.raises(RuntimeError):
+        run_daily(spark, raw, out, day, loaded_at=dt.datetime(2024, 1, 17, 9))
+    kept = WH.read_table(spark, paths(out)["fact_weather"]).collect()
+    assert len(kept) == 5 and {r.loaded_at for r in kept} == {dt.datetime(2024, 1, 17, 6)}
+
+
 def test_report_tables(spark, tmp):
     from pluvia.plans.daily import build_report_tables
     raw = write_payload(tmp, "2024/01/17")
     out = os.path.join(tmp, "out")
     run_daily(spark, os.path.join(raw, "2024/01/17/weather_raw.json"), out, dt.date(2024, 1, 17))
     p = paths(out)
-    sizes = build_report_tables(spark, p["fact_weather"], p["quality"], os.path.join(tmp, "tables"))
+    sizes = build_report_tables(spark, p["fact_weather"], p["quality"], os.path.join(tmp, "tables"),
+                                stats_dir=p["mart_city_stats"])
     assert sizes["cities"] == 3 and sizes["headline_kpis"] == 1
     assert sizes["report_status"] == 1 and sizes["report_checks"] == 7
     assert sizes["top_cities"] == 2  # the latest date (2024-01-16) has two cities

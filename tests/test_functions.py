@@ -67,12 +67,21 @@ def test_col_or_default_only_when_absent(spark):
 def test_clamped_ratio(spark):
     df = spark.createDataFrame([(-5.0,), (60.0,), (500.0,)], "x double")
     assert [r[0] for r in df.select(S.clamped_ratio("x", 120)).collect()] == [0.0, 0.5, 1.0]
+    missing = spark.createDataFrame([(None,), (float("nan"),), (0.0,)], "x double")
+    assert [r[0] for r in missing.select(S.clamped_ratio("x", 120)).collect()] == [0.0, 0.0, 0.0]
 
 
-def test_scale_settings_bounds():
+def test_two_decimal_sums_are_exact(spark):
+    df = spark.createDataFrame([(1.24,)] * 3, "x double")
+    total = F.sum(S.units("x", 2))
+    got = df.select(total, S.mean_units(total, F.count("x"), 2, digits=2)).first()
+    assert tuple(got) == (372, 1.24)
+
+
+def test_scale_settings_follow_the_input():
     from pluvia.session import scale_settings
-    assert scale_settings(10 ** 6)["spark.sql.shuffle.partitions"] == "200"
-    assert scale_settings(100 * 2 ** 40)["spark.sql.shuffle.partitions"] == "200000"
+    assert scale_settings(10 ** 6)["spark.sql.shuffle.partitions"] == "1"
+    assert scale_settings(100 * 2 ** 40)["spark.sql.shuffle.partitions"] == "409600"
     assert scale_settings(1024 * 2 ** 30)["spark.sql.shuffle.partitions"] == "4096"
 
 

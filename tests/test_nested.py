@@ -42,7 +42,7 @@ def write_payload(tmp, day="2024/01/17"):
 
 def test_read_and_flatten(spark, tmp):
     root = write_payload(tmp)
-    raw = FS.read_raw(spark, root + "/*/*/*/weather_raw.json", with_run_date=True)
+    raw = FS.read_raw(spark, root + "/*/*/*/weather_raw.json", run_date=True)
     head = raw.select("total_cities_failed", "failed_cities", "run_date").first()
     assert head["total_cities_failed"] == 1 and head["failed_cities"] == ["Gone"]
     assert str(head["run_date"]) == "2024-01-17"
@@ -56,11 +56,45 @@ def test_read_and_flatten(spark, tmp):
     assert len(rows[0].asDict()) == 21
 
 
-def test_run_partition_path_missing(tmp):
+def test_run_partition_path(spark, tmp):
     import datetime as dt
     import pytest
+    root = write_payload(tmp)
+    assert FS.run_partition_path(spark, root, dt.date(2024, 1, 17)).endswith("2024/01/17/weather_raw.json")
+    assert FS.run_partition_path(spark, "file://" + root, dt.date(2024, 1, 17)).startswith("file://")
     with pytest.raises(FileNotFoundError):
-        FS.run_partition_path(tmp, dt.date(2024, 1, 1))
+        FS.run_partition_path(spark, root, dt.date(2024, 1, 1))
+
+
+def test_truncated_document_raises(spark, tmp):
+    import pytest
+    root = write_payload(tmp)
+    path = os.path.join(root, "2024/01/17/weather_raw.json")
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    with open(path.replace("weather_raw", "cut"), "w", encoding="utf-8") as f:
+        f.write(text[:len(text) // 2])
+    with pytest.raises(Exception):
+        FS.read_raw(spark, root + "/*/*/*/*.json").collect()
+
+
+def one_city(spark, tmp, **arrays):
+    path = os.path.join(tmp, "one.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump({"data": [city("Odd", {"time": ["2024-01-15", "2024-01-16"], **arrays})]}, f)
+    return flatten_payload(FS.city_responses(FS.read_raw(spark, path))).orderBy("date")
+
+
+def test_one_odd_cell_is_one_missing_cell(spark, tmp):
+    got = one_city(spark, tmp, temperature_2m_max=["bad", 20.5], precipitation_sum=[None, "1.5"],
+                   weather_code=[3.0, "61"]).collect()
+    assert [(r.temperature_max, r.precipitation_sum, r.weather_code) for r in got] == [(None, None, 3), (20.5, 1.5, 61)]
+
+
+def test_code_that_is_no_integer_raises(spark, tmp):
+    import pytest
+    with pytest.raises(Exception):
+        one_city(spark, tmp, weather_code=[3.0, 3.5]).collect()
 
 
 def test_safe_get_past_end(spark):
@@ -75,7 +109,8 @@ def test_land_then_flatten_equals_direct(spark, tmp):
     raw = FS.read_raw(spark, root + "/2024/01/17/weather_raw.json")
     responses = FS.city_responses(raw)
     failed = raw.selectExpr("explode(failed_cities) AS name")
-    out = FS.land_raw(responses, failed, os.path.join(tmp, "landed"), dt.date(2024, 1, 17))
+    out = FS.land_raw(responses, failed, os.path.join(tmp, "landed"), dt.date(2024, 1, 17),
+                      dt.datetime(2024, 1, 17, 5))
     landed = FS.read_landed(spark, out["data"], dt.date(2024, 1, 17))
     direct = flatten_payload(responses).collect()
     again = flatten_payload(landed.drop(FS.RUN_DATE)).collect()

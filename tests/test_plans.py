@@ -1,20 +1,15 @@
 """Physical-plan properties (scale rules, see ``plan_rules.py``).
 
-Queries with an oracle have their executed plans checked in
-``test_catalog``; here: the others, plus targeted properties (filter and
-projection pushdown, the broadcast bound and its fallback).
+Every query's executed plan is checked in ``test_catalog``; here: targeted properties
+(filter and projection pushdown, broadcasts chosen from bytes).
 """
 
 import pytest
 
-import __spark_entry__ as E
-from tests.plan_rules import check_plan_rules
+from pluvia.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
-# The load queries write tables; their returned plans are plain scans.
-SKIP = {"load_metrics"}
+QUERIES = catalog.QUERIES
 
 
 def plan_text(df):
@@ -22,12 +17,6 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE) - SKIP))
-def test_plan_rules(spark, name):
-    """Queries without an oracle; the others are checked in test_catalog."""
-    check_plan_rules(name, plan_text(QUERIES[name](spark, SF)))
-
-
 def test_no_local_checkpoint_in_library():
     import pathlib
     root = pathlib.Path(__file__).resolve().parents[1] / "pluvia"
@@ -55,19 +44,21 @@ def test_projection_pruned_at_scan(spark):
     assert "o_totalprice" not in schema and "o_orderstatus" not in schema, scan
 
 
-def test_dimension_join_falls_back_beyond_the_bound(spark):
-    """Over the row bound no broadcast hint is given; the planner decides."""
-    from pluvia.operators.joins import dimension_join
+def test_a_grown_dimension_is_no_longer_broadcast(spark, tmp):
+    """The planner decides from bytes at every call; no join carries a hint."""
+    from pluvia.operators.joins import attach_dimension
     from pluvia.plans import fixtures as X
-    cust = X.table(spark, SF, "customer")
-    nation = X.table(spark, SF, "nation")
+    path = f"{tmp}/dim"
+    keys = spark.range(10, 40000).selectExpr("id AS o_orderkey", "uuid() AS name")
+    keys.limit(10).coalesce(1).write.parquet(path)
+    orders = X.table(spark, SF, "orders")
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
     try:
-        big = dimension_join(cust, nation, cust.c_nationkey == nation.n_nationkey, max_rows=10)
-        small = dimension_join(cust, nation, cust.c_nationkey == nation.n_nationkey, max_rows=100)
-        assert "SortMergeJoin" in plan_text(big)
+        small = attach_dimension(orders, spark.read.parquet(path), "o_orderkey")
         assert "BroadcastHashJoin" in plan_text(small)
-        assert big.count() == small.count() == cust.count()
+        keys.write.mode("append").parquet(path)
+        grown = attach_dimension(orders, spark.read.parquet(path), "o_orderkey")
+        assert "SortMergeJoin" in plan_text(grown)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

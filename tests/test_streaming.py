@@ -26,3 +26,13 @@ def test_available_now_ingest(spark, tmp):
     q = start_ingest(spark, raw, table, reports, checkpoint=ckpt)
     q.awaitTermination(300)
     assert WH.read_table(spark, table).count() == 5
+
+
+def test_older_run_that_arrives_late_changes_nothing(spark, tmp):
+    table, reports, ckpt = (os.path.join(tmp, x) for x in ("fact", "quality", "ckpt"))
+    for day in ("2024/01/18", "2024/01/17"):
+        raw = write_payload(tmp, day)
+        start_ingest(spark, raw, table, reports, checkpoint=ckpt).awaitTermination(300)
+    from pluvia.streaming.ingest import FACT_RUNS
+    runs = {str(r.run_date) for r in WH.read_table(spark, table, FACT_RUNS).collect()}
+    assert runs == {"2024-01-18"} and WH.read_table(spark, table).count() == 5
