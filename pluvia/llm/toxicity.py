@@ -1,9 +1,11 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two models, toxic and ordinary, give every letter of a word its probability after the
-(at most CONTEXT) letters before it in the word.  Each discounts its own counts and
-backs off to one shared Kneser-Ney model of continuation counts over both classes, so
-expressions rare in either class are smoothed by what both have seen.  A text's score
+(at most CONTEXT) letters before it in the word.  Toxic texts are mostly ordinary language
+and far fewer, so ordinary counts are shared: the toxic model adds its own counts to
+them, scaled to SHARED times its own size, and only what toxic texts use more stands
+out.  Each model discounts its counts and backs off to one Kneser-Ney model of
+continuation counts over both classes, which smooths expressions rare in either.  A text's score
 compares the two log-likelihoods, normalised by its number of words; a logistic curve
 fitted out of fold turns it into a probability.
 """
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from pluvia.llm.common import slices, text_rows, texts_of
 
 CONTEXT, DISCOUNT = 4, 0.75
+SHARED = 10
 # Expected number of labelled documents fitted for each class, at most.
 FIT_DOCS = 30_000
 KNOWN_WORDS = 1 << 20
@@ -65,6 +68,13 @@ def shared_backoff(grams) -> dict[str, float]:
     return out
 
 
+def with_shared(counts: dict[str, tuple[float, float]]) -> dict[str, tuple[float, float]]:
+    """Toxic counts on top of the ordinary ones, scaled to SHARED times their size."""
+    toxic, ordinary = (sum(p[c] for p in counts.values()) for c in (0, 1))
+    scale = SHARED * toxic / max(1, ordinary)
+    return {g: (p[0] + scale * p[1], p[1]) for g, p in counts.items()}
+
+
 def log_ratios(counts: dict[str, tuple[int, int]]) -> tuple[dict, dict]:
     """(ratio, backoff) from n-gram -> (toxic count, ordinary count)."""
     lower = shared_backoff(counts)
@@ -126,18 +136,30 @@ def features(total: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.stack([mean, size, mean * size, np.ones(len(mean))], axis=1)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps, lightly regularised."""
-    scale = np.append(x[:, :-1].std(0) + 1e-9, 1.0)
-    z, w = x / scale, np.zeros(x.shape[1])
-    for _ in range(50):
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Logistic regression on standardised features (the last one is the constant) by
+    Newton steps, each halved until it lowers the penalised loss."""
+    centre, scale = x[:, :-1].mean(0), x[:, :-1].std(0) + 1e-9
+    z = np.column_stack([(x[:, :-1] - centre) / scale, np.ones(len(x))])
+    penalty = np.append(np.full(z.shape[1] - 1, ridge), 1e-6)
+
+    def loss(w):
+        return np.logaddexp(0, z @ w).sum() - y @ (z @ w) + 0.5 * penalty @ (w * w)
+
+    w, best = np.zeros(z.shape[1]), np.inf
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(len(w)),
-                               z.T @ (p - y) + 1e-3 * w)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty),
+                               z.T @ (p - y) + penalty * w)
+        now = loss(w)
+        while loss(w - step) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w - step
+        if best - now < 1e-9:
             break
-    return w / scale
+        best = now
+    out = w[:-1] / scale
+    return np.append(out, w[-1] - out @ centre)
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -196,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, half: Column, id_
     for gram, pair in halves[1].items():
         a, b = both.get(gram, (0, 0))
         both[gram] = (a + pair[0], b + pair[1])
-    shared = spark.sparkContext.broadcast([log_ratios(c or both) for c in halves])
+    shared = spark.sparkContext.broadcast([log_ratios(with_shared(c or both)) for c in halves])
 
     def run(batches):
         scorers = [_Scorer(*m) for m in shared.value]
@@ -212,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, half: Column, id_
 
     out = np.array([tuple(r) for r in rows.mapInArrow(
         run, "total double, count double, label int").collect()], dtype=float).reshape(-1, 3)
-    ratio, backoff = log_ratios(both)
+    ratio, backoff = log_ratios(with_shared(both))
     if len(set(out[:, 2])) < 2:
         return ToxicityModel(ratio, backoff, np.array([1.0, 0, 0, 0]))
     return ToxicityModel(ratio, backoff, fit_logistic(features(out[:, 0], out[:, 1]), out[:, 2]))

@@ -50,6 +50,11 @@ def test_ratio_matches_the_definition():
     assert backoff["^"] == pytest.approx(math.log((0.75 * 1 / 3) / (0.75 * 2 / 3)))
 
 
+def test_shared_counts_scale_with_the_toxic_ones():
+    assert T.with_shared({"^a": (3, 1), "^b": (0, 2)}) == {"^a": (13, 1), "^b": (20, 2)}
+    assert T.with_shared({"^a": (3, 0)}) == {"^a": (3, 0)}
+
+
 def test_held_out_accuracy_with_unseen_endings(spark):
     rows, labels = corpus()
     got = T.score(frame(spark, rows), fit(spark, rows, labels)).withColumn("held", fold() == 1).collect()
