@@ -30,9 +30,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def worker_state(key: tuple, build: Callable):
-    """A value kept by a (reused) Python worker between tasks, built on first use."""
+    """A value kept by a (reused) Python worker between tasks, built on first use.
+
+    ``key[0]`` names the operator: a worker keeps one operator's values at a time, so a
+    pipeline's stages do not add up in its memory.
+    """
     box = sys.modules.setdefault("pluvia_worker_state", types.ModuleType("pluvia_worker_state"))
     slots = box.__dict__.setdefault("slots", {})
+    if slots and next(iter(slots))[0] != key[0]:
+        slots.clear()
     if key not in slots:
         slots[key] = build()
     return slots[key]

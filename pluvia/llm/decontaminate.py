@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ MIN_LITERAL, MIN_COVERAGE, MIN_TOKENS = 0.5, 0.5, 4
 # The benchmark's windows as a bit map of fixed size, sent to the tasks that scan
 # documents: what passes is joined by hash.
 FILTER_BITS = 1 << 22
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 18
 
 # Words taken as units of measure.
 UNITS = frozenset(
@@ -73,6 +74,13 @@ class _Lexicon:
         self.bare: list[str] = []
         self.table = np.zeros((3, 1024), np.uint64)  # hash, kind, flags
 
+    def shrink(self) -> None:
+        """Forget the words met last, once there are half as many again as are kept; the
+        ones met first hold the frequent ones."""
+        if len(self.bare) > KNOWN_WORDS * 3 // 2:
+            self.number = dict(islice(self.number.items(), KNOWN_WORDS))
+            del self.bare[KNOWN_WORDS:]
+
     def numbers(self, words: list[str]) -> np.ndarray:
         known = self.number
         for word in set(words).difference(known):
@@ -88,9 +96,8 @@ class _Lexicon:
 
 def canonical(text: str) -> tuple[np.ndarray, np.ndarray, list[int], _Lexicon]:
     """(token hashes, kinds, word numbers, lexicon) of a text's canonical tokens."""
-    lexicon = worker_state(("canonical words",), _Lexicon)
-    if len(lexicon.bare) > KNOWN_WORDS:
-        lexicon.__init__()
+    lexicon = worker_state(("decontaminate",), _Lexicon)
+    lexicon.shrink()
     words = text.replace("\n", " \n ").split(" ")
     at = lexicon.numbers(words)
     h, kind, flags = lexicon.table[:, at]

@@ -37,7 +37,7 @@ class LanguageModel(NamedTuple):
 
 
 def _letters() -> np.ndarray:
-    return worker_state(("letters",), lambda: np.array(
+    return worker_state(("language", "letters"), lambda: np.array(
         [chr(i).isalpha() for i in range(0x110000)]))
 
 

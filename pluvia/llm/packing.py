@@ -74,7 +74,7 @@ def encoder(tokenizer_path: str, ranks_path: str | None):
 
         return fast
 
-    return worker_state(("encoder", tokenizer_path, ranks_path), build)
+    return worker_state(("packing", tokenizer_path, ranks_path), build)
 
 
 def cut(length: int, capacity: int, slack: float) -> list[tuple[int, int]]:

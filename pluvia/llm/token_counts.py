@@ -35,7 +35,7 @@ def _tokenizer(path: str):
         tok.no_padding()
         return tok
 
-    return worker_state(("tokenizer", path), build)
+    return worker_state(("token counts", "tokenizer", path), build)
 
 
 def by_bytes(words: list[str], limit: int) -> Iterator[list[str]]:
@@ -70,7 +70,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     give repeated results; an empty table gives an empty one.  No shuffle.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = worker_state(("words", tokenizer_path), dict)
+        known = worker_state(("token counts", "words", tokenizer_path), dict)
         for part in slices(batches, "text"):
             words = [t.replace("\n", " ").split(" ") for t in texts_of(part)]
             new = set().union(*words).difference(known)
