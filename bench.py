@@ -20,7 +20,8 @@ from pluvia.plans import catalog  # noqa: E402
 from pluvia.session import build_session  # noqa: E402
 
 HEADLINE = ["silver_clean", "dq_all_checks", "quality_report", "mart_city_stats",
-            "top_groups_share", "headline_kpis", "last_n_per_key", "flatten_parallel_arrays"]
+            "top_groups_share", "headline_kpis", "last_n_per_key", "flatten_parallel_arrays",
+            "load_replace_partitions", "raw_payload_roundtrip"]
 
 
 def main() -> None:
