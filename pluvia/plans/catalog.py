@@ -1031,3 +1031,33 @@ def q_absent_column_default(spark, sf_dir):
     """The card over rows that have neither humidity nor rain: the defaults."""
     bare = silver(spark, sf_dir).drop("humidity_mean", "precipitation_sum")
     return B.selected_card(bare, TIE).select("city_name", "humidity", "rain")
+
+
+# ---------------------------------------------------------------------------
+# Denser inputs for limits: more rows than k, ties inside it.
+# ---------------------------------------------------------------------------
+
+@register("top_k_whole_history", f"""{SILVER}
+SELECT city_name, date, temperature_mean, src_id FROM silver
+ORDER BY temperature_mean DESC NULLS LAST, city_name, src_id LIMIT 8""")
+def q_top_k_whole_history(spark, sf_dir):
+    return B.top_k(silver(spark, sf_dir), "temperature_mean", 8, TIE).select(
+        "city_name", "date", "temperature_mean", "src_id")
+
+
+@register("top_groups_share_limited", f"""{SILVER},
+s AS (SELECT city_name, COALESCE(SUM(CAST(precipitation_sum AS DECIMAL(18, 1))), 0) AS t FROM silver
+      WHERE date >= CAST({LATEST} - INTERVAL 365 DAY AS DATE) GROUP BY city_name),
+top AS (SELECT * FROM s ORDER BY t DESC, city_name LIMIT 6)
+SELECT city_name AS name, CAST(round_even(CAST(t AS DOUBLE), 0) AS DOUBLE) AS val,
+  CAST(round_even(CAST(t * 100 AS DOUBLE) / CAST((SELECT max(t) FROM top) AS DOUBLE), 0) AS DOUBLE) AS pct FROM top""")
+def q_top_groups_share_limited(spark, sf_dir):
+    return B.top_groups_share(silver(spark, sf_dir), "city_name", days=365)
+
+
+@register("latest_points_as_of", f"""{SILVER}
+SELECT city_name, {Q.rd('latitude', 4)} AS lat, {Q.rd('longitude', 4)} AS lon, {Q.r1('temperature_mean')} AS temp,
+  city_name || ', ' || country AS label FROM silver WHERE date = DATE '1998-06-15'""")
+def q_latest_points_as_of(spark, sf_dir):
+    """The map points as of a day in the middle of the history."""
+    return B.latest_points(silver(spark, sf_dir), as_of=dt.date(1998, 6, 15))

@@ -1,8 +1,8 @@
 """DuckDB oracle building blocks: the same definitions written as plain SQL.
 
-Each registered query has an independent SQL statement over the raw test
-tables; these helpers only assemble the repeated CTEs (``obs``, ``silver``)
-so each statement stays readable.
+Each registered query has its own SQL statement over the raw test tables; these helpers
+assemble the repeated CTEs (``obs``, ``silver``) and exact rounding.  The fixture's
+column expressions, the label tables and thresholds are the same values on both sides.
 """
 
 from __future__ import annotations
