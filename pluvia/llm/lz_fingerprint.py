@@ -89,10 +89,11 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - q] + following[:q]
 
 
-_RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-           "edited_fingerprint string, near_edited double, near_next double")
+# Signatures stay bytes while they are staged; the result has them as hex.
+_RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint binary, "
+           "edited_fingerprint binary, near_edited double, near_next double")
 _STAGED = _RESULT + ", task int, place string, text string"
-_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(),
+_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(),
           pa.int32(), pa.string(), pa.string()]
 _NAMES = [f.split()[0] for f in _STAGED.split(", ")]
 
@@ -101,7 +102,7 @@ def _compare(sign, doc_id, text, signature, following, following_signature) -> t
     changed = edited(text, following)
     other = signature if changed == text else sign(changed)
     return (doc_id, len(text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
-            signature.hex(), other.hex(), likeness(signature, other),
+            signature, other, likeness(signature, other),
             likeness(signature, following_signature))
 
 
@@ -127,21 +128,21 @@ def compare_next(docs: DataFrame, permutations: int = PERMUTATIONS, id_col: str
             for doc_id, text in zip(part.column("doc_id").to_pylist(), texts_of(part)):
                 signature = sign(text)
                 if last is None:
-                    rows.append((doc_id, None, None, signature.hex(), None, None, None, task, "first", text))
+                    rows.append((doc_id, None, None, signature, None, None, None, task, "first", text))
                 else:
                     rows.append((*_compare(sign, *last, text, signature), task, "whole", None))
                 last = doc_id, text, signature
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
         if last is not None:
             doc_id, text, signature = last
-            row = (doc_id, None, None, signature.hex(), None, None, None, task, "last", text)
+            row = (doc_id, None, None, signature, None, None, None, task, "last", text)
             yield pa.record_batch([pa.array([v], t) for v, t in zip(row, _TYPES)], names=_NAMES)
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = signer(permutations)
         for part in slices(batches, "text"):
-            rows = [_compare(sign, r["doc_id"], r["text"], bytes.fromhex(r["fingerprint"]),
-                             r["next_text"], bytes.fromhex(r["next_fingerprint"])) for r in part.to_pylist()]
+            rows = [_compare(sign, r["doc_id"], r["text"], r["fingerprint"], r["next_text"],
+                             r["next_fingerprint"]) for r in part.to_pylist()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES[:7])
 
     ranges = (text_rows(docs, id_col, text_col).repartitionByRange("doc_id")
@@ -156,4 +157,5 @@ def compare_next(docs: DataFrame, permutations: int = PERMUTATIONS, id_col: str
                .join(first.select(F.col("task").alias("next_task"), F.col("text").alias("next_text"),
                                   F.col("fingerprint").alias("next_fingerprint")), "next_task")
                .select("doc_id", "text", "fingerprint", "next_text", "next_fingerprint"))
-    return found.where("place = 'whole'").select(*_NAMES[:7]).unionAll(closing.mapInArrow(close, _RESULT))
+    every = found.where("place = 'whole'").select(*_NAMES[:7]).unionAll(closing.mapInArrow(close, _RESULT))
+    return every.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
