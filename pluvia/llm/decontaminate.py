@@ -48,12 +48,22 @@ NUMBER_WORDS = frozenset(
 _EDGES = re.compile(r"^[^\w%°$€£¥]+|[^\w%°$€£¥]+$|_")
 _BARE = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[-+]?[$€£¥]?\d[\d.,:/]*(?:st|nd|rd|th|e[-+]?\d+)?[%°$€£¥]?\Z")
+_STOPS, _ENDS = frozenset(".,;:!?"), frozenset(".!?:|")
 NUMBER, UNIT, NAME, LITERAL, NOTHING = 1, 2, 3, 0, 9
 
 
 def classify(word: str) -> tuple[str, int, bool, bool]:
-    """(bare word, kind, may be a name, ends a sentence) of a white-space-delimited word."""
-    ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":", "|")
+    """(bare word, kind, may be a name, ends a sentence) of a white-space-delimited word.
+    A line feed, which stands as a word of its own, ends a sentence as well."""
+    if word == "\n":
+        return "", NOTHING, False, True
+    last = word[-1:]
+    plain = word[:-1] if last in _STOPS else word
+    if plain.isalpha():  # most words: letters and at most one mark after them
+        low = plain.lower()
+        kind = NUMBER if low in NUMBER_WORDS else UNIT if low in UNITS else LITERAL
+        return low, kind, kind == LITERAL and plain[0].isupper() and plain[1:].islower(), last in _ENDS
+    ends = word.rstrip("\"')]}»”’")[-1:] in _ENDS
     core = _EDGES.sub("", word)
     low = core.lower()
     if _NUMBER.match(low) or low in NUMBER_WORDS:
@@ -82,15 +92,18 @@ class _Lexicon:
             del self.bare[KNOWN_WORDS:]
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        known = self.number
-        for word in set(words).difference(known):
-            low, kind, name, ends = classify(word)
-            i = known[word] = len(self.bare)
-            self.bare.append(low)
-            if i >= self.table.shape[1]:
+        known, first = self.number, len(self.bare)
+        new = set(words).difference(known)
+        if new:
+            rows = []
+            for word in new:
+                low, kind, name, ends = classify(word)
+                known[word] = len(self.bare)
+                self.bare.append(low)
+                rows.append((xxhash.xxh64_intdigest(low) if kind == LITERAL else kind, kind, name | ends << 1))
+            while len(self.bare) > self.table.shape[1]:
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)], axis=1)
-            h = xxhash.xxh64_intdigest(low) if kind == LITERAL else kind
-            self.table[:, i] = h, kind, name | ends << 1
+            self.table[:, first:len(self.bare)] = np.array(rows, np.uint64).T
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
 
@@ -103,7 +116,7 @@ def canonical(text: str) -> tuple[np.ndarray, np.ndarray, list[int], _Lexicon]:
     h, kind, flags = lexicon.table[:, at]
     # A line feed or a sentence's end before a word means that a capital is no name;
     # pieces without a word (runs of spaces, lone marks) pass the state on.
-    ends = (flags >> np.uint64(1)).astype(bool) | (np.fromiter((w == "\n" for w in words), bool, len(words)))
+    ends = (flags >> np.uint64(1)).astype(bool)
     real = kind != NOTHING
     told = np.flatnonzero(real | ends)
     before = np.searchsorted(told, np.arange(len(at)), side="left") - 1
