@@ -70,6 +70,17 @@ def test_awkward_rows_and_short_items(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 5), (6, 5), (70, 4)} and len(got) == 3
 
 
+def test_items_without_template_windows(spark):
+    items = ["12 kg + 30 kg = 42 kg or 7 % of 600 kg", "roll Anna Bob Clara Dora Emil Fritz Greta Hugo Ida", "中国的首都是哪一座城市",
+             "which\tplanet\tis\tthe\tlargest\tone\tof\tall\tplanets"]
+    rows = [(i, f"{prose(20 + i, 30)} {text} {prose(40 + i, 30)}") for i, text in enumerate(items)]
+    rows += [(12, f"文章{items[2]}吗，是的"), (13, rows[3][1].replace("\t", " ")), (14, rows[0][1].replace("30 kg", "31 kg")),
+             (15, "城市的中国是哪一座首都")]
+    got = D.leaks(frame(spark, rows), bench(spark, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(0, 0), (1, 1), (2, 2), (3, 3), (12, 2), (13, 3)} and len(got) == 6
+    assert all(r.verbatim and r.occurrences == 1 for r in got)
+
+
 def test_empty_tables(spark):
     assert D.leaks(empty(spark), bench(spark, [QUESTION])).count() == 0
     none = D.leaks(frame(spark, [(1, QUESTION)]), bench(spark, []))
