@@ -165,7 +165,6 @@ def windows(texts: DataFrame, sizes: tuple[int, ...] | None, bits: np.ndarray |
     (None) of the one size that suits each text; only those the bit map lets through, if
     there is one.  ``eligible`` is a place that has a template window, ``n_windows`` and
     ``n_all`` count those and all places.
-    A text taken at its own size has exact windows only if it has no template window.
     """
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
@@ -182,8 +181,6 @@ def windows(texts: DataFrame, sizes: tuple[int, ...] | None, bits: np.ndarray |
                     eligible = np.zeros(max(0, len(h) - size + 1), bool)
                     total = 0
                     for exact in (False, True):
-                        if exact and sizes is None and total:
-                            continue
                         places, hashes = window_hashes(bare if exact else h, None if exact else kind, size)
                         if not exact:
                             eligible[places], total = True, len(places)

@@ -81,6 +81,21 @@ def test_items_without_template_windows(spark):
     assert all(r.verbatim and r.occurrences == 1 for r in got)
 
 
+@pytest.mark.parametrize("item,texts", [
+    ("What is the capital of France?", ["1) What is the capital of France?", "asked What is the capital of France?",
+                                        "what is the capital of france", "WHAT IS THE CAPITAL OF FRANCE?",
+                                        "What is the capital of\nFrance?"]),
+    ("How far is Bonn from Cologne?", ["how far is bonn from cologne?", "HOW FAR IS BONN FROM COLOGNE?"]),
+    (QUESTION, [QUESTION.lower(), QUESTION.upper(), f"12. {QUESTION}", QUESTION.replace(" ", "\n"),
+                QUESTION.replace(" ", "\t")]),
+])
+def test_copies_match_whatever_their_capitals(spark, item, texts):
+    rows = [(i, f"{prose(60 + i, 20)} {text} {prose(80 + i, 20)}") for i, text in enumerate(texts)]
+    got = D.leaks(frame(spark, rows), bench(spark, [item])).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+    assert all(r.verbatim and r.coverage >= 0.99 for r in got)
+
+
 def test_empty_tables(spark):
     assert D.leaks(empty(spark), bench(spark, [QUESTION])).count() == 0
     none = D.leaks(frame(spark, [(1, QUESTION)]), bench(spark, []))
