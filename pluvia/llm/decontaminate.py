@@ -28,6 +28,9 @@ WINDOW = 8
 # Share of the words of a window that must not be placeholders, share of an item's
 # windows that make a leak, and the fewest tokens of an item that can be looked for.
 MIN_LITERAL, MIN_COVERAGE, MIN_TOKENS = 0.5, 0.5, 4
+# So many consecutive windows (13 words) of one occurrence make a leak as well, whatever
+# share of the item they are.
+MIN_RUN = 6
 # The benchmark's windows as a bit map of fixed size, sent to the tasks that scan
 # documents: what passes is joined by hash.
 FILTER_BITS = 1 << 22
@@ -202,11 +205,12 @@ def windows(texts: DataFrame, sizes: tuple[int, ...] | None, bits: np.ndarray |
 
 def leaks(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE,
           id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-          item_text_col: str = "text") -> DataFrame:
+          item_text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """One row per leaked item of a document: ``doc_id, item_id, coverage`` (share of the
     item's windows found in consistent occurrences: of the places with a template window,
     or of all places found by exact windows, whichever is more), ``occurrences`` and
-    ``verbatim`` (all slots as in the item).  Documents and items without a leak have no row.
+    ``verbatim`` (all slots as in the item).  An item leaks from a coverage of
+    ``min_coverage`` on, or from ``min_run`` consecutive windows on one diagonal on.  Documents and items without a leak have no row.
 
     Items under four tokens (words, or letters of scripts without spaces), null texts and null ids are not looked for; repeated rows
     of an id count as one document; an empty table on either side gives no rows.
@@ -246,13 +250,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVER
         F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
     named = F.array_distinct(F.transform("slots", lambda s: s["item"]))
     consistent = once.where(F.size("slots") == F.size(named))
+    # Places in order: MIN_RUN of them are consecutive if the last is MIN_RUN - 1 after the first.
+    at = F.array_sort(F.transform("places", lambda p: p["place"]))
+    step = F.zip_with(F.slice(at, min_run, F.greatest(F.size(at), F.lit(1))), at, lambda last, first: last - first)
+    long_run = F.coalesce(F.exists(step, lambda d: d == min_run - 1), F.lit(False))
     same = F.forall("slots", lambda s: s["item"] == s["doc"])
-    places = consistent.select(*item, "diagonal", same.alias("same"), F.explode("places").alias("p"))
+    places = consistent.select(*item, "diagonal", same.alias("same"),
+                               long_run.alias("run"), F.explode("places").alias("p"))
     return (places.groupBy(*item, "p.place", "p.eligible")
-            .agg(F.min("same").alias("same"), F.count(F.lit(1)).alias("times"), F.max("p.exact").alias("exact"))
+            .agg(F.min("same").alias("same"), F.count(F.lit(1)).alias("times"), F.max("p.exact").alias("exact"),
+                 F.max("run").alias("run"))
             .groupBy(*item)
             .agg(F.count_if("eligible").alias("hit"), F.count_if("exact").alias("exact"),
-                 F.max("times").alias("occurrences"), F.min("same").alias("verbatim"))
+                 F.max("times").alias("occurrences"), F.min("same").alias("verbatim"), F.max("run").alias("run"))
             .withColumn("coverage", F.greatest(F.expr("hit / nullif(n_windows, 0)"), F.col("exact") / F.col("n_all")))
-            .where(F.col("coverage") >= min_coverage)
+            .where((F.col("coverage") >= min_coverage) | F.col("run"))
             .select("doc_id", "item_id", "coverage", "occurrences", "verbatim"))

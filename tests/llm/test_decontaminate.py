@@ -96,6 +96,17 @@ def test_copies_match_whatever_their_capitals(spark, item, texts):
     assert all(r.verbatim and r.coverage >= 0.99 for r in got)
 
 
+def test_excerpts_of_long_items(spark):
+    item = prose(9, 400).split(" ")
+    rows = [(i, f"{prose(100 + i, 30)} {' '.join(item[50:50 + n])} {prose(200 + i, 30)}")
+            for i, n in enumerate([12, 13, 20, 190])]
+    # Two runs of 10 words are no run of 13.
+    rows += [(9, f"{' '.join(item[:10])} {prose(300, 9)} {' '.join(item[30:40])}")]
+    got = D.leaks(frame(spark, rows), bench(spark, [" ".join(item)])).collect()
+    assert {r.doc_id: round(r.coverage * 393) for r in got} == {1: 6, 2: 13, 3: 183}
+    assert all(r.verbatim for r in got)
+
+
 def test_empty_tables(spark):
     assert D.leaks(empty(spark), bench(spark, [QUESTION])).count() == 0
     none = D.leaks(frame(spark, [(1, QUESTION)]), bench(spark, []))
