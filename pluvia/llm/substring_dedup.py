@@ -1,8 +1,8 @@
 """Exact substring dedup by content-defined chunks.
 
 A gear rolling hash over the last WINDOW code points ends a chunk wherever it falls
-under a threshold, so equal passages are cut alike wherever they stand, up to the
-window at their start.  Chunks are compared by a 64-bit digest over the whole corpus;
+under a threshold, and at its smallest value where it does not for long, so equal
+passages are cut alike wherever they stand, up to the window at their start.  Chunks are compared by a 64-bit digest over the whole corpus;
 the first document with a digest (smallest id, first place) keeps the chunk.  Every run
 of adjacent later chunks with at least ``min_words`` words (or, without spaces, ``min_chars`` code points) is a repeated span.
 """
@@ -21,11 +21,17 @@ from pluvia.llm.common import slices, text_rows, texts_of
 
 # The rolling window, the mean chunk length, both in code points.
 WINDOW, MEAN_CHUNK = 16, 32
+# Where no end falls within MAX_CHUNK code points, as in words repeated over and over, the
+# smallest hash after MIN_CHUNK of them is one.
+MIN_CHUNK, MAX_CHUNK = 32, 96
 # A passage of over 50 words keeps at least this many in whole chunks: it loses the
 # window and part of a chunk at its start, and part of a chunk at its end.
 MIN_WORDS = 20
-# Scripts without spaces have few words: a span of so many code points counts as well.
-MIN_CHARS = 300
+# A span of so many code points counts as well, and so many letters of a script without
+# spaces count as a word.
+MIN_CHARS, DENSE_WORD = 300, 5
+_DENSE = np.array([0xE00, 0xF00, 0x1000, 0x10A0, 0x1780, 0x1800, 0x3040, 0x3130, 0x3400, 0xA000,
+                   0xF900, 0xFB00, 0x20000, 0x40000], np.uint32)  # from, to, from, to ...
 
 
 def codes_of(text: str) -> np.ndarray:
@@ -51,15 +57,27 @@ def gear(codes: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 def chunk_ends(codes: np.ndarray, window: int = WINDOW, mean: int = MEAN_CHUNK) -> np.ndarray:
     """Ends (exclusive) of the chunks of a text; the last one is its length."""
-    h = (gear(codes, window) * np.uint32(0x9E3779B1)) >> np.uint32(8)
+    mixed = gear(codes, window) * np.uint32(0x9E3779B1)
+    h = mixed >> np.uint32(8)
     cut = h < np.uint32((1 << 24) // mean)
     cut[:window - 1] = False
     cut[-1:] = True
-    return np.flatnonzero(cut) + 1
+    ends = np.flatnonzero(cut) + 1
+    starts = np.concatenate([[0], ends[:-1]])
+    long = np.flatnonzero(ends - starts > MAX_CHUNK)
+    if not len(long):
+        return ends
+    more = []
+    for start, end in zip(starts[long].tolist(), ends[long].tolist()):
+        while end - start > MAX_CHUNK:
+            start += MIN_CHUNK + int(mixed[start + MIN_CHUNK - 1:start + MAX_CHUNK - 1].argmin())
+            more.append(start)
+    return np.sort(np.concatenate([ends, more]))
 
 
 def chunks(docs: DataFrame, window: int, mean: int) -> DataFrame:
-    """(digest, doc_id, start, stop, words) of every chunk; ``words`` counts word ends."""
+    """(digest, doc_id, start, stop, words) of every chunk; ``words`` counts word ends, and a
+    word for every DENSE_WORD letters of a script without spaces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for part in slices(batches, "text"):
@@ -77,6 +95,9 @@ def chunks(docs: DataFrame, window: int, mean: int) -> DataFrame:
                 blank = (codes == 32) | (codes == 10) | (codes == 9) | (codes == 13)
                 word_end = np.concatenate([[0], np.cumsum(blank[1:] & ~blank[:-1]),
                                            [0]])[:len(codes)]
+                if int(codes.max()) >= _DENSE[0]:
+                    dense = np.cumsum(np.searchsorted(_DENSE, codes, side="right") % 2)
+                    word_end = word_end + dense // DENSE_WORD
                 out[1].append(np.full(len(ends), doc_id))
                 out[2].append(starts)
                 out[3].append(ends)
@@ -135,7 +156,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WI
                    mean: int = MEAN_CHUNK, id_col: str = "doc_id",
                    text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per repeated span: ``doc_id, start, stop`` (code points), ``words`` (word
-    ends inside) and ``kept_id``, the document that keeps the span's first chunk.
+    ends inside, and one for every DENSE_WORD letters of scripts without spaces) and ``kept_id``, the document that keeps the span's first chunk.
 
     Ids are taken as unique for each text: rows that repeat one count once.  Rows with a
     null id or text have no spans and keep nothing.  Digests are counted with

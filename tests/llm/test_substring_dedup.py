@@ -77,6 +77,28 @@ def test_scripts_without_spaces(spark):
     assert [(r.doc_id, r.kept_id) for r in spans] == [(2, 1)] and spans[0].stop - spans[0].start > 450
 
 
+def test_passages_of_a_short_period(spark):
+    rows = []
+    for k, slogan in enumerate(["ab ", "buy now ", "| --- ", "la la lu ", "one more slogan of ours ", "x"]):
+        passage = slogan * (500 // len(slogan))
+        assert max(np.diff(D.chunk_ends(D.codes_of(passage)), prepend=0)) <= D.MAX_CHUNK
+        rows += [(10 * k, f"{prose(700 + k, 31)} {passage} {prose(800 + k, 30)}"),
+                 (10 * k + 1, f"{prose(720 + k, 30)} {passage[2:]} {prose(820 + k, 30)}")]
+    spans = D.repeated_spans(frame(spark, rows)).collect()
+    assert {10 * k + 1 for k in range(6)} <= {r.doc_id for r in spans}
+    texts = dict(rows)
+    for r in spans:
+        if r.doc_id % 10:
+            assert r.stop - r.start > 300 and texts[r.doc_id][r.start:r.stop] in texts[r.doc_id - 1]
+
+
+def test_shorter_passages_of_scripts_without_spaces(spark):
+    rng = np.random.default_rng(5)
+    text = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 220))) for _ in range(3)]
+    spans = D.repeated_spans(frame(spark, [(1, text[0] + text[1]), (2, text[2] + text[1])])).collect()
+    assert [(r.doc_id, r.kept_id) for r in spans] == [(2, 1)] and 100 <= spans[0].stop - spans[0].start < 300
+
+
 def test_empty_table(spark):
     assert D.repeated_spans(empty(spark)).count() == 0
     assert D.cut_spans(empty(spark), D.repeated_spans(empty(spark))).count() == 0
