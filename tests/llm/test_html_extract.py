@@ -94,3 +94,11 @@ def test_empty_table_and_unmarked_pages(spark):
     page = "<nav><a href=x>Home</a></nav><div><p>One plain sentence stands here.</p></div>"
     pages = spark.createDataFrame([(1, "u", page)], PAGES)
     assert H.extract(pages, H.fit(pages)).first().text == "One plain sentence stands here."
+
+
+@pytest.mark.parametrize("other", ["<p>a plain page of words</p>", "<!-- <article> --><p>a plain page of words</p>"])
+def test_rare_marks_are_all_learned_from(spark, other):
+    marked = "<nav><a href=x>home</a></nav><article><p>the text of the article itself</p></article><footer>end</footer>"
+    rows = [(i, "u", marked if i == 7 else other) for i in range(400)] + [(None, None, None)]
+    crf = H.fit(spark.createDataFrame(rows, PAGES), fit_pages=2)
+    assert np.abs(crf.transition).max() > 0  # the hand-set signs have no transitions
