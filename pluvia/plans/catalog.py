@@ -893,15 +893,28 @@ def q_group_totals_share(spark, sf_dir):
     return B.top_groups_share(li, "l_suppkey", "l_extendedprice", k=5, days=365, scale=2, date="shipped")
 
 
-def payload_responses(spark, sf_dir):
-    """``obs`` as per-entity responses of a month: parallel arrays beside the entity."""
+# Source ids of one payload document, a multiple of the ids of one response.
+PAYLOAD_IDS = 1 << 18
+
+
+def payload_responses(spark, sf_dir, ids=PAYLOAD_IDS):
+    """``obs`` as per-entity responses of a month: parallel arrays beside the entity, and the
+    ``bucket`` (range of ``ids`` source ids) they are from."""
     o = X.obs(spark, sf_dir).withColumns({
         "time": F.col("date").cast("string"), "month": F.date_format("date", "yyyy-MM"),
-        "sunrise": F.lit(None).cast("string"), "sunset": F.lit(None).cast("string")})
+        "sunrise": F.lit(None).cast("string"), "sunset": F.lit(None).cast("string"),
+        "bucket": F.call_function("div", F.col("src_id") - F.pmod("src_id", F.lit(ids)), F.lit(ids))})
     fields = {"time": "time"} | {dst: src for src, dst in P.RAW_VARIABLES.items()}
-    packed = N.to_parallel_arrays(o, ["month", *P.DIMENSION_COLUMNS], "src_id", fields)
+    packed = N.to_parallel_arrays(o, ["month", "bucket", *P.DIMENSION_COLUMNS], "src_id", fields)
     meta = F.struct(F.col("city_name").alias("name"), *P.DIMENSION_COLUMNS[1:])
-    return packed.select("month", "daily", meta.alias("_city_meta"))
+    return packed.select("month", "bucket", "daily", meta.alias("_city_meta"))
+
+
+def payload_documents(spark, sf_dir, ids=PAYLOAD_IDS):
+    """Payload documents of a month: one for each range of ``ids`` source ids, so none holds
+    more rows than that, however large the month."""
+    return payload_responses(spark, sf_dir, ids).groupBy("month", "bucket").agg(
+        F.collect_list(F.struct("daily", "_city_meta")).alias("data"))
 
 
 SILVER_ROWS = f"{SILVER} SELECT silver.* EXCLUDE (src_id) FROM silver"
@@ -909,11 +922,10 @@ SILVER_ROWS = f"{SILVER} SELECT silver.* EXCLUDE (src_id) FROM silver"
 
 @register("raw_payload_roundtrip", SILVER_ROWS)
 def q_raw_payload_roundtrip(spark, sf_dir):
-    """obs -> one payload document a month -> read -> flatten -> clean."""
+    """obs -> payload documents of a month and a range of ids -> read -> flatten -> clean."""
     root = work_dir(spark, "payload")
-    docs = payload_responses(spark, sf_dir).groupBy("month").agg(
-        F.collect_list(F.struct("daily", "_city_meta")).alias("data"))
-    docs.repartition("month").write.partitionBy("month").json(root)
+    docs = payload_documents(spark, sf_dir)
+    docs.repartition("month", "bucket").write.partitionBy("month", "bucket").json(root)
     flat = N.flatten_payload(FS.city_responses(FS.read_raw(spark, root)))
     return C.clean(flat).drop("sunrise", "sunset")
 
@@ -925,7 +937,7 @@ def q_landed_roundtrip(spark, sf_dir):
     none = spark.createDataFrame([], FS.FAILED)
     for day, rows in ((1, r.where("month < '1999-01'")), (2, r.where("month >= '2000-01'")),
                       (1, r.where("month >= '1999-01' and month < '2000-01'"))):
-        out = FS.land_raw(rows.drop("month"), none, root, dt.date(2001, 8, day), LOAD_TS1)
+        out = FS.land_raw(rows.drop("month", "bucket"), none, root, dt.date(2001, 8, day), LOAD_TS1)
     return C.clean(N.flatten_payload(FS.read_landed(spark, out["data"]))).drop("sunrise", "sunset")
 
 

@@ -4,6 +4,7 @@ import json
 import os
 
 from pluvia.operators.flatten import flatten_payload, safe_get
+from pluvia.plans import catalog
 from pluvia.sources import files as FS
 
 
@@ -116,3 +117,12 @@ def test_land_then_flatten_equals_direct(spark, tmp):
     again = flatten_payload(landed.drop(FS.RUN_DATE)).collect()
     assert sorted(map(tuple, direct), key=str) == sorted(map(tuple, again), key=str)
     assert spark.read.json(out["failed"]).first()["name"] == "Gone"
+
+
+def test_payload_documents_are_bounded(spark):
+    sf, ids = "/root/testdata/sf0.001", 1024
+    docs = catalog.payload_documents(spark, sf, ids)
+    rows = docs.selectExpr("month", "bucket", "aggregate(data, 0, (n, r) -> n + size(r.daily.time)) as n").collect()
+    assert len({(r.month, r.bucket) for r in rows}) == len(rows) > len({r.month for r in rows})
+    assert max(r.n for r in rows) <= ids
+    assert sum(r.n for r in rows) == catalog.X.obs(spark, sf).count()
