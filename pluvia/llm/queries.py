@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvia.llm import (decontaminate, html_extract, langid, lz_fingerprint, masked_lm, packing,
-                        simhash, substring_dedup, token_counts, toxicity)
+from pluvia.llm import (collocations, decontaminate, html_extract, langid, lz_fingerprint, masked_lm,
+                        packing, prefix_trie, simhash, substring_dedup, token_counts, toxicity, wavelet)
 from pluvia.llm.common import table
+from pluvia.session import work_dir
 
 TOKEN_LIMIT = 2048
 TOXIC_FROM = 0.7
@@ -79,6 +80,22 @@ def q_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.score(docs, masked_lm.fit(docs))
 
 
+def q_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = wavelet.write_shards(table(spark, sf_dir, "documents"), work_dir(spark, "wavelet"),
+                                  public_tokenizers.path("byte_bpe_50k.json"),
+                                  public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return wavelet.read_documents(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def q_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie_nodes(prefix_trie.rebuilt(turns))
+
+
+def q_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
     "op2_masked_lm": q_masked_lm,
@@ -90,5 +107,8 @@ QUERIES = {
     "op8_substring_dedup": q_substring_dedup,
     "op9_packing": q_packing,
     "op10_lz_fingerprint": q_lz_fingerprint,
+    "op11_wavelet": q_wavelet,
+    "op12_prefix_trie": q_prefix_trie,
+    "op13_collocations": q_collocations,
 }
 ORACLE: dict[str, str] = {}
