@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -58,12 +59,88 @@ SIDE_WORDS = frozenset(
     "toolbar topbar trending warning widget widgets".split())
 MAIN_WORDS = frozenset("article articlebody content entry main maincontent post story".split())
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|iframe|object|svg|math|canvas|title|textarea)"
-    r"(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<[!?/][^>]*>", re.S | re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in
+            ("script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "title", "textarea")}
+_STOP, _SPECIAL = re.compile(r"[\s/>]"), re.compile("[>\"']")
+
+
+class _Scanner:
+    """The markup of a page in order.  Whatever a failed search has shown (no ``>`` or quote
+    beyond a place, no tag's end from a place) is kept, so unclosed tags and quotes do not
+    make later ones search the rest of the page again."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.absent: dict[str, int] = {}  # what has no occurrence from a place on
+        self.failed: set[int] = set()     # places outside quotes from which no tag ends
+        self.name = (0, 0)                # a stretch without an end of a name
+
+    def find(self, what: str, at: int) -> int:
+        if at >= self.absent.get(what, len(self.page) + 1):
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.absent[what] = at
+        return found
+
+    def name_end(self, at: int) -> int:
+        if not self.name[0] <= at < self.name[1]:
+            found = _STOP.search(self.page, at)
+            self.name = at, found.start() if found else len(self.page)
+        return self.name[1]
+
+    def tag_end(self, at: int) -> int:
+        """After the ``>`` that closes a tag whose attributes begin at ``at``; -1 without."""
+        met, page = [], self.page
+        while at < self.absent.get("special", len(page) + 1):
+            found = _SPECIAL.search(page, at)
+            if not found:
+                self.absent["special"] = at
+                break
+            at = found.start()
+            if page[at] == ">":
+                return at + 1
+            if at in self.failed:
+                break
+            met.append(at)
+            at = self.find(page[at], at + 1) + 1
+            if not at:
+                break
+        self.failed.update(met)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str | None, str]]:
+        """(start, end, is an end tag, tag or None, attributes) of all markup."""
+        page, size = self.page, len(self.page)
+        at = page.find("<")
+        while at >= 0:
+            end, closing, tag, attributes = -1, False, None, ""
+            if page.startswith("<!--", at):
+                end = self.find("-->", at + 4) + 3
+                end = end if end > 2 else size
+            elif page[at:at + 9].upper() == "<![CDATA[":
+                end = self.find("]]>", at + 9) + 3
+                end = end if end > 2 else size
+            else:
+                closing = page.startswith("/", at + 1)
+                start = at + 1 + closing
+                if start < size and page[start].isascii() and page[start].isalpha():
+                    stop = self.name_end(start + 1)
+                    end = self.tag_end(stop)
+                    if end >= 0:
+                        tag, attributes = page[start:stop].lower(), page[stop:end - 1]
+                        if not closing and tag in _RAW_END and stop < size:
+                            close = _RAW_END[tag].search(page, end)
+                            end, tag = close.end() if close else size, None
+                if end < 0 and page[at + 1:at + 2] in ("!", "?", "/"):
+                    end = self.find(">", at + 2) + 1 or -1
+            if end >= 0:
+                yield at, end, closing, tag, attributes
+                at = page.find("<", end)
+            else:
+                at = page.find("<", at + 1)
+
+
 _NAMED = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WITH = ("has-", "with-", "no-", "has_", "with_", "no_")
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -81,7 +158,7 @@ def _names(attributes: str) -> set[str]:
 
 class Block(NamedTuple):
     text: str
-    tags: frozenset      # tags of all ancestors
+    in_link: bool        # an ancestor is a link
     place: str           # the innermost telling ancestor: "main", "side" or ""
     side_name: bool      # some ancestor is named like page furniture
     main_name: bool
@@ -90,9 +167,26 @@ class Block(NamedTuple):
     element: str         # the block element the text stands in
 
 
+class _Open(NamedTuple):
+    """An open element, with what its ancestors and itself say about the text inside."""
+    tag: str
+    in_link: bool
+    place: str
+    side_name: bool
+    main_name: bool
+    marked: bool
+    element: str
+    in_head: bool
+
+
+_OUTSIDE = _Open("", False, "", False, False, False, "", False)
+_SCOPES = frozenset(("table", "article", "section", "body"))
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order; scripts, styles and the like hold none."""
-    stack: list[tuple] = []  # (tag, place, side name, main name, marked, names)
+    stack: list[_Open] = [_OUTSIDE]
+    where: dict[str, list[int]] = {}  # places of each tag in the stack, ascending
     out: list[Block] = []
     text: list[str] = []
     links = 0
@@ -103,70 +197,71 @@ def blocks(page: str) -> list[Block]:
         text.clear()
         clean = " ".join(joined.split())
         if clean:
-            top = stack[-1][1:5] if stack else ("", False, False, False)
-            element = next((s[0] for s in reversed(stack) if s[0] in BLOCK), "")
-            out.append(Block(clean, frozenset(s[0] for s in stack), *top, links, element))
+            top = stack[-1]
+            out.append(Block(clean, top.in_link, top.place, top.side_name, top.main_name, top.marked, links, top.element))
         links = 0
 
     def add(raw: str) -> None:
         nonlocal links
-        if any(s[0] == "head" for s in stack[:3]):
+        if stack[-1].in_head:
             return
         value = html.unescape(raw) if "&" in raw else raw
         text.append(value)
-        if any(s[0] == "a" for s in stack):
+        if stack[-1].in_link:
             links += len(value.strip())
 
+    def cut(i: int) -> None:
+        while len(stack) > i:
+            where[stack.pop().tag].pop()
+
     at = 0
-    for m in _MARKUP.finditer(page):
-        if m.start() > at:
-            add(page[at:m.start()])
-        at = m.end()
-        tag = m[3]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if tag in RAW:
+    for start, end, closing, tag, attributes in _Scanner(page):
+        if start > at:
+            add(page[at:start])
+        at = end
+        if tag is None or tag in RAW:
             continue
-        if m[2]:
-            if any(s[0] == tag for s in stack):
-                if tag in BLOCK or any(s[0] in BLOCK for s in stack[_last(stack, tag):]):
+        if closing:
+            if where.get(tag):
+                i = where[tag][-1]
+                if any(s.tag in BLOCK for s in stack[i:]):
                     close_block()
-                del stack[_last(stack, tag):]
+                cut(i)
             continue
         if tag in BLOCK:
             close_block()
             ended, bound = CLOSES.get(tag, (set(), set()))
             if tag in ENDS_P:
                 ended = ended | {"p"}
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ended:
-                    del stack[i:]
-                elif stack[i][0] in bound or stack[i][0] in ("table", "article", "section", "body"):
-                    break
+            # The open elements above the innermost bound that this one ends, and all in them.
+            low = max((where[t][-1] for t in (*bound, *_SCOPES) if where.get(t)), default=0)
+            first = [places[k] for t in ended if (places := where.get(t))
+                     and (k := bisect_right(places, low)) < len(places)]
+            if first:
+                cut(min(first))
         elif tag == "br":
             text.append(" ")
         if tag in VOID:
             continue
-        _, place, side, main, marked = stack[-1][:5] if stack else ("", "", False, False, False)
-        names = _names(m[4]) if m[4] else set()
+        up = stack[-1]
+        names = _names(attributes) if attributes else set()
         own_side = not names.isdisjoint(SIDE_WORDS) and tag not in ("html", "body")
         own_main = not names.isdisjoint(MAIN_WORDS)
+        place = up.place
         if tag in SIDE_TAGS or own_side:
             place = "side"
         elif tag in MAIN_TAGS and place != "side":
             place = "main"
-        stack.append((tag, place, side or own_side, main or own_main, marked or tag in MAIN_TAGS))
+        where.setdefault(tag, []).append(len(stack))
+        stack.append(_Open(tag, up.in_link or tag == "a", place, up.side_name or own_side, up.main_name or own_main,
+                           up.marked or tag in MAIN_TAGS, tag if tag in BLOCK else up.element,
+                           up.in_head or tag == "head" and len(stack) <= 3))
     if at < len(page):
         add(page[at:])
     close_block()
     return out
 
 
-def _last(stack: list, tag: str) -> int:
-    return max(i for i, s in enumerate(stack) if s[0] == tag)
-
-
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FEATURES = ["bias", "main", "side", "side name", "main name", "in link", "paragraph", "heading",
             "words 1", "words 2-5", "words 6-15", "words 16-40", "words 41+", "sentence end",
@@ -187,7 +282,7 @@ def features(page: list[Block], use_mark: bool = True) -> np.ndarray:
         size = "1" if n < 2 else "2-5" if n < 6 else "6-15" if n < 16 else "16-40" if n < 41 else "41+"
         on = {"bias": True, "main": b.place == "main" and use_mark, "side": b.place == "side",
               "side name": b.side_name, "main name": b.main_name and use_mark,
-              "in link": "a" in b.tags, "paragraph": b.element == "p", "heading": b.element in HEADINGS,
+              "in link": b.in_link, "paragraph": b.element == "p", "heading": b.element in HEADINGS,
               f"words {size}": True, "sentence end": b.text[-1] in ".!?…\"”»", "commas": ", " in b.text,
               "mostly links": share > 0.5, "some links": 0 < share <= 0.5,
               "many capitals": n > 1 and sum(w[:1].isupper() for w in b.text.split()) > 0.6 * n,
@@ -328,11 +423,12 @@ def extract(pages: DataFrame, crf: Crf, id_col: str = "page_id", url_col: str =
     joined by one space.  Null or blank html, and pages without main text, give "".
     Nulls in the other columns stay; repeated rows repeat; an empty table gives no rows.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(crf)
+    shared = pages.sparkSession.sparkContext.broadcast(tuple(crf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crf = Crf(*shared.value)
         for part in slices(batches, "html"):
-            found = [main_text(page or "", shared.value) for page in part.column("html").to_pylist()]
+            found = [main_text(page or "", crf) for page in part.column("html").to_pylist()]
             yield pa.record_batch(
                 [part.column("page_id"), part.column("url"), pa.array([t for t, _ in found], pa.string()),
                  pa.array([len(t) for t, _ in found], pa.int64()),

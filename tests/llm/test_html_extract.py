@@ -1,5 +1,6 @@
 import html
 import re
+import time
 from itertools import product
 
 import numpy as np
@@ -87,6 +88,22 @@ def test_awkward_pages(spark, crf):
     assert by[None] == WANT and by[5].count("Some words") == 4000
 
 
+@pytest.mark.parametrize("odd", ["<div>x", "<b>", "<a '", "<a \"'", "</ ", "<!--", "<a<a", "<p><a>", "<td>x", "<script ", "<q a='"])
+def test_unclosed_markup_takes_linear_time(odd):
+    start = time.process_time()
+    H.blocks(odd * 200_000)
+    assert time.process_time() - start < 20
+
+
+def test_quotes_and_tags_that_never_end_are_text():
+    text = lambda page: [b.text for b in H.blocks(page)]
+    assert text("<p>a < b <c 'd</p>e") == ["a < b <c 'd", "e"]
+    assert text("<p title='x > y'>a</p><p title=\"it's\">b</p>") == ["a", "b"]
+    assert text("a <!-- b <p>c") == ["a"]
+    assert text("a<script >b</p>c</SCRIPT >d") == ["ad"]
+    assert text("<ul><li>a<li>b<table><tr><td>c<td>d<tr><td>e</table>f</ul>g") == ["a", "b", "c", "d", "e", "f", "g"]
+
+
 def test_empty_table_and_unmarked_pages(spark):
     none = spark.createDataFrame([], PAGES)
     crf = H.fit(none)
