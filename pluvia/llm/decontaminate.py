@@ -34,7 +34,8 @@ MIN_RUN = 6
 # The benchmark's windows as a bit map of fixed size, sent to the tasks that scan
 # documents: what passes is joined by hash.
 FILTER_BITS = 1 << 22
-KNOWN_WORDS = 1 << 18
+# Words a worker remembers, and characters of all of them.
+KNOWN_WORDS, KNOWN_CHARS = 1 << 18, 1 << 23
 # Sets the hashes of exact windows apart; their ``size`` is negative.
 EXACT = 1 << 20
 
@@ -92,12 +93,15 @@ class _Lexicon:
 
     def __init__(self):
         self.number: dict[str, int] = {}
+        self.chars = 0
         self.bare: list[str] = []
         self.table = np.zeros((4, 1024), np.uint64)  # hash, kind, flags, hash of the bare word
 
     def shrink(self) -> None:
         """Forget the words met last, once there are half as many again as are kept; the
         ones met first hold the frequent ones."""
+        if self.chars > KNOWN_CHARS:
+            self.__init__()
         if len(self.bare) > KNOWN_WORDS * 3 // 2:
             self.number = dict(islice(self.number.items(), KNOWN_WORDS))
             del self.bare[KNOWN_WORDS:]
@@ -107,6 +111,7 @@ class _Lexicon:
         new = set(words).difference(known)
         if new:
             rows = []
+            self.chars += sum(map(len, new))
             for word in new:
                 low, kind, name, ends = classify(word)
                 known[word] = len(self.bare)

@@ -4,8 +4,8 @@ White space ends every pre-token of the word vocabularies served here, so a text
 may be cut at every space or line feed without changing its token count.  Each
 text becomes its white-space-delimited words; words not yet known to the worker
 are encoded by the tokenizer's library in batches balanced by bytes, and a text's
-count is the sum over its words.  A worker remembers a bounded number of words;
-words beyond the bound are encoded anew in each slice, never skipped.
+count is the sum over its words.  A worker remembers a bounded number of words of a
+bounded length; all others are encoded anew in each slice, never skipped.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from pluvia.llm.common import slices, text_rows, texts_of, worker_state
 
-# Words a worker keeps, and bytes in one call of the tokenizer.
-KNOWN_WORDS = 1 << 20
+# Words a worker keeps, characters of one it keeps, and bytes in one call of the tokenizer.
+KNOWN_WORDS, KEPT_LENGTH = 1 << 20, 64
 ENCODE_BYTES = 1 << 18
 
 
@@ -39,14 +39,15 @@ def _tokenizer(path: str):
 
 
 def by_bytes(words: list[str], limit: int) -> Iterator[list[str]]:
-    """Runs of words of about ``limit`` characters each."""
+    """Runs of words of about ``limit`` UTF-8 bytes each."""
     run, size = [], 0
     for word in words:
-        if run and size + len(word) > limit:
+        n = len(word) if word.isascii() else len(word.encode("utf-8", "surrogatepass"))
+        if run and size + n > limit:
             yield run
             run, size = [], 0
         run.append(word)
-        size += len(word)
+        size += n
     if run:
         yield run
 
@@ -75,15 +76,16 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             words = [t.replace("\n", " ").split(" ") for t in texts_of(part)]
             new = set().union(*words).difference(known)
             fresh = count_words(new, tokenizer_path, encode_bytes)
-            if len(known) + len(fresh) <= known_words:
-                known.update(fresh)
-                counts = [sum(map(known.__getitem__, w)) for w in words]
-            else:
-                for word, n in fresh.items():
-                    if len(known) >= known_words:
-                        break
+            once = {}
+            for word, n in fresh.items():
+                if len(word) <= KEPT_LENGTH and len(known) < known_words:
                     known[word] = n
-                counts = [sum(known[x] if x in known else fresh[x] for x in w) for w in words]
+                else:
+                    once[word] = n
+            if once:
+                counts = [sum(known[x] if x in known else once[x] for x in w) for w in words]
+            else:
+                counts = [sum(map(known.__getitem__, w)) for w in words]
             yield pa.record_batch([part.column("doc_id"), part.column("n_bytes"),
                                    pa.array(counts, pa.int64())],
                                   names=["doc_id", "n_bytes", "n_tokens"])

@@ -29,7 +29,8 @@ CONTEXT, DISCOUNT = 4, 0.75
 SHARED = 10
 # Expected number of labelled documents fitted for each class, at most.
 FIT_DOCS = 30_000
-KNOWN_WORDS = 1 << 20
+# Words a worker remembers, and characters of all of them.
+KNOWN_WORDS, KNOWN_CHARS = 1 << 20, 1 << 24
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -111,15 +112,17 @@ class _Scorer:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.value = np.zeros((2, 1 << 12))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
             self.clear()
         known = self.known
         split = [t.replace("\n", " ").split(" ") for t in texts]
         for raw in set().union(*split).difference(known):
             i = known[raw] = len(known)
+            self.chars += len(raw)
             if i >= self.value.shape[1]:
                 self.value = np.concatenate([self.value, np.zeros_like(self.value)], axis=1)
             words = _WORD.findall(raw.lower())
@@ -245,10 +248,10 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id",
     """One row per input row: ``doc_id, log_ratio`` (mean over the words), ``n_words`` and
     ``score`` (0 to 1).  Null or wordless texts have ratio 0 and the curve's score for
     that; null ids stay null; repeated rows repeat; an empty table gives no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches):
-        model = shared.value
+        model = ToxicityModel(*shared.value)
         scorer = _Scorer(model.ratio, model.backoff)
         for part in slices(batches, "text"):
             x = features(*(both := scorer(texts_of(part))))
