@@ -37,20 +37,24 @@ def encoder(tokenizer_path: str, ranks_path: str | None):
     through the faster merge loop; all other texts through the library itself.
     """
     def build():
+        import json
         import os
         import re
 
         import numpy as np
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_path)
-        tok.no_truncation()
-        tok.no_padding()
+        held = []  # the library's tokenizer, once a text needs it
 
         def slow(text):
-            return np.array(tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            if not held:
+                from tokenizers import Tokenizer
+
+                tok = Tokenizer.from_file(tokenizer_path)
+                tok.no_truncation()
+                tok.no_padding()
+                held.append(tok)
+            return np.array(held[0].encode(text, add_special_tokens=False).ids, dtype="<u4")
 
         if ranks_path is None:
             return slow
@@ -61,16 +65,21 @@ def encoder(tokenizer_path: str, ranks_path: str | None):
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
+        with open(tokenizer_path, encoding="utf-8") as file:
+            special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
         enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
                                 mergeable_ranks=ranks, special_tokens=special)
+        del ranks
         other = re.compile(r"[^\u0000-ɏ]")
         allowed = set(special)
 
         def fast(text):
             if not text.isascii() and other.search(text):
                 return slow(text)
-            return np.array(enc.encode(text, allowed_special=allowed), dtype="<u4")
+            try:
+                return np.array(enc.encode(text, allowed_special=allowed), dtype="<u4")
+            except ValueError:  # its pattern cannot split runs of about a million blanks
+                return slow(text)
 
         return fast
 

@@ -1,10 +1,13 @@
+import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from pluvia.llm import packing as P
+from pluvia.llm.queries import QUERIES
 from tests.llm.cases import awkward_rows, empty, frame, prose
 
 PATH, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +21,12 @@ def test_fast_ids_equal_the_library_for_every_latin_code_point():
             assert fast(text).tolist() == slow(text).tolist(), repr(text)
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", "x" * 300_000, " \t" * 700_000, "=-" * 200_000])
+def test_very_long_runs_equal_the_library(text):
+    fast, slow = P.encoder(PATH, RANKS), P.encoder(PATH, None)
+    assert np.array_equal(fast(text), slow(text))
+
+
 def test_cut_covers_the_document_with_pieces_of_their_class():
     for length in [*range(1, 2100), 4096, 5000, 10_001]:
         pieces = P.cut(length, 2048, P.SLACK)
@@ -67,5 +76,21 @@ def test_awkward_texts(spark):
     assert [r.length for r in repeated if r.doc_id is None] == [1]
 
 
+def test_registered_query_on_a_whole_table(spark):
+    sf, tok = "/root/testdata/sf0.001", Tokenizer.from_file(PATH)
+    want = {r.doc_id: np.array(tok.encode(r.text or "", add_special_tokens=False).ids + [1], "<u4")
+            for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got, covered, filled = QUERIES["op9_packing"](spark, sf).collect(), defaultdict(int), defaultdict(list)
+    for r in got:
+        ids = want[r.doc_id]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes())
+        covered[r.doc_id] += r.length
+        filled[r.sequence_id].append((r.offset, r.length))
+    assert covered == {i: len(ids) for i, ids in want.items()}
+    for pieces in filled.values():
+        ends = [a + n for a, n in sorted(pieces)]
+        assert [a for a, _ in sorted(pieces)] == [0, *ends[:-1]] and ends[-1] <= 2048
+
+
 def test_empty_table(spark):
     assert P.pack(empty(spark), PATH, RANKS).count() == 0
