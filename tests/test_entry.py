@@ -1,5 +1,6 @@
 """The entry file with and without the training-data subpackage and the pipeline file."""
 
+import shutil
 import subprocess
 import sys
 from pathlib import Path
@@ -28,6 +29,20 @@ def test_entry_imports_without_the_subpackage():
     assert out == "True True"
 
 
+def test_a_copy_without_the_two_folders_works(tmp_path):
+    """The folders are really gone, corpus_pipeline.py stays, as a driver may leave them."""
+    copy = tmp_path / "copy"
+    shutil.copytree(ROOT, copy, ignore=lambda folder, names: [
+        n for n in names if n in (".git", "__pycache__", "llm", "spark-warehouse")])
+    code = ("import __spark_entry__ as E; from pluvia.plans import catalog\n"
+            "print(E.__file__, set(E.queries()) == set(catalog.QUERIES), set(E.oracle_sql()) == set(catalog.ORACLE))")
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True)
+    assert done.stdout.split() == [str(copy / "__spark_entry__.py"), "True", "True"], done.stderr[-2000:]
+    done = subprocess.run([sys.executable, "-m", "pytest", "tests", "--collect-only", "-q"], cwd=copy,
+                          capture_output=True, text=True)
+    assert done.returncode == 0, done.stdout[-2000:]
+
+
 def test_the_rest_does_not_import_the_subpackage():
     out = run("import sys\nfrom pluvia.plans import catalog, daily\nfrom pluvia.streaming import ingest\n"
               "print(any(m.startswith('pluvia.llm') or m == 'corpus_pipeline' for m in sys.modules))")
