@@ -10,6 +10,7 @@ Ties are broken by the listed ``tie`` columns so results are deterministic.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -181,12 +182,29 @@ def last_n_per_key(df: DataFrame, key: str, n: int, date: str = DATE,
     return df.withColumn("rn", F.row_number().over(w).cast("bigint")).where(F.col("rn") <= n)
 
 
+def since_of_last(df: DataFrame, key: str, value, n: int, as_of: dt.date, date: str = DATE) -> dt.date:
+    """A date from which the ``n`` newest rows of one key up to ``as_of`` lie, whatever
+    days are missing: the range is widened fourfold until it holds them or reaches the
+    first date.  Every step reads the partitions of its range and at most ``n`` rows."""
+    days, first = n - 1, None
+    while True:
+        since = as_of - dt.timedelta(days=days)
+        held = df.where(F.col(date).between(F.lit(since), F.lit(as_of)) & (F.col(key) == F.lit(value)))
+        if held.limit(n).count() >= n:
+            return since
+        if first is None:
+            first = df.agg(F.min(date)).first()[0] or as_of
+        if since <= first:
+            return since
+        days = min(4 * days + 3, (as_of - first).days)
+
+
 def trend_of_top_key(df: DataFrame, n: int = 8, tie: Sequence[str] = (), as_of=None,
                      since=None) -> DataFrame:
     """The hottest latest-date entity's last ``n`` rows, oldest first.
 
-    ``since``: a date from which those rows are known to lie (one row a day: ``n - 1``
-    days before ``as_of``); without it the entity's whole history is read.
+    ``since``: a date from which those rows are known to lie (see :func:`since_of_last`);
+    without it the entity's whole history is read.
     """
     hot = arg_max_row(latest_slice(df, as_of=as_of), "temperature_max", (CITY, *tie)).select(CITY).scalar()
     own = df if since is None else df.where(F.col(DATE) >= F.lit(since).cast("date"))

@@ -112,7 +112,10 @@ def report_tables(rows: DataFrame, as_of: dt.date | None, history: DataFrame,
     from pluvia.operators import quality as DQ
 
     period = B.default_period(rows, preferred=preferred_key, as_of=as_of, keys=keys)
-    since = None if as_of is None else as_of - dt.timedelta(days=P.DAYS_BACK)
+    since = None
+    if as_of is not None:
+        hot = B.arg_max_row(B.latest_slice(rows, as_of=as_of), "temperature_max").select(B.CITY).first()
+        since = B.since_of_last(rows, B.CITY, hot[0], 8, as_of) if hot else as_of
     return {
         "headline_kpis": B.headline_kpis(rows, as_of=as_of),
         "hottest_card": B.selected_card(rows, as_of=as_of),

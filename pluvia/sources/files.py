@@ -11,7 +11,7 @@ import os
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,23 +74,30 @@ def _read_or_empty(read, spark: SparkSession, schema: T.StructType) -> DataFrame
 
 # --- S2 / S4: raw payload -------------------------------------------------
 
+def run_date_of(path: Column) -> Column:
+    """The run date in a file's ``YYYY/MM/DD`` folder."""
+    return F.to_date(F.concat_ws("-", *[F.regexp_extract(path, _RUN_FOLDER, i) for i in (1, 2, 3)]))
+
+
 def with_run_date(df: DataFrame) -> DataFrame:
     """The run date of each file's ``YYYY/MM/DD`` folder as a column."""
-    fp = F.col("_metadata.file_path")
-    return df.withColumn(RUN_DATE, F.to_date(F.concat_ws(
-        "-", *[F.regexp_extract(fp, _RUN_FOLDER, i) for i in (1, 2, 3)])))
+    return df.withColumn(RUN_DATE, run_date_of(F.col("_metadata.file_path")))
 
 
 def read_raw(spark: SparkSession, path: str | list[str], run_date: bool = False) -> DataFrame:
-    """Whole multi-line JSON payloads, one row per file, explicit schema.
+    """Whole payloads (one JSON object a file, UTF-8), one row per file, explicit schema.
 
-    A truncated or malformed document raises; a missing file raises.  Multi-line JSON
-    cannot be split, so each file is one task: land it (:func:`land_raw`) and read the
-    landed lines from then on.  ``run_date`` adds the date of the file's folder.
+    A truncated or malformed document raises; a missing file raises; a blank file has no
+    row.  Each file is read as one text and parsed from memory, where a number's exact text
+    is at hand, so a file is one task: :func:`pluvia.sources.payload.read_responses` reads
+    one large document with many.  ``run_date`` adds the date of the file's folder.
     """
-    df = (spark.read.schema(SC.RAW_PAYLOAD).option("multiLine", True).option("mode", "FAILFAST")
-          .json(path))
-    return with_run_date(df) if run_date else df
+    files = spark.read.text(path, wholetext=True)
+    files = with_run_date(files) if run_date else files
+    parsed = F.from_json("value", SC.RAW_PAYLOAD, {"mode": "FAILFAST"})
+    extra = [RUN_DATE] if run_date else []
+    return (files.where(F.col("value").rlike(r"\S")).select(parsed.alias("payload"), *extra)
+            .select("payload.*", *extra))
 
 
 def city_responses(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

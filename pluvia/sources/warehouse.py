@@ -12,7 +12,7 @@ import os
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,8 +123,8 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
     batch's rows.  With ``version`` (a column of ``schema``, such as a run date) the
     larger version of a key wins whatever the order of loading; at a tie the batch does.
 
-    The batch is evaluated once, into a staging folder under the table; the merged
-    partitions are staged as well, since a job cannot overwrite what it reads.
+    The batch is evaluated once, into a staging folder under the table; in replacement the
+    merged partitions are staged as well, since a job cannot overwrite what it reads.
     """
     spark = df.sparkSession
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -134,11 +134,14 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
     batch = _with_partition(enforce_schema(df.withColumn("loaded_at", ts), schema), grain)
     ensure_table(spark, root, schema, grain)
     staged = []
+    if mode not in ("append", "replace_partitions"):
+        raise ValueError(f"unknown load mode {mode!r}")
+    # The write samples its input for its ranges, so the batch is evaluated before it.
+    observed, path = FS.stage(batch, root)
+    staged.append(path)
     if mode == "append":
-        observed, write_mode = batch, "append"
-    elif mode == "replace_partitions":
-        observed, path = FS.stage(batch, root)
-        staged.append(path)
+        merged, write_mode = observed, "append"
+    else:
         first, last = observed.agg(F.min(PARTITION), F.max(PARTITION)).first()
         if first is None:
             FS.remove(spark, path)
@@ -156,17 +159,10 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
         merged, path = FS.stage(merged, root)
         staged.append(path)
         write_mode = "overwrite"
-    else:
-        raise ValueError(f"unknown load mode {mode!r}")
     job = f"load-{uuid.uuid4().hex[:8]}"
-    if mode == "append":
-        seen = Observation(job)
-        out = _clustered(observed, part, cluster).observe(seen, F.count(F.lit(1)).alias("rows"))
-    else:
-        out = _clustered(merged, part, cluster)
-    (out.write.mode(write_mode).option("partitionOverwriteMode", "dynamic")
+    (_clustered(merged, part, cluster).write.mode(write_mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(root))
-    rows = seen.get["rows"] if mode == "append" else observed.count()
+    rows = observed.count()
     for path in staged:
         FS.remove(spark, path)
     total = read_table(spark, root, schema).count()

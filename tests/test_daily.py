@@ -59,3 +59,45 @@ def test_report_tables(spark, tmp):
     assert sizes["period_table"] >= 1 and sizes["conditions"] == 1
     status = spark.read.parquet(os.path.join(tmp, "tables", "report_status")).first()
     assert status["total_rows"] == 5
+
+
+def test_trend_keeps_eight_rows_of_an_entity_with_missing_days(spark):
+    """A row every other day, one with a gap of a year, one with few rows at all."""
+    from pluvia.operators import dashboard as B
+    as_of = dt.date(2024, 3, 1)
+    days = {"Every other": [as_of - dt.timedelta(days=2 * i) for i in range(40)],
+            "Gap": [as_of] + [as_of - dt.timedelta(days=365 + i) for i in range(30)],
+            "Few": [as_of, as_of - dt.timedelta(days=9)]}
+    rows = [(c, d, 20.0 + i) for c, ds in days.items() for i, d in enumerate(ds)]
+    df = spark.createDataFrame(rows, "city_name string, date date, temperature_max double")
+    for city, ds in days.items():
+        since = B.since_of_last(df, "city_name", city, 8, as_of)
+        assert sum(d >= since for d in ds) >= min(8, len(ds))
+
+
+def test_report_trend_with_gaps(spark, tmp):
+    from pluvia.plans.daily import build_report_tables
+    as_of = dt.date(2024, 3, 1)
+    rows = [("A", as_of - dt.timedelta(days=2 * i), 30.0 + i) for i in range(20)] + [("B", as_of, 1.0)]
+    df = spark.createDataFrame(rows, "city_name string, date date, temperature_max double")
+    root = os.path.join(tmp, "fact")
+    m = WH.load(df, root, "append", loaded_at=dt.datetime(2024, 3, 1))
+    assert m["rows_loaded"] == m["table_total_rows"] == 21
+    sizes = build_report_tables(spark, root, os.path.join(tmp, "none"), os.path.join(tmp, "tables"))
+    assert sizes["trend"] == 8
+    trend = spark.read.parquet(os.path.join(tmp, "tables", "trend")).orderBy("date").collect()
+    assert [r.date for r in trend] == [as_of - dt.timedelta(days=2 * i) for i in range(7, -1, -1)]
+
+
+def test_append_evaluates_its_batch_once(spark, tmp):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([("A", dt.date(2024, 1, i), 1.0) for i in range(1, 21)],
+                               "city_name string, date date, temperature_max double")
+    WH.load(df.mapInArrow(count, df.schema), os.path.join(tmp, "once"), "append")
+    assert seen.value == 20
