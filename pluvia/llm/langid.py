@@ -28,11 +28,15 @@ MIN_SHARE = 1e-5
 # Expected number of labelled documents fitted for each language.
 FIT_DOCS = 4000
 SLOTS, HASHES = 1 << 20, 3
+# Text bytes, and characters of it, worked on at a time.
+SLICE, STRETCH = 1 << 18, 1 << 17
+# Distinct values that a language column may have (the bitmasks take SLOTS * 8 bytes for 64).
+MAX_LANGUAGES = 4096
 
 
 class LanguageModel(NamedTuple):
     languages: list[str]
-    table: np.ndarray       # SLOTS bitmasks, bit i of each for languages[i]
+    table: np.ndarray       # SLOTS bitmasks, bit i of each for languages[i]; over 64 languages: rows of them
     false_rate: np.ndarray  # false-positive rate of each language's filter
 
 
@@ -41,39 +45,64 @@ def _letters() -> np.ndarray:
         [chr(i).isalpha() for i in range(0x110000)]))
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all letter n-grams of the texts and the text each belongs to.
+def stretches(texts: list[str]) -> Iterator[tuple[str, np.ndarray, int]]:
+    """(letters and ends, text of each place, places an n-gram may begin at): the texts in
+    lower case between word ends, cut after STRETCH characters, so that the arrays made of
+    them stay small; a cut text's stretch holds the characters its last n-grams need."""
+    held, owner, size = [], [], 0
+    for i, text in enumerate(texts):
+        low = f"{text.lower()}\0"
+        if len(low) <= STRETCH:
+            held.append(low)
+            owner.append(i)
+            size += len(low)
+            if size < STRETCH:
+                continue
+        if held:
+            yield "\0" + "".join(held), np.repeat(owner, [len(h) for h in held]), size
+            held, owner, size = [], [], 0
+        if len(low) > STRETCH:
+            low = "\0" + low
+            for at in range(0, len(low), STRETCH):
+                part = low[at:at + STRETCH + ORDERS[-1] - 1]
+                yield part, np.full(len(part) - 1, i), STRETCH
+    if held:
+        yield "\0" + "".join(held), np.repeat(owner, [len(h) for h in held]), size
+
+
+def gram_blocks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of all letter n-grams of the texts and the text each belongs to, in blocks.
 
     Lower case; runs of other characters are one word end.  An n-gram may begin or
     end with a word end but holds none inside.
     """
-    codes = np.frombuffer("\0".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    lengths = np.fromiter((len(t.lower()) + 1 for t in texts), np.int64, len(texts))
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    letter = _letters()[codes]
-    codes = np.concatenate([[0], np.where(letter, codes, 0), [0]]).astype(np.uint64)
-    inside = np.concatenate([[False], letter, [False]])
-    owner = np.concatenate([owner[:1], owner[:len(letter)], owner[len(letter) - 1:len(letter)]])
-    found, whose = [], []
-    for n in ORDERS:
-        if len(codes) < n:
-            continue
-        m = len(codes) - n + 1
-        keep = inside[1:1 + m].copy()
-        for j in range(2, n - 1):
-            keep &= inside[j:j + m]
-        at = np.flatnonzero(keep)
-        h = np.full(len(at), n, np.uint64)
-        for j in range(n):
-            h = h * np.uint64(0x100000001B3) + codes[at + j]
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
-        found.append(h)
-        whose.append(owner[at + 1])
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(found), np.concatenate(whose)
+    letters = _letters()
+    for part, owner, own in stretches(texts):
+        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = letters[codes]
+        codes = np.where(inside, codes, np.uint32(0)).astype(np.uint64)
+        for n in ORDERS:
+            m = min(own, len(codes) - n + 1)
+            if m <= 0:
+                continue
+            keep = inside[1:1 + m].copy()
+            for j in range(2, n - 1):
+                keep &= inside[j:j + m]
+            at = np.flatnonzero(keep)
+            h = np.full(len(at), n, np.uint64)
+            for j in range(n):
+                h *= np.uint64(0x100000001B3)
+                h += codes[at + j]
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+            yield h, owner[at]
+
+
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All blocks of :func:`gram_blocks` together."""
+    found = list(gram_blocks(texts)) or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    return np.concatenate([h for h, _ in found]), np.concatenate([o for _, o in found])
 
 
 def slots_of(hashes: np.ndarray) -> Iterator[np.ndarray]:
@@ -87,10 +116,13 @@ def gram_counts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     """(lang, gram, n) over all texts of ``docs``."""
     def run(batches):
         for part in slices(batches, "text"):
-            langs = np.array(part.column("lang").to_pylist(), dtype=object)
-            hashes, owner = grams(texts_of(part))
+            langs, texts = np.array(part.column("lang").to_pylist(), dtype=object), texts_of(part)
             for lang in sorted(set(langs)):
-                gram, n = np.unique(hashes[langs[owner] == lang], return_counts=True)
+                gram = n = np.zeros(0, np.uint64)
+                for hashes, _ in gram_blocks([texts[i] for i in np.flatnonzero(langs == lang)]):
+                    new, times = np.unique(hashes, return_counts=True)
+                    gram, where = np.unique(np.concatenate([gram, new]), return_inverse=True)
+                    n = np.bincount(where, weights=np.concatenate([n, times]), minlength=len(gram))
                 yield pa.record_batch([pa.array([lang] * len(gram), pa.string()),
                                        pa.array(gram.view(np.int64)),
                                        pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
@@ -106,14 +138,16 @@ def fit(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: st
     """Learn the filters from rows with a language where ``learnable`` holds.
 
     ``fit_docs`` bounds the expected number of documents fitted per language: each
-    language's documents are thinned by a hash of their id to that number.  At most
-    64 languages; no labelled row at all gives a model that only says ``und``.
+    language's documents are thinned by a hash of their id to that number.  Every 64
+    languages take one bitmask more a slot; over MAX_LANGUAGES distinct values raise, since
+    the column holds something else.  No labelled row at all gives a model that only says
+    ``und``.
     """
     labelled = docs.where(learnable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().limit(65).collect()}
+    sizes = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect()}
     languages = sorted(sizes)
-    if len(languages) > 64:
-        raise ValueError("a bitmask holds at most 64 languages")
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages")
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("language")), F.lit(1 << 32))
     share = F.lit(False)
     for lang, n in sizes.items():
@@ -122,13 +156,14 @@ def fit(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: st
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     member = (counts.join(totals, "lang").where(F.col("n") >= min_share * F.col("total"))
               .select("lang", "gram"))
-    table = np.zeros(SLOTS, np.uint8 if len(languages) <= 8 else np.uint64)
+    number = {lang: i for i, lang in enumerate(languages)}
+    table = np.zeros((max(1, -(-len(languages) // 64)), SLOTS), np.uint8 if len(languages) <= 8 else np.uint64)
     for lang, gram in member.toLocalIterator():
-        bit = table.dtype.type(1 << languages.index(lang))
+        word, bit = divmod(number[lang], 64)
         for slot in slots_of(np.array([gram], np.int64).view(np.uint64)):
-            table[slot] |= bit
-    fill = [np.count_nonzero(table & table.dtype.type(1 << i)) / SLOTS for i in range(len(languages))]
-    return LanguageModel(languages, table, np.array(fill) ** HASHES)
+            table[word, slot] |= table.dtype.type(1 << bit)
+    fill = [np.count_nonzero(table[i // 64] & table.dtype.type(1 << i % 64)) / SLOTS for i in range(len(languages))]
+    return LanguageModel(languages, table if len(table) > 1 else table[0], np.array(fill) ** HASHES)
 
 
 def score_texts(texts: list[str], model: LanguageModel) -> tuple[list, np.ndarray, np.ndarray]:
@@ -138,18 +173,20 @@ def score_texts(texts: list[str], model: LanguageModel) -> tuple[list, np.ndarra
     score is the winner's weight among exp(corrected count) of all languages.
     """
     n, langs = len(texts), len(model.languages)
-    hashes, owner = grams(texts)
-    mask = None
-    for slot in slots_of(hashes):
-        got = model.table[slot]
-        mask = got if mask is None else mask & got
-    total = np.bincount(owner, minlength=n).astype(float)
-    hits = np.zeros((n, max(langs, 1)))
-    for i in range(langs):
-        held = owner[(mask >> mask.dtype.type(i)) & mask.dtype.type(1) == 1]
-        raw = np.bincount(held, minlength=n)
-        fp = model.false_rate[i]
-        hits[:, i] = np.maximum(0, (raw - fp * total) / max(1e-9, 1 - fp))
+    table = np.atleast_2d(model.table)
+    total, raw = np.zeros(n), np.zeros((n, max(langs, 1)))
+    for hashes, owner in gram_blocks(texts):
+        total += np.bincount(owner, minlength=n)
+        slots = list(slots_of(hashes))
+        for word, row in enumerate(table):
+            mask = row[slots[0]]
+            for slot in slots[1:]:
+                mask &= row[slot]
+            for i in range(64 * word, min(64 * word + 64, langs)):
+                held = owner[(mask >> mask.dtype.type(i % 64)) & mask.dtype.type(1) == 1]
+                raw[:, i] += np.bincount(held, minlength=n)
+    fp = np.append(model.false_rate, 0.0)[:raw.shape[1]]
+    hits = np.maximum(0, (raw - fp * total[:, None]) / np.maximum(1e-9, 1 - fp))
     best = hits.argmax(1)
     top = hits[np.arange(n), best]
     score = 1 / np.exp(hits - top[:, None]).sum(1)
@@ -167,11 +204,12 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id",
     Repeated rows repeat; null ids stay null; an empty table gives no rows.  No shuffle;
     the broadcast table has a fixed size.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches):
-        for part in slices(batches, "text"):
-            names, score, coverage = score_texts(texts_of(part), shared.value)
+        model = LanguageModel(*shared.value)
+        for part in slices(batches, "text", SLICE):
+            names, score, coverage = score_texts(texts_of(part), model)
             yield pa.record_batch([part.column("doc_id"), pa.array(names, pa.string()),
                                    pa.array(score), pa.array(coverage)],
                                   names=["doc_id", "lang_pred", "score", "coverage"])
@@ -184,11 +222,12 @@ def accepted(docs: DataFrame, model: LanguageModel, min_coverage: float,
              text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a language: not ``und``, and at
     least ``min_coverage`` of its n-grams in the winning filter.  No shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches):
-        for part in slices(batches, text_col):
-            names, _, coverage = score_texts(texts_of(part, text_col), shared.value)
+        model = LanguageModel(*shared.value)
+        for part in slices(batches, text_col, SLICE):
+            names, _, coverage = score_texts(texts_of(part, text_col), model)
             yield part.filter(pa.array((np.array(names) != UNKNOWN) & (coverage >= min_coverage)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +27,36 @@ def test_grams_match_a_plain_count():
     assert all(np.array_equal(np.sort(hashes[owner == i]), alone[i]) for i in range(5))
 
 
+def test_cut_texts_give_the_same_grams(monkeypatch):
+    texts = ["Añb cd.e日本 " * 40, "", "İΣ" * 30, "x", " ", "abc" * 100]
+    whole = [sorted(L.grams([t])[0].tolist()) for t in texts]
+    for size in (5, 16, 101):
+        monkeypatch.setattr(L, "STRETCH", size)
+        hashes, owner = L.grams(texts)
+        assert [sorted(hashes[owner == i].tolist()) for i in range(len(texts))] == whole
+
+
+def test_memory_does_not_grow_with_a_text():
+    def peak(text):
+        tracemalloc.start()
+        for _ in L.gram_blocks([text]):
+            pass
+        return tracemalloc.get_traced_memory()[1], tracemalloc.stop()
+
+    L._letters()
+    small, large = peak("some words " * 50_000)[0], peak("some words " * 1_000_000)[0]
+    assert large - small < 5 * 11 * 950_000  # the text's own copies, no arrays
+
+
+def test_more_languages_than_a_mask_has_bits(spark):
+    rows = [(10 * i + j, " ".join([f"{chr(97 + i % 26)}{chr(97 + i // 26)}qz"] * 5)) for i in range(70) for j in range(3)]
+    docs = spark.createDataFrame([(i, t, f"l{i // 10:02d}") for i, t in rows], "doc_id long, text string, lang string")
+    model = L.fit(docs, F.lit(True))
+    assert len(model.languages) == 70 and model.table.shape == (2, L.SLOTS)
+    got = L.predict(docs, model).collect()
+    assert all(r.lang_pred == f"l{r.doc_id // 10:02d}" for r in got)
+
+
 @pytest.fixture(scope="module")
 def predicted(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
