@@ -27,7 +27,7 @@ from pluvia.llm.packing import encoder
 
 MAGIC = b"WVMX"
 # Ids of a shard (a document more closes it) and bits of a plane's block.
-SHARD_IDS, BLOCK_BITS = 1 << 23, 1 << 18
+SHARD_IDS, BLOCK_BITS = 1 << 22, 1 << 18
 _CACHED_BLOCKS = 256
 MANIFEST = "task int, place int, path string, n_docs long, n_ids long, n_bytes long"
 _NAMES = [c.split()[0] for c in MANIFEST.split(", ")]
@@ -39,10 +39,11 @@ def planes_of(ids: np.ndarray) -> Iterator[np.ndarray]:
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     order = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     for level in range(bits - 1, -1, -1):
-        bit = (order >> order.dtype.type(level) & order.dtype.type(1)).astype(bool)
+        bit = order & order.dtype.type(1 << level) != 0
         yield np.packbits(bit, bitorder="little")
         if level:
-            order = np.concatenate([order[~bit], order[bit]])
+            ones = order[bit]
+            order = np.concatenate([order[np.logical_not(bit, out=bit)], ones])
 
 
 def to_bytes(doc_ids: list, lengths: list[int], ids: np.ndarray, start: int = 0) -> bytes:
@@ -50,7 +51,7 @@ def to_bytes(doc_ids: list, lengths: list[int], ids: np.ndarray, start: int = 0)
 
     ``start``: ids that the same task has written before this shard.
     """
-    pack = zstandard.ZstdCompressor(level=3).compress
+    pack = zstandard.ZstdCompressor(level=1).compress
     sections = [pack(json.dumps([i is None for i in doc_ids]).encode()) if None in doc_ids else b"",
                 pack(np.array([i or 0 for i in doc_ids], "<i8").tobytes()), pack(np.array(lengths, "<i8").tobytes())]
     blocks, sizes, ones, bits = [], [], [], 0
@@ -288,13 +289,15 @@ def read_documents(shards: DataFrame) -> DataFrame:
         for path, base in _rows(batches):
             with _open(path) as source:
                 shard = WaveletMatrix(source)
-                data, at = memoryview(shard.ids().astype("<u4").tobytes()), shard.doc_starts
+                ids, at = shard.ids(), shard.doc_starts
             for lo in range(0, len(shard.doc_ids), 1024):
-                some = range(lo, min(lo + 1024, len(shard.doc_ids)))
+                hi = min(lo + 1024, len(shard.doc_ids))
+                part, ends = ids[at[lo]:at[hi]].astype("<u4"), 4 * (at[lo:hi + 1] - at[lo])
                 yield pa.record_batch(
-                    [pa.array([shard.doc_ids[i] for i in some], pa.int64()), pa.array(base + shard.start + at[lo:some.stop]),
-                     pa.array(shard.lengths[lo:some.stop]),
-                     pa.array([data[4 * at[i]:4 * at[i + 1]] for i in some], pa.binary())],
+                    [pa.array(shard.doc_ids[lo:hi], pa.int64()), pa.array(base + shard.start + at[lo:hi]),
+                     pa.array(shard.lengths[lo:hi]),
+                     pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(ends.tobytes()),
+                                                                        pa.py_buffer(part.tobytes())]).cast(pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"])
 
     return _placed(shards).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
