@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pluvia import presets as P
@@ -77,6 +77,66 @@ class StatsColumns:
     scale: int = 1
 
 
+def partial_measures(m: StatsColumns) -> list[Column]:
+    """The mergeable aggregates from which the statistics are made (see :func:`merged`)."""
+    def u(c):
+        return S.units(c, m.scale)
+
+    v = S.nan_to_null  # NaN is missing, never a maximum
+    out = [F.count(F.lit(1)).alias("n")]
+    for c in dict.fromkeys([m.mean, m.wind, m.humidity, m.uv]):
+        out += [F.sum(u(c)).alias(f"s_{c}"), F.count(u(c)).alias(f"c_{c}")]
+    return out + [
+        F.max(v(m.high)).alias("mx_t"), F.min(v(m.low)).alias("mn_t"),
+        F.sum(u(m.amount)).alias("s_p"),
+        F.count_if(v(m.amount) > 0).alias("rainy"),
+        F.max(v(m.wind)).alias("mx_w"),
+        F.count_if(F.col(m.heavy)).alias("heavy"),
+        F.count_if(F.col(m.heat)).alias("heat"),
+    ]
+
+
+def merged(partials: DataFrame, by: Sequence[str], m: StatsColumns) -> DataFrame:
+    """Partial measures of several parts (dates, loads) as those of their union."""
+    def again(c):
+        how = F.max if c.startswith("mx_") else F.min if c.startswith("mn_") else F.sum
+        return how(c).alias(c)
+
+    own = [c for c in partials.columns if c in ("n", "mx_t", "mn_t", "s_p", "rainy", "mx_w", "heavy", "heat")
+           or c in {f"{x}_{y}" for x in "sc" for y in (m.mean, m.wind, m.humidity, m.uv)}]
+    return partials.groupBy(*by).agg(*[again(c) for c in own])
+
+
+def stats_of_measures(level1: DataFrame, keys: Sequence[str], picks: list[Column], m: StatsColumns) -> DataFrame:
+    """The per-entity statistics from the measures of (entity, label) groups."""
+    def mean(c):
+        return S.mean_units(F.sum(f"s_{c}"), F.sum(f"c_{c}"), m.scale)
+
+    stats = level1.groupBy(*keys).agg(
+        mean(m.mean).alias("avg_temperature"),
+        F.round(F.max("mx_t"), 1).alias("max_temperature"),
+        F.round(F.min("mn_t"), 1).alias("min_temperature"),
+        (F.sum("s_p") / F.lit(10.0 ** m.scale)).alias("total_precipitation"),
+        F.sum("rainy").cast("bigint").alias("rainy_days"),
+        F.sum("n").cast("bigint").alias("total_days"),
+        mean(m.wind).alias("avg_wind_speed"),
+        F.round(F.max("mx_w"), 1).alias("max_wind_speed"),
+        mean(m.humidity).alias("avg_humidity"),
+        mean(m.uv).alias("avg_uv_index"),
+        F.sum("heavy").cast("bigint").alias("heavy_rain_days"),
+        F.sum("heat").cast("bigint").alias("heat_alert_days"),
+        *picks,
+    )
+    return (stats.withColumnRenamed("_pick", "most_common_weather")
+            .withColumn("rain_percentage",
+                        S.safe_percentage(F.col("rainy_days"), F.col("total_days"), 1)))
+
+
+def most_frequent(label: str) -> Column:
+    """The label with the largest count, the smallest one on ties."""
+    return F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(label).alias("v"))).getField("v").alias("_pick")
+
+
 def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
                window_days: int | None = None, as_of: dt.date | str | None = None,
                mode_col: str = "weather_description", mode: str = "exact",
@@ -99,21 +159,7 @@ def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
         start = F.date_sub(F.lit(as_of).cast("date"), window_days)
         df = df.where(F.col("date") >= start)
 
-    def u(c):
-        return S.units(c, m.scale)
-
-    partial = [F.count(F.lit(1)).alias("n")]
-    for c in dict.fromkeys([m.mean, m.wind, m.humidity, m.uv]):
-        partial += [F.sum(u(c)).alias(f"s_{c}"), F.count(u(c)).alias(f"c_{c}")]
-    v = S.nan_to_null  # NaN is missing, never a maximum
-    partial += [
-        F.max(v(m.high)).alias("mx_t"), F.min(v(m.low)).alias("mn_t"),
-        F.sum(u(m.amount)).alias("s_p"),
-        F.count_if(v(m.amount) > 0).alias("rainy"),
-        F.max(v(m.wind)).alias("mx_w"),
-        F.count_if(F.col(m.heavy)).alias("heavy"),
-        F.count_if(F.col(m.heat)).alias("heat"),
-    ]
+    partial = partial_measures(m)
     if mode == "approx":
         # One shuffle by key: the measures as above, the mode from the
         # mergeable approx_top_k sketch (ties unspecified, NULL counted).  The
@@ -124,29 +170,8 @@ def city_stats(daily: DataFrame, keys: Sequence[str] = tuple(CITY_KEYS),
                  F.first(F.col("_approx")[0]["count"]).alias("most_common_count")]
     elif mode == "exact":
         level1 = df.groupBy(*keys, mode_col).agg(*partial)
-        picks = [F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(mode_col).alias("v")))
-                 .getField("v").alias("_pick")]
+        picks = [most_frequent(mode_col)]
     else:
         raise ValueError(f"unknown mode {mode!r}")
 
-    def mean(c):
-        return S.mean_units(F.sum(f"s_{c}"), F.sum(f"c_{c}"), m.scale)
-
-    stats = level1.groupBy(*keys).agg(
-        mean(m.mean).alias("avg_temperature"),
-        F.round(F.max("mx_t"), 1).alias("max_temperature"),
-        F.round(F.min("mn_t"), 1).alias("min_temperature"),
-        (F.sum("s_p") / F.lit(10.0 ** m.scale)).alias("total_precipitation"),
-        F.sum("rainy").cast("bigint").alias("rainy_days"),
-        F.sum("n").cast("bigint").alias("total_days"),
-        mean(m.wind).alias("avg_wind_speed"),
-        F.round(F.max("mx_w"), 1).alias("max_wind_speed"),
-        mean(m.humidity).alias("avg_humidity"),
-        mean(m.uv).alias("avg_uv_index"),
-        F.sum("heavy").cast("bigint").alias("heavy_rain_days"),
-        F.sum("heat").cast("bigint").alias("heat_alert_days"),
-        *picks,
-    )
-    return (stats.withColumnRenamed("_pick", "most_common_weather")
-            .withColumn("rain_percentage",
-                        S.safe_percentage(F.col("rainy_days"), F.col("total_days"), 1)))
+    return stats_of_measures(level1, keys, picks, m)

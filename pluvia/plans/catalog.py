@@ -925,7 +925,7 @@ def q_raw_payload_roundtrip(spark, sf_dir):
     """obs -> payload documents of a month and a range of ids -> read -> flatten -> clean."""
     root = work_dir(spark, "payload")
     docs = payload_documents(spark, sf_dir)
-    docs.repartition("month", "bucket").write.partitionBy("month", "bucket").json(root)
+    docs.drop("bucket").repartition("month").write.option("maxRecordsPerFile", 1).partitionBy("month").json(root)
     flat = N.flatten_payload(FS.city_responses(FS.read_raw(spark, root)))
     return C.clean(flat).drop("sunrise", "sunset")
 
@@ -1073,3 +1073,7 @@ SELECT city_name, {Q.rd('latitude', 4)} AS lat, {Q.rd('longitude', 4)} AS lon, {
 def q_latest_points_as_of(spark, sf_dir):
     """The map points as of a day in the middle of the history."""
     return B.latest_points(silver(spark, sf_dir), as_of=dt.date(1998, 6, 15))
+
+
+# The queries over stored forms register themselves here.
+from pluvia.plans import catalog_storage  # noqa: E402, F401

@@ -331,9 +331,7 @@ def read_responses(spark: SparkSession, path: str | list[str], run_date: bool =
     """
     from pluvia.sources.files import RUN_DATE, run_date_of
 
-    folder, _ = _scanned(spark, path, range_bytes, block)
-    spark.dataSource.register(PayloadSource)
-    rows = spark.read.format(PayloadSource.name()).option("ranges", folder).option("block", str(block)).load()
+    rows = record_texts(spark, path, range_bytes, block)
     parsed = F.when(F.col("record") != "null", F.from_json("record", schema, {"mode": "FAILFAST"}))
     extra = [RUN_DATE] if run_date else []
     if run_date:
@@ -341,10 +339,13 @@ def read_responses(spark: SparkSession, path: str | list[str], run_date: bool =
     return rows.select(*extra, parsed.alias("r")).select(*extra, "r.*")
 
 
-def _scanned(spark, path, range_bytes, block) -> tuple[str, DataFrame]:
+def record_texts(spark: SparkSession, path: str | list[str], range_bytes: int = RANGE_BYTES,
+                 block: int = _BLOCK) -> DataFrame:
+    """(path, at, record): the text of every response and the byte it begins at."""
     folder, arrays = scan(spark, path, range_bytes=range_bytes, block=block)
-    headers(spark, path, arrays).write.format("noop").mode("overwrite").save()
-    return folder, arrays
+    headers(spark, path, arrays).write.format("noop").mode("overwrite").save()  # raises where they are no JSON
+    spark.dataSource.register(PayloadSource)
+    return spark.read.format(PayloadSource.name()).option("ranges", folder).option("block", str(block)).load()
 
 
 def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

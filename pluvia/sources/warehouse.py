@@ -113,7 +113,8 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
          key: Sequence[str] = ("city_name", "date"), grain: str = "day",
          cluster: Sequence[str] = CLUSTER, schema: T.StructType = SC.FACT,
          version: str | None = None) -> dict:
-    """Load a batch; returns ``rows_loaded``, ``table_total_rows``, ``job_id``.
+    """Load a batch; returns ``rows_loaded``, ``table_total_rows``, ``job_id`` and the
+    values of the ``partitions`` it touched.
 
     ``grain``: folder per ``day`` (at scale) or per ``month``/``year`` when a
     day holds few rows.  ``mode="append"`` adds rows (a re-delivered day is
@@ -146,7 +147,7 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
         if first is None:
             FS.remove(spark, path)
             return {"rows_loaded": 0, "table_total_rows": read_table(spark, root, schema).count(),
-                    "job_id": f"{app_id(spark)}-empty"}
+                    "job_id": f"{app_id(spark)}-empty", "partitions": []}
         touched = stored_between(spark, root, schema, grain, first, last).join(
             observed.select(part).distinct(), part, "left_semi").select(observed.columns)
         if version is None:
@@ -163,11 +164,12 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
     (_clustered(merged, part, cluster).write.mode(write_mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(root))
     rows = observed.count()
+    partitions = sorted(str(r[0]) for r in observed.select(part).distinct().collect())
     for path in staged:
         FS.remove(spark, path)
     total = read_table(spark, root, schema).count()
     return {"rows_loaded": int(rows), "table_total_rows": int(total),
-            "job_id": f"{app_id(spark)}-{job}"}
+            "job_id": f"{app_id(spark)}-{job}", "partitions": partitions}
 
 
 def latest_delivery(df: DataFrame, key: Sequence[str], run_col: str) -> DataFrame:
