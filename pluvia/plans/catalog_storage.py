@@ -8,9 +8,13 @@ import os
 
 from pyspark.sql import functions as F
 
+from pluvia import presets as P
 from pluvia import schemas as SC
+from pluvia.operators import aggregates as A
 from pluvia.operators import clean as C
+from pluvia.operators import dashboard as B
 from pluvia.operators import flatten as N
+from pluvia.operators import joins as J
 from pluvia.operators import ranges as R
 from pluvia.plans import catalog as K
 from pluvia.plans import fixtures as X
@@ -19,9 +23,11 @@ from pluvia.plans import sqlparts as Q
 from pluvia.plans.catalog import register
 from pluvia.session import work_dir
 from pluvia.sources import files as FS
+from pluvia.sources import layouts as LY
 from pluvia.sources import open_fields as OF
 from pluvia.sources import payload as PL
 from pluvia.sources.dimension import read_dimension
+from pluvia.streaming import dedupe as D
 
 # Bytes of a document that one task reads, small enough that test documents have several.
 SPLIT_BYTES = 256 << 10
@@ -147,3 +153,83 @@ def q_open_fields_unknown(spark, sf_dir):
     """The fields of the events' properties that no schema names."""
     e = X.table(spark, sf_dir, "events").select("event_id", "props")
     return OF.unknown_fields(OF.with_record(e, "props"), ())
+
+
+@register("coverage_gap_bucketed", K.ORACLE["coverage_gap"])
+def q_coverage_gap_bucketed(spark, sf_dir):
+    """The coverage gap between two tables in buckets of the entity."""
+    requested, answered = bucketed_tables(spark, sf_dir)
+    return J.coverage_gap(requested, answered, "c_custkey").select("c_custkey", "c_name")
+
+
+def bucketed_tables(spark, sf_dir, buckets=8):
+    name = "buckets_" + work_dir(spark, "buckets").rsplit("-", 1)[1]
+    got = B.window_days_back(X.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date")), K.AS_OF)
+    return (LY.save_bucketed(X.table(spark, sf_dir, "customer"), f"{name}_requested", ["c_custkey"], buckets),
+            LY.save_bucketed(got, f"{name}_answered", ["c_custkey"], buckets))
+
+
+@register("replace_bucketed", """SELECT o_orderkey, o_custkey,
+  CASE WHEN o_custkey % 3 = 0 THEN 'replaced' ELSE o_orderstatus END AS o_orderstatus FROM orders""")
+def q_replace_bucketed(spark, sf_dir):
+    """Orders in buckets, those of a third of the customers delivered again."""
+    name = "buckets_" + work_dir(spark, "buckets").rsplit("-", 1)[1]
+    orders, key = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_custkey", "o_orderkey"]
+    LY.save_bucketed(orders, name, key, 8)
+    again = orders.where("o_custkey % 3 = 0").withColumn("o_orderstatus", F.lit("replaced"))
+    return LY.replace_bucketed(spark, name, again, key, 8)
+
+
+@register("look_up_range", """WITH one AS (SELECT o_custkey FROM orders GROUP BY o_custkey ORDER BY count(*) DESC, o_custkey LIMIT 1)
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders
+WHERE o_custkey = (SELECT o_custkey FROM one) AND o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""")
+def q_look_up_range(spark, sf_dir):
+    """The orders of the busiest customer in two years, from a table in Z order."""
+    path = os.path.join(work_dir(spark, "look-up"), "orders")
+    orders = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("date"))
+    LY.write_for_look_ups(orders, path, "o_custkey", "date")
+    busiest = orders.groupBy("o_custkey").count().orderBy(F.desc("count"), "o_custkey").first()
+    return LY.look_up(spark.read.parquet(path), "o_custkey", busiest["o_custkey"], "date", dt.date(1996, 1, 1),
+                      dt.date(1997, 12, 31)).select("o_orderkey", "date")
+
+
+WINDOWS = (1, 30, 365)
+
+
+@register("distinct_in_windows", f"""WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS date FROM orders), w AS (SELECT unnest({list(WINDOWS)}) AS days)
+SELECT CAST(days AS INTEGER) AS days, CAST(COUNT(DISTINCT o_custkey) AS BIGINT) AS n, TRUE AS estimate_within_error FROM w
+LEFT JOIN o ON date > CAST(DATE '{K.AS_OF}' - days AS DATE) AND date <= DATE '{K.AS_OF}' GROUP BY days""")
+def q_distinct_in_windows(spark, sf_dir):
+    """Exact distinct customers of three windows, and whether the estimate from the stored
+    day sketches lies within four standard errors (and one) of it."""
+    path = os.path.join(work_dir(spark, "sketches"), "days")
+    orders = X.table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("date"))
+    A.daily_sketches(orders, "o_custkey").write.parquet(path)
+    estimate = A.distinct_in_windows(spark.read.parquet(path), K.AS_OF, WINDOWS)
+    exact = A.exact_in_windows(orders, "o_custkey", K.AS_OF, WINDOWS)
+    near = F.abs(F.col("estimate") - F.col("n")) <= F.col("n") * (4 * A.relative_error()) + 1
+    return exact.join(estimate, "days").select("days", "n", near.alias("estimate_within_error"))
+
+
+@register("duplicate_members", f"""WITH {Q.OBS_CTE} SELECT src_id, city_name, date FROM obs
+QUALIFY COUNT(*) OVER (PARTITION BY city_name, date) > 1""")
+def q_duplicate_members(spark, sf_dir):
+    """The observations that share their city and date with another one."""
+    return A.duplicate_members(X.obs(spark, sf_dir), P.KEY).select("src_id", "city_name", "date")
+
+
+@register("stream_first_deliveries", "SELECT event_id, user_id, event_type FROM events")
+def q_stream_first_deliveries(spark, sf_dir):
+    """Events delivered in two runs, the second with the first one's last days again; the
+    stream is started after each run and keeps every event once."""
+    root = work_dir(spark, "deliveries")
+    e = X.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type").withColumn(
+        "ts", F.col("ts").cast("timestamp"))
+    first, last = e.agg(F.min("ts"), F.max("ts")).first()
+    middle = first + (last - first) / 2
+    for i, rows in enumerate((e.where(F.col("ts") <= F.lit(middle)), e.where(F.col("ts") > F.lit(middle - dt.timedelta(days=5))))):
+        rows.write.parquet(os.path.join(root, "in", f"run={i}"))
+        D.start_dedupe(spark, os.path.join(root, "in"), e.schema, os.path.join(root, "out"), os.path.join(root, "state"),
+                       ["event_id"], "ts", f"{(last - first).days + 2} days").awaitTermination()
+    return spark.read.schema(e.schema).parquet(os.path.join(root, "out")).drop("ts")

@@ -92,7 +92,11 @@ def read_raw(spark: SparkSession, path: str | list[str], run_date: bool = False)
     is at hand, so a file is one task: :func:`pluvia.sources.payload.read_responses` reads
     one large document with many.  ``run_date`` adds the date of the file's folder.
     """
-    files = spark.read.text(path, wholetext=True)
+    return parse_payloads(spark.read.text(path, wholetext=True), run_date)
+
+
+def parse_payloads(files: DataFrame, run_date: bool = False) -> DataFrame:
+    """Whole texts of files (``value``, batch or stream) as payloads."""
     files = with_run_date(files) if run_date else files
     parsed = F.from_json("value", SC.RAW_PAYLOAD, {"mode": "FAILFAST"})
     extra = [RUN_DATE] if run_date else []
@@ -158,6 +162,10 @@ def read_landed(spark: SparkSession, data_dir: str, run_date=None,
 
 # --- S5 / S6 / S7: clean CSV ----------------------------------------------
 
+# A quoted cell may hold a line feed, so a file is read by one task: files stay this small.
+ROWS_PER_CSV = 500_000
+
+
 def conform(df: DataFrame, schema=SC.CLEAN) -> DataFrame:
     """Project onto a fixed layout: field order and types, absent fields NULL."""
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
@@ -167,7 +175,7 @@ def conform(df: DataFrame, schema=SC.CLEAN) -> DataFrame:
 def write_clean_csv(df: DataFrame, out_dir: str, run_date, schema=SC.CLEAN) -> str:
     """Clean rows as headed UTF-8 CSV in the run's folder, overwritten as a whole."""
     (conform(df, schema).write.mode("overwrite").option("header", True)
-     .option("encoding", "UTF-8").csv(run_folder(out_dir, run_date)))
+     .option("encoding", "UTF-8").option("maxRecordsPerFile", ROWS_PER_CSV).csv(run_folder(out_dir, run_date)))
     return out_dir
 
 

@@ -29,9 +29,8 @@ FACT_RUNS = T.StructType(SC.FACT.fields + [T.StructField(FS.RUN_DATE, T.DateType
 def payload_stream(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Stream of whole payload documents (one per landed file) with the run
     date taken from each file's ``YYYY/MM/DD`` folder; a malformed one raises."""
-    return FS.with_run_date(
-        spark.readStream.schema(SC.RAW_PAYLOAD).option("multiLine", True).option("mode", "FAILFAST")
-        .option("recursiveFileLookup", True).json(raw_dir))
+    return FS.parse_payloads(spark.readStream.option("recursiveFileLookup", True).text(raw_dir, wholetext=True),
+                             run_date=True)
 
 
 def start_ingest(spark: SparkSession, raw_dir: str, table_root: str, report_dir: str,
