@@ -73,3 +73,45 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text) alone, under fixed names, whatever other columns there are."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
+
+
+def word_codes(texts: list[bytes]) -> tuple:
+    """(code, unique, counts): the words of UTF-8 texts, cut at spaces and line feeds, as
+    numbers into the block's distinct words (an Arrow binary array), and the words of
+    each text.  Works on a few arrays of a block, not on word objects."""
+    import numpy as np
+
+    data = b"\n".join(texts)
+    raw = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], (raw != 32) & (raw != 10), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1]).astype(np.int32)
+    # Words and what lies between them are the entries of one array.
+    spans = pa.Array.from_buffers(pa.binary(), max(0, len(edges) - 1),
+                                  [None, pa.py_buffer(edges.tobytes()), pa.py_buffer(data)])
+    words = spans.take(pa.array(np.arange(0, len(edges), 2))).dictionary_encode()
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    counts = np.diff(np.searchsorted(edges[::2], ends), prepend=0)
+    return words.indices.to_numpy(), words.dictionary, counts
+
+
+def pieces(texts: list[bytes], limit: int) -> Iterator[tuple[list[int], list[bytes]]]:
+    """(numbers of texts, texts) in blocks of about ``limit`` bytes; a longer text comes in
+    pieces cut at white space, each a block of its own."""
+    numbers, held, size = [], [], 0
+    for i, text in enumerate(texts):
+        if len(text) > limit:
+            at = 0
+            while at < len(text):
+                ends = [e for e in (text.find(b" ", at + limit), text.find(b"\n", at + limit)) if e >= 0]
+                end = min(ends) if ends else len(text)
+                yield [i], [text[at:end]]
+                at = end
+            continue
+        numbers.append(i)
+        held.append(text)
+        size += len(text)
+        if size >= limit:
+            yield numbers, held
+            numbers, held, size = [], [], 0
+    if held:
+        yield numbers, held

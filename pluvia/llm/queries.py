@@ -76,8 +76,7 @@ def q_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return masked_lm.score(docs, masked_lm.fit(docs))
+    return masked_lm.fit_and_score(table(spark, sf_dir, "documents"))
 
 
 def q_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
