@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pluvia.llm.common import slices, staged
 
 DEPTH, MIN_COUNT, TOP = 5, 100, 2000
+TOP_PARTS = 64  # a language's phrases are ranked in so many parts first
 # Suffixes a group may hold, and the text bytes a task works on at a time.
 GROUP_BUDGET, BLOCK_BYTES = 500_000, 4 << 20
 # Bits of the maps for each frequent word or pair, and of a map at most (32 MB).
@@ -214,20 +215,20 @@ def codes_hash(h: np.ndarray, at: np.ndarray, j: int, code: np.ndarray) -> np.nd
     return np.where(code >= 0, h[np.minimum(at + j, len(h) - 1)], np.uint64(0))
 
 
-def _merge(lang: np.ndarray, phrase: pa.Array, n: np.ndarray):
-    """Rows of one group sorted as suffixes, equal ones added: (codes, words, lang, n)."""
+def _merge(lang: pa.Array, phrase: pa.Array, n: np.ndarray):
+    """Rows sorted as suffixes, equal ones added: (codes, words, languages, n)."""
     parts = pc.split_pattern(phrase, " ")
     sizes = np.diff(parts.offsets.to_numpy())
     flat = parts.flatten().dictionary_encode()
     owner = np.repeat(np.arange(len(phrase)), sizes)
     codes = np.full((len(phrase), DEPTH), -1, np.int32)
     codes[owner, np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat.indices.to_numpy()
-    names, tongue = np.unique(lang, return_inverse=True)
-    table = np.column_stack([tongue.astype(np.int32), codes])
+    tongue = lang.dictionary_encode()
+    table = np.column_stack([tongue.indices.to_numpy(), codes])
     order = np.lexsort(table.T[::-1])
     table, n = table[order], n[order]
     new = np.flatnonzero(np.append(True, (table[1:] != table[:-1]).any(1)))
-    return table[new], flat.dictionary, names, np.add.reduceat(n, new)
+    return table[new], flat.dictionary, tongue.dictionary, np.add.reduceat(n, new)
 
 
 def subtree_counts(lang, phrase, n, whole: bool, min_count: int) -> pa.RecordBatch:
@@ -252,9 +253,8 @@ def subtree_counts(lang, phrase, n, whole: bool, min_count: int) -> pa.RecordBat
             keep &= total >= min_count
         node, total = node[keep], total[keep]
         columns = [words.take(pa.array(table[node, j])) for j in range(1, depth + 1)]
-        out.append((names[table[node, 0]], pc.binary_join_element_wise(*columns, " "), total))
-    return pa.record_batch([pa.array(np.concatenate([o[0] for o in out]), pa.string()),
-                            pa.concat_arrays([o[1] for o in out]),
+        out.append((names.take(pa.array(table[node, 0])), pc.binary_join_element_wise(*columns, " "), total))
+    return pa.record_batch([pa.concat_arrays([o[0] for o in out]), pa.concat_arrays([o[1] for o in out]),
                             pa.array(np.concatenate([o[2] for o in out]))], names=["lang", "phrase", "n"])
 
 
@@ -270,9 +270,8 @@ def _subtrees(min_count: int, budget: int):
             for whole in (False, True):
                 some = rows.filter(pc.equal(rows["whole"], whole)).combine_chunks()
                 if some.num_rows:
-                    yield subtree_counts(np.array(some["lang"].to_pylist(), dtype=object),
-                                         some["phrase"].combine_chunks() if isinstance(some["phrase"], pa.ChunkedArray)
-                                         else some["phrase"], some["n"].to_numpy(), whole, min_count)
+                    yield subtree_counts(some["lang"].combine_chunks(), some["phrase"].combine_chunks(),
+                                         some["n"].to_numpy(), whole, min_count)
 
         size = added = 0
         for batch in batches:
@@ -361,7 +360,12 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, co
               .groupBy("lang", "phrase").agg(F.max("f").alias("longer")))
     kept = scored.join(inside, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (_big(F.col("longer")) * 100 < _big(F.col("a")) * contained))
-    order = Window.partitionBy("lang").orderBy(F.col("cut.score").desc(), F.col("a").desc(), "phrase")
-    return (kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.col("cut.score").desc(), F.col("a").desc(), "phrase"]
+    # The first ``top`` of each of TOP_PARTS parts of a language, then those of all parts.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))
+    near = Window.partitionBy("lang", "part").orderBy(*order)
+    best = kept.withColumn("part", part).withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= top)
+    return (best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+            .where(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"),
                     F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score")))

@@ -25,10 +25,13 @@ def brute(rows, min_count, top=2000):
     out = []
     for lang, counts in f.items():
         found = {p: a for p, a in counts.items() if len(p) > 1 and a >= min_count}
-        rows = []
+        rows, longer = [], Counter()  # the largest count of a longer candidate around each phrase
+        for q, b in found.items():
+            for k in range(2, len(q)):
+                for i in range(len(q) - k + 1):
+                    longer[q[i:i + k]] = max(longer[q[i:i + k]], b)
         for p, a in found.items():
-            if any(100 * b >= 100 * a and len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q)))
-                   for q, b in found.items() if b >= a):
+            if longer[p] and 100 * longer[p] >= 100 * a:
                 continue
             score, k = min((1000 * a * n[lang] // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p)))
             rows.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
@@ -97,7 +100,7 @@ def test_bit_map_has_every_hash(spark):
     df = spark.createDataFrame([(h,) for h in hashes], "h long")
     m = C.BitMap(C.bit_map(df, C.map_bits(500)))
     assert all(h % (1 << 64) in m for h in hashes)
-    assert sum(random.Random(-i).getrandbits(64) in m for i in range(1, 2000)) < 300
+    assert sum(random.Random(10_000 + i).getrandbits(64) in m for i in range(2000)) < 100
 
 
 def test_blocks_cover_a_text_once_with_context():
