@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvia.llm import (collocations, decontaminate, html_extract, langid, lz_fingerprint, masked_lm,
-                        packing, prefix_trie, simhash, substring_dedup, token_counts, toxicity, wavelet)
+                        oracles, packing, prefix_trie, simhash, substring_dedup, token_counts, toxicity, wavelet)
 from pluvia.llm.common import table
 from pluvia.session import work_dir
 
@@ -110,4 +110,4 @@ QUERIES = {
     "op12_prefix_trie": q_prefix_trie,
     "op13_collocations": q_collocations,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_prefix_trie": oracles.PREFIX_TRIE, "op13_collocations": oracles.COLLOCATIONS}
