@@ -1,13 +1,14 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two models, toxic and ordinary, give every letter of a word its probability after the
-(at most CONTEXT) letters before it in the word.  Toxic texts are mostly ordinary language
+(at most CONTEXT) letters before it in the word, so a stem is known under endings it never had.  Toxic texts are mostly ordinary language
 and far fewer, so ordinary counts are shared: the toxic model adds its own counts to
 them, scaled to SHARED times its own size, and only what toxic texts use more stands
 out.  Each model discounts its counts and backs off to one Kneser-Ney model of
 continuation counts over both classes, which smooths expressions rare in either.  A text's score
-compares the two log-likelihoods, normalised by its number of words; a logistic curve
-fitted out of fold turns it into a probability.
+compares the two log-likelihoods, normalised by its number of words, over all of them and
+over the most toxic fiftieth (a long text is mostly ordinary whatever it says); a logistic
+curve fitted out of fold turns both into a probability.
 """
 
 from __future__ import annotations
@@ -23,9 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import slices, text_rows, texts_of
+from pluvia.llm.common import slices, staged, text_rows, texts_of
 
-CONTEXT, DISCOUNT = 4, 0.75
+CONTEXT, DISCOUNT = 7, 0.75
+# N-grams of over SHORT letters seen less often are left to the backoff; the bound rises
+# until the models have at most MOST_GRAMS n-grams.
+SHORT, MIN_TIMES, MOST_GRAMS = 3, 3, 400_000
+# One word in so many counts for the most toxic ones.
+TOP_SHARE = 50
 SHARED = 10
 # Expected number of labelled documents fitted for each class, at most.
 FIT_DOCS = 30_000
@@ -37,7 +43,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 class ToxicityModel(NamedTuple):
     ratio: dict[str, float]    # log ratio of the classes for each n-gram seen
     backoff: dict[str, float]  # the same for an unseen letter after each context seen
-    weights: np.ndarray        # logistic curve over (mean ratio, log words, product, 1)
+    weights: np.ndarray        # logistic curve over (mean ratio, log words, product, top ratio, 1)
 
 
 def word_grams(word: str) -> Iterator[str]:
@@ -104,7 +110,8 @@ def word_ratio(word: str, ratio: dict, backoff: dict) -> float:
 
 
 class _Scorer:
-    """(sum of ratios, number of words) of texts; remembers a bounded number of words."""
+    """(sum of ratios, number of words, mean ratio of the most toxic words) of texts;
+    remembers a bounded number of words."""
 
     def __init__(self, ratio: dict, backoff: dict):
         self.ratio, self.backoff = ratio, backoff
@@ -115,7 +122,7 @@ class _Scorer:
         self.chars = 0
         self.value = np.zeros((2, 1 << 12))
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self.known) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
             self.clear()
         known = self.known
@@ -129,14 +136,26 @@ class _Scorer:
             self.value[:, i] = sum(word_ratio(w, self.ratio, self.backoff) for w in words), len(words)
         sizes = [len(w) for w in split]
         at = np.fromiter((known[w] for words in split for w in words), np.int64, sum(sizes))
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        total, count = np.add.reduceat(self.value[:, at], starts, axis=1)
-        return total, count
+        ends = np.cumsum(sizes)
+        value = self.value[:, at]
+        total, count = np.add.reduceat(value, ends - sizes, axis=1)
+        top = np.zeros(len(texts))
+        for i, (end, n) in enumerate(zip(ends.tolist(), sizes)):
+            own = value[0, end - n:end][value[1, end - n:end] > 0]
+            if len(own):
+                k = max(1, len(own) // TOP_SHARE)
+                top[i] = np.partition(own, len(own) - k)[len(own) - k:].mean()
+        return total, count, top
+
+
+def features(total: np.ndarray, count: np.ndarray, top: np.ndarray) -> np.ndarray:
+    mean, size = total / np.maximum(count, 1), np.log1p(count)
+    return np.stack([mean, size, mean * size, top, np.ones(len(mean))], axis=1)
 
 
-def features(total: np.ndarray, count: np.ndarray) -> np.ndarray:
-    mean, size = total / np.maximum(count, 1), np.log1p(count)
-    return np.stack([mean, size, mean * size, np.ones(len(mean))], axis=1)
+def frequent(counts: dict[str, tuple[int, int]], least: int) -> dict[str, tuple[int, int]]:
+    """The n-grams the models keep: short ones, and those seen ``least`` times."""
+    return {g: pair for g, pair in counts.items() if len(g) <= SHORT or sum(pair) >= least}
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -166,28 +185,49 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """(half, gram, toxic, ordinary) over ``rows(text, label, half)``."""
+    """(gram, toxic0, ordinary0, toxic1, ordinary1) over ``rows(text, label, half)``."""
+    names = ["toxic0", "ordinary0", "toxic1", "ordinary1"]
+
     def run(batches):
         words: dict[tuple, Counter] = defaultdict(Counter)
         for part in slices(batches, "text"):
             for text, label, half in zip(texts_of(part), part.column("label").to_pylist(),
                                          part.column("half").to_pylist()):
                 words[half, label].update(text.replace("\n", " ").split(" "))
-        grams: dict[tuple, list] = defaultdict(lambda: [0, 0])
+        grams: dict[str, list] = defaultdict(lambda: [0, 0, 0, 0])
         for (half, label), counter in words.items():
             for raw, n in counter.items():
                 for word in _WORD.findall(raw.lower()):
                     for gram in word_grams(word):
-                        grams[half, gram][1 - label] += n
+                        grams[gram][2 * half + 1 - label] += n
         if grams:
-            yield pa.record_batch(
-                [pa.array([k[0] for k in grams], pa.int32()), pa.array([k[1] for k in grams]),
-                 pa.array([v[0] for v in grams.values()], pa.int64()),
-                 pa.array([v[1] for v in grams.values()], pa.int64())],
-                names=["half", "gram", "toxic", "ordinary"])
-
-    return (rows.mapInArrow(run, "half int, gram string, toxic long, ordinary long")
-            .groupBy("half", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+            columns = zip(*grams.values())
+            yield pa.record_batch([pa.array(list(grams)), *(pa.array(c, pa.int64()) for c in columns)],
+                                  names=["gram", *names])
+
+    return (rows.mapInArrow(run, "gram string, " + ", ".join(f"{n} long" for n in names))
+            .groupBy("gram").agg(*[F.sum(n).alias(n) for n in names]))
+
+
+def _kept_counts(counted: DataFrame) -> tuple[int, list[dict]]:
+    """(times an n-gram must be seen, counts of either half): of a bounded number of n-grams."""
+    total = F.col("toxic0") + F.col("ordinary0") + F.col("toxic1") + F.col("ordinary1")
+    grams = staged(counted.withColumn("times", total), "toxicity")
+    sizes = (grams.where(F.char_length("gram") > SHORT).groupBy(F.least("times", F.lit(1 << 14)).alias("times"))
+             .count().collect())
+    least = MIN_TIMES
+    left = sum(r["count"] for r in sizes if r.times >= least)
+    for r in sorted(sizes, key=lambda r: r.times):
+        if left <= MOST_GRAMS:
+            break
+        if r.times >= least:
+            left, least = left - r["count"], r.times + 1
+    halves: list[dict] = [{}, {}]
+    for r in grams.where((F.char_length("gram") <= SHORT) | (F.col("times") >= least)).toLocalIterator():
+        for half, pair in ((0, (r.toxic0, r.ordinary0)), (1, (r.toxic1, r.ordinary1))):
+            if sum(pair):
+                halves[half][r.gram] = pair
+    return least, halves
 
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, half: Column, id_col: str = "doc_id",
@@ -207,40 +247,37 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, half: Column, id_
     sizes = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     if len(sizes) < 2:
         share = 30.0 if 1 in sizes else -30.0
-        return ToxicityModel({}, {}, np.array([0, 0, 0, share]))
+        return ToxicityModel({}, {}, np.array([0, 0, 0, 0, share]))
     draw = F.pmod(F.xxhash64("__id", F.lit("toxicity")), F.lit(1 << 32))
     taken = [int((1 << 32) * min(1, fit_docs / sizes[c])) for c in (0, 1)]
     known = known.where(draw < F.when(F.col("label") == 1, F.lit(taken[1])).otherwise(F.lit(taken[0])))
     # Bounded by 2 * fit_docs rows.
     rows = text_rows(docs, id_col, text_col).join(F.broadcast(known), F.col("doc_id") == F.col("__id")).select(
         "text", "label", "half")
-    halves: list[dict] = [{}, {}]
-    for which, gram, toxic, ordinary in _counted(rows).toLocalIterator():
-        halves[which][gram] = (toxic, ordinary)
+    least, halves = _kept_counts(_counted(rows))
     both = dict(halves[0])
     for gram, pair in halves[1].items():
         a, b = both.get(gram, (0, 0))
         both[gram] = (a + pair[0], b + pair[1])
-    shared = spark.sparkContext.broadcast([log_ratios(with_shared(c or both)) for c in halves])
+    shared = spark.sparkContext.broadcast([log_ratios(with_shared(frequent(c or both, least))) for c in halves])
 
     def run(batches):
         scorers = [_Scorer(*m) for m in shared.value]
         for part in slices(batches, "text"):
             texts, half_of = texts_of(part), np.array(part.column("half").to_pylist())
-            total, count = np.zeros(len(texts)), np.zeros(len(texts))
+            found = np.zeros((3, len(texts)))
             for h in (0, 1):
                 at = np.flatnonzero(half_of == h)
                 if len(at):
-                    total[at], count[at] = scorers[1 - h]([texts[i] for i in at])
-            yield pa.record_batch([pa.array(total), pa.array(count), part.column("label")],
-                                  names=["total", "count", "label"])
+                    found[:, at] = scorers[1 - h]([texts[i] for i in at])
+            yield pa.record_batch([*map(pa.array, found), part.column("label")], names=["total", "count", "top", "label"])
 
     out = np.array([tuple(r) for r in rows.mapInArrow(
-        run, "total double, count double, label int").collect()], dtype=float).reshape(-1, 3)
-    ratio, backoff = log_ratios(with_shared(both))
-    if len(set(out[:, 2])) < 2:
-        return ToxicityModel(ratio, backoff, np.array([1.0, 0, 0, 0]))
-    return ToxicityModel(ratio, backoff, fit_logistic(features(out[:, 0], out[:, 1]), out[:, 2]))
+        run, "total double, count double, top double, label int").collect()], dtype=float).reshape(-1, 4)
+    ratio, backoff = log_ratios(with_shared(frequent(both, least)))
+    if len(set(out[:, 3])) < 2:
+        return ToxicityModel(ratio, backoff, np.array([1.0, 0, 0, 0, 0]))
+    return ToxicityModel(ratio, backoff, fit_logistic(features(*out[:, :3].T), out[:, 3]))
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id",

@@ -86,6 +86,23 @@ def test_whole_table_query(spark):
     assert len(rows) == 1000 and all((r.score >= 0.7) == (r.predicted == 1) for r in rows)
 
 
+def test_held_out_recall_and_precision_of_the_whole_table(spark):
+    """The labelled held-out documents of all four languages."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    held = QUERIES["op5_toxicity"](spark, sf).where("held_out").join(labels, "doc_id").collect()
+    hits = sum(r.predicted == 1 == r.toxic for r in held)
+    assert hits / sum(r.toxic == 1 for r in held) > 0.85
+    assert hits / sum(r.predicted == 1 for r in held) > 0.93
+
+
+def test_the_models_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(T, "MOST_GRAMS", 50)
+    rows, labels = corpus(200, 5)
+    model = fit(spark, rows, labels)
+    assert 0 < sum(len(g) > T.SHORT for g in model.ratio) <= 50
+
+
 @pytest.mark.parametrize("labels,score", [([], 0), ([(1, 0), (2, 0)], 0), ([(1, 1), (2, 1)], 1)])
 def test_labels_of_one_class_or_none(spark, labels, score):
     table = spark.createDataFrame(labels, "doc_id long, toxic int")
