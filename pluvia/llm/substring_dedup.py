@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import slices, text_rows, texts_of
+from pluvia.llm.common import slices, staged, text_rows, texts_of
 
 # The rolling window, the mean chunk length, both in code points.
 WINDOW, MEAN_CHUNK = 16, 32
@@ -30,6 +30,9 @@ MIN_WORDS = 20
 # A span of so many code points counts as well, and so many letters of a script without
 # spaces count as a word.
 MIN_CHARS, DENSE_WORD = 300, 5
+# A digest with over HOT_TIMES chunks, and over one in MOST_HOT of all repeated ones, is
+# looked up in the tasks that make the chunks instead of being joined.
+HOT_TIMES, MOST_HOT = 1000, 1 << 16
 _DENSE = np.array([0xE00, 0xF00, 0x1000, 0x10A0, 0x1780, 0x1800, 0x3040, 0x3130, 0x3400, 0xA000,
                    0xF900, 0xFB00, 0x20000, 0x40000], np.uint32)  # from, to, from, to ...
 
@@ -75,11 +78,13 @@ def chunk_ends(codes: np.ndarray, window: int = WINDOW, mean: int = MEAN_CHUNK)
     return np.sort(np.concatenate([ends, more]))
 
 
-def chunks(docs: DataFrame, window: int, mean: int) -> DataFrame:
-    """(digest, doc_id, start, stop, words) of every chunk; ``words`` counts word ends, and a
-    word for every DENSE_WORD letters of a script without spaces."""
+def chunks(docs: DataFrame, window: int, mean: int, hot=None) -> DataFrame:
+    """(digest, doc_id, start, stop, words, hot_first) of every chunk; ``words`` counts word
+    ends, and a word for every DENSE_WORD letters of a script without spaces.  ``hot``: a
+    broadcast of (ascending digests, their first documents), which fill ``hot_first``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
+        hot_digests, hot_firsts = (np.zeros(0, np.int64),) * 2 if hot is None else hot.value
         for part in slices(batches, "text"):
             out = [[], [], [], [], []]
             for doc_id, text in zip(part.column("doc_id").to_pylist(), texts_of(part)):
@@ -104,13 +109,26 @@ def chunks(docs: DataFrame, window: int, mean: int) -> DataFrame:
                 out[4].append(word_end[ends - 1] - word_end[np.maximum(starts - 1, 0)])
             if out[0]:
                 cols = [np.concatenate(c) for c in out]
+                found = cols[0].view(np.int64)
+                first, cold = np.zeros(len(found), np.int64), np.ones(len(found), bool)
+                if len(hot_digests):
+                    at = np.minimum(np.searchsorted(hot_digests, found), len(hot_digests) - 1)
+                    first, cold = hot_firsts[at], hot_digests[at] != found
                 yield pa.record_batch(
-                    [pa.array(cols[0].view(np.int64)), pa.array(cols[1].astype(np.int64)),
-                     *(pa.array(c.astype(np.int32)) for c in cols[2:])],
-                    names=["digest", "doc_id", "start", "stop", "words"])
+                    [pa.array(found), pa.array(cols[1].astype(np.int64)),
+                     *(pa.array(c.astype(np.int32)) for c in cols[2:]), pa.array(first, mask=cold)],
+                    names=["digest", "doc_id", "start", "stop", "words", "hot_first"])
 
     return docs.where("doc_id is not null and text is not null").mapInArrow(
-        run, "digest long, doc_id long, start int, stop int, words int")
+        run, "digest long, doc_id long, start int, stop int, words int, hot_first long")
+
+
+def hot_digests(counted: DataFrame, most: int = MOST_HOT) -> tuple[np.ndarray, np.ndarray]:
+    """(digests, first documents) of the digests with over one in ``most`` of all repeated
+    chunks of ``counted(digest, n, first_id)``: so there are fewer than ``most``."""
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = counted.where(F.col("n") > max(HOT_TIMES, total // most + 1)).orderBy("digest").collect()
+    return np.array([r.digest for r in rows], np.int64), np.array([r.first_id for r in rows], np.int64)
 
 
 def _runs(min_words: int, min_chars: int):
@@ -160,13 +178,21 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WI
 
     Ids are taken as unique for each text: rows that repeat one count once.  Rows with a
     null id or text have no spans and keep nothing.  Digests are counted with
-    map-side combining and joined back, so a very common chunk is not gathered in one
-    task; only chunks that occur more than once are regrouped by document.
+    map-side combining and joined back; the most common ones, a bounded number, are sent to
+    the tasks that make the chunks and are spread over the join instead of meeting in one
+    of its tasks.  Only chunks that occur more than once are regrouped by document.
     """
-    pieces = chunks(text_rows(docs, id_col, text_col), window, mean)
-    common = (pieces.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
-              .where("n > 1").select("digest", "first_id"))
-    repeated = pieces.join(common, "digest")
+    rows = text_rows(docs, id_col, text_col)
+    counted = staged(chunks(rows, window, mean).groupBy("digest").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where("n > 1"), "digests")
+    hot = docs.sparkSession.sparkContext.broadcast(hot_digests(counted))
+    pieces = chunks(rows, window, mean, hot)
+    # Common chunks go anywhere: they know their first document already.
+    key = F.when(F.col("hot_first").isNull(), F.col("digest")).otherwise(F.xxhash64("doc_id", "start"))
+    joined = pieces.join(counted.select(F.col("digest").alias("met"), F.col("first_id").alias("met_first")),
+                         key == F.col("met"), "left")
+    first = F.coalesce("hot_first", "met_first")
+    repeated = joined.where(first.isNotNull()).withColumn("first_id", first)
     return (repeated.repartition("doc_id").sortWithinPartitions("doc_id", "start")
             .select("doc_id", "start", "stop", "words", "digest", "first_id")
             .mapInArrow(_runs(min_words, min_chars),

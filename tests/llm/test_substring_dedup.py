@@ -1,6 +1,10 @@
+from collections import Counter
+
 import numpy as np
+import pytest
 
 from pluvia.llm import substring_dedup as D
+from pluvia.llm.queries import QUERIES
 from tests.llm.cases import awkward_rows, empty, frame, prose
 
 
@@ -99,6 +103,51 @@ def test_shorter_passages_of_scripts_without_spaces(spark):
     assert [(r.doc_id, r.kept_id) for r in spans] == [(2, 1)] and 100 <= spans[0].stop - spans[0].start < 300
 
 
+def plain_spans(rows):
+    """All spans by a dictionary of chunk texts, one document after the other."""
+    first, count, cut = {}, Counter(), {}
+    for i, text in sorted(dict(rows).items()):
+        ends = D.chunk_ends(D.codes_of(text)).tolist() if text else []
+        cut[i] = [(a, b, text[a:b]) for a, b in zip([0, *ends], ends)]
+        for _, _, chunk in cut[i]:
+            first.setdefault(chunk, i)
+            count[chunk] += 1
+    out = []
+    for i, found in cut.items():
+        seen, spans = set(), []
+        for a, b, chunk in found:
+            later = first[chunk] != i or chunk in seen
+            seen.add(chunk)
+            if later and spans and spans[-1][1] == a:
+                spans[-1][1] = b
+            elif later:
+                spans.append([a, b, first[chunk]])
+        blank = [c in " \n\t\r" for c in dict(rows)[i]] if found else []
+        for a, b, kept in spans:
+            ends = sum(blank[j] and not blank[j - 1] for j in range(max(a, 1), b))
+            if ends >= D.MIN_WORDS or b - a >= D.MIN_CHARS:
+                out.append((i, a, b, kept))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("times", [D.HOT_TIMES, 2])
+def test_registered_query_equals_the_plain_way(spark, monkeypatch, times):
+    """On a whole table, with and without digests that count as common."""
+    monkeypatch.setattr(D, "HOT_TIMES", times)
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = sorted((r.doc_id, r.start, r.stop, r.kept_id) for r in QUERIES["op8_substring_dedup"](spark, sf).collect())
+    assert got == plain_spans(rows) and len(got) > 10
+
+
+def test_common_digests_are_bounded_and_not_joined(spark):
+    counted = spark.createDataFrame([(i, 2, i) for i in range(500)] + [(1000, 5000, 7), (-3, 2000, 1)], "digest long, n long, first_id long")
+    digests, firsts = D.hot_digests(counted)
+    assert digests.tolist() == [-3, 1000] and firsts.tolist() == [1, 7]
+    assert D.hot_digests(counted, most=2)[0].tolist() == [1000]
+    assert len(D.hot_digests(counted.where("false"))[0]) == 0
+
+
 def test_empty_table(spark):
     assert D.repeated_spans(empty(spark)).count() == 0
     assert D.cut_spans(empty(spark), D.repeated_spans(empty(spark))).count() == 0
