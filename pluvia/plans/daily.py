@@ -1,6 +1,6 @@
 """The daily batch job end to end, and the mart rebuild.
 
-``run_daily``: raw payload -> landed lines (one task reads the unsplittable document once;
+``run_daily``: raw payload -> landed lines (a large document is read by several tasks;
 all later steps split) -> flattened rows kept as Parquet -> quality report -> clean rows
 (CSV as an export) -> fact table load -> marts rebuilt.  Every step is a Spark job over the
 whole batch; nothing is collected.
@@ -21,6 +21,7 @@ from pluvia.operators.clean import clean
 from pluvia.operators.flatten import flatten_payload
 from pluvia.operators.quality import quality_report
 from pluvia.sources import files as FS
+from pluvia.sources import payload as PL
 from pluvia.sources import warehouse as WH
 
 
@@ -31,14 +32,20 @@ def paths(out_root: str) -> dict[str, str]:
 
 
 def land_run(spark: SparkSession, raw_path: str, landed_dir: str, run_date: dt.date,
-             extracted_at: dt.datetime | None = None) -> DataFrame:
+             extracted_at: dt.datetime | None = None, split_from: int = PL.RANGE_BYTES) -> DataFrame:
     """Land one run's payload and return its responses as splittable lines.
 
+    A document of over ``split_from`` bytes is read by several tasks, with the same rows.
     A run in which no entity answered raises.
     """
-    raw = FS.read_raw(spark, raw_path)
-    failed = raw.select(F.explode("failed_cities").alias("name"))
-    out = FS.land_raw(FS.city_responses(raw), failed, landed_dir, run_date,
+    if FS.size_of(spark, raw_path) > split_from:
+        responses = PL.read_responses(spark, raw_path, range_bytes=split_from)
+        header = PL.read_headers(spark, raw_path, range_bytes=split_from)
+    else:
+        header = FS.read_raw(spark, raw_path)
+        responses = FS.city_responses(header)
+    failed = header.select(F.explode("failed_cities").alias("name"))
+    out = FS.land_raw(responses, failed, landed_dir, run_date,
                       extracted_at or dt.datetime.combine(run_date, dt.time()))
     ok = FS.read_landed(spark, out["header"], run_date, FS.HEADER).first()["total_cities_successful"]
     if not ok:

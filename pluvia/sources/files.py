@@ -50,6 +50,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes under a path."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -140,14 +140,17 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
     # The write samples its input for its ranges, so the batch is evaluated before it.
     observed, path = FS.stage(batch, root)
     staged.append(path)
+    # One row for each partition the batch touches.
+    sizes = observed.groupBy(part).agg(F.count(F.lit(1)).alias("n"), F.min(PARTITION).alias("first"),
+                                       F.max(PARTITION).alias("last")).collect()
+    if not sizes:
+        FS.remove(spark, path)
+        return {"rows_loaded": 0, "table_total_rows": read_table(spark, root, schema).count(),
+                "job_id": f"{app_id(spark)}-empty", "partitions": []}
     if mode == "append":
         merged, write_mode = observed, "append"
     else:
-        first, last = observed.agg(F.min(PARTITION), F.max(PARTITION)).first()
-        if first is None:
-            FS.remove(spark, path)
-            return {"rows_loaded": 0, "table_total_rows": read_table(spark, root, schema).count(),
-                    "job_id": f"{app_id(spark)}-empty", "partitions": []}
+        first, last = min(r["first"] for r in sizes), max(r["last"] for r in sizes)
         touched = stored_between(spark, root, schema, grain, first, last).join(
             observed.select(part).distinct(), part, "left_semi").select(observed.columns)
         if version is None:
@@ -163,13 +166,11 @@ def load(df: DataFrame, root: str, mode: str = "append", loaded_at: dt.datetime
     job = f"load-{uuid.uuid4().hex[:8]}"
     (_clustered(merged, part, cluster).write.mode(write_mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(part).parquet(root))
-    rows = observed.count()
-    partitions = sorted(str(r[0]) for r in observed.select(part).distinct().collect())
     for path in staged:
         FS.remove(spark, path)
     total = read_table(spark, root, schema).count()
-    return {"rows_loaded": int(rows), "table_total_rows": int(total),
-            "job_id": f"{app_id(spark)}-{job}", "partitions": partitions}
+    return {"rows_loaded": sum(r["n"] for r in sizes), "table_total_rows": int(total),
+            "job_id": f"{app_id(spark)}-{job}", "partitions": sorted(str(r[0]) for r in sizes)}
 
 
 def latest_delivery(df: DataFrame, key: Sequence[str], run_col: str) -> DataFrame:

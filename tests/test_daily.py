@@ -101,3 +101,14 @@ def test_append_evaluates_its_batch_once(spark, tmp):
                                "city_name string, date date, temperature_max double")
     WH.load(df.mapInArrow(count, df.schema), os.path.join(tmp, "once"), "append")
     assert seen.value == 20
+
+
+def test_a_large_document_lands_the_same_rows(spark, tmp):
+    from pluvia.plans.daily import land_run
+    raw = os.path.join(write_payload(tmp), "2024/01/17/weather_raw.json")
+    day = dt.date(2024, 1, 17)
+    whole = land_run(spark, raw, os.path.join(tmp, "a"), day)
+    split = land_run(spark, raw, os.path.join(tmp, "b"), day, split_from=100)
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, split.collect()))
+    names = [sorted(r.name for r in spark.read.json(os.path.join(tmp, x, "failed")).collect()) for x in "ab"]
+    assert names[0] == names[1] == ["Gone"]
