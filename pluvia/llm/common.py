@@ -95,11 +95,14 @@ def word_codes(texts: list[bytes]) -> tuple:
 
 
 def pieces(texts: list[bytes], limit: int) -> Iterator[tuple[list[int], list[bytes]]]:
-    """(numbers of texts, texts) in blocks of about ``limit`` bytes; a longer text comes in
-    pieces cut at white space, each a block of its own."""
+    """(numbers of texts, texts) in order, in blocks of about ``limit`` bytes; a longer text
+    comes in pieces cut at white space, each a block of its own."""
     numbers, held, size = [], [], 0
     for i, text in enumerate(texts):
         if len(text) > limit:
+            if held:
+                yield numbers, held
+                numbers, held, size = [], [], 0
             at = 0
             while at < len(text):
                 ends = [e for e in (text.find(b" ", at + limit), text.find(b"\n", at + limit)) if e >= 0]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvia.llm.common import slices, staged, text_rows, texts_of
+from pluvia.llm.common import pieces, slices, staged, text_rows, texts_of, word_codes
 
 CONTEXT, DISCOUNT = 7, 0.75
 # N-grams of over SHORT letters seen less often are left to the backoff; the bound rises
@@ -35,8 +35,8 @@ TOP_SHARE = 50
 SHARED = 10
 # Expected number of labelled documents fitted for each class, at most.
 FIT_DOCS = 30_000
-# Words a worker remembers, and characters of all of them.
-KNOWN_WORDS, KNOWN_CHARS = 1 << 20, 1 << 24
+# Words a worker remembers, bytes of all of them, and text bytes worked on at a time.
+KNOWN_WORDS, KNOWN_CHARS, BLOCK_BYTES = 1 << 20, 1 << 24, 4 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -106,7 +106,12 @@ def log_ratios(counts: dict[str, tuple[int, int]]) -> tuple[dict, dict]:
 
 def word_ratio(word: str, ratio: dict, backoff: dict) -> float:
     """Log-likelihood ratio of one word; letters after unseen contexts say nothing."""
-    return sum(ratio[g] if g in ratio else backoff.get(g[:-1], 0.0) for g in word_grams(word))
+    marked, out = f"^{word}$", 0.0
+    for i in range(1, len(marked)):
+        gram = marked[max(0, i - CONTEXT):i + 1]
+        found = ratio.get(gram)
+        out += backoff.get(gram[:-1], 0.0) if found is None else found
+    return out
 
 
 class _Scorer:
@@ -118,30 +123,41 @@ class _Scorer:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.chars = 0
+        # Sum of ratios and number of words of each known white-space-delimited word.
         self.value = np.zeros((2, 1 << 12))
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def numbers(self, unique: list[bytes]) -> np.ndarray:
+        """Places in ``value`` of a block's distinct words."""
         if len(self.known) > KNOWN_WORDS or self.chars > KNOWN_CHARS:
             self.clear()
         known = self.known
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        for raw in set().union(*split).difference(known):
-            i = known[raw] = len(known)
-            self.chars += len(raw)
-            if i >= self.value.shape[1]:
-                self.value = np.concatenate([self.value, np.zeros_like(self.value)], axis=1)
-            words = _WORD.findall(raw.lower())
-            self.value[:, i] = sum(word_ratio(w, self.ratio, self.backoff) for w in words), len(words)
-        sizes = [len(w) for w in split]
-        at = np.fromiter((known[w] for words in split for w in words), np.int64, sum(sizes))
-        ends = np.cumsum(sizes)
-        value = self.value[:, at]
-        total, count = np.add.reduceat(value, ends - sizes, axis=1)
-        top = np.zeros(len(texts))
-        for i, (end, n) in enumerate(zip(ends.tolist(), sizes)):
-            own = value[0, end - n:end][value[1, end - n:end] > 0]
+        for raw in unique:
+            if raw not in known:
+                i = known[raw] = len(known)
+                self.chars += len(raw)
+                if i >= self.value.shape[1]:
+                    self.value = np.concatenate([self.value, np.zeros_like(self.value)], axis=1)
+                words = _WORD.findall(raw.decode("utf-8", "surrogatepass").lower())
+                self.value[:, i] = sum(word_ratio(w, self.ratio, self.backoff) for w in words), len(words)
+        return np.fromiter(map(known.__getitem__, unique), np.int64, len(unique))
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        values, sizes = [np.zeros((2, 0))], np.zeros(len(texts), np.int64)
+        for numbers, block in pieces([t.encode("utf-8", "surrogatepass") for t in texts], BLOCK_BYTES):
+            code, unique, counts = word_codes(block)
+            at = self.numbers(unique.to_pylist())
+            values.append(self.value[:, at][:, code])
+            np.add.at(sizes, numbers, counts)
+        value, ends = np.concatenate(values, axis=1), np.cumsum(sizes)
+        (total, count), top = np.zeros((2, len(texts))), np.zeros(len(texts))
+        some = np.flatnonzero(sizes)
+        if len(some):
+            total[some], count[some] = np.add.reduceat(value, (ends - sizes)[some], axis=1)
+        real = value[1] > 0
+        for i, (end, n) in enumerate(zip(ends.tolist(), sizes.tolist())):
+            own = value[0, end - n:end][real[end - n:end]]
             if len(own):
                 k = max(1, len(own) // TOP_SHARE)
                 top[i] = np.partition(own, len(own) - k)[len(own) - k:].mean()
