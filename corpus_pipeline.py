@@ -25,8 +25,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id.  Rows
-    without an id name no group and stay."""
+    """One document of each near-duplicate group: the one with the smallest id.  Rows that
+    repeat that id are the same document and stay with it; rows without an id name no
+    group and stay."""
     found = simhash.near_duplicates(docs)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -26,6 +26,7 @@ from pluvia.sources import files as FS
 from pluvia.sources import layouts as LY
 from pluvia.sources import open_fields as OF
 from pluvia.sources import payload as PL
+from pluvia.sources import warehouse as WH
 from pluvia.sources.dimension import read_dimension
 from pluvia.streaming import dedupe as D
 
@@ -162,19 +163,27 @@ def q_coverage_gap_bucketed(spark, sf_dir):
     return J.coverage_gap(requested, answered, "c_custkey").select("c_custkey", "c_name")
 
 
+def _database(spark, kind):
+    """A database of the query's own, under the work folder."""
+    base = work_dir(spark, kind)
+    name = f"{kind}_{base.rsplit('-', 1)[1]}"
+    WH.ensure_database(spark, name, base)
+    return name
+
+
 def bucketed_tables(spark, sf_dir, buckets=8):
-    name = "buckets_" + work_dir(spark, "buckets").rsplit("-", 1)[1]
+    name = _database(spark, "buckets")
     got = B.window_days_back(X.table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date")), K.AS_OF)
-    return (LY.save_bucketed(X.table(spark, sf_dir, "customer"), f"{name}_requested", ["c_custkey"], buckets),
-            LY.save_bucketed(got, f"{name}_answered", ["c_custkey"], buckets))
+    return (LY.save_bucketed(X.table(spark, sf_dir, "customer"), f"{name}.requested", ["c_custkey"], buckets),
+            LY.save_bucketed(got, f"{name}.answered", ["c_custkey"], buckets))
 
 
 @register("replace_bucketed", """SELECT o_orderkey, o_custkey,
   CASE WHEN o_custkey % 3 = 0 THEN 'replaced' ELSE o_orderstatus END AS o_orderstatus FROM orders""")
 def q_replace_bucketed(spark, sf_dir):
     """Orders in buckets, those of a third of the customers delivered again."""
-    name = "buckets_" + work_dir(spark, "buckets").rsplit("-", 1)[1]
+    name = f"{_database(spark, 'replaced')}.orders"
     orders, key = X.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_custkey", "o_orderkey"]
     LY.save_bucketed(orders, name, key, 8)
     again = orders.where("o_custkey % 3 = 0").withColumn("o_orderstatus", F.lit("replaced"))

@@ -63,7 +63,7 @@ def same(a, b):
 
 
 def test_incremental_marts_equal_a_rebuild_after_every_load(spark, tmp):
-    s, ts = K.silver(spark, SF).cache(), dt.datetime(2024, 1, 1)
+    s, ts = K.silver(spark, SF), dt.datetime(2024, 1, 1)
     fact, marts = os.path.join(tmp, "fact"), os.path.join(tmp, "marts")
     loads = [("append", s.where("date < '1997-01-01'")), ("append", s.where("date between '1996-06-01' and '1997-02-01'")),
              ("replace_partitions", s.where("date between '1996-06-10' and '1998-01-01'").withColumn(

@@ -31,13 +31,13 @@ def plain(df, city, start, end):
 @pytest.mark.parametrize("max_level", [R.MAX_LEVEL, 2])
 def test_any_range_equals_the_plain_key_figures(spark, monkeypatch, max_level):
     monkeypatch.setattr(R, "MAX_LEVEL", max_level)
-    df = observations(spark).cache()
+    df = observations(spark)
     rng, asked = random.Random(1), []
     for i in range(25):
         a = rng.randint(-5, 62)
         asked.append((i, rng.choice(["Hot", "Gaps", "Late", "Nobody"]), DAY0 + dt.timedelta(days=a),
                       DAY0 + dt.timedelta(days=a + rng.choice([-2, 0, 1, 3, 7, 8, 30, 90]))))
-    prefix = R.prefix_table(df, max_level=max_level).cache()
+    prefix = R.prefix_table(df, max_level=max_level)
     got = R.period_kpis_of(prefix, spark.createDataFrame(asked, "period_id int, city_name string, start date, end date"))
     found = {r.period_id: tuple(r)[1:] for r in got.collect()}
     assert len(found) == len(asked)
