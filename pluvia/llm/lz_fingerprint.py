@@ -145,7 +145,8 @@ def compare_next(docs: DataFrame, permutations: int = PERMUTATIONS, id_col: str
                              r["next_fingerprint"]) for r in part.to_pylist()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES[:7])
 
-    ranges = (text_rows(docs, id_col, text_col).repartitionByRange("doc_id")
+    # Ranges of (id, text hash): many rows of one id, or without one, are no single task's.
+    ranges = (text_rows(docs, id_col, text_col).repartitionByRange("doc_id", F.xxhash64("text"))
               .sortWithinPartitions("doc_id", F.xxhash64("text")))
     found = staged(ranges.mapInArrow(run, _STAGED), "lz-ranges")
     first, last = found.where("place = 'first'"), found.where("place = 'last'")

@@ -279,10 +279,12 @@ def trie_nodes(sequences: DataFrame, stretch_keys: int = STRETCH_KEYS, stretch_b
         "conv_id")
     ordered = keys.repartitionByRange("key", "conv_id").sortWithinPartitions("key", "conv_id")
     found = staged(ordered.mapInArrow(_trees(WIDTH, stretch_keys, stretch_bytes), _OUT), "trie")
-    # One row for each task that has rows.
-    tasks = found.where("kind = 'task'").select(
-        "task", "last_key", "last_words", F.lead("first_key").over(Window.orderBy("task")).alias("next_key"))
-    between = tasks.where("next_key is not null").mapInArrow(_borders(WIDTH), _OUT)
+    # The tasks that have rows, one number each, know the next one; keys are joined after.
+    tasks = found.where("kind = 'task'")
+    following = tasks.select("task", F.lead("task").over(Window.orderBy("task")).alias("next_task"))
+    tasks = (tasks.select("task", "last_key", "last_words").join(following.where("next_task is not null"), "task")
+             .join(tasks.select(F.col("task").alias("next_task"), F.col("first_key").alias("next_key")), "next_task"))
+    between = tasks.mapInArrow(_borders(WIDTH), _OUT)
     pieces = (found.where("kind = 'ends'").select("id", "task", "place", "piece")
               .repartition("id").sortWithinPartitions("id", "task", "place").select("id", "piece"))
     ends = pieces.mapInArrow(_digests, "id binary, ends string")

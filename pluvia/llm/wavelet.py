@@ -29,6 +29,8 @@ MAGIC = b"WVMX"
 # Ids of a shard (a document more closes it) and bits of a plane's block.
 SHARD_IDS, BLOCK_BITS = 1 << 22, 1 << 18
 _CACHED_BLOCKS = 256
+# Tasks that read shards, at most; beyond, a task reads several one after the other.
+READ_TASKS = 20_000
 MANIFEST = "task int, place int, path string, n_docs long, n_ids long, n_bytes long"
 _NAMES = [c.split()[0] for c in MANIFEST.split(", ")]
 _TYPES = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
@@ -273,7 +275,7 @@ def _placed(shards: DataFrame) -> DataFrame:
     tasks = shards.groupBy("task").agg(F.sum("n_ids").alias("ids"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     based = tasks.select("task", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return shards.join(based, "task").select("path", "base").repartition(max(1, shards.count()))
+    return shards.join(based, "task").select("path", "base").repartition(max(1, min(shards.count(), READ_TASKS)))
 
 
 def _open(path: str):
@@ -284,7 +286,7 @@ def _open(path: str):
 def read_documents(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document in the shards, read from their
     files: ``start`` is the number of ids of all documents before it, ``ids``
-    little-endian uint32.  Each shard is one task's work."""
+    little-endian uint32.  A task holds one shard at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, base in _rows(batches):
             with _open(path) as source:

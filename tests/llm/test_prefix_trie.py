@@ -78,8 +78,8 @@ def test_one_sequence_for_most_conversations_spreads_over_stretches(spark):
 
 
 def test_long_conversations(spark):
-    long = [(0, i, "user", f"w {i}") for i in range(1500)]
-    rows = long + [(20, i, r, t) for _, i, r, t in long[:1200]] + [(40, i, "user", "w 0") for i in range(3)]
+    long = [(0, i, "user", f"w {i}") for i in range(400)]
+    rows = long + [(20, i, r, t) for _, i, r, t in long[:300]] + [(40, i, "user", "w 0") for i in range(3)]
     assert trie(spark, rows, stretch_keys=2) == brute(rows)
 
 
