@@ -15,7 +15,8 @@ from pluvia.plans import catalog  # noqa: E402
 from pluvia.session import build_session  # noqa: E402
 
 HEADLINE = ["silver_clean", "dq_all_checks", "quality_report", "mart_city_stats",
-            "top_groups_share", "headline_kpis", "last_n_per_key", "coverage_gap"]
+            "top_groups_share", "headline_kpis", "last_n_per_key", "coverage_gap",
+            "coverage_gap_bucketed", "period_kpis_ranges", "duplicate_members", "raw_payload_split"]
 
 
 def shorten(plan: str) -> str:
