@@ -112,3 +112,17 @@ def test_a_large_document_lands_the_same_rows(spark, tmp):
     assert sorted(map(repr, whole.collect())) == sorted(map(repr, split.collect()))
     names = [sorted(r.name for r in spark.read.json(os.path.join(tmp, x, "failed")).collect()) for x in "ab"]
     assert names[0] == names[1] == ["Gone"]
+
+
+def test_daily_runs_with_incremental_marts(spark, tmp):
+    import pytest
+    out, rebuilt = os.path.join(tmp, "out"), os.path.join(tmp, "rebuilt")
+    for day in (17, 18):
+        raw = os.path.join(write_payload(tmp, f"2024/01/{day}"), f"2024/01/{day}/weather_raw.json")
+        m = run_daily(spark, raw, out, dt.date(2024, 1, day), loaded_at=dt.datetime(2024, 1, day, 6), marts="incremental")
+        run_daily(spark, raw, rebuilt, dt.date(2024, 1, day), loaded_at=dt.datetime(2024, 1, day, 6))
+        assert m["mart_daily_summary"] == 5 and m["mart_city_stats"] == 3
+    a, b = (spark.read.parquet(paths(x)["mart_city_stats"]) for x in (out, rebuilt))
+    assert sorted(map(repr, a.select(*b.columns).collect())) == sorted(map(repr, b.collect()))
+    with pytest.raises(ValueError):
+        run_daily(spark, raw, out, dt.date(2024, 1, 18), marts="other")
