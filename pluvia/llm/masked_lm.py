@@ -1,9 +1,10 @@
 """Masked pseudo-likelihood by a bidirectional window network.
 
-Tokens are word units: short words whole, longer ones by their ending; the units with a
-fixed share of the whole corpus form the vocabulary.  Every other word is spelled in full:
-by pairs of letters, letters, or as a last resort the bytes of a letter, so that no word of
-the corpus lacks a token.  A network predicts every token
+Tokens are word units: short words whole, longer ones' endings; the units with a fixed share
+of the whole corpus form the vocabulary.  All else is spelled in full, the stem before a
+known ending too, digits and marks as well: by pairs of characters, characters, or as a last
+resort the bytes of one, so that every character of the corpus but white space (and case) is
+in a token.  A network predicts every token
 from the SIDE tokens before and after it: position-wise embeddings, one hidden layer, a
 softmax.  It is trained in numpy by synchronous local steps: every task fits its own
 documents from the shared weights, and Spark averages the weights by task size.  A
@@ -44,25 +45,33 @@ BLOCK_BYTES, TOKEN_BYTES = 4 << 20, 1 << 20
 SUMS = 32
 # Scripts without spaces: two of their letters are a run of their own.
 _DENSE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u312f\u3190-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
-_RUNS = re.compile(rf"[{_DENSE}]{{1,2}}|(?:(?![{_DENSE}])[^\W\d_])+|\d+")
+_RUNS = re.compile(rf"[{_DENSE}]{{1,2}}|(?:(?![{_DENSE}])[^\W\d_])+|\d+|(?:[^\w\s]|_)+")
 
 
 def runs_of(word: str) -> list[str]:
-    """The units' stretches of a white-space-delimited word: its runs of letters, ``#`` for
-    digits among them; a word without letters is one ``#`` (number) or ``.`` (marks)."""
-    found = ["#" if run[0].isdigit() else run for run in _RUNS.findall(word.lower())]
-    if all(run == "#" for run in found):
-        return ["#"] if found or any(c.isdigit() for c in word) else ["."] if word else []
-    return found
+    """A white-space-delimited word in runs of letters, of digits and of marks; in order, they
+    hold all its characters but white space."""
+    return _RUNS.findall(word.lower())
 
 
 def unit(run: str) -> str:
-    """The unit of a stretch: up to three letters whole, a longer one's ending."""
+    """The unit of a run: up to three letters whole, a longer one's ending; ``#`` opens a
+    number, marks have none."""
+    first = run[0]
+    if first.isdecimal():
+        return "#"
+    if not first.isalnum():
+        return ""
     return run if len(run) <= 3 else "-" + run[-3:]
 
 
+def stem(run: str) -> str:
+    """What a run's unit does not tell of it: what stands before the ending, or the number."""
+    return run if run[0].isdecimal() else run[:-3] if len(run) > 3 else ""
+
+
 def pairs(run: str) -> list[str]:
-    """A run of letters in pairs from its end; the first may be one letter."""
+    """A run in pairs of characters from its end; the first may be one character."""
     odd = len(run) % 2
     return ([run[0]] if odd else []) + [run[i:i + 2] for i in range(odd, len(run), 2)]
 
@@ -79,14 +88,11 @@ class _Units:
         """The token numbers of a word; letters the corpus lacks altogether are one OTHER."""
         number, out = self.number, []
         for run in runs_of(word):
-            whole = number.get(unit(run))
-            if whole is not None:
+            name = unit(run)
+            whole = number.get(name) if name else None
+            if whole is not None and name == "#":
                 out.append(whole)
-                continue
-            if run in "#.":
-                out.append(OTHER)
-                continue
-            for pair in pairs(run):
+            for pair in pairs(run if whole is None else stem(run)):
                 found = number.get("~" + pair) if len(pair) > 1 else None
                 if found is not None:
                     out.append(found)
@@ -97,6 +103,8 @@ class _Units:
                               [number.get(b, OTHER) for b in bytes_of(letter)]):
                         if n != OTHER or out[-1:] != [OTHER]:
                             out.append(n)
+            if whole is not None and name != "#":
+                out.append(whole)
         return out
 
     def remember(self, word: bytes) -> tuple[int, ...]:
@@ -243,7 +251,7 @@ def steps(flat: np.ndarray, context: np.ndarray, target: np.ndarray, state: dict
 
 
 def log_probabilities(net: Network, ids: np.ndarray, counts: np.ndarray,
-                      block: int = 2048) -> np.ndarray:
+                      block: int = 512) -> np.ndarray:
     """log P(token | both sides) of every token."""
     # Each side position's share of the hidden layer, by token; the bias as one more row.
     parts = [net.embed @ net.inward[i * EMBED:(i + 1) * EMBED] for i in range(2 * SIDE)]
@@ -283,9 +291,9 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 def vocabulary(rows: DataFrame, size: int | None = None) -> list[str]:
-    """The units, pairs and letters (these two after ``~``) with one in SHARE of all of their
-    kind over all texts, counted in full, numbers and marks if there are any, and the bytes
-    of all other letters; or the ``size`` most frequent units alone.
+    """The units, pairs and characters (these two after ``~``) with one in SHARE of all of
+    their kind over all texts, counted in full, numbers if there are any, and the bytes of all
+    other characters; or the ``size`` most frequent units alone.
 
     Words are counted first, so each distinct word is taken apart once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,23 +321,25 @@ def vocabulary(rows: DataFrame, size: int | None = None) -> list[str]:
     out, letters = [], []
     for kind, total in sorted(map(tuple, counts.groupBy("kind").agg(F.sum("n")).collect())):
         # There are no more letters than code points.
-        mine = counts.where((F.col("kind") == kind) & (F.lit(kind == LETTER) | F.col("unit").isin("#", ".")
+        mine = counts.where((F.col("kind") == kind) & (F.lit(kind == LETTER) | (F.col("unit") == "#")
                                                        | (F.col("n") * SHARE >= total)))
         got = sorted((-r.n, r.unit) for r in mine.collect())
-        out += [u for n, u in got if -n * SHARE >= total or u in "#."]
+        out += [u for n, u in got if -n * SHARE >= total or u == "#"]
         letters = got if kind == LETTER else letters
     kept = set(out)
     return out + sorted({b for _, u in letters if u not in kept for b in bytes_of(u[1:])})
 
 
 def kinds(word: str) -> list[tuple[int, str]]:
-    """What a word adds to the counts: its units, and the pairs and letters of its runs."""
+    """What a word adds to the counts: its units, and the pairs and characters of its runs (of
+    their stems too, whose pairs may lie otherwise)."""
     out = []
     for run in runs_of(word):
-        out.append((UNIT, unit(run)))
-        if run not in "#.":
-            out += [(PAIR, "~" + x) for x in pairs(run) if len(x) > 1]
-            out += [(LETTER, "~" + x) for x in run]
+        name, rest = unit(run), stem(run)
+        if name:
+            out.append((UNIT, name))
+        out += [(PAIR, "~" + x) for part in ([run] if rest == run else [run, rest]) for x in pairs(part) if len(x) > 1]
+        out += [(LETTER, "~" + x) for x in run]
     return out
 
 

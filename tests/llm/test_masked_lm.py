@@ -72,6 +72,20 @@ def test_every_word_of_the_corpus_has_tokens(spark):
     assert len(full) <= 3 * M.SHARE + 256
 
 
+def test_tokens_hold_every_character(spark):
+    """Stems before known endings, digits and marks are spelled: the tokens of a word give it back."""
+    texts = ["walking talking, don't (sulking)", "12-34-56 and walk2go", "का १२ -- well-known日本語です", "Thinking _x² 50% é́"] * 3
+    docs = M.text_rows(frame(spark, list(enumerate(texts))), "doc_id", "text")
+    reader = M._Units(M.vocabulary(docs))
+    names = {n: u for u, n in reader.number.items()}
+    assert "-ing" in reader.number and "#" in reader.number
+    for word in " ".join(texts).split(" "):
+        named = [names[n] for n in reader.spell(word)]
+        assert "".join(u[1:] if u[0] in "~-" else u for u in named if u != "#") == word.lower(), word
+    assert [names[n] for n in reader.spell("walking")][-1] == "-ing"
+    assert reader.spell("walking") != reader.spell("talking") and reader.spell("12") != reader.spell("34")
+
+
 def test_letters_without_a_unit_are_one_token():
     ids, counts = M._Units([]).tokens(["gibberish text", "", "a  b"])
     assert ids.tolist() == [M.OTHER] * 4 and counts.tolist() == [2, 0, 2]
