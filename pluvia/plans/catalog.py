@@ -894,7 +894,7 @@ def q_group_totals_share(spark, sf_dir):
 
 
 # Source ids of one payload document, a multiple of the ids of one response.
-PAYLOAD_IDS = 1 << 18
+PAYLOAD_IDS, RESPONSE_IDS = 1 << 18, 1 << 16
 
 
 def payload_responses(spark, sf_dir, ids=PAYLOAD_IDS):
@@ -905,7 +905,8 @@ def payload_responses(spark, sf_dir, ids=PAYLOAD_IDS):
         "sunrise": F.lit(None).cast("string"), "sunset": F.lit(None).cast("string"),
         "bucket": F.call_function("div", F.col("src_id") - F.pmod("src_id", F.lit(ids)), F.lit(ids))})
     fields = {"time": "time"} | {dst: src for src, dst in P.RAW_VARIABLES.items()}
-    packed = N.to_parallel_arrays(o, ["month", "bucket", *P.DIMENSION_COLUMNS], "src_id", fields)
+    packed = N.to_parallel_arrays(o, ["month", "bucket", *P.DIMENSION_COLUMNS], "src_id", fields,
+                                  chunk_size=min(ids, RESPONSE_IDS))
     meta = F.struct(F.col("city_name").alias("name"), *P.DIMENSION_COLUMNS[1:])
     return packed.select("month", "bucket", "daily", meta.alias("_city_meta"))
 
@@ -925,7 +926,7 @@ def q_raw_payload_roundtrip(spark, sf_dir):
     """obs -> payload documents of a month and a range of ids -> read -> flatten -> clean."""
     root = work_dir(spark, "payload")
     docs = payload_documents(spark, sf_dir)
-    docs.drop("bucket").repartition("month").write.option("maxRecordsPerFile", 1).partitionBy("month").json(root)
+    docs.drop("bucket").write.option("maxRecordsPerFile", 1).partitionBy("month").json(root)
     flat = N.flatten_payload(FS.city_responses(FS.read_raw(spark, root)))
     return C.clean(flat).drop("sunrise", "sunset")
 

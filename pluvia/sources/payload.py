@@ -17,6 +17,7 @@ import os
 import sys
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RANGE_BYTES = 64 << 20
 _BLOCK = 8 << 20  # bytes held at a time
+_TAIL = 64 << 10  # and beyond a range's end, where its last element ends
 _QUOTE, _BACKSLASH, _COMMA = 34, 92, 44
 _STEP = np.zeros(256, np.int8)  # what a bracket adds to the depth
 _STEP[[ord("{"), ord("[")]] = 1
@@ -196,7 +198,8 @@ def records(path: str, start: int, stop: int, quoted: bool, depth: int, low: int
     pieces, element = None, -1  # the element that is being read and where it begins
     with open_file(path) as file:
         escaped = _escaped(file, start)
-        for at, data in _blocks(file, start, high + 1, block):
+        end = min(stop, high + 1)
+        for at, data in chain(_blocks(file, start, end, block), _blocks(file, end, high + 1, min(block, _TAIL))):
             marks = Marks(data, escaped)
             place, byte, after = marks.outside(quoted, depth)
             cut = (byte == _COMMA) & (after == 2) | (place + at == low) | (place + at == high)
@@ -221,15 +224,29 @@ def records(path: str, start: int, stop: int, quoted: bool, depth: int, low: int
 
 
 class RecordRange(InputPartition):
-    def __init__(self, values: tuple):
+    def __init__(self, values: list[tuple]):
         super().__init__(values)
 
 
+def dealt(ranges: list[tuple], task_bytes: int) -> list[list[tuple]]:
+    """Ranges (path, start, stop, ...) in lists of ``task_bytes`` at most, or of one range.
+    Ranges at the same place of all documents lie together, those of one document apart."""
+    out, size = [], 0
+    for r in sorted(ranges, key=lambda r: (r[1], r[0]) if task_bytes else r[:2]):
+        size += r[2] - r[1]
+        if not out or size > task_bytes:
+            out.append([])
+            size = r[2] - r[1]
+        out[-1].append(r)
+    return out
+
+
 class PayloadReader(DataSourceReader):
     """Reads the ranges that a scan has written to the folder ``ranges``."""
 
     def __init__(self, options):
         self.folder, self.block = options["ranges"], int(options.get("block", _BLOCK))
+        self.task_bytes = int(options.get("task_bytes", 0))
 
     def partitions(self) -> list[InputPartition]:
         import pyarrow.parquet as pq
@@ -239,26 +256,26 @@ class PayloadReader(DataSourceReader):
             folder = "/" + folder[5:].lstrip("/")
         store, inside = fs.FileSystem.from_uri(folder)
         rows = pq.read_table(inside, filesystem=store).to_pylist()
-        rows.sort(key=lambda r: (r["path"], r["start"]))
         names = ("path", "start", "stop", "quoted", "depth", "low", "high")
-        return [RecordRange(tuple(r[n] for n in names)) for r in rows]
+        return [RecordRange(x) for x in dealt([tuple(r[n] for n in names) for r in rows], self.task_bytes)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         if partition is None:  # a table without ranges
             return
-        path, held, size = partition.value[0], [], 0
+        held, size = [], 0
 
         def batch() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([path] * len(held)), pa.array([p for p, _ in held], pa.int64()),
-                                    pa.array([t.decode("utf-8") for _, t in held], pa.string())],
+            return pa.record_batch([pa.array([p for p, _, _ in held]), pa.array([p for _, p, _ in held], pa.int64()),
+                                    pa.array([t.decode("utf-8") for _, _, t in held], pa.string())],
                                    names=["path", "at", "record"])
 
-        for place, text in records(*partition.value, self.block):
-            held.append((place, text))
-            size += len(text)
-            if size >= 4 << 20:
-                yield batch()
-                held, size = [], 0
+        for values in partition.value:
+            for place, text in records(*values, self.block):
+                held.append((values[0], place, text))
+                size += len(text)
+                if size >= 4 << 20:
+                    yield batch()
+                    held, size = [], 0
         if held:
             yield batch()
 
@@ -319,10 +336,11 @@ def scan(spark: SparkSession, path: str | list[str], key: str = "data", range_by
 
 
 def read_responses(spark: SparkSession, path: str | list[str], run_date: bool = False,
-                   range_bytes: int = RANGE_BYTES, schema=SC.CITY_RESPONSE, block: int = _BLOCK) -> DataFrame:
+                   range_bytes: int = RANGE_BYTES, schema=SC.CITY_RESPONSE, block: int = _BLOCK,
+                   task_bytes: int = 0) -> DataFrame:
     """The responses in the payloads' ``data`` arrays, one row each: what
     ``city_responses(read_raw(...))`` gives, but a document is read by as many tasks as it
-    has ranges of ``range_bytes``.
+    has ranges of ``range_bytes``; a task reads one range, or ranges of ``task_bytes`` in all.
 
     UTF-8 documents of one JSON object each.  A truncated document, a missing element or a
     malformed response raises; a ``null`` element is a row of nulls; a document without the
@@ -331,7 +349,7 @@ def read_responses(spark: SparkSession, path: str | list[str], run_date: bool =
     """
     from pluvia.sources.files import RUN_DATE, run_date_of
 
-    rows = record_texts(spark, path, range_bytes, block)
+    rows = record_texts(spark, path, range_bytes, block, task_bytes)
     parsed = F.when(F.col("record") != "null", F.from_json("record", schema, {"mode": "FAILFAST"}))
     extra = [RUN_DATE] if run_date else []
     if run_date:
@@ -340,12 +358,13 @@ def read_responses(spark: SparkSession, path: str | list[str], run_date: bool =
 
 
 def record_texts(spark: SparkSession, path: str | list[str], range_bytes: int = RANGE_BYTES,
-                 block: int = _BLOCK) -> DataFrame:
+                 block: int = _BLOCK, task_bytes: int = 0) -> DataFrame:
     """(path, at, record): the text of every response and the byte it begins at."""
     folder, arrays = scan(spark, path, range_bytes=range_bytes, block=block)
     headers(spark, path, arrays).write.format("noop").mode("overwrite").save()  # raises where they are no JSON
     spark.dataSource.register(PayloadSource)
-    return spark.read.format(PayloadSource.name()).option("ranges", folder).option("block", str(block)).load()
+    return (spark.read.format(PayloadSource.name()).option("ranges", folder).option("block", str(block))
+            .option("task_bytes", str(task_bytes)).load())
 
 
 def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -55,6 +55,40 @@ def test_one_document_is_read_by_many_tasks(spark, tmp):
     assert split.count() == 300
 
 
+def test_a_task_reads_ranges_of_many_small_documents(spark, tmp):
+    for i in range(20):
+        write(tmp, f"many/{i}.json", json.dumps(document(i, 12)))
+    one = PL.read_responses(spark, tmp + "/many", range_bytes=1000)
+    many = PL.read_responses(spark, tmp + "/many", range_bytes=1000, task_bytes=10_000)
+    total = sum(os.path.getsize(f"{tmp}/many/{i}.json") for i in range(20))
+    assert many.rdd.getNumPartitions() <= total / 9000 + 1 < one.rdd.getNumPartitions() / 5
+    assert rows_of(many) == rows_of(one) and many.count() == 240
+
+
+def test_dealt_keeps_every_range_and_parts_documents():
+    ranges = [(f"p{i}", at, at + 10) for i in range(50) for at in (0, 10, 20)]
+    tasks = PL.dealt(ranges, 100)
+    assert sorted(r for t in tasks for r in t) == sorted(ranges) and len(tasks) == 15
+    assert all(len({r[0] for r in t}) == len(t) for t in tasks)
+    assert PL.dealt(ranges, 0) == [[r] for r in sorted(ranges)] and PL.dealt([], 100) == []
+
+
+def test_a_range_reads_little_beyond_its_end(tmp, monkeypatch):
+    text = json.dumps(document(1, 4000))
+    path, read = write(tmp, "far.json", text), []
+    blocks = PL._blocks
+
+    def counted(*args):
+        for at, data in blocks(*args):
+            read.append(len(data))
+            yield at, data
+
+    monkeypatch.setattr(PL, "_blocks", counted)
+    low = text.index("[")
+    assert list(PL.records(path, 0, 2000, False, 0, low, text.rindex("]", 0, text.index('"extraction_timestamp"'))))
+    assert sum(read) <= 2000 + PL._TAIL < len(text) / 2
+
+
 def test_headers(spark, tmp):
     for i in (6, 7):
         write(tmp, f"h/{i}.json", json.dumps(document(i, 40), indent=1))
