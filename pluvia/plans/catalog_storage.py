@@ -78,7 +78,7 @@ def q_raw_run_dates(spark, sf_dir):
     """Payloads in the run folder of their year's last day; every run is found by its date
     and read with the date of its folder."""
     root = work_dir(spark, "raw-runs")
-    docs = FS.stage(K.payload_documents(spark, sf_dir).withColumn("year", F.substring("month", 1, 4)), root)[0]
+    docs = FS.stage(K.payload_documents(spark, sf_dir).withColumn("year", F.substring("month", 1, 4)), root, ("year",))[0]
     days = [dt.date(int(r[0]), 12, 31) for r in docs.select("year").distinct().collect()]
     for day in days:
         (docs.where(F.col("year") == str(day.year)).select("data").write.option("maxRecordsPerFile", 1)

@@ -61,10 +61,11 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def stage(df: DataFrame, root: str) -> tuple[DataFrame, str]:
-    """``df`` written once under ``root`` (in a folder readers of ``root`` skip)."""
+def stage(df: DataFrame, root: str, by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
+    """``df`` written once under ``root`` (in a folder readers of ``root`` skip), partitioned
+    ``by`` columns if it is read a part at a time."""
     path = os.path.join(root, "_staging", uuid.uuid4().hex[:12])
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -119,6 +119,21 @@ def test_land_then_flatten_equals_direct(spark, tmp):
     assert spark.read.json(out["failed"]).first()["name"] == "Gone"
 
 
+def test_a_response_holds_many_rows_of_its_entity(spark):
+    sf = "/root/testdata/sf0.001"
+    got = catalog.payload_responses(spark, sf)
+    assert got.count() == got.select("month", "bucket", "_city_meta").distinct().count()
+    assert got.selectExpr("sum(size(daily.time))").first()[0] == catalog.X.obs(spark, sf).count()
+
+
+def test_staged_parts_are_read_by_themselves(spark, tmp):
+    df = spark.createDataFrame([("1999", 1), ("2000", 2), ("2000", 3)], "year string, n int")
+    kept = FS.stage(df, tmp, ("year",))[0]
+    part = kept.where("year = '2000'")
+    assert dict(kept.dtypes) == dict(df.dtypes) and sorted(r.n for r in part.collect()) == [2, 3]
+    assert all("year=2000" in f for f in part.select("_metadata.file_path").distinct().toPandas()["file_path"])
+
+
 def test_payload_documents_are_bounded(spark):
     sf, ids = "/root/testdata/sf0.001", 1024
     docs = catalog.payload_documents(spark, sf, ids)
