@@ -41,6 +41,8 @@ SHARE = 1024
 KNOWN_WORDS, KNOWN_CHARS = 1 << 19, 1 << 23
 # Text bytes whose words are looked up together, token bytes that a network works on.
 BLOCK_BYTES, TOKEN_BYTES = 4 << 20, 1 << 20
+# Under this, exponentials are subnormal in float32; products with those take many times as long.
+LEAST = np.float32(-87)
 # Sums of weights that come to the driver after a round.
 SUMS = 32
 # Scripts without spaces: two of their letters are a run of their own.
@@ -178,9 +180,9 @@ def initial(seed: int = 7, units: int = VOCABULARY) -> np.ndarray:
     return (rng.standard_normal(len(scale)) * scale).astype(np.float32)
 
 
-def contexts(ids: np.ndarray, counts: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-    """(tokens, 2 * SIDE): the tokens before and after each (or each of the positions
-    ``at``), EDGE beyond its text's ends."""
+def sides(ids: np.ndarray, counts: np.ndarray, at: np.ndarray | None = None) -> list[np.ndarray]:
+    """The tokens at each of the 2 * SIDE places before and after every token (or the
+    positions ``at``), EDGE beyond its text's ends."""
     # SIDE edges between texts stand for whatever lies beyond an end.
     gap = np.arange(len(counts)) * SIDE + SIDE
     place = np.arange(len(ids)) + np.repeat(gap, counts)
@@ -189,7 +191,12 @@ def contexts(ids: np.ndarray, counts: np.ndarray, at: np.ndarray | None = None)
     if at is not None:
         place = place[at]
     shifts = [-d for d in range(SIDE, 0, -1)] + list(range(1, SIDE + 1))
-    return np.stack([spread[place + d] for d in shifts], axis=1)
+    return [spread.take(place + d) for d in shifts]
+
+
+def contexts(ids: np.ndarray, counts: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """(tokens, 2 * SIDE): :func:`sides` of each token as a row."""
+    return np.stack(sides(ids, counts, at), axis=1)
 
 
 def summed_rows(index: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
@@ -198,7 +205,14 @@ def summed_rows(index: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
     ordered = index[order]
     first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     out[:] = 0
-    out[ordered[first]] = np.add.reduceat(rows[order], first, axis=0)
+    out[ordered[first]] = np.add.reduceat(rows.take(order, axis=0, mode="clip"), first, axis=0)
+
+
+def raised(logits: np.ndarray) -> None:
+    """Raises logits under LEAST to it, in rows whose maximum is 0: a row's sum of
+    exponentials stays the same to the last bit."""
+    if logits.min(initial=0) < LEAST:
+        np.maximum(logits, LEAST, out=logits)
 
 
 def steps(flat: np.ndarray, context: np.ndarray, target: np.ndarray, state: dict) -> np.ndarray:
@@ -206,6 +220,7 @@ def steps(flat: np.ndarray, context: np.ndarray, target: np.ndarray, state: dict
 
     The softmax is never divided out: with e the exponentials of a row and s their sum, the
     gradient is (e - s at the target) / s, whose factor goes into the narrow matrices.
+    The arrays of a step are made once.
     """
     flat = flat.astype(np.float32)  # a copy, updated in place
     net, slope = unpack(flat), np.empty_like(flat)
@@ -213,29 +228,37 @@ def steps(flat: np.ndarray, context: np.ndarray, target: np.ndarray, state: dict
     m, v = state["m"], state["v"] = tuple(np.asarray(state[k], np.float32) for k in "mv")
     first, second = np.empty_like(flat), np.empty_like(flat)
     ones, top = np.ones(units, np.float32), np.empty((HIDDEN + 1, units), np.float32)
-    hidden, logits = np.ones((BATCH, HIDDEN + 1), np.float32), np.empty((BATCH, units), np.float32)
+    widest = min(BATCH, len(target))
+    hidden, logits = np.ones((widest, HIDDEN + 1), np.float32), np.empty((widest, units), np.float32)
+    inputs, back = (np.empty((widest, 2 * SIDE, EMBED), np.float32) for _ in range(2))
+    sums, slopes = (np.empty((widest, HIDDEN), np.float32) for _ in range(2))
+    parts, both = np.empty((widest, HIDDEN + 1), np.float32), np.empty_like(top)
     for start in range(0, len(target), BATCH):
         c, y = context[start:start + BATCH], target[start:start + BATCH]
         n, at = len(y), np.arange(len(y))
         top[:-1], top[-1] = net.outward, net.bias
-        x = net.embed[c].reshape(n, -1)
-        a = x @ net.inward + net.hidden
+        x = net.embed.take(c, axis=0, out=inputs[:n], mode="clip").reshape(n, -1)
+        a = np.matmul(x, net.inward, out=sums[:n])
+        a += net.hidden
         h = hidden[:n]
         np.maximum(a, 0, out=h[:, :-1])
         e = np.matmul(h, top, out=logits[:n])
         if np.sqrt(np.einsum("ij,ij->j", top, top).max() * np.einsum("ij,ij->i", h, h).max()) > 60:
             e -= e.max(1, keepdims=True)  # exp could overflow
+            raised(e)
         np.exp(e, out=e)
         s = e @ ones
         e[at, y] -= s
         share = (1 / (s * n))[:, None]
-        both = (h * share).T @ e
+        np.matmul(np.multiply(h, share, out=parts[:n]).T, e, out=both)
         grad.outward[:], grad.bias[:] = both[:-1], both[-1]
-        dh = (e @ net.outward.T) * share
+        dh = np.matmul(e, net.outward.T, out=slopes[:n])
+        dh *= share
         dh *= a > 0
         np.matmul(x.T, dh, out=grad.inward)
         np.sum(dh, 0, out=grad.hidden)
-        summed_rows(c.ravel(), (dh @ net.inward.T).reshape(n * 2 * SIDE, EMBED), grad.embed)
+        dx = np.matmul(dh, net.inward.T, out=back.reshape(widest, -1)[:n])
+        summed_rows(c.ravel(), dx.reshape(n * 2 * SIDE, EMBED), grad.embed)
         state["n"] += 1
         m *= 0.9
         m += np.multiply(slope, 0.1, out=first)
@@ -259,20 +282,23 @@ def log_probabilities(net: Network, ids: np.ndarray, counts: np.ndarray,
     outward = np.vstack([net.outward, net.bias])
     steepest = np.sqrt((outward ** 2).sum(0)).max()
     ones = np.ones(len(net.bias), np.float32)
-    hidden = np.ones((block, HIDDEN + 1), np.float32)
+    hidden, sums = np.ones((block, HIDDEN + 1), np.float32), np.empty((2, block, HIDDEN), np.float32)
     logits = np.empty((block, len(net.bias)), np.float32)
-    context, out = contexts(ids, counts), np.empty(len(ids), np.float64)
+    context, out = sides(ids, counts), np.empty(len(ids), np.float64)
     for start in range(0, len(ids), block):
-        c, y = context[start:start + block], ids[start:start + block]
-        a = parts[0][c[:, 0]]
+        y = ids[start:start + block]
+        a, more = sums[:, :len(y)]
+        parts[0].take(context[0][start:start + block], axis=0, out=a, mode="clip")
         for i in range(1, 2 * SIDE):
-            a += parts[i][c[:, i]]
+            a += parts[i].take(context[i][start:start + block], axis=0, out=more, mode="clip")
         h = hidden[:len(y)]
         np.maximum(a, 0, out=h[:, :HIDDEN])
         z = np.matmul(h, outward, out=logits[:len(y)])
-        if steepest * np.sqrt((h * h).sum(1).max()) > 80:  # exp could overflow
+        if wide := steepest * np.sqrt((h * h).sum(1).max()) > 80:  # exp could overflow
             z -= z.max(1, keepdims=True)
         own = z[np.arange(len(y)), y].astype(np.float64)
+        if wide:
+            raised(z)
         out[start:start + block] = own - np.log(np.exp(z, out=z) @ ones)
     return out
 

@@ -49,6 +49,35 @@ def test_gradient_steps_lower_the_loss():
     assert after > -0.5 > before  # the pattern is certain from both sides
 
 
+def test_no_subnormal_exponentials(monkeypatch):
+    """Products with subnormal numbers take many times as long; weights and scores without them are
+    the same to the last bit."""
+    rng = np.random.default_rng(1)
+    ids, counts = rng.integers(2, M.VOCABULARY, 1300).astype(np.int32), np.array([1000, 0, 300])
+    context, flat, found = M.contexts(ids, counts), M.initial() * 8, []
+    real, tiny = np.exp, np.finfo(np.float32).tiny
+
+    def exp(x, out=None):
+        got = real(x, out=out)
+        found.append(((got > 0) & (got < tiny)).sum())
+        return got
+
+    def both():
+        found.clear()
+        state = {"n": 0, "m": np.zeros(M.SIZE, np.float32), "v": np.zeros(M.SIZE, np.float32)}
+        return M.steps(flat, context, ids, state), M.log_probabilities(M.unpack(flat), ids, counts)
+
+    monkeypatch.setattr(np, "exp", exp)
+    weights, scores = both()
+    assert len(found) == 6 and sum(found) == 0
+    net, apart = M.unpack(flat), np.split(ids, np.cumsum(counts)[:-1])
+    assert scores == pytest.approx(sum((plain_scores(net, part.tolist()) for part in apart), []), rel=1e-4, abs=1e-3)
+    assert scores.min() < M.LEAST  # tokens below it keep their own score
+    monkeypatch.setattr(M, "LEAST", np.float32(-np.inf))
+    plain = both()
+    assert sum(found) > 0 and np.array_equal(weights, plain[0]) and np.array_equal(scores, plain[1])
+
+
 def test_vocabulary_counts_all_texts(spark):
     rows = [(1, "the the of walking talking"), (2, "the 12 -- sulking"), (3, None)]
     docs = M.text_rows(frame(spark, rows), "doc_id", "text")
