@@ -14,7 +14,7 @@ document's score is the sum of log P(token | both sides), also given per token.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -43,6 +43,8 @@ KNOWN_WORDS, KNOWN_CHARS = 1 << 19, 1 << 23
 BLOCK_BYTES, TOKEN_BYTES = 4 << 20, 1 << 20
 # Under this, exponentials are subnormal in float32; products with those take many times as long.
 LEAST = np.float32(-87)
+# Columns of logits that are raised one by one at most.
+RAISED = 16
 # Sums of weights that come to the driver after a round.
 SUMS = 32
 # Scripts without spaces: two of their letters are a run of their own.
@@ -53,7 +55,10 @@ _RUNS = re.compile(rf"[{_DENSE}]{{1,2}}|(?:(?![{_DENSE}])[^\W\d_])+|\d+|(?:[^\w\
 def runs_of(word: str) -> list[str]:
     """A white-space-delimited word in runs of letters, of digits and of marks; in order, they
     hold all its characters but white space."""
-    return _RUNS.findall(word.lower())
+    word = word.lower()
+    if word.isalpha() and (word.isascii() or max(word) < _DENSE[0]):
+        return [word]
+    return _RUNS.findall(word)
 
 
 def unit(run: str) -> str:
@@ -84,6 +89,8 @@ class _Units:
     def __init__(self, vocabulary: list[str]):
         self.number = {u: i + 2 for i, u in enumerate(vocabulary)}
         self.known: dict[bytes, tuple[int, ...]] = {}
+        # The same for stems and runs without a unit, of which words share many.
+        self.parts: dict[str, tuple[int, ...]] = {}
         self.chars = 0
 
     def spell(self, word: str) -> list[int]:
@@ -94,24 +101,35 @@ class _Units:
             whole = number.get(name) if name else None
             if whole is not None and name == "#":
                 out.append(whole)
-            for pair in pairs(run if whole is None else stem(run)):
-                found = number.get("~" + pair) if len(pair) > 1 else None
-                if found is not None:
-                    out.append(found)
-                    continue
-                for letter in pair:
-                    found = number.get("~" + letter)
-                    for n in ([found] if found is not None else
-                              [number.get(b, OTHER) for b in bytes_of(letter)]):
-                        if n != OTHER or out[-1:] != [OTHER]:
-                            out.append(n)
+            part = run if whole is None else stem(run)
+            if part:
+                spelled = self.parts.get(part) or self.remember_part(part)
+                out += spelled[1:] if spelled[0] == OTHER and out[-1:] == [OTHER] else spelled
             if whole is not None and name != "#":
                 out.append(whole)
         return out
 
+    def remember_part(self, part: str) -> tuple[int, ...]:
+        """The token numbers of a part of a run, by pairs, characters or bytes."""
+        number, out = self.number, []
+        for pair in pairs(part):
+            found = number.get("~" + pair) if len(pair) > 1 else None
+            if found is not None:
+                out.append(found)
+                continue
+            for letter in pair:
+                found = number.get("~" + letter)
+                for n in ([found] if found is not None else
+                          [number.get(b, OTHER) for b in bytes_of(letter)]):
+                    if n != OTHER or out[-1:] != [OTHER]:
+                        out.append(n)
+        spelled = self.parts[part] = tuple(out)
+        self.chars += len(part)
+        return spelled
+
     def remember(self, word: bytes) -> tuple[int, ...]:
-        if len(self.known) >= KNOWN_WORDS or self.chars > KNOWN_CHARS:
-            self.known, self.chars = {}, 0
+        if max(len(self.known), len(self.parts)) >= KNOWN_WORDS or self.chars > KNOWN_CHARS:
+            self.known, self.parts, self.chars = {}, {}, 0
         spelled = self.known[word] = tuple(self.spell(word.decode("utf-8", "surrogatepass")))
         self.chars += len(word)
         return spelled
@@ -210,9 +228,13 @@ def summed_rows(index: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
 
 def raised(logits: np.ndarray) -> None:
     """Raises logits under LEAST to it, in rows whose maximum is 0: a row's sum of
-    exponentials stays the same to the last bit."""
-    if logits.min(initial=0) < LEAST:
+    exponentials stays the same to the last bit.  Mostly only a few tokens' columns have any."""
+    low = np.flatnonzero(logits.min(0) < LEAST)
+    if len(low) > RAISED:
         np.maximum(logits, LEAST, out=logits)
+        return
+    for i in low:
+        np.maximum(logits[:, i], LEAST, out=logits[:, i])
 
 
 def steps(flat: np.ndarray, context: np.ndarray, target: np.ndarray, state: dict) -> np.ndarray:
@@ -321,23 +343,26 @@ def vocabulary(rows: DataFrame, size: int | None = None) -> list[str]:
     their kind over all texts, counted in full, numbers if there are any, and the bytes of all
     other characters; or the ``size`` most frequent units alone.
 
-    Words are counted first, so each distinct word is taken apart once."""
+    Words are counted first, then their runs, so each distinct one is taken apart once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        found: defaultdict[str, int] = defaultdict(int)
+        chars = 0
 
-        def counted() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([k for k, _ in found], pa.int32()),
-                                    pa.array([u for _, u in found], pa.string()),
-                                    pa.array(list(found.values()), pa.int64())], names=["kind", "unit", "n"])
+        def counted() -> Iterator[pa.RecordBatch]:
+            for kind, n in kinds(found).items():
+                yield pa.record_batch([pa.array([kind] * len(n), pa.int32()), pa.array(list(n), pa.string()),
+                                       pa.array(list(n.values()), pa.int64())], names=["kind", "unit", "n"])
 
         for part in batches:
             for word, n in zip(part.column("word").to_pylist(), part.column("n").to_pylist()):
-                for key in kinds(word.decode("utf-8", "surrogatepass")):
-                    found[key] += n
-            if len(found) > KNOWN_WORDS:
-                yield counted()
-                found = Counter()
-        yield counted()
+                for x in runs_of(word.decode("utf-8", "surrogatepass")):
+                    found[x] += n
+                chars += len(word)
+            if len(found) > KNOWN_WORDS or chars > KNOWN_CHARS:
+                yield from counted()
+                found.clear()
+                chars = 0
+        yield from counted()
 
     counts = staged(word_counts(rows).mapInArrow(run, "kind int, unit string, n long")
                     .groupBy("kind", "unit").agg(F.sum("n").alias("n")), "units")
@@ -356,17 +381,21 @@ def vocabulary(rows: DataFrame, size: int | None = None) -> list[str]:
     return out + sorted({b for _, u in letters if u not in kept for b in bytes_of(u[1:])})
 
 
-def kinds(word: str) -> list[tuple[int, str]]:
-    """What a word adds to the counts: its units, and the pairs and characters of its runs (of
-    their stems too, whose pairs may lie otherwise)."""
-    out = []
-    for run in runs_of(word):
+def kinds(runs: dict[str, int]) -> dict[int, dict[str, int]]:
+    """What counted runs add to the counts, by kind: their units, and the pairs and characters of
+    the runs (of their stems too, whose pairs may lie otherwise)."""
+    units, twos, ones = (defaultdict(int) for _ in range(3))
+    for run, n in runs.items():
         name, rest = unit(run), stem(run)
         if name:
-            out.append((UNIT, name))
-        out += [(PAIR, "~" + x) for part in ([run] if rest == run else [run, rest]) for x in pairs(part) if len(x) > 1]
-        out += [(LETTER, "~" + x) for x in run]
-    return out
+            units[name] += n
+        for part in (run, rest) if rest != run else (run,):
+            for i in range(len(part) % 2, len(part), 2):
+                twos[part[i:i + 2]] += n
+        for x in run:
+            ones[x] += n
+    marked = [{"~" + x: n for x, n in counts.items()} for counts in (twos, ones)]
+    return dict(zip((UNIT, PAIR, LETTER), [units, *marked]))
 
 
 class LanguageModel(NamedTuple):

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -78,6 +80,54 @@ def test_no_subnormal_exponentials(monkeypatch):
     assert sum(found) > 0 and np.array_equal(weights, plain[0]) and np.array_equal(scores, plain[1])
 
 
+@pytest.mark.parametrize("columns", [0, 2, 40])
+def test_only_columns_with_low_logits_are_raised(monkeypatch, columns):
+    logits = np.random.default_rng(2).normal(-20, 3, (64, 50)).astype(np.float32)
+    logits[::3, :columns] = -95
+    want, seen, real = np.maximum(logits, M.LEAST), [], np.maximum
+    monkeypatch.setattr(np, "maximum", lambda x, *a, **b: seen.append(x.size) or real(x, *a, **b))
+    M.raised(logits)
+    assert np.array_equal(logits, want)
+    assert seen == ([64] * columns if columns <= M.RAISED else [logits.size])
+
+
+def test_a_part_that_words_share_is_spelled_once(monkeypatch):
+    taken, real = [], M.pairs
+    monkeypatch.setattr(M, "pairs", lambda run: taken.append(run) or real(run))
+    units = ["-ing", "~wa", "~lk", "~,", "~(", "~)"]
+    ids, _ = M._Units(units).tokens(["walking Walking, (walking) talking walking-talking"])
+    assert sorted(taken) == sorted(["walk", "talk", ",", "(", ")", "-"])
+    at = {u: i + 2 for i, u in enumerate(units)}
+    walk, talk = [at["~wa"], at["~lk"], at["-ing"]], [M.OTHER, at["~lk"], at["-ing"]]
+    assert ids.tolist() == [*walk, *walk, at["~,"], at["~("], *walk, at["~)"], *talk, *walk, *talk]
+
+
+def test_unknown_letters_of_neighbouring_parts_are_one_token():
+    reader = M._Units(["~a"])
+    for _ in range(2):  # the second time from memory
+        assert reader.spell("xy--12a") == [M.OTHER, 2] and reader.spell("--x") == [M.OTHER]
+
+
+def test_runs_are_those_of_the_pattern():
+    words = [f"{x}{chr(c)}{y}" for c in [*range(33, 0xd800, 7), 0x130, 0x1e9e, 0xd800, 0x20000, 0x1f600]
+             for x, y in (("", ""), ("Ab", "c"), ("é", "ß"), ("1", "_"))]
+    assert [M.runs_of(w) for w in words] == [M._RUNS.findall(w.lower()) for w in words]
+
+
+def test_counts_of_units_pairs_and_letters(spark):
+    """By a plain count of every run of every word, however often words and runs repeat."""
+    rows = awkward_rows() + [(50, "walking Walking, (walking) walking-talking 12 345,12")] * 2
+    want = [Counter(), Counter(), Counter()]
+    for run in (run for _, text in rows for word in (text or "").split() for run in M.runs_of(word)):
+        name, rest = M.unit(run), M.stem(run)
+        want[M.UNIT].update([name] if name else [])
+        want[M.PAIR].update("~" + x for part in {run, rest} for x in M.pairs(part or "x") if len(x) > 1)
+        want[M.LETTER].update("~" + x for x in run)
+    got = M.vocabulary(M.text_rows(frame(spark, rows), "doc_id", "text"))
+    kept = [u for n in want for u in sorted(n, key=lambda u: (-n[u], u)) if n[u] * M.SHARE >= n.total() or u == "#"]
+    assert got[:len(kept)] == kept and all(u.startswith("~0x") for u in got[len(kept):])
+
+
 def test_vocabulary_counts_all_texts(spark):
     rows = [(1, "the the of walking talking"), (2, "the 12 -- sulking"), (3, None)]
     docs = M.text_rows(frame(spark, rows), "doc_id", "text")
